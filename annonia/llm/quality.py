@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 
 TRAIN_DOCS, TRAIN_LINES = 1500, 40
-SHARE = 0.3
+SHARE, CAUTION = 0.3, 1.0
 STATS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content_share double, base_failed boolean, kept boolean"
 
 _SYMBOL = np.zeros(256, bool)
@@ -224,8 +224,8 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, trai
     return Field.fit([np.frombuffer(f, np.uint8).reshape(-1, N_FEATURES).astype(float) for _, _, f in rows], [int(q == 0) for _, q, _ in rows])
 
 
-def quality(docs: DataFrame, field: Field, share: float = SHARE) -> DataFrame:
-    """Statistics and verdict of every document."""
+def quality(docs: DataFrame, field: Field, share: float = SHARE, caution: float = CAUTION) -> DataFrame:
+    """Statistics and verdict of every document. ``caution`` is added to the score of content on every line, for a wrong rejection costs more than a wrong pass."""
     names = ["doc_id", *(x.split()[0] for x in STATS.split(", ")[1:])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +233,7 @@ def quality(docs: DataFrame, field: Field, share: float = SHARE) -> DataFrame:
             data, offs = tk.column(batch.column(1))
             for i, j in tk.slices(offs):
                 stats, f, size, at = measure(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                content = np.concatenate([[0], np.cumsum(size * (field.decode(f @ field.w, at) == 0))])
+                content = np.concatenate([[0], np.cumsum(size * (field.decode(f @ field.w + [caution, 0], at) == 0))])
                 total = np.concatenate([[0], np.cumsum(size)])
                 part = (content[at[1:]] - content[at[:-1]]) / np.maximum(total[at[1:]] - total[at[:-1]], 1)
                 failed = (stats["n_words"] < 50) | (100 * stats["n_repeat_words"] > 50 * stats["n_words"])
