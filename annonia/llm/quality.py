@@ -224,6 +224,16 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, trai
     return Field.fit([np.frombuffer(f, np.uint8).reshape(-1, N_FEATURES).astype(float) for _, _, f in rows], [int(q == 0) for _, q, _ in rows])
 
 
+def verdict(data: np.ndarray, offs: np.ndarray, field: Field, share: float, caution: float) -> list[np.ndarray]:
+    """The columns of ``STATS`` after the first."""
+    stats, f, size, at = measure(data, offs)
+    content = np.concatenate([[0], np.cumsum(size * (field.decode(f @ field.w + [caution, 0], at) == 0))])
+    total = np.concatenate([[0], np.cumsum(size)])
+    part = (content[at[1:]] - content[at[:-1]]) / np.maximum(total[at[1:]] - total[at[:-1]], 1)
+    failed = (stats["n_words"] < 50) | (100 * stats["n_repeat_words"] > 50 * stats["n_words"])
+    return [stats[k] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")] + [part, failed, ~failed & (part >= share)]
+
+
 def quality(docs: DataFrame, field: Field, share: float = SHARE, caution: float = CAUTION) -> DataFrame:
     """Statistics and verdict of every document. ``caution`` is added to the score of content on every line, for a wrong rejection costs more than a wrong pass."""
     names = ["doc_id", *(x.split()[0] for x in STATS.split(", ")[1:])]
@@ -232,12 +242,21 @@ def quality(docs: DataFrame, field: Field, share: float = SHARE, caution: float
         for batch in batches:
             data, offs = tk.column(batch.column(1))
             for i, j in tk.slices(offs):
-                stats, f, size, at = measure(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                content = np.concatenate([[0], np.cumsum(size * (field.decode(f @ field.w + [caution, 0], at) == 0))])
-                total = np.concatenate([[0], np.cumsum(size)])
-                part = (content[at[1:]] - content[at[:-1]]) / np.maximum(total[at[1:]] - total[at[:-1]], 1)
-                failed = (stats["n_words"] < 50) | (100 * stats["n_repeat_words"] > 50 * stats["n_words"])
-                cols = [stats[k] for k in names[1:6]] + [part, failed, ~failed & (part >= share)]
+                cols = verdict(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], field, share, caution)
                 yield pa.record_batch([batch.column(0).slice(i, j - i), *(pa.array(c) for c in cols)], names=names)
 
     return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, STATS)
+
+
+def kept(docs: DataFrame, field: Field, share: float = SHARE, caution: float = CAUTION) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns; judged row by row in place, without a join."""
+
+    @F.pandas_udf("boolean")
+    def passes(texts):
+        import pandas as pd
+
+        data, offs = tk.column(pa.array(texts, pa.string(), from_pandas=True))
+        out = [verdict(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], field, share, caution)[-1] for i, j in tk.slices(offs)]
+        return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))
+
+    return docs.where(passes(docs["text"].cast("string")))

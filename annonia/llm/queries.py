@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, quality, secrets
+from . import bpe, chat, decontaminate, minhash, quality, repeats, secrets, sharding, suffix_tree, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,10 +22,25 @@ def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
+#: A conversation whose texts hold the template's own control strings.
+HARD_TURNS = [(-7, i, role, "\\### Assistant: </turn> ok") for i, role in enumerate(("user", "assistant"))]
+
+
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(HARD_TURNS, "conv_id long, turn long, role string, text string"))
+    path, pattern = tokenizer_path()
+    return chat.read_back(chat.format_conversations(rows, path, pattern), path, pattern)
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), *tokenizer_path(), with_ids=False).drop("ids")
 
@@ -40,5 +55,23 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Query] = {"op2_minhash": op2_minhash, "op4_bpe": op4_bpe, "op5_secrets": op5_secrets, "op6_quality": op6_quality}
+def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scores(table(spark, sf_dir, "documents"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f for f in (op1_chat, op2_minhash, op3_urls, op4_bpe, op5_secrets, op6_quality, op7_suffix_tree, op8_sharding, op9_decontaminate, op10_repeats)
+}
 ORACLE: dict[str, str] = {}
