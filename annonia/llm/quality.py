@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -252,9 +253,7 @@ def kept(docs: DataFrame, field: Field, share: float = SHARE, caution: float = C
     """The rows of ``docs`` that pass, with all their columns; judged row by row in place, without a join."""
 
     @F.pandas_udf("boolean")
-    def passes(texts):
-        import pandas as pd
-
+    def passes(texts: pd.Series) -> pd.Series:
         data, offs = tk.column(pa.array(texts, pa.string(), from_pandas=True))
         out = [verdict(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], field, share, caution)[-1] for i, j in tk.slices(offs)]
         return pd.Series(np.concatenate(out) if out else np.zeros(0, bool))

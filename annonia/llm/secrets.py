@@ -23,8 +23,9 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex")
@@ -243,12 +244,7 @@ def mask_secrets(docs: DataFrame, max_layer: int = MAX_LAYER) -> DataFrame:
     Null texts stay null."""
 
     @F.pandas_udf("string")
-    def clean(texts: "pd.Series") -> "pd.Series":  # noqa: F821
+    def clean(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else masked(t, scan(t, max_layer)[1]))
 
-    clean.__annotations__ = {}
     return docs.withColumn("text", clean(docs["text"]))
-
-
-def digest(col: Column) -> Column:
-    return F.sha2(col, 256)
