@@ -207,17 +207,16 @@ def classify_bullets(bullets: Column) -> Column:
 
 
 def _routed(items: Column, rules) -> Column:
-    cols = []
-    for i, (name, rule) in enumerate(rules):
-
-        def fits(x, i=i, rule=rule):
-            out = rule(x)
-            for _, before in rules[:i]:
+    def exclusive(n: int):
+        def fits(x: Column) -> Column:
+            out = rules[n][1](x)
+            for _, before in rules[:n]:
                 out = out & ~before(x)
             return out
 
-        cols.append(F.coalesce(F.try_element_at(F.filter(items, fits), F.lit(-1)), F.lit("")).alias(name))
-    return F.struct(*cols)
+        return fits
+
+    return F.struct(*(F.coalesce(F.try_element_at(F.filter(items, exclusive(n)), F.lit(-1)), F.lit("")).alias(name) for n, (name, _) in enumerate(rules)))
 
 
 def classify_requirement_tags(tags: Column) -> Column:
@@ -249,7 +248,7 @@ def extract_views_and_number(col: Column) -> Column:
 def split_list_text(col: Column, sep: str = ",") -> Column:
     """Text list -> trimmed non-empty array; a lone 'Ou' separates like the mark."""
     clean = F.regexp_replace(text(col), r"\bOu\b", sep)
-    return F.filter(F.transform(F.split(clean, r"\|" if sep == "|" else sep), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(clean, r"\|" if sep == "|" else sep), lambda x: F.trim(x)), lambda x: x != "")
 
 
 # ---- JSON-LD ----

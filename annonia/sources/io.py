@@ -68,10 +68,10 @@ def read_log_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).json(path)
 
 
-def parse_log_text(df: DataFrame, column: str = "value") -> DataFrame:
+def parse_log_text(df: DataFrame, column: str = "value", keep: list[str] = ()) -> DataFrame:
     """'[time] [level] [logger] message' lines as columns; other lines have nulls and their whole text as message."""
     pattern = r"^\[([^\]]+)\] \[([^\]]+)\] \[([^\]]+)\] (.*)$"
     line = F.col(column)
     return df.select(
-        F.try_to_timestamp(take(line, pattern, 1), F.lit("yyyy-MM-dd HH:mm:ss")).alias("ts"), take(line, pattern, 2).alias("level"), take(line, pattern, 3).alias("logger"), F.coalesce(take(line, pattern, 4), line).alias("message")
+        *keep, F.try_to_timestamp(take(line, pattern, 1), F.lit("yyyy-MM-dd HH:mm:ss")).alias("ts"), take(line, pattern, 2).alias("level"), take(line, pattern, 3).alias("logger"), F.coalesce(take(line, pattern, 4), line).alias("message")
     )
