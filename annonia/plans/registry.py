@@ -579,3 +579,63 @@ _STATS = "SELECT endpoint, count(*) FILTER (WHERE ok) AS successes, count(*) FIL
 def best_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = jobs.rank_endpoints(frame(spark, sf_dir, "requests"))
     return top.select("endpoint", "successes", "failures", "blocked", F.round("latency", 6).alias("latency"), F.round("score", 6).alias("score"))
+
+
+# D8-D10, D25, E9, E10, E16, E17, E26, E29, E30, E32
+_columns(
+    "deals_and_jobs",
+    "words",
+    "row_id",
+    {
+        "instalment_total": (lambda: money.instalments(F.concat(C("k").cast("string"), F.lit(" DA")), F.lit("12 mois"), F.lit("5 000 DA"))["total"], "CAST(k * 12 AS DOUBLE)"),
+        "first_payment": (lambda: money.instalments(F.lit("1 DA"), F.lit("2"), F.concat(C("k").cast("string"), F.lit(",5 DA")))["premier_versement"], "k + 0.5"),
+        "discounted": (lambda: money.discount(F.concat(F.lit("1 200 DA "), C("k").cast("string"), F.lit(" DA")), F.lit("1 200 DA"))["price"], "CAST(k AS STRING)"),
+        "tax": (lambda: money.price_and_tax(F.when(C("k") % 2 == 0, "5"), F.lit("6"))["tax"], "CASE WHEN k % 2 = 0 THEN 'HT' ELSE 'TTC' END"),
+        "power": (lambda: F.array_join(money.engine_figures(F.concat(C("k").cast("string"), F.lit(" HP 90 CV")))["power"], ","), "concat(CAST(k AS STRING), ',90')"),
+        "horses": (lambda: money.horse_power(F.concat(C("k").cast("string"), F.lit("HP"))), "concat(CAST(k AS STRING), ' CV')"),
+        "diplomas": (lambda: F.array_join(vocab.extract_diplomes(F.concat(F.lit("Poste. Bac + "), (C("k") % 5 + 1).cast("string"), F.lit(" exigé; autre"))), "|"), "concat(CAST(k % 5 + 1 AS STRING), '|Bac + ', CAST(k % 5 + 1 AS STRING), ' exigé')"),
+        "diploma_list": (lambda: F.array_join(vocab.normalize_diplomes(F.array(C("diplome"), F.lit("sans diplôme"))), ","), f"CASE WHEN diplome IN ('', 'pas important') THEN 'Non spécifié' ELSE {_case('lower(diplome)', vocab.DIPLOMAS, 'diplome')} END"),
+        "address": (lambda: vocab.compose_address(F.array(F.lit("Adresse"), F.lit("Zones"), F.lit("Région")), F.array(C("adresse"), F.lit("Commune de X"), F.lit("Y")))["address"], "CASE WHEN adresse = '' THEN 'X, Y' ELSE concat(adresse, ', X, Y') END"),
+        "world": (lambda: vocab.worldwide_address(F.when(C("k") % 2 == 0, "Plus de villes").otherwise(C("adresse")), F.lit("z"))[0], "CASE WHEN k % 2 = 0 THEN 'Worldwide' ELSE adresse END"),
+        "fraud": (lambda: vocab.suspicious_status(F.when(C("k") % 3 == 0, "Nettoyage de billets").otherwise(C("titre"))), "CASE WHEN k % 3 = 0 THEN 404 ELSE 200 END"),
+        "card_type": (lambda: vocab.property_words(F.concat(F.lit("Vente "), C("bien_text"))), "CASE k % 8 WHEN 0 THEN 'Appartement' WHEN 1 THEN 'Villa' WHEN 4 THEN 'Terrain agricole' WHEN 5 THEN 'Commerce' WHEN 7 THEN 'Studio' ELSE '' END"),
+        "card_region": (lambda: vocab.region_from_card(C("adresse")), "upper(trim(CASE WHEN contains(adresse, ',') THEN split_part(adresse, ',', 2) ELSE adresse END))"),
+        "positions": (lambda: vocab.positions(C("km_text")), "CAST(regexp_extract(km_text, '(\\d+)', 1) AS INTEGER)"),
+        "title": (lambda: vocab.format_title(F.concat(F.lit("smart tv "), C("boite"))), "CASE k % 6 WHEN 0 THEN 'Smart TV Dct' WHEN 1 THEN 'Smart TV Semi Auto' WHEN 2 THEN 'Smart TV Mt' WHEN 3 THEN 'Smart TV Bv6' WHEN 4 THEN 'Smart TV Boite Automatique' ELSE 'Smart TV' END"),
+        "year": (lambda: rows.default_year(F.when(C("k") % 2 == 0, "2020"), _as_of()), f"CASE WHEN k % 2 = 0 THEN '2020' ELSE '{int(AS_OF[:4]) - 3}' END"),
+    },
+)
+
+# G1, G10, G15, G16
+_columns(
+    "spec_lines",
+    "spec_text",
+    "row_id",
+    {
+        "capacity": (lambda: specs.extract_capacity(F.concat(F.lit("Capacité: "), (C("row_id") % 9 + 1).cast("string"), F.lit(" litres")))["value"], "CAST(row_id % 9 + 1 AS STRING)"),
+        "capacity_unit": (lambda: specs.extract_capacity(F.lit("7 kg"))["unit"], "'kg'"),
+        "processor": (lambda: specs.extract_processor(F.concat(F.lit("CPU: Core i"), (C("row_id") % 9).cast("string"), F.lit(" (2.4 GHz)"))), "concat('Core i', CAST(row_id % 9 AS STRING), ' (2.4 GHz)')"),
+        "model": (lambda: vocab.extract_model(F.concat(F.lit("LG WX-"), (C("row_id") % 900 + 100).cast("string")), vocab.APPLIANCE_MODELS), "concat('WX-', CAST(row_id % 900 + 100 AS STRING))"),
+        "from_lines": (lambda: specs.specs_from_lines(F.array(F.lit("RAM: 4 GB"), F.lit("x")), C("txt"))["ram"], "'4'"),
+        "from_text": (lambda: specs.specs_from_lines(F.array(F.lit("y"), F.lit("x")), C("txt"))["ram"], _rxi("RAM\\s*:?\\s*(\\d+)\\s*(GO|GB)")),
+        "override": (lambda: specs.specs_table_override(F.create_map(F.lit("RAM"), F.lit("16")), "RAM", C("txt")), "'16'"),
+        "fill": (lambda: specs.specs_table_override(F.create_map(F.lit("RAM"), F.lit("16")), "RAM", specs.extract_battery(C("txt")), False), _rxi("(\\d+)\\s*mAh")),
+    },
+)
+
+
+# I12
+@query("SELECT page_id, regexp_extract(url, '^(https?)', 1) AS scheme, 'Avec photo' AS as_photo, CAST(page_id AS DOUBLE) AS prix_dec, CASE WHEN page_id = 0 THEN 'Sans prix' ELSE 'Avec prix' END AS as_prix FROM pages")
+def tv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = frame(spark, sf_dir, "pages").select("page_id", "url", F.lit("<b>TV</b>").alias("title"), F.concat(C("page_id").cast("string"), F.lit(" DZD")).alias("price"), F.array(F.lit("http://x.org/a-300x300.jpg")).alias("images"))
+    made = rows.format_tv_record(raw).withColumn("page_id", C("prix_dec").cast("long"))
+    return made.select("page_id", F.regexp_extract("url", "^(https?)", 1).alias("scheme"), "as_photo", "prix_dec", "as_prix")
+
+
+# K7, unseen endpoints
+@query(f", s AS ({_STATS}), e AS (SELECT DISTINCT concat('ep', CAST(event_id % 60 AS STRING)) AS endpoint FROM requests) SELECT e.endpoint, round(CASE WHEN s.endpoint IS NULL THEN 50.0 ELSE greatest(1.0, 100 - 10 * coalesce(latency, 5.0) - 20 * blocked - 5 * failures) END, 6) AS score FROM e LEFT JOIN s ON e.endpoint = s.endpoint", "requests")
+def endpoint_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = frame(spark, sf_dir, "requests")
+    asked = requests.select(F.concat(F.lit("ep"), (C("event_id") % 60).cast("string")).alias("endpoint")).distinct()
+    scored = metrics.score_of(asked, metrics.endpoint_score(metrics.endpoint_stats(requests)))
+    return scored.select("endpoint", F.round("score", 6).alias("score"))
