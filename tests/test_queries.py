@@ -1,0 +1,43 @@
+"""Every registered query of the listing jobs against its SQL in DuckDB."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+from annonia.plans import registry, stream_queries  # noqa: F401
+
+DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
+
+
+def plain(v):
+    return round(float(v), 6) if isinstance(v, float) or type(v).__name__ == "Decimal" else v
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    c.execute("SET TimeZone='UTC'")
+    for f in glob.glob(f"{DIR}/*.parquet"):
+        c.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
+    return c
+
+
+@pytest.mark.parametrize("name", list(registry.QUERIES))
+def test_query(spark, con, name):
+    df = registry.QUERIES[name](spark, DIR)
+    cols = sorted(df.columns)
+    got = sorted(repr([plain(r[c]) for c in cols]) for r in df.collect())
+    cur = con.execute(registry.ORACLE[name])
+    names = [d[0] for d in cur.description]
+    assert sorted(names) == cols
+    want = sorted(repr([plain(r[names.index(c)]) for c in cols]) for r in cur.fetchall())
+    assert got == want
+
+
+def test_native_queries_have_no_python(spark):
+    for name in set(registry.QUERIES) - {"parsed_pages", "stream_alerts", "stream_new_listings", "stream_upsert", "stream_dead_letters"}:
+        plan = registry.QUERIES[name](spark, DIR)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "MapInArrow" not in plan, name
