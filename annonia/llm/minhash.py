@@ -8,9 +8,11 @@ of 4 bins put a pair of similarity 0.75 into a common bucket but for about 5 in
 In a bucket, candidates are edges from a centre to the members: a star, so their number is
 that of the rows. Documents with the same set were joined before and enter once. Stars alone
 would lose links between two members that are both far from the centre, so buckets that still
-hold several components get further centres, twice as many each round, until every bucket is
-in one component or each of its documents has been a centre. Links are confirmed on the full
-sets. No bucket is capped.
+hold several components are looked at again. Documents whose shingles occur too seldom
+outside their own component to allow any link are left out first, by an exact bound. The rest
+of a bucket is cut into blocks, and pairs of blocks are compared by bitmaps of the sets, which
+bound the similarity from above; only pairs of different components that might be links come
+out. No bucket is capped. Links are confirmed on the full sets.
 
 Input: ``doc_id``, ``text``. Null and empty texts have an empty set, linked with nothing. Rows
 that share a ``doc_id`` are one node (linked if any of its texts are); each row has its own
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
@@ -31,6 +33,10 @@ from .components import components
 from .store import written
 
 BINS, BANDS, ROWS, WORDS, PERCENT = 128, 32, 4, 5, 75
+#: Cells of the bitmaps that bound a pair's similarity from above before its sets are compared.
+CELLS = 2048
+#: Documents of a bucket in one block.
+BLOCK = 192
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
@@ -106,6 +112,81 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("u", "v", "text_u", "text_v").mapInArrow(_confirm, "u long, v long")
 
 
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, labels = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for k in range(0, len(batch), 500):
+            own = list(sets(batch.column(2).slice(k, 500)))
+            n = np.array([len(s) for s in own], np.int64)
+            h = np.concatenate(own) if own else np.zeros(0, np.uint64)
+            yield pa.record_batch([np.repeat(ids[k : k + 500], n), np.repeat(labels[k : k + 500], n), np.repeat(n, n), h.view(np.int64)], names=["doc_id", "label", "size", "h"])
+
+
+def _linkable(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows (bucket, doc_id, label) without the documents that can have no link outside their component.
+
+    Such a link needs common shingles, and these must occur in several components. ``shared`` counts a
+    document's shingles that do; with ``size`` it bounds every similarity from above, so nothing that
+    could be linked is dropped. Near copies too far from their group have mostly shingles of their own."""
+    documents = rows.select("doc_id", "label").distinct()
+    shingles = documents.join(texts, "doc_id").select("doc_id", "label", "text").mapInArrow(_shingle_rows, "doc_id long, label long, size long, h long")
+    common = shingles.groupBy("h").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("h")
+    counts = shingles.join(common, "h", "left_semi").groupBy("doc_id").agg(F.count("*").alias("shared"), F.min("size").alias("size"))
+    joined = rows.drop("label").join(written(counts), "doc_id")
+    least = joined.groupBy("bucket").agg(F.min("size").alias("least"))
+    able = 100 * F.col("shared") >= PERCENT * (F.col("size") + F.col("least") - F.col("shared"))
+    return joined.join(least, "bucket").where(able).select("bucket", "doc_id", "shared", "size")
+
+
+_PACKED = "doc_id long, shingles binary, n long, bits binary"
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each set as bytes, and as a bitmap of hashed cells."""
+    for batch in batches:
+        own = list(sets(batch.column(1)))
+        cells = np.zeros((len(own), CELLS), np.uint8)
+        for i, s in enumerate(own):
+            cells[i, (s & np.uint64(CELLS - 1)).astype(np.int64)] = 1
+        bits = [row.tobytes() for row in np.packbits(cells, axis=1)]
+        yield pa.record_batch([batch.column(0), pa.array([s.tobytes() for s in own], pa.binary()), pa.array([len(s) for s in own], pa.int64()), pa.array(bits, pa.binary())], names=["doc_id", "shingles", "n", "bits"])
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of two blocks that lie in different components and that the bitmaps don't rule out.
+
+    Each cell set in one bitmap only costs its document a shingle that the other lacks."""
+
+    def unpacked(members: list[dict]):
+        bits = np.frombuffer(b"".join(m["bits"] for m in members), np.uint64).reshape(len(members), -1)
+        return *(np.array([m[k] for m in members], np.int64) for k in ("doc_id", "label", "n")), bits, np.bitwise_count(bits).sum(1, dtype=np.int64)
+
+    for batch in batches:
+        for x, y in zip(batch.column(0), batch.column(1)):
+            (doc_a, label_a, n_a, bits_a, cells_a), (doc_b, label_b, n_b, bits_b, cells_b) = unpacked(x.as_py()), unpacked(y.as_py())
+            both = np.zeros((len(doc_a), len(doc_b)), np.int64)
+            for w in range(bits_a.shape[1]):
+                both += np.bitwise_count(bits_a[:, w, None] & bits_b[None, :, w])
+            both += np.minimum((n_a - cells_a)[:, None], (n_b - cells_b)[None, :])
+            can = (label_a[:, None] != label_b[None, :]) & (100 * both >= PERCENT * (n_a[:, None] + n_b[None, :] - both))
+            i, j = np.nonzero(can)
+            if len(i):
+                u, v = np.minimum(doc_a[i], doc_b[j]), np.maximum(doc_a[i], doc_b[j])
+                yield pa.record_batch([pa.array(u), pa.array(v)], names=["u", "v"])
+
+
+def _confirm_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ok = []
+        for x, y in zip(batch.column(2), batch.column(3)):
+            a, b = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
+            at = np.searchsorted(a, b)
+            both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
+            ok.append(100 * both >= PERCENT * (len(a) + len(b) - both))
+        keep = pa.array(ok, pa.bool_())
+        yield pa.record_batch([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["u", "v"])
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept, n_links (confirmed candidate links of the node; copies of one set are joined by a star)."""
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
@@ -116,8 +197,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     equal = written(whole.select("doc_id", *keys).join(first, keys).where("doc_id <> rep").select(F.col("rep").alias("u"), F.col("doc_id").alias("v")).distinct())
     unique = whole.join(first.select(*keys, F.col("rep").alias("doc_id")), [*keys, "doc_id"], "left_semi")
     rows = unique.select("doc_id", F.explode("bands").alias("bucket")).distinct()
-    shared = rows.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    members = written(rows.join(shared, "bucket").select("bucket", "doc_id", "centre", "n"))
+    shared = rows.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last")).where("centre < last")
+    members = written(rows.join(shared, "bucket").select("bucket", "doc_id", "centre"))
     needed = written(texts.join(members.select("doc_id").distinct(), "doc_id", "left_semi"))
 
     # first round: every document against the smallest centre of its buckets
@@ -131,19 +212,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         several = known.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("bucket")
         return known.join(several, "bucket")
 
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("doc_id"))
-    ranked = written(undecided(members).withColumn("rank", rank).select("bucket", "doc_id", "n", "rank"))
-    low, high = 1, 2  # ranks of this round's centres
-    while not (left := written(undecided(ranked.where(F.col("n") > low)))).isEmpty():
-        centres = left.where((F.col("rank") >= low) & (F.col("rank") < high)).select("bucket", F.col("doc_id").alias("u"), F.col("label").alias("label_u"), F.col("rank").alias("rank_u"))
-        pairs = left.join(centres, "bucket").where("rank > rank_u and label <> label_u").select("u", F.col("doc_id").alias("v")).distinct()
-        pairs = written(pairs.join(tested, ["u", "v"], "left_anti"))
-        tested = tested.union(pairs)
-        found = written(_confirmed(pairs, needed))
-        if not found.isEmpty():
-            links = links.union(found)
-            labels = components(links.union(equal))
-        low, high = high, 2 * high
+    rest = written(undecided(_linkable(written(undecided(members.select("bucket", "doc_id"))), needed)).drop("shared", "size"))
+    packed = written(needed.join(rest.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_packed, _PACKED))
+    # blocks of about BLOCK documents of a bucket, so that a bucket of any size is compared by many tasks
+    parts = rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    block = F.pmod(F.xxhash64("doc_id"), F.col("parts")).alias("block")
+    placed = rest.join(parts, "bucket").join(packed.drop("shingles"), "doc_id").select("bucket", block, F.struct("doc_id", "label", "n", "bits").alias("member"))
+    blocks = written(placed.groupBy("bucket", "block").agg(F.collect_list("member").alias("members")))
+    other = blocks.select("bucket", F.col("block").alias("block_v"), F.col("members").alias("members_v"))
+    pairs = blocks.join(other, "bucket").where("block <= block_v").select("members", "members_v").mapInArrow(_compared, "u long, v long").distinct()
+    pairs = written(pairs.join(tested, ["u", "v"], "left_anti"))
+    shingles = packed.select("doc_id", "shingles")
+    both = pairs.join(shingles.toDF("v", "shingles_v"), "v").join(shingles.toDF("u", "shingles_u"), "u")
+    found = written(both.select("u", "v", "shingles_u", "shingles_v").mapInArrow(_confirm_packed, "u long, v long"))
+    links = links.union(found)
+    labels = components(links.union(equal))
     degree = links.select(F.explode(F.array("u", "v")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("n_links"))
     labelled = sketch.select("doc_id", "n_shingles").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(degree, "doc_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))
