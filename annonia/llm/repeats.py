@@ -34,6 +34,8 @@ from .store import written
 
 LENGTH, GRAM, HOT = 100, 24, 2000
 FLUSH, BLOCK = 1_500_000, 400_000
+#: Bytes of text for each task of the two shuffles, which hold their rows at once.
+TASK_BYTES = 64 << 20
 _POS = np.uint64((1 << 20) - 1)
 _RUNS = "mh long, ch long, doc long, sub long, at long"
 _FOUND = "doc long, sub long, begin long, end long, mh long, n_runs int"
@@ -251,9 +253,10 @@ def _window_words(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 def _factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans of the windows whose previous factor is as long as a window."""
-    table = pa.Table.from_batches(list(batches))
-    if not table.num_rows:
+    held = list(batches)
+    if not sum(len(b) for b in held):  # a task may get no rows at all
         return
+    table = pa.Table.from_batches(held)
     table = table.combine_chunks().sort_by([(c, "ascending") for c in ("key", "doc", "sub", "begin")])
     key, doc, sub, begin = (table.column(k).to_numpy() for k in range(4))
     pieces = table.column(4).to_pylist()
@@ -314,14 +317,22 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, hot: int = HOT) -> D
     """Per document: size, removed bytes, maximal removed runs, digest of what stays and (``with_text``) what stays."""
     least = F.lit(-(1 << 63)).cast("long")
     base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).withColumn("doc", F.coalesce("doc_id", least))
-    again = not base.groupBy("doc").count().where("count > 1").isEmpty()
+    most, total = base.groupBy("doc").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")).agg(F.coalesce(F.max("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    again = most > 1
+    spark = docs.sparkSession
+    n_tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // TASK_BYTES)
+
+    def dealt(df: DataFrame, key: str) -> DataFrame:
+        """Tasks in proportion to the corpus; up to the session's number, small ones are still put together."""
+        return df.repartition(n_tasks, key) if total // TASK_BYTES >= n_tasks else df.repartition(key)
+
     base = base.withColumn("sub", F.xxhash64("text") if again else F.lit(0).cast("long"))
     once = base.select("doc", "sub", "text")
     once = once.dropDuplicates(["doc", "sub"]) if again else once
-    found = written(once.mapInArrow(_map_runs, _RUNS).repartition("mh").mapInArrow(_resolve, _FOUND))
+    found = written(dealt(once.mapInArrow(_map_runs, _RUNS), "mh").mapInArrow(_resolve, _FOUND))
     asked = found.where("mh is not null").groupBy("doc", "sub").agg(F.collect_list(F.struct("begin", "end", "mh", "n_runs")).alias("wanted"))
     pieces = once.join(asked, ["doc", "sub"]).select("doc", "sub", "text", "wanted").sortWithinPartitions("doc", "sub").mapInArrow(_cut(hot), _PIECES)
-    spans = pieces.repartition("key").mapInArrow(_factor, _SPANS).union(found.where("mh is null").select("doc", "sub", "begin", "end"))
+    spans = dealt(pieces, "key").mapInArrow(_factor, _SPANS).union(found.where("mh is null").select("doc", "sub", "begin", "end"))
     gathered = spans.groupBy("doc", "sub").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     whole = base.join(gathered, ["doc", "sub"], "left").select("doc_id", "text", "spans.begin", "spans.end")
     out = whole.mapInArrow(_trimmed(with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -11,6 +11,7 @@ import urllib.parse
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,6 +223,20 @@ def test_suffix_tree(docs):
     assert all(r.score < 0 for r in out)
 
 
+def test_context_counts():
+    """Against plain counting: every distinct word once, contexts back to the blank before it."""
+    vocabulary = [b"abab", b"a", "\u00e9t\u00e9".encode(), b"abcdefgh"]
+    want = collections.Counter()
+    for w in vocabulary:
+        s = b" " + w + b" "
+        for i in range(1, len(s)):
+            for d in range(min(i, suffix_tree.DEPTH) + 1):
+                want[int.from_bytes(s[i - d : i], "big"), s[i]] += 1
+    batch = pa.record_batch([pa.array(vocabulary, pa.binary()), pa.array([9, 1, 2, 5], pa.int64())], names=["word", "n"])
+    got = {(r["ctx"], r["sym"]): r["n"] for b in suffix_tree._context_counts(iter([batch])) for r in b.to_pylist()}
+    assert got == dict(want)
+
+
 def test_tree_is_a_distribution():
     r = np.random.default_rng(2)
     ctx, sym, n = [0] * 6, list(range(97, 103)), r.integers(1, 50, 6).tolist()
@@ -356,3 +371,15 @@ def test_segmentation(spark):
     counts = spark.createDataFrame([("red", 50), ("house", 40), ("re", 2), ("dho", 2), ("use", 30)], "piece string, n long")
     labels = spark.createDataFrame([("redhouse",), ("zzred",), ("house",), ("redhouse",)], "label string")
     assert {r.label: r.pieces for r in urls.segment(labels, counts).collect()} == {"redhouse": ["red", "house"], "zzred": ["zz", "red"], "house": ["house"]}
+
+
+def test_masked_spans():
+    assert secrets.masked("abcdefgh", [(1, 0, 4), (2, 1, 3), (3, 2, 6)]) == "a*****gh"
+    assert secrets.masked("abc", []) == "abc" and secrets.masked("abc", [(0, 0, 3)]) == "***"
+
+
+def test_repeats_by_size(docs, monkeypatch):
+    """The number of tasks follows the corpus; the rows don't change."""
+    rows = sorted(map(str, repeats.remove_repeats(docs).collect()))
+    monkeypatch.setattr(repeats, "TASK_BYTES", 4000)
+    assert sorted(map(str, repeats.remove_repeats(docs).collect())) == rows
