@@ -51,6 +51,9 @@ INPUTS = {
  concat('<a href="/annonce-x-d', CAST(c_custkey AS STRING), '">x</a><a href="//cdn.example.com/y">y</a><script type="application/ld+json">', CASE c_custkey % 2 WHEN 0 THEN '[' ELSE '' END,
  '{"@type": "ItemList", "itemListElement": [{"url": "https://www.example.com/annonce-a-d', CAST(c_custkey AS STRING), '"}, {"item": {"url": "https://www.example.com/annonce-b-d', CAST(c_custkey % 50 AS STRING), '"}}, {"url": "ftp://no"}]}',
  CASE c_custkey % 2 WHEN 0 THEN ']' ELSE '' END, '</script>') AS html FROM {customer}""",
+    "spec_pages": """SELECT o_orderkey AS page_id, concat('https://www.example.com/s/', CAST(o_orderkey AS STRING)) AS url,
+ concat('<html><title> Annonce ', CAST(o_custkey AS STRING), '</title><table><tr><td>Marque :</td><td>', o_orderstatus, '</td></tr><tr><th>Km</th><td>old</td></tr><tr><th>Km</th><td>', CAST(o_custkey % 300 AS STRING),
+ ' 000</td></tr></table><dl><dt>Date - Mise :</dt><dd>', CAST(year(o_orderdate) AS STRING), '</dd></dl><p class="lead big">Prix <b>', CAST(o_custkey AS STRING), '</b> DA</p></html>') AS html FROM {orders}""",
     "offers": """SELECT concat('https://shop.example.com/p', CAST(l_partkey AS STRING)) AS product_url, concat('store', CAST(l_suppkey AS STRING)) AS store, l_extendedprice AS price, l_returnflag AS cond FROM {lineitem}""",
     "runs": """SELECT category, CAST(floor(event_id / 500) AS BIGINT) AS cycle, site, SUM(CASE WHEN kind = 'success' THEN 1 ELSE 0 END) AS items, SUM(CASE WHEN kind = 'error' THEN 1 ELSE 0 END) AS errors,
  MAX(ts) AS ended, CAST(MAX(event_id) - MIN(event_id) AS DOUBLE) AS duration FROM {run_events} GROUP BY category, CAST(floor(event_id / 500) AS BIGINT), site""",

@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import pages
+from ..sources.io import new_folder
 from ..streaming import streams
 from . import registry
 from .compose import INPUTS
 
 
-def _place(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; a temporary one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='annonia-')}"
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """run_events as a stream of files."""
     path = f"{sf_dir}/events.parquet"
@@ -39,14 +31,14 @@ def _finished(df: DataFrame, place: str) -> DataFrame:
 @registry.query(registry.ORACLE["alerts"])
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts with state by category; equal to the batch answer."""
-    return _finished(streams.stream_alerts(_events(spark, sf_dir)), _place(spark)).select("category", "event_id", "kind", "reached")
+    return _finished(streams.stream_alerts(_events(spark, sf_dir)), new_folder(spark)).select("category", "event_id", "kind", "reached")
 
 
 # L1
 @registry.query("SELECT DISTINCT CAST(user_id AS STRING) AS listing_id FROM events")
 def stream_new_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids never seen before, exactly once each."""
-    place = _place(spark)
+    place = new_folder(spark)
     path = f"{sf_dir}/events.parquet"
     stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/event*.parquet")
     ids = stream.select(F.col("user_id").cast("string").alias("listing_id"))
@@ -60,7 +52,7 @@ def stream_new_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest event of each user's page, upserted batch by batch."""
-    place = _place(spark)
+    place = new_folder(spark)
     path = f"{sf_dir}/events.parquet"
     stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/event*.parquet")
 
@@ -78,9 +70,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.query("SELECT kind, count(*) AS n FROM run_events WHERE kind <> 'success' GROUP BY kind", "run_events")
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failed outcomes, routed to their own path."""
-    place = _place(spark)
+    place = new_folder(spark)
     events = _events(spark, sf_dir)
     streams.stream_dead_letter(events, F.col("kind") == "success", f"{place}/good", f"{place}/bad", f"{place}/log").awaitTermination()
     return spark.read.schema("kind string").json(f"{place}/bad").groupBy("kind").agg(F.count("*").alias("n"))
-
-

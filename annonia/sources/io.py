@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +15,12 @@ from ..functions.base import take
 LOG_SCHEMA = "timestamp string, level string, logger string, message string, category string, site string, url string"
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A new folder below the cluster's shared one; a temporary one only where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='annonia-')}"
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page snapshots: Parquet, or JSON lines where the path says so."""
     return spark.read.schema("page_id long, url string, html string").json(path) if path.rstrip("/").endswith((".json", ".jsonl")) else spark.read.parquet(path)
@@ -33,8 +42,8 @@ def read_listings_json(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def read_listings_csv(spark: SparkSession, path: str, list_columns: list[str] = ()) -> DataFrame:
-    """CSV with header; lists written as text ``['a', 'b']`` are split again."""
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    """CSV with header; lists written as text ``['a', 'b']`` are split again. A quoted empty field is empty text, an unquoted one null."""
+    df = spark.read.option("header", True).option("nullValue", "\0").option("multiLine", True).option("escape", '"').csv(path)
     return df.withColumns({c: F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit("['\"]([^'\"]*)['\"]"), F.lit(1)) for c in list_columns})
 
 
