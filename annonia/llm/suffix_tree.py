@@ -1,23 +1,23 @@
 """Language-model scores from a probabilistic suffix tree.
 
-The symbols are bytes: each word as a blank, its bytes, and a blank, which is the next word's
-first; after the last blank comes the end of the text. Contexts are the bytes before, back to
-the blank before the word and up to ``DEPTH``. A context of the tree is one that occurs
-often enough and whose next-symbol distribution diverges from that of its parent (the
-context without its first byte) by more than chance allows; with it go all its suffixes. A
-distribution is smoothed with its parent's, the root's with the uniform one. A symbol is
-scored in the longest suffix that is a state of the tree. Whole tokens are states too, the
-longest: a token's count is smoothed with the probability that the tree gives its bytes, so
-tokens never seen are still told apart.
-
-Counts of words cover all training texts. The tree's contexts are counted over the distinct words
-among these, each once: it spells what the words' own counts don't tell, and new words are more
-like the many rare words than like the few frequent ones. Documents stand in blocks
-of about ``BLOCK_BYTES``; a block lists its distinct words, these meet the corpus's counts and
-scores in a join, and come back to the block's texts. So the vocabulary is never broadcast. The
-tree is, and it is bounded: its contexts have at least ``LEAST_SHARE`` of all symbols each, so
-there are at most 1 / LEAST_SHARE of each length, and a symbol below that share / 16 is left to
-the smoothing.
+The symbols are words, after the last the end of the text, and the contexts up to ``WORDS``
+words before. A context of the tree is one that occurs ``LEAST_COUNT`` times and that foretells the
+training symbols, each left out once, better than its parent (the context without its first word) by
+more than chance allows; with it go all its suffixes. A context's distribution is smoothed
+with its parent's (Witten-Bell), the root's with the probability of a word's spelling, so words
+never seen are still told apart. A symbol is scored in the longest suffix that is a state.
+
+Spelling is a second tree over bytes: each word as a blank, its bytes, and a blank. Its contexts go back to the
+blank before the word and up to ``DEPTH``, and are kept by the divergence of their next-byte
+distribution. It is counted over the distinct training words, each once: it spells what the words' own
+counts don't tell, and new words are more like the many rare words than like the few frequent ones.
+
+Counts of words and of words after contexts cover all training texts. Documents stand in blocks of about
+``BLOCK_BYTES``; a block lists its distinct words and its distinct pairs of context and word,
+these meet the corpus's counts and contexts in joins, and come back to the block's texts. A
+context can't occur more often than its parts, so the pairs of a length are counted only
+after contexts that the length before has shown to be frequent. Distinct words meet the byte contexts in a
+join, too. Neither the vocabulary nor a tree is broadcast or collected.
 
 Input: ``doc_id``, ``text``. Null and empty texts have the end alone as token; a null doc_id counts
 as the text 'null' and trains; repeated rows count each time; an empty table gives no rows; other
@@ -29,18 +29,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .store import written
 
-DEPTH, LEAST_SHARE, LEAST_COUNT, DIVERGENCE, SMOOTH = 6, 2e-6, 20, 12.0, 4.0
-BLOCK_BYTES = 24 << 20
+DEPTH, WORDS, LEAST_SHARE, LEAST_COUNT, DIVERGENCE, SMOOTH = 6, 2, 2e-6, 20, 12.0, 4.0
+BLOCK_BYTES, PART_WORDS = 24 << 20, 400_000
 FOLDS, HELD_OUT = 7, 2
 _COUNTS = "ctx long, sym int, n long"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 _BLANK, _END = 0x20, 0x0A
+_STOP = tk.mix(np.array([_END], np.uint64))[0]  # the end of a text among the words' hashes
 
 
 def held_out(doc_id: Column) -> Column:
@@ -75,10 +77,105 @@ def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 o = offs[i + x : i + y + 1]
                 _distinct(data[o[0] : o[-1]], o - o[0], train[i + x : i + y], blocks.setdefault(int(b[x]), {}))
     for block, held in blocks.items():
-        rows = list(held.values())
+        rows = list(held.items())
         for i in range(0, len(rows), 50_000):
             part = rows[i : i + 50_000]
-            yield pa.record_batch([pa.array([block] * len(part), pa.int32()), pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], names=["block", "word", "n"])
+            keys = np.array([k for k, _ in part], np.uint64).view(np.int64)
+            yield pa.record_batch([pa.array([block] * len(part), pa.int32()), pa.array(keys), pa.array([w for _, (w, _) in part], pa.binary()), pa.array([n for _, (_, n) in part], pa.int64())], names=["block", "key", "word", "n"])
+
+
+def _grams(data: np.ndarray, offs: np.ndarray, most: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashes of the runs of 1 to ``most`` symbols (words and end of text) that end at each symbol of some texts, each symbol's place in its text, and the texts' first symbols (one more entry at the end). A run that would begin before its text has no meaning."""
+    h, _, _, first = tk.word_hashes(data, offs)
+    n = np.diff(first)
+    begins = first + np.arange(len(first))
+    seq = np.full(len(h) + len(n), _STOP, np.uint64)
+    seq[np.arange(len(h)) + np.repeat(np.arange(len(n)), n)] = h
+    place = np.arange(len(seq)) - np.repeat(begins[:-1], n + 1)
+    out = [seq]
+    for _ in range(most - 1):
+        run = seq.copy()
+        run[1:] = tk.mix(out[-1][:-1] * tk.U(tk._BASE) + seq[1:])
+        out.append(run)
+    return [x.view(np.int64) for x in out], place, begins
+
+
+def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each wanted key its index in the sorted ``keys``, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def _summed(key: np.ndarray, n: np.ndarray, *rest: np.ndarray) -> tuple[np.ndarray, ...]:
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[new], np.add.reduceat(n[order], new) if len(key) else n, *(x[order][new] for x in rest)
+
+
+def _after(length: int):
+    """Counts a block's symbols after its frequent contexts of ``length`` words. Those of held-out texts count 0, as they need only be looked up."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        live = np.sort(left.column("key").to_numpy())
+        held: list = []
+        for batch in right.to_batches():
+            data, offs = tk.column(batch.column(batch.schema.get_field_index("text")))
+            train = batch.column(batch.schema.get_field_index("train")).to_numpy(zero_copy_only=False)
+            for i, j in tk.slices(offs):
+                runs, place, begins = _grams(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], length + 1)
+                at = np.flatnonzero(place >= length)
+                at = at[_found(live, runs[length - 1][at - 1])[1]]
+                n = np.repeat(train[i:j], np.diff(begins))[at].astype(np.int64)
+                shorter = runs[length - 2][at - 1] if length > 1 else np.zeros(len(at), np.int64)
+                held.append(_summed(runs[length][at], n, runs[length - 1][at - 1], runs[length - 1][at], shorter))
+        key, n, ctx, up, shorter = _summed(*(np.concatenate(x) for x in zip(*held))) if held else [np.zeros(0, np.int64)] * 5
+        block = right.column("block")[0].as_py() if len(right) else 0
+        return pa.table({"block": np.full(len(key), block, np.int32), "key": key, "n": n, "ctx": ctx, "up": up, "shorter": shorter})
+
+    return run
+
+
+def word_contexts(by_block: DataFrame, words: DataFrame, dealt: DataFrame, n_train: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """For each length of context: the states (ctx, total, k), and for each block, what its texts look up.
+
+    ``by_block`` has (block, key), ``words`` (key, n) of the corpus, ``dealt`` (block, train, text)."""
+    here, counts, levels = by_block.select("block", "key"), words.select("key", "n"), []
+    above = None  # contexts of the length before, with their totals
+    for length in range(1, WORDS + 1):
+        live = here.join(counts.where(F.col("n") >= LEAST_COUNT).select("key"), "key")
+        pairs = written(live.groupBy("block").cogroup(dealt.groupBy("block")).applyInArrow(_after(length), "block int, key long, n long, ctx long, up long, shorter long"))
+        own = written(pairs.groupBy("key").agg(F.sum("n").alias("n"), *(F.max(c).alias(c) for c in ("ctx", "up", "shorter"))).where("n > 0"))
+        stat = written(own.groupBy("ctx").agg(F.max("shorter").alias("shorter"), F.sum("n").alias("total"), F.count("*").alias("k"), F.count_if(F.col("n") == 1).alias("once")))
+        # a symbol seen once after the context tells nothing when it is left out
+        often = own.where("n > 1").select("ctx", "up", "n").join(counts.select(F.col("key").alias("up"), F.col("n").alias("n_up")), "up").join(stat, "ctx")
+        if above is None:
+            often = often.withColumn("total_up", F.lit(n_train))
+        else:
+            often = often.join(above.select(F.col("ctx").alias("shorter"), F.col("total").alias("total_up")), "shorter")
+        miss = F.log(F.col("k") / (F.col("total") - 1 + F.col("k")))
+        hit = F.log(((F.col("n") - 1) * F.col("total_up") / F.col("n_up") + F.col("k")) / (F.col("total") - 1 + F.col("k")))
+        gain = F.sum(F.col("n") * hit).alias("gain")
+        telling = often.groupBy("ctx", "total", "k", "once").agg(gain).where(F.col("gain") + F.col("once") * miss > DIVERGENCE)
+        levels.append((here, pairs, own, stat, written(telling.select("ctx"))))
+        here, counts, above = pairs.select("block", "key"), own, stat
+    wanted, states, looked_up = None, [], []
+    for before, pairs, own, stat, telling in reversed(levels):
+        kept = telling
+        kept = (kept if wanted is None else kept.union(wanted)).distinct()
+        state = written(stat.join(kept, "ctx").select("ctx", "total", "k"))
+        states.insert(0, state)
+        length = len(levels) - len(states) + 1
+        if length > 1:  # a state's suffixes are states
+            wanted = stat.join(kept, "ctx").select(F.col("shorter").alias("ctx"))
+        none = F.lit(None).cast("double").alias("score")
+        looked_up += [
+            before.join(state.withColumnRenamed("ctx", "key"), "key").select("block", F.lit(2 * length - 1).alias("kind"), "key", F.col("total").alias("n"), "k", none),
+            pairs.select("block", "key").join(own.select("key", "n"), "key").select("block", F.lit(2 * length).alias("kind"), "key", "n", F.lit(0).cast("long").alias("k"), none),
+        ]
+    return states, looked_up
 
 
 def _symbols(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +246,21 @@ def tree(words: DataFrame, n_texts: int) -> DataFrame:
     telling = parent.join(above, ["up", "sym"]).groupBy("ctx").agg(gain.alias("gain"), F.count("*").alias("k")).where(F.col("gain") > DIVERGENCE * (1 + F.col("k") / 8))
     suffixes = F.array(*(F.col("ctx").bitwiseAND(F.lit((1 << 8 * d) - 1)) for d in range(DEPTH + 1)))
     states = telling.select(F.explode(suffixes).alias("ctx")).union(spark.createDataFrame([(0,)], "ctx long")).distinct()
-    return frequent.join(states, "ctx").where((F.col("n") >= floor / 16) | (F.col("ctx") == 0)).select("ctx", "sym", "n", "total")
+    return written(frequent.join(states, "ctx").where((F.col("n") >= floor / 16) | (F.col("ctx") == 0)).select("ctx", "sym", "n", "total"))
+
+
+def _part_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct byte contexts of the words of each part."""
+    for batch in batches:
+        part = batch.column(0).to_numpy()
+        for x in np.unique(part):
+            sym, o = _symbols(batch.column(1).filter(pa.array(part == x)))
+            ctx = np.unique(np.concatenate(_contexts(sym, o, DEPTH)[1]))
+            yield pa.record_batch([pa.array(np.full(len(ctx), x, np.int32)), pa.array(ctx)], names=["part", "ctx"])
+
+
+def _offsets(lists: pa.ChunkedArray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
 
 
 def depth_sql() -> str:
@@ -221,53 +332,85 @@ def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n_blocks)).cast("int"))
     dealt = rows.repartition(n_blocks, "block")
     train = (~F.col("held_out")).alias("train")
-    by_block = written(dealt.select("block", train, "text").mapInArrow(_block_words, "block int, word binary, n long"))
-    words = written(by_block.groupBy("word").agg(F.sum("n").alias("n")))
-    n_words, v_words = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    by_block = written(dealt.select("block", train, "text").mapInArrow(_block_words, "block int, key long, word binary, n long"))
+    words = written(by_block.groupBy("key", "word").agg(F.sum("n").alias("n")))
+    n_words, v_words, v_all = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0), F.count("*")).first()
     n_train, v_train = int(n_words) + texts, int(v_words) + (texts > 0)
-    model = tree(words, texts).toPandas()  # bounded, see above
-    sent = spark.sparkContext.broadcast([model[c].to_numpy() for c in ("ctx", "sym", "n", "total")])
+    # the end of a text is a symbol after contexts
+    ends = spark.createDataFrame([(int(_STOP.view(np.int64)), texts)], "key long, n long")
+    _, looked_up = word_contexts(by_block, words.select("key", "n").union(ends), dealt.select("block", train, "text"), n_train)
+    spelling = tree(words.select("word", "n"), texts)
+    # the root and the blank, which every word needs: a row a byte
+    few = spelling.where(F.col("ctx").isin(0, _BLANK)).toPandas()
+    end_log10 = Tree(*(few[c].to_numpy() for c in ("ctx", "sym", "n", "total"))).end()
 
     def mixed(n, tree_log10):
-        """Whole tokens are the deepest states: their counts, smoothed with the tree's probability, weigh as many as there are different tokens (Witten-Bell)."""
+        """Counts, smoothed with the spelling's probability, which weighs as many as there are different tokens (Witten-Bell)."""
         return np.log10((n + max(v_train, 1) * 10.0**tree_log10) / (n_train + max(v_train, 1)))
 
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Tree(*sent.value)
-        for batch in batches:
-            for k in range(0, len(batch), 20_000):
-                part = batch.slice(k, 20_000)
-                n, spelled = part.column(1).to_numpy(), own.words(part.column(0))
-                # a word of thousands of bytes is below the least double: there the counts are nil and logs add
-                far = spelled < -250
-                score = np.where(far, spelled + np.log10(max(v_train, 1) / (n_train + max(v_train, 1))), mixed(n, np.maximum(spelled, -250)))
-                score = np.where(far & (n > 0), np.log10(np.maximum(n, 1) / (n_train + max(v_train, 1))), score)
-                yield pa.record_batch([part.column(0), part.column(1), pa.array(score, pa.float64())], names=["word", "n", "score"])
-
-    rated = words.mapInArrow(rate, "word binary, n long, score double")
-    back = by_block.select("block", "word").join(rated, "word")
+    def rate(left: pa.Table, right: pa.Table) -> pa.Table:
+        at = np.repeat(np.arange(len(left)), np.diff(_offsets(left.column("nexts"))))
+        nexts = left.column("nexts").combine_chunks().flatten()
+        own = Tree(left.column("ctx").to_numpy()[at], nexts.field("sym").to_numpy(), nexts.field("n").to_numpy(), left.column("total").to_numpy()[at])
+        out = []
+        for k in range(0, len(right), 20_000):
+            part = right.slice(k, 20_000)
+            n, spelled = part.column("n").to_numpy(), own.words(part.column("word"))
+            # a word of thousands of bytes is below the least double: there the counts are nil and logs add
+            far = spelled < -250
+            score = np.where(far, spelled + np.log10(max(v_train, 1) / (n_train + max(v_train, 1))), mixed(n, np.maximum(spelled, -250)))
+            out.append(np.where(far & (n > 0), np.log10(np.maximum(n, 1) / (n_train + max(v_train, 1))), score))
+        return pa.table({"key": right.column("key"), "n": right.column("n"), "score": np.concatenate(out) if out else np.zeros(0)})
+
+    n_parts = max(1, -(-int(v_all) // PART_WORDS))
+    parts = words.withColumn("part", F.pmod("key", F.lit(n_parts)).cast("int")).repartition(n_parts, "part")
+    nexts = spelling.groupBy("ctx").agg(F.max("total").alias("total"), F.collect_list(F.struct("sym", "n")).alias("nexts"))  # at most 256 each
+    needed = parts.select("part", "word").mapInArrow(_part_contexts, "part int, ctx long").distinct().join(nexts, "ctx")
+    rated = needed.groupBy("part").cogroup(parts.groupBy("part")).applyInArrow(rate, "key long, n long, score double")
+    back = by_block.select("block", "key").join(rated, "key").select("block", F.lit(0).alias("kind"), "key", "n", F.lit(0).cast("long").alias("k"), "score")
+    for rows_of in looked_up:
+        back = back.unionByName(rows_of)
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = Tree(*sent.value)
-        data, offs = tk.column(left.column("word"))
-        h = tk.span_hashes(data, offs[:-1], offs[1:])
-        order = np.argsort(h)
-        h, n, score = h[order], left.column("n").to_numpy()[order], left.column("score").to_numpy()[order]
-        base = np.log10((n + 1) / (n_train + v_train + 1))
+        kind = left.column("kind").to_numpy()
+        tables = []
+        for x in range(2 * WORDS + 1):
+            own = left.filter(pa.array(kind == x))
+            order = np.argsort(own.column("key").to_numpy())
+            tables.append([own.column(c).to_numpy()[order] for c in ("key", "n", "k", "score")])
         end_base = float(np.log10((texts + 1) / (n_train + v_train + 1)))
+        end_score = float(mixed(texts, end_log10))
         out = [np.zeros(len(right)) for _ in range(4)]
         at = 0
         for chunk in right.column("text").chunks:
             data, offs = tk.column(chunk)
             for i, j in tk.slices(offs):
-                wh, _, _, first = tk.word_hashes(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                k = np.searchsorted(h, wh)
-                sums = [np.diff(np.concatenate([[0], np.cumsum(x[k])])[first]) if len(wh) else np.zeros(j - i) for x in (n > 0, base, score)] if len(h) else [np.zeros(j - i)] * 3
-                for o, x in zip(out, (np.diff(first) + 1, sums[0] + (texts > 0), sums[1] + end_base, sums[2] + float(mixed(texts, own.end())))):
+                runs, place, begins = _grams(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], WORDS + 1)
+                key, n, _, score = tables[0]
+                k, known = _found(key, runs[0])
+                end = np.zeros(len(place), bool)
+                end[begins[1:] - 1] = True
+                n, p = (np.where(known & ~end, x[k], y) if len(key) else np.full(len(place), y) for x, y in ((n, texts), (score, end_score)))
+                base = np.where(end, end_base, np.log10((n + 1) / (n_train + v_train + 1)))
+                for d in range(1, WORDS + 1):  # from the shortest context to the longest
+                    here = np.flatnonzero(place >= d)
+                    c, state = _found(tables[2 * d - 1][0], runs[d - 1][here - 1])
+                    here, c = here[state], c[state]
+                    if not len(here):
+                        continue
+                    g, seen = _found(tables[2 * d][0], runs[d][here])
+                    times = np.where(seen, tables[2 * d][1][g], 0) if len(tables[2 * d][0]) else np.zeros(len(here))
+                    total, kinds = tables[2 * d - 1][1][c], tables[2 * d - 1][2][c]
+                    lower = p[here]
+                    with np.errstate(divide="ignore"):
+                        p[here] = np.where(times > 0, np.log10((times + kinds * 10.0 ** np.maximum(lower, -300)) / (total + kinds)), lower + np.log10(kinds / (total + kinds)))
+                sums = [np.diff(np.concatenate([[0], np.cumsum(x)])[begins]) for x in (n > 0, base, p)]
+                for o, x in zip(out, (np.diff(begins), *sums)):
                     o[at : at + j - i] = x
                 at += j - i
         return pa.table(
             {"doc_id": right.column("doc_id"), "held_out": right.column("held_out"), "n_tokens": out[0].astype(np.int64), "n_known": out[1].astype(np.int64), "train_tokens": np.full(len(right), n_train, np.int64), "base_score": out[2], "score": out[3]}
         )
 
+    # a block of texts without words has no rows to look up
     return back.groupBy("block").cogroup(dealt.groupBy("block")).applyInArrow(judge, _SCORES)

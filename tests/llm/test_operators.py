@@ -223,6 +223,50 @@ def test_suffix_tree(docs):
     assert all(r.score < 0 for r in out)
 
 
+def test_suffix_tree_of_words(spark, monkeypatch):
+    """Contexts of words before, over all training tokens, against plain counting."""
+    r = random.Random(3)
+    letters = "abcdefgh"
+    texts = ["", *letters]
+    for _ in range(150):
+        w = [r.choice(letters) for _ in range(2)]
+        while len(w) < 30:  # a word that depends on the two before, or chance
+            w.append(letters[(letters.index(w[-1]) * 3 + letters.index(w[-2])) % 8] if r.random() < 0.7 else r.choice(letters))
+        texts.append(" ".join(w))
+    texts += [" ".join(reversed(t.split())) for t in texts[-5:]]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tree_scores = {x.doc_id: x.score for x in suffix_tree.scores(table, block_bytes=1500).collect()}
+    monkeypatch.setattr(suffix_tree, "WORDS", 0)
+    flat = {x.doc_id: x.score for x in suffix_tree.scores(table).collect()}
+    root = {"": flat[0]} | {w: flat[i + 1] - flat[0] for i, w in enumerate(letters)}  # "" ends a text
+    counts = collections.defaultdict(collections.Counter)
+    for i, t in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            w = [*t.split(), ""]
+            for j in range(len(w)):
+                for d in range(min(j, 2) + 1):
+                    counts[tuple(w[j - d : j])][w[j]] += 1
+
+    def gain(c):
+        up, n, k = counts[c[1:]], counts[c].total(), len(counts[c])
+        return sum(x * math.log(((x - 1) * up.total() / up[y] + k) / (n - 1 + k)) for y, x in counts[c].items())
+
+    kept = {c for c in counts if c and counts[c].total() >= suffix_tree.LEAST_COUNT and gain(c) > suffix_tree.DIVERGENCE}
+    assert any(len(c) == 2 for c in kept)
+    kept |= {c[1:] for c in kept if len(c) == 2}
+
+    def log10(before, y):
+        p = 10 ** root[y]
+        for d in range(1, min(len(before), 2) + 1):
+            if (c := tuple(before[-d:])) in kept:
+                p = (counts[c][y] + len(counts[c]) * p) / (counts[c].total() + len(counts[c]))
+        return math.log10(p)
+
+    for i, t in enumerate(texts):
+        w = [*t.split(), ""]
+        assert math.isclose(tree_scores[i], sum(log10(w[:j], w[j]) for j in range(len(w))), rel_tol=1e-9)
+
+
 def test_context_counts():
     """Against plain counting: every distinct word once, contexts back to the blank before it."""
     vocabulary = [b"abab", b"a", "\u00e9t\u00e9".encode(), b"abcdefgh"]
