@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 from .store import written
 
-DEPTH, WORDS, LEAST_SHARE, LEAST_COUNT, DIVERGENCE, SMOOTH = 6, 2, 2e-6, 20, 12.0, 4.0
+DEPTH, WORDS, LEAST_COUNT, DIVERGENCE, SMOOTH = 6, 2, 20, 12.0, 4.0
 BLOCK_BYTES, PART_WORDS = 24 << 20, 400_000
 FOLDS, HELD_OUT = 7, 2
 _COUNTS = "ctx long, sym int, n long"
@@ -237,16 +237,14 @@ def tree(words: DataFrame, n_texts: int) -> DataFrame:
     counts = words.where("n > 0").mapInArrow(_context_counts, _COUNTS).union(ends).where("n > 0")
     counts = written(counts.groupBy("ctx", "sym").agg(F.sum("n").alias("n")))
     totals = counts.groupBy("ctx").agg(F.sum("n").alias("total"))
-    all_symbols = counts.where("ctx = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    floor = max(LEAST_COUNT, LEAST_SHARE * all_symbols)
-    frequent = written(counts.join(totals.where(F.col("total") >= floor), "ctx"))
+    frequent = written(counts.join(totals.where((F.col("total") >= LEAST_COUNT) | (F.col("ctx") == 0)), "ctx"))
     parent = frequent.where("ctx <> 0").withColumn("up", F.col("ctx").bitwiseAND(F.expr(f"shiftleft(1L, 8 * (({depth_sql()}) - 1)) - 1")))
     above = frequent.select(F.col("ctx").alias("up"), "sym", F.col("n").alias("n_up"), F.col("total").alias("total_up"))
     gain = F.sum(F.col("n") * F.log((F.col("n") / F.col("total")) / (F.col("n_up") / F.col("total_up"))))
     telling = parent.join(above, ["up", "sym"]).groupBy("ctx").agg(gain.alias("gain"), F.count("*").alias("k")).where(F.col("gain") > DIVERGENCE * (1 + F.col("k") / 8))
     suffixes = F.array(*(F.col("ctx").bitwiseAND(F.lit((1 << 8 * d) - 1)) for d in range(DEPTH + 1)))
     states = telling.select(F.explode(suffixes).alias("ctx")).union(spark.createDataFrame([(0,)], "ctx long")).distinct()
-    return written(frequent.join(states, "ctx").where((F.col("n") >= floor / 16) | (F.col("ctx") == 0)).select("ctx", "sym", "n", "total"))
+    return written(frequent.join(states, "ctx").select("ctx", "sym", "n", "total"))
 
 
 def _part_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

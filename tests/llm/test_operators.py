@@ -281,6 +281,17 @@ def test_context_counts():
     assert got == dict(want)
 
 
+def test_tree_keeps_what_has_the_evidence(spark):
+    """A context's least count and its symbols don't depend on the size of the corpus around it."""
+    few = [("q" + "xyz"[i % 3] + "w" * (i + 1), 1) for i in range(24)] + [("qa", 1)]
+    many = [(a + b + c + d, 1) for a in "abcdefg" for b in "hijklmno" for c in "rstuv" for d in "abcdefg"]
+    states = []
+    for rows in (few, few + many):
+        t = suffix_tree.tree(spark.createDataFrame([(w.encode(), n) for w, n in rows], "word binary, n long"), 1)
+        states.append({(x.ctx, x.sym): x.n for x in t.collect()})
+    assert all(state[ord("q"), ord(x)] == n for state in states for x, n in zip("xyza", (8, 8, 8, 1)))
+
+
 def test_tree_is_a_distribution():
     r = np.random.default_rng(2)
     ctx, sym, n = [0] * 6, list(range(97, 103)), r.integers(1, 50, 6).tolist()
