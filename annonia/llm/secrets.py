@@ -1,8 +1,10 @@
 """Secret scan through nested encodings.
 
 A worklist starts with the text itself. Each layer is scanned with the base rules, then
-every token that holds URL escapes, Unicode escapes or base64 (also of gzip, zlib or bz2
-data) is unwrapped into a new layer that knows, for each of its characters, the span of
+its URL escapes and its Unicode escapes are decoded, in the whole layer (a key and its value may be
+parted by plain blanks) and in each token alone (where a match in plain text before it can't take part
+of it). Base64, in a line or wrapped over lines, also of gzip, zlib or bz2 data with all its members, is unwrapped
+too. Each gives a new layer that knows, for each of its characters, the span of
 the original text it stands for. A layer seen before with the same place is not taken up
 again, so cycles end; the list runs dry at the fixpoint.
 
@@ -40,6 +42,8 @@ _TOKEN = re.compile(r"\S+")
 _PERCENT = re.compile(r"%([0-9A-Fa-f]{2})")
 _UNICODE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 _TEXTUAL = re.compile(r"[\t\n\r\x20-\x7e -\U0010ffff]*")
 
 Span = tuple[int, int, int]
@@ -128,24 +132,29 @@ class Oversized(Exception):
     """An unpacked layer would exceed the memory bound."""
 
 
-def _unpacked(raw: bytes, most: int) -> bytes | None:
-    """The content of gzip, zlib or bz2 data; None if it is none of these."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] * 256 + raw[1]) % 31 == 0):
-            unpacker = zlib.decompressobj(47)
-            got = unpacker.decompress(raw, most + 1)
-            whole = unpacker.eof
-        elif raw[:3] == b"BZh":
-            two = bz2.BZ2Decompressor()
-            got = two.decompress(raw, most + 1)
-            whole = two.eof
+def _unpacked(raw: bytes, most: int) -> tuple[bytes, int] | None:
+    """The content of gzip, zlib or bz2 data, of all members, and the number of bytes these take; None if it is none of these."""
+    got, rest = b"", raw
+    while rest:
+        if rest[:2] == b"\x1f\x8b" or (rest[:1] == b"\x78" and len(rest) > 1 and (rest[0] * 256 + rest[1]) % 31 == 0):
+            member = zlib.decompressobj(47)
+        elif rest[:3] == b"BZh":
+            member = bz2.BZ2Decompressor()
         else:
-            return None
-    except (zlib.error, OSError, ValueError, EOFError):
-        return None
-    if len(got) > most:
-        raise Oversized
-    return got if whole or got else None
+            break
+        try:
+            more = member.decompress(rest, most + 1 - len(got))
+        except (zlib.error, OSError, ValueError, EOFError):
+            break
+        got += more
+        if len(got) > most:
+            raise Oversized
+        if not member.eof:
+            return (got, len(raw)) if got else None
+        rest = member.unused_data
+        if rest[:1] == b"\0":  # padding between members
+            rest = rest.lstrip(b"\0")
+    return (got, len(raw) - len(rest)) if len(rest) < len(raw) else None
 
 
 def _textual(raw: bytes) -> str | None:
@@ -156,16 +165,78 @@ def _textual(raw: bytes) -> str | None:
     return got if got and _TEXTUAL.fullmatch(got) else None
 
 
+def _decoded(digits: str) -> bytes:
+    digits = digits[: len(digits) - (len(digits) % 4 == 1)]
+    return base64.b64decode(digits.replace("-", "+").replace("_", "/") + "=" * (-len(digits) % 4))
+
+
+def _leading(raw: bytes) -> str:
+    """The longest start of ``raw`` that is text."""
+    try:
+        got = raw.decode()
+    except UnicodeDecodeError as e:
+        got = raw[: e.start].decode()
+    return _TEXTUAL.match(got)[0]
+
+
+def _joined_lines(source: _Layer | None, text: str, most: int) -> Iterator[_Layer | None]:
+    """The layers of base64 that goes over line breaks; None for one that is too large.
+
+    Lines of base64 don't get shorter before the last. A word on the line before looks like base64, too, so each line may be the first one,
+    and what follows the last is cut off where it is no text."""
+    for m in _WRAPPED.finditer(text):
+        lines = [(x.start(), x.end()) for x in _LINE.finditer(text, m.start(), m.end())]
+        i = 0
+        while i < len(lines) - 1:
+            j = i + 1
+            while j < len(lines) - 1 and lines[j][1] - lines[j][0] >= lines[j - 1][1] - lines[j - 1][0]:
+                j += 1
+            first, i, mine = lines[i][1] - lines[i][0], i + 1, lines[i : j + 1]
+            if max(b - a for a, b in mine) < 16:
+                continue
+            # enough of the first line tells whether it is worth joining
+            head = _decoded(text[mine[0][0] : mine[0][1]][: 64 if first >= 64 else first // 4 * 4])
+            if not head or not (head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" or head[:3] == b"BZh" or len(_leading(head)) > 0):
+                continue
+            raw = _decoded("".join(text[a:b] for a, b in mine))
+            at = np.concatenate([np.arange(a, b) for a, b in mine])
+            try:
+                packed = _unpacked(raw, most)
+            except Oversized:
+                yield None
+                i = j + 1
+                continue
+            if packed is not None and (got := _textual(packed[0])) is not None:
+                last = min(-(-packed[1] * 4 // 3), len(at))
+                starts, ends = np.full(len(got), at[0]), np.full(len(got), at[last - 1] + 1)
+            elif got := _leading(raw):
+                sizes = np.array([len(c.encode()) for c in got], np.int64)
+                to = np.cumsum(sizes)
+                last = min(-(-int(to[-1]) * 4 // 3), len(at))
+                starts, ends = at[(to - sizes) * 4 // 3], at[np.minimum(-(-to * 4 // 3), len(at)) - 1] + 1
+            if not got or last <= first:
+                continue
+            if layer := _mapped(source, got, starts.astype(np.int64), ends.astype(np.int64)):
+                yield layer
+            if last > len(at) - (mine[-1][1] - mine[-1][0]):
+                i = j + 1  # all lines are used
+
+
+def _escapes(source: _Layer | None, text: str, pattern: re.Pattern, decode) -> Iterator[_Layer]:
+    tokens = [t.span() for t in _TOKEN.finditer(text) if pattern.search(text, *t.span())]
+    for at, to in dict.fromkeys([(0, len(text)), *tokens]):
+        if layer := _replaced(source, text, at, to, pattern, decode):
+            yield layer
+
+
 def _unwrapped(source: _Layer | None, text: str, most: int) -> Iterator[_Layer | None]:
     """The layers directly below ``text``; None for one that is too large."""
     if "%" in text and _PERCENT.search(text):
-        for t in _TOKEN.finditer(text):
-            if _PERCENT.search(text, t.start(), t.end()):
-                yield _replaced(source, text, t.start(), t.end(), _PERCENT, _percent_run) or _Layer("", np.zeros(1, int), np.zeros(1, int))
+        yield from _escapes(source, text, _PERCENT, _percent_run)
     if "\\" in text and _UNICODE.search(text):
-        for t in _TOKEN.finditer(text):
-            if _UNICODE.search(text, t.start(), t.end()):
-                yield _replaced(source, text, t.start(), t.end(), _UNICODE, _unicode_run) or _Layer("", np.zeros(1, int), np.zeros(1, int))
+        yield from _escapes(source, text, _UNICODE, _unicode_run)
+    if "\n" in text:
+        yield from _joined_lines(source, text, most)
     for m in _BASE64.finditer(text):
         body = m[0].rstrip("=")
         if len(body) % 4 == 1:
@@ -176,7 +247,7 @@ def _unwrapped(source: _Layer | None, text: str, most: int) -> Iterator[_Layer |
         except Oversized:
             yield None
             continue
-        got = _textual(raw if packed is None else packed)
+        got = _textual(raw if packed is None else packed[0])
         if got is None:
             continue
         n = len(got)

@@ -1,6 +1,7 @@
 """The training-data operators against brute force, on small tables with awkward rows."""
 
 import base64
+import bz2
 import collections
 import gzip
 import hashlib
@@ -148,6 +149,37 @@ def test_nested_secrets(text, inner):
         assert secrets.masked(text, every).count("*") >= e - s
 
 
+def wrapped(raw, n, line="\n"):
+    digits = base64.b64encode(raw).decode()
+    return line.join(digits[i : i + n] for i in range(0, len(digits), n))
+
+
+LONG = ("note " * 8 + SECRET + " and more text after it, " * 3).encode()
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        r"a \u0022token\u0022: \u0022abcdefghijklmnop\u0022 b",
+        "x 'password%3A hunter2hunter2xyz' y",
+        "password: token%3Aabcdefghijklmnop",  # the plain key must not take the inner one's name as its value
+        *(before + wrapped(LONG, n, line) + after for n in (60, 64, 76) for line in ("\n", "\r\n", "\n  ") for before, after in (("k: ", ""), ("certificate\n", "\nthen words"))),
+        wrapped(gzip.compress(random.Random(1).randbytes(90).hex().encode() + LONG), 40) + "\nword",
+        "k " + base64.b64encode(gzip.compress(b"first ") + gzip.compress(SECRET.encode())).decode(),
+        "k " + base64.b64encode(bz2.compress(b"first ") + bz2.compress(SECRET.encode())).decode(),
+        wrapped(bz2.compress(b"first ") + bz2.compress(LONG), 40),
+    ],
+)
+def test_secrets_beyond_one_token(text):
+    """Escapes with plain blanks between key and value, wrapped base64, and all members of compressed data."""
+    base, every, _, _ = secrets.scan(text)
+    found = [(s, e) for s, k, e in every if k == 0 and (s, k, e) not in base]
+    assert found and all(0 <= s < e <= len(text) for s, e in found)
+    left = secrets.masked(text, every)
+    assert len(left) == len(text) and not [x for x in secrets.scan(left)[1] if x[1] == 0]
+    assert "then words" not in text or left.endswith("then words")
+
+
 def test_base_secrets():
     rules = [
         ("assign", re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 12),
