@@ -43,6 +43,7 @@ INPUTS = {
  concat('salaire ', CAST(20 + o_custkey % 80 AS STRING), ' 000 DA net') AS salaire_text,
  concat('il y a ', CAST(1 + o_custkey % 9 AS STRING), CASE o_custkey % 4 WHEN 0 THEN ' jours' WHEN 1 THEN ' semaines' WHEN 2 THEN ' mois' ELSE ' ans' END) AS quand
  FROM {orders}""",
+    "engines": """SELECT o_orderkey AS row_id, o_custkey AS k, concat(CAST(1 + o_custkey % 5 AS STRING), '.6 TSI ', CAST(2020 + o_custkey % 7 AS STRING)) AS moteur_text FROM {orders}""",
     "contact_pages": """SELECT o_orderkey AS page_id, concat('https://www.example.com/p/', CAST(o_orderkey AS STRING)) AS url,
  concat('<div><a href="mailto:U', CAST(o_custkey AS STRING), '@X.ORG">m</a><a href="tel:+213 55', lpad(CAST(o_custkey % 10000000 AS STRING), 7, '0'), '">t</a>',
  CASE o_custkey % 3 WHEN 0 THEN concat('<a href="https://wa.me/21366', lpad(CAST(o_custkey % 10000000 AS STRING), 7, '0'), '">w</a>') ELSE '' END,

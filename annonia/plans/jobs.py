@@ -45,8 +45,8 @@ def normalize_real_estate(df: DataFrame) -> DataFrame:
     )
 
 
-def normalize_vehicles(df: DataFrame, as_of: Column) -> DataFrame:
-    """energie_text, boite, km_text, moteur_text -> typed columns; only importable, recent vehicles stay."""
+def normalize_vehicles(df: DataFrame, as_of: Column, years: int = 3) -> DataFrame:
+    """energie_text, boite, km_text, moteur_text -> typed columns; only importable vehicles of the last ``years`` model years stay."""
     typed = df.withColumns(
         {
             "energie": vocab.normalize_fuel(F.col("energie_text")),
@@ -56,7 +56,7 @@ def normalize_vehicles(df: DataFrame, as_of: Column) -> DataFrame:
             "cylindree": money.extract_engine_size(F.col("moteur_text")),
         }
     )
-    return rows.recent_vehicles(rows.importable_vehicles(typed), as_of, years=10)
+    return rows.recent_vehicles(rows.importable_vehicles(typed), as_of, years)
 
 
 def normalize_jobs(df: DataFrame, as_of: Column) -> DataFrame:

@@ -463,10 +463,21 @@ def conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = frame(spark, sf_dir, "words").join(frame(spark, sf_dir, "listings_raw").select("row_id", "energie_text"), "row_id")
-    out = jobs.normalize_vehicles(raw, _as_of())
+    out = jobs.normalize_vehicles(raw, _as_of(), years=10)  # as its SQL says; the job's own rule is in recent_vehicles
     return out.where(rows.is_complete(["annee", "km"])).select("row_id", "annee", "km")
 
 
+# I6, M4: model years on both sides of the reference's three years
+@query(
+    f"""SELECT row_id, CAST(regexp_extract(moteur_text, '(20\\d\\d)', 1) AS INTEGER) AS annee FROM engines
+ WHERE k % 9 <> 2 AND CAST(regexp_extract(moteur_text, '(20\\d\\d)', 1) AS INTEGER) >= {int(AS_OF[:4]) - 3} AND NOT (k % 9 IN (0, 1) AND CAST(regexp_extract(moteur_text, '(\\d\\.\\d)', 1) AS DOUBLE) > 1.8)""",
+    "engines",
+)
+def recent_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = frame(spark, sf_dir, "words").drop("moteur_text", "k").join(frame(spark, sf_dir, "engines"), "row_id").join(frame(spark, sf_dir, "listings_raw").select("row_id", "energie_text"), "row_id")
+    return jobs.normalize_vehicles(raw, _as_of()).select("row_id", "annee")
+
+
 # M3
 @query(
     f"""SELECT row_id, {_BIEN} AS bien, {_TRANSACTION} AS transaction, CAST(regexp_extract(lot_text, 'F(\\d+)', 1) AS INTEGER) AS nb_pieces, CAST(regexp_extract(lot_text, '(\\d+) m2', 1) AS DOUBLE) AS superficie FROM words WHERE titre <> ''""",

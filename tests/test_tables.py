@@ -88,3 +88,11 @@ def test_parse_pages(spark):
     p = html.parse_pages(df).select("*", html.spec_map(F.col("pairs")).alias("m"), html.extract_text(F.col("elements"), "p", "b").alias("t")).orderBy("page_id").collect()
     assert (p[0].title, p[0].links, p[0].images, p[0].m, p[0].t) == ("T", ["/l"], ["i.png"], {"Prix": "6", "Km": "7"}, "x y")
     assert (p[1].title, p[1].links, p[2].m, p[2].t) == ("", [], {}, "")
+
+
+def test_vehicles_of_three_model_years(spark):
+    from annonia.plans import jobs
+
+    cars = spark.createDataFrame([(y, "Essence", "MT", "10 000 km", f"1.6 TSI {y}") for y in range(2014, 2027)], "id int, energie_text string, boite string, km_text string, moteur_text string")
+    kept = jobs.normalize_vehicles(cars, F.lit("2026-01-15").cast("date"))
+    assert sorted(r.id for r in kept.collect()) == [2023, 2024, 2025, 2026]
