@@ -26,7 +26,6 @@ from .store import written
 
 #: (host, path, verdict); a rule fits its host and all subdomains and paths that start with its own.
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
-LONGEST = 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -66,7 +65,7 @@ def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best: list[tuple[float, int]] = [(0.0, 0)]
             for end in range(1, len(label) + 1):
                 choices = []
-                for begin in range(max(0, end - LONGEST), end):
+                for begin in range(end):
                     piece = label[begin:end]
                     # an unknown piece: as if seen once, ten times rarer with each letter
                     c = cost.get(piece, math.log(total + 1) + len(piece) * math.log(10))
@@ -83,13 +82,13 @@ def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def segment(labels: DataFrame, counts: DataFrame) -> DataFrame:
     """(label, pieces) of each distinct label by unigram Viterbi; ``counts`` has (piece, n)."""
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    total, longest = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max(F.length("piece")), F.lit(1))).first()
     length = F.length("label")
     begins = F.sequence(F.lit(1), length)
-    pieces = F.flatten(F.transform(begins, lambda b: F.transform(F.sequence(F.lit(1), F.least(F.lit(LONGEST), length - b + 1)), lambda n: F.substring(F.col("label"), b, n))))
+    pieces = F.flatten(F.transform(begins, lambda b: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), length - b + 1)), lambda n: F.substring(F.col("label"), b, n))))
     distinct = labels.where("label <> ''").distinct()
-    found = distinct.select("label", F.explode(F.array_distinct(pieces)).alias("piece")).join(counts.where("n > 1"), "piece")
-    known = found.groupBy("label").agg(F.collect_list(F.struct("piece", "n")).alias("known"))  # at most LONGEST * length entries
+    found = distinct.select("label", F.explode(F.array_distinct(pieces)).alias("piece")).join(counts, "piece")
+    known = found.groupBy("label").agg(F.collect_list(F.struct("piece", "n")).alias("known"))  # at most the square of the length
     return distinct.join(known, "label", "left").withColumn("total", F.lit(total).cast("long")).mapInArrow(_splits, "label string, pieces array<string>")
 
 
@@ -100,7 +99,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     base = base.withColumns({"rule": name, "ruled": verdict})
     text = F.concat(words_of(F.col("path")), words_of(visible(F.col("html"))))
-    counts = written(base.select(F.explode(text).alias("piece")).where(F.length("piece") <= LONGEST).groupBy("piece").agg(F.count("*").alias("n")))
+    counts = written(base.select(F.explode(text).alias("piece")).groupBy("piece").agg(F.count("*").alias("n")))
 
     # pages alike in host, path and rule are one row from here on, with their number
     urls = written(base.groupBy("host", "path", "rule", "ruled").agg(F.count("*").alias("n")))

@@ -460,6 +460,25 @@ def test_segmentation(spark):
     assert {r.label: r.pieces for r in urls.segment(labels, counts).collect()} == {"redhouse": ["red", "house"], "zzred": ["zz", "red"], "house": ["house"]}
 
 
+def test_segmentation_knows_all_words(spark):
+    """Words seen once, and words longer than twenty letters, hold together."""
+    long = "donaudampfschifffahrtsgesellschaft"
+    counts = [("red", 900), ("hat", 800), ("dampf", 700), ("schiff", 600), ("fahrt", 500), ("redhatter", 1), (long, 3)]
+    labels = spark.createDataFrame([("redhatter",), ("redhat" + long,), (long,)], "label string")
+    got = {r.label: r.pieces for r in urls.segment(labels, spark.createDataFrame(counts, "piece string, n long")).collect()}
+    assert got == {"redhatter": ["redhatter"], "redhat" + long: ["red", "hat", long], long: [long]}
+    # through judge, where the words are counted: each once in one page's text
+    pages = [(1, f"http://{long}.example.com/en/", f"<p>{long} dampf schiff dampf schiff</p>"), (2, "http://x.org/", "")]
+    seen = []
+    real = urls.segment
+    urls.segment = lambda labels, counts: seen.append({r.piece: r.n for r in counts.collect()}) or real(labels, counts)
+    try:
+        assert urls.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).count() == 2
+    finally:
+        urls.segment = real
+    assert seen[0][long] == 1
+
+
 def test_masked_spans():
     assert secrets.masked("abcdefgh", [(1, 0, 4), (2, 1, 3), (3, 2, 6)]) == "a*****gh"
     assert secrets.masked("abc", []) == "abc" and secrets.masked("abc", [(0, 0, 3)]) == "***"
