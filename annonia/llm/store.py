@@ -7,20 +7,37 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of sessions without ``spark.checkpoint.dir``, by application.
+_own: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests on one machine)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='annonia-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        _own[app] = f"file://{tempfile.mkdtemp(prefix='annonia-')}"
+    return _own[app]
+
+
+def _new_path(df: DataFrame) -> str:
+    return f"{shared_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a table written to the shared folder and read back, which cuts its lineage.
 
     Unlike a local checkpoint it survives the loss of any executor."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{uuid.uuid4().hex}"
+    path = _new_path(df)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, n: int, key: str) -> DataFrame:
+    """``df`` as a table in the shared folder with ``n`` buckets by ``key``: groups by that key need no shuffle of it."""
+    path = _new_path(df)
+    name = f"annonia_{path.rsplit('/', 1)[1]}"
+    df.write.bucketBy(n, key).option("path", path).option("compression", "zstd").saveAsTable(name)
+    return df.sparkSession.table(name)

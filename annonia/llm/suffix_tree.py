@@ -1,23 +1,25 @@
 """Language-model scores from a probabilistic suffix tree.
 
 The symbols are words, after the last the end of the text, and the contexts up to ``WORDS``
-words before. A context of the tree is one that occurs ``LEAST_COUNT`` times and that foretells the
+words before. A context is a state of the tree if it occurs ``LEAST_COUNT`` times and foretells the
 training symbols, each left out once, better than its parent (the context without its first word) by
-more than chance allows; with it go all its suffixes. A context's distribution is smoothed
-with its parent's (Witten-Bell), the root's with the probability of a word's spelling, so words
+more than ``DIVERGENCE`` nats. A state's distribution is smoothed with that of its longest suffix that is
+a state (Witten-Bell), the root's with the probability of a word's spelling, so words
 never seen are still told apart. A symbol is scored in the longest suffix that is a state.
 
 Spelling is a second tree over bytes: each word as a blank, its bytes, and a blank. Its contexts go back to the
 blank before the word and up to ``DEPTH``, and are kept by the divergence of their next-byte
-distribution. It is counted over the distinct training words, each once: it spells what the words' own
-counts don't tell, and new words are more like the many rare words than like the few frequent ones.
+distribution. It is counted over the distinct training words, each once, and asked for unseen words only.
 
-Counts of words and of words after contexts cover all training texts. Documents stand in blocks of about
-``BLOCK_BYTES``; a block lists its distinct words and its distinct pairs of context and word,
-these meet the corpus's counts and contexts in joins, and come back to the block's texts. A
-context can't occur more often than its parts, so the pairs of a length are counted only
-after contexts that the length before has shown to be frequent. Distinct words meet the byte contexts in a
-join, too. Neither the vocabulary nor a tree is broadcast or collected.
+Documents stand in blocks of about ``BLOCK_BYTES``, written once as a bucketed table, so that what comes back
+to a block meets its texts without another shuffle. Runs of one word up to ``WORDS`` + 1 are counted over all
+training texts by messages: a block sends the sorted fingerprints of its distinct runs, cut into ranges, and each range
+adds up what all blocks sent and answers in the same order. A frequent run is one entry a block. Each run has one block
+as its owner; owners add up the gain of each context over the runs they own, and the ranges sum these to the
+whole gain. Neither the vocabulary nor a tree is broadcast or collected.
+
+Words are told apart by 64 bits. Longer runs have as many bits as the corpus has bytes to number, and 18 more: fewer than one
+run in two million shares its count with another.
 
 Input: ``doc_id``, ``text``. Null and empty texts have the end alone as token; a null doc_id counts
 as the text 'null' and trains; repeated rows count each time; an empty table gives no rows; other
@@ -34,148 +36,246 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .store import written
+from .store import bucketed, written
 
-DEPTH, WORDS, LEAST_COUNT, DIVERGENCE, SMOOTH = 6, 2, 20, 12.0, 4.0
+DEPTH, WORDS, LEAST_COUNT, DIVERGENCE, SMOOTH = 4, 2, 2, 3.0, 4.0
 BLOCK_BYTES, PART_WORDS = 24 << 20, 400_000
 FOLDS, HELD_OUT = 7, 2
+#: Gains are added as whole numbers of this part of a nat, so that sums don't depend on their order.
+NAT = 256
 _COUNTS = "ctx long, sym int, n long"
-_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+_SENT = "kind int, part long, block int, keys binary, n binary, more binary"
+_ANSWER = "block int, kind int, part long, data binary"
+_COUNTED = _ANSWER + ", key long, word binary, n long, blocks array<int>"
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, unknown_score double"
 _BLANK, _END = 0x20, 0x0A
 _STOP = tk.mix(np.array([_END], np.uint64))[0]  # the end of a text among the words' hashes
+_SPELLED = 0  # kind of the answers that hold an unseen word's spelling; the others are 1 + 2 * length (counts) and 2 + 2 * length (states)
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % FOLDS == HELD_OUT
 
 
-def _distinct(data: np.ndarray, offs: np.ndarray, train: np.ndarray, held: dict) -> None:
-    """Add the words of some texts to ``held``: hash -> [word, training count]."""
-    low = tk.LOWER[data]
-    h, starts, ends, first = tk.word_hashes(data, offs)
-    _, at, inv = np.unique(h, return_index=True, return_inverse=True)
-    count = np.bincount(inv, weights=np.repeat(train, np.diff(first)).astype(float), minlength=len(at)).astype(np.int64)
-    raw = low.tobytes()
-    for k, a, b, n in zip(h[at].tolist(), starts[at].tolist(), ends[at].tolist(), count.tolist()):
-        got = held.get(k)
-        if got is None:
-            held[k] = [raw[a:b], n]
-        else:
-            got[1] += n
-
-
-def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct words of each block among the partition's rows."""
-    blocks: dict[int, dict] = {}
-    for batch in batches:
-        block, train = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
-        data, offs = tk.column(batch.column(2))
-        for i, j in tk.slices(offs):
-            b = block[i:j]
-            cuts = [0, *(np.flatnonzero(b[1:] != b[:-1]) + 1), j - i]
-            for x, y in zip(cuts, cuts[1:]):
-                o = offs[i + x : i + y + 1]
-                _distinct(data[o[0] : o[-1]], o - o[0], train[i + x : i + y], blocks.setdefault(int(b[x]), {}))
-    for block, held in blocks.items():
-        rows = list(held.items())
-        for i in range(0, len(rows), 50_000):
-            part = rows[i : i + 50_000]
-            keys = np.array([k for k, _ in part], np.uint64).view(np.int64)
-            yield pa.record_batch([pa.array([block] * len(part), pa.int32()), pa.array(keys), pa.array([w for _, (w, _) in part], pa.binary()), pa.array([n for _, (_, n) in part], pa.int64())], names=["block", "key", "word", "n"])
-
-
-def _grams(data: np.ndarray, offs: np.ndarray, most: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Hashes of the runs of 1 to ``most`` symbols (words and end of text) that end at each symbol of some texts, each symbol's place in its text, and the texts' first symbols (one more entry at the end). A run that would begin before its text has no meaning."""
-    h, _, _, first = tk.word_hashes(data, offs)
-    n = np.diff(first)
-    begins = first + np.arange(len(first))
-    seq = np.full(len(h) + len(n), _STOP, np.uint64)
-    seq[np.arange(len(h)) + np.repeat(np.arange(len(n)), n)] = h
-    place = np.arange(len(seq)) - np.repeat(begins[:-1], n + 1)
-    out = [seq]
-    for _ in range(most - 1):
-        run = seq.copy()
-        run[1:] = tk.mix(out[-1][:-1] * tk.U(tk._BASE) + seq[1:])
-        out.append(run)
-    return [x.view(np.int64) for x in out], place, begins
-
-
-def _found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each wanted key its index in the sorted ``keys``, and whether it is there."""
+def pack(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 as compressed byte planes."""
+    planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    used = int(np.max(np.flatnonzero(planes.any(1)), initial=-1)) + 1
+    return len(x).to_bytes(8, "little") + bytes([used]) + (pa.compress(planes[:used].tobytes(), "zstd", asbytes=True) if used else b"")
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    n, used = int.from_bytes(raw[:8], "little"), raw[8]
+    planes = np.zeros((8, n), np.uint8)
+    if used:
+        planes[:used] = np.frombuffer(pa.decompress(raw[9:], used * n, "zstd", asbytes=True), np.uint8).reshape(used, n)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def pack_sorted(keys: np.ndarray) -> bytes:
+    """Ascending 64-bit keys by their differences; the first is apart, as it may be large."""
+    first = int(keys[0]) if len(keys) else 0
+    return first.to_bytes(8, "little") + pack(np.diff(keys))
+
+
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    steps = unpack(raw[8:])
+    out = np.empty(len(steps) + 1, np.uint64)
+    out[0] = int.from_bytes(raw[:8], "little")
+    out[1:] = steps
+    return np.cumsum(out)
+
+
+def _ranges(keys: np.ndarray, bits: int, n: int) -> Iterator[tuple[int, int, int]]:
+    """(range, from, to) of the ranges, of ``n`` of equal width, in which the sorted ``keys`` of ``bits`` bits lie."""
     if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
+        return
+    top = keys >> tk.U(bits - 32) if bits > 32 else keys << tk.U(32 - bits)
+    at = (top * tk.U(n) >> tk.U(32)).astype(np.int64)
+    new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    for i, j in zip(new.tolist(), [*new[1:].tolist(), len(keys)]):
+        yield int(at[i]), i, j
+
+
+class _Runs:
+    """The runs of 1 to ``most`` + 1 symbols of a block's texts."""
+
+    def __init__(self, table: pa.Table, bits: int, most: int):
+        seq, sizes, self.words = [], [], []
+        train = []
+        for chunk, trains in zip(table.column("text").chunks, table.column("train").chunks):
+            data, offs = tk.column(chunk)
+            for i, j in tk.slices(offs):
+                part, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
+                h, starts, ends, first = tk.word_hashes(part, o)
+                n = np.diff(first)
+                out = np.full(len(h) + len(n), _STOP, np.uint64)
+                out[np.arange(len(h)) + np.repeat(np.arange(len(n)), n)] = h
+                self.words.append((tk.LOWER[part].tobytes(), starts, ends))
+                seq.append(out)
+                sizes.append(n + 1)
+            train.append(trains.to_numpy(zero_copy_only=False))
+        seq, self.sizes = np.concatenate(seq), np.concatenate(sizes)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.train = np.repeat(np.concatenate(train), self.sizes)
+        self.place = np.arange(len(seq)) - np.repeat(self.begins, self.sizes)
+        self.keys: list[np.ndarray] = []  # sorted, distinct, by number of symbols less one
+        self.first: list[np.ndarray] = []  # where each stands first
+        self.at: list[np.ndarray] = []  # for each position the number of the run that ends there, -1 for none
+        run = seq
+        for k in range(most + 1):
+            if k:
+                longer = seq.copy()
+                longer[1:] = tk.mix(run[:-1] * tk.U(tk._BASE) + seq[1:])
+                run = longer
+            here = np.flatnonzero(self.place >= k) if k else np.arange(len(seq))
+            x = run[here] if k == 0 or bits >= 64 else run[here] >> tk.U(64 - bits)
+            keys, first, number = np.unique(x, return_index=True, return_inverse=True)
+            at = np.full(len(seq), -1, np.int32)
+            at[here] = number
+            self.keys.append(keys)
+            self.first.append(here[first])
+            self.at.append(at)
+
+    def spelled(self) -> list[bytes]:
+        """The words of the first list of keys; the end of a text is empty."""
+        where = self.first[0]
+        # positions count the ends of texts, too
+        ends_before = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        last = self.place == np.repeat(self.sizes - 1, self.sizes)
+        number = where - ends_before[where]
+        base = np.cumsum([0, *(len(s) for _, s, _ in self.words)])
+        out = []
+        for p, end, k in zip(number.tolist(), last[where].tolist(), np.searchsorted(base, number, side="right").tolist()):
+            if end:
+                out.append(b"")
+            else:
+                raw, starts, ends = self.words[k - 1]
+                p -= int(base[k - 1])
+                out.append(raw[starts[p] : ends[p]])
+        return out
+
+    def followed(self, length: int) -> np.ndarray:
+        """The runs of ``length`` symbols that something follows: all but those with the end of a text in them."""
+        ends = np.zeros(len(self.keys[length - 1]), bool)
+        here = self.at[length - 1][self.begins + self.sizes - 1]
+        ends[here[here >= 0]] = True
+        return ~ends
+
+
+def _rows(columns: list[tuple], schema: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "boolean": pa.bool_(), "double": pa.float64()}
+    fields = [x.split() for x in schema.split(", ")]
+    cols = list(zip(*columns)) or [()] * len(fields)
+    return pa.table([pa.array(c, kinds[t]) for c, (_, t) in zip(cols, fields)], names=[n for n, _ in fields])
+
+
+def _asking(bits: int, most: int, n_ranges: int):
+    """A block's messages about its runs: fingerprints, training counts, of single words also the bytes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        runs, block, out = _Runs(table, bits, most), table.column("block")[0].as_py(), []
+        for k, keys in enumerate(runs.keys):
+            at = runs.at[k]
+            here = at >= 0
+            n = np.bincount(at[here], weights=runs.train[here].astype(float), minlength=len(keys)).astype(np.int64)
+            words = runs.spelled() if k == 0 else None
+            for part, i, j in _ranges(keys, bits if k else 64, n_ranges):
+                more = None if k else pa.compress(b"\n".join(words[i:j]), "zstd", asbytes=True)
+                size = None if k else sum(map(len, words[i:j])) + j - i - 1
+                out.append((2 * k + 1, part, block, pack_sorted(keys[i:j]), pack(n[i:j]), more if k else size.to_bytes(8, "little") + more))
+        return _rows(out, _SENT)
+
+    return run
+
+
+def _messages(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """The blocks that sent, the ends of their messages, and all keys."""
+    keys = [unpack_sorted(x.as_py()) for x in table.column("keys")]
+    return table.column("block").to_pylist(), np.cumsum([0, *map(len, keys)]), np.concatenate(keys)
+
+
+def _counting(table: pa.Table) -> pa.Table:
+    """Answers each block with its runs' counts in all training texts, doubled, plus 1 where the block is the run's owner."""
+    kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
+    table = table.sort_by("block")
+    blocks, cut, keys = _messages(table)
+    sent = np.concatenate([unpack(x.as_py()) for x in table.column("n")]).astype(float)
+    distinct, first, number = np.unique(keys, return_index=True, return_inverse=True)
+    total = np.bincount(number, weights=sent).astype(np.uint64)
+    answer = total[number] * tk.U(2)
+    answer[first] += tk.U(1)
+    out = [(b, kind, part, pack(answer[i:j]), None, None, None, None) for b, i, j in zip(blocks, cut, cut[1:])]
+    if kind == 1:
+        words: list[bytes] = []
+        for x in table.column("more"):
+            raw = x.as_py()
+            words += pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True).split(b"\n")
+        unseen: dict[int, list[int]] = {}
+        for i in np.flatnonzero(total[number] == 0).tolist():
+            unseen.setdefault(int(number[i]), []).append(blocks[int(np.searchsorted(cut, i, side="right")) - 1])
+        signed = distinct.view(np.int64).tolist()
+        out += [(None, kind, part, None, signed[x], words[i], n, unseen.get(x, [])) for x, (i, n) in enumerate(zip(first.tolist(), total.tolist()))]
+    return _rows(out, _COUNTED)
+
+
+def _answers(left: pa.Table, kind: int) -> np.ndarray:
+    """What the ranges answered, in the order of the keys."""
+    own = left.filter(pc.equal(left.column("kind"), kind)).sort_by("part")
+    parts = [unpack(x.as_py()) for x in own.column("data")]
+    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)).astype(np.int64)
 
 
-def _summed(key: np.ndarray, n: np.ndarray, *rest: np.ndarray) -> tuple[np.ndarray, ...]:
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return key[new], np.add.reduceat(n[order], new) if len(key) else n, *(x[order][new] for x in rest)
+def _asked_contexts(runs: _Runs, counts: list[np.ndarray], length: int) -> np.ndarray:
+    """Which runs of ``length`` symbols the block asks about as contexts."""
+    return np.flatnonzero(runs.followed(length) & (counts[length - 1] >= LEAST_COUNT))
 
 
-def _after(length: int):
-    """Counts a block's symbols after its frequent contexts of ``length`` words. Those of held-out texts count 0, as they need only be looked up."""
+def _gaining(bits: int, most: int, n_ranges: int, n_train: int):
+    """A block's messages about its contexts: gain and number of different next symbols, over the runs that it owns."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        live = np.sort(left.column("key").to_numpy())
-        held: list = []
-        for batch in right.to_batches():
-            data, offs = tk.column(batch.column(batch.schema.get_field_index("text")))
-            train = batch.column(batch.schema.get_field_index("train")).to_numpy(zero_copy_only=False)
-            for i, j in tk.slices(offs):
-                runs, place, begins = _grams(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], length + 1)
-                at = np.flatnonzero(place >= length)
-                at = at[_found(live, runs[length - 1][at - 1])[1]]
-                n = np.repeat(train[i:j], np.diff(begins))[at].astype(np.int64)
-                shorter = runs[length - 2][at - 1] if length > 1 else np.zeros(len(at), np.int64)
-                held.append(_summed(runs[length][at], n, runs[length - 1][at - 1], runs[length - 1][at], shorter))
-        key, n, ctx, up, shorter = _summed(*(np.concatenate(x) for x in zip(*held))) if held else [np.zeros(0, np.int64)] * 5
-        block = right.column("block")[0].as_py() if len(right) else 0
-        return pa.table({"block": np.full(len(key), block, np.int32), "key": key, "n": n, "ctx": ctx, "up": up, "shorter": shorter})
+        runs, out = _Runs(right, bits, most), []
+        block = right.column("block")[0].as_py()
+        answers = [_answers(left, 2 * k + 1) for k in range(most + 1)]
+        counts = [a >> 1 for a in answers]
+        for length in range(1, most + 1):
+            own = np.flatnonzero((answers[length] & 1 == 1) & (counts[length] > 0))
+            where = runs.first[length][own]
+            context = runs.at[length - 1][where - 1]
+            total = counts[length - 1][context]
+            own, where, context, total = (x[total >= LEAST_COUNT] for x in (own, where, context, total))
+            n, n_up = counts[length][own], counts[length - 1][runs.at[length - 1][where]]
+            total_up = n_train if length == 1 else counts[length - 2][runs.at[length - 2][where - 1]]
+            gain = np.rint(NAT * left_out_gain(n, total, n_up / total_up))
+            kinds = len(runs.keys[length - 1])
+            gains, nexts = np.bincount(context, weights=gain, minlength=kinds).astype(np.int64), np.bincount(context, minlength=kinds)
+            asked = _asked_contexts(runs, counts, length)
+            keys, gains, nexts = runs.keys[length - 1][asked], gains[asked], nexts[asked]
+            folded = np.where(gains < 0, -2 * gains - 1, 2 * gains)
+            for part, i, j in _ranges(keys, bits if length > 1 else 64, n_ranges):
+                out.append((2 * length, part, block, pack_sorted(keys[i:j]), pack(folded[i:j]), pack(nexts[i:j])))
+        return _rows(out, _SENT)
 
     return run
 
 
-def word_contexts(by_block: DataFrame, words: DataFrame, dealt: DataFrame, n_train: int) -> tuple[list[DataFrame], list[DataFrame]]:
-    """For each length of context: the states (ctx, total, k), and for each block, what its texts look up.
-
-    ``by_block`` has (block, key), ``words`` (key, n) of the corpus, ``dealt`` (block, train, text)."""
-    here, counts, levels = by_block.select("block", "key"), words.select("key", "n"), []
-    above = None  # contexts of the length before, with their totals
-    for length in range(1, WORDS + 1):
-        live = here.join(counts.where(F.col("n") >= LEAST_COUNT).select("key"), "key")
-        pairs = written(live.groupBy("block").cogroup(dealt.groupBy("block")).applyInArrow(_after(length), "block int, key long, n long, ctx long, up long, shorter long"))
-        own = written(pairs.groupBy("key").agg(F.sum("n").alias("n"), *(F.max(c).alias(c) for c in ("ctx", "up", "shorter"))).where("n > 0"))
-        stat = written(own.groupBy("ctx").agg(F.max("shorter").alias("shorter"), F.sum("n").alias("total"), F.count("*").alias("k"), F.count_if(F.col("n") == 1).alias("once")))
-        # a symbol seen once after the context tells nothing when it is left out
-        often = own.where("n > 1").select("ctx", "up", "n").join(counts.select(F.col("key").alias("up"), F.col("n").alias("n_up")), "up").join(stat, "ctx")
-        if above is None:
-            often = often.withColumn("total_up", F.lit(n_train))
-        else:
-            often = often.join(above.select(F.col("ctx").alias("shorter"), F.col("total").alias("total_up")), "shorter")
-        miss = F.log(F.col("k") / (F.col("total") - 1 + F.col("k")))
-        hit = F.log(((F.col("n") - 1) * F.col("total_up") / F.col("n_up") + F.col("k")) / (F.col("total") - 1 + F.col("k")))
-        gain = F.sum(F.col("n") * hit).alias("gain")
-        telling = often.groupBy("ctx", "total", "k", "once").agg(gain).where(F.col("gain") + F.col("once") * miss > DIVERGENCE)
-        levels.append((here, pairs, own, stat, written(telling.select("ctx"))))
-        here, counts, above = pairs.select("block", "key"), own, stat
-    wanted, states, looked_up = None, [], []
-    for before, pairs, own, stat, telling in reversed(levels):
-        kept = telling
-        kept = (kept if wanted is None else kept.union(wanted)).distinct()
-        state = written(stat.join(kept, "ctx").select("ctx", "total", "k"))
-        states.insert(0, state)
-        length = len(levels) - len(states) + 1
-        if length > 1:  # a state's suffixes are states
-            wanted = stat.join(kept, "ctx").select(F.col("shorter").alias("ctx"))
-        none = F.lit(None).cast("double").alias("score")
-        looked_up += [
-            before.join(state.withColumnRenamed("ctx", "key"), "key").select("block", F.lit(2 * length - 1).alias("kind"), "key", F.col("total").alias("n"), "k", none),
-            pairs.select("block", "key").join(own.select("key", "n"), "key").select("block", F.lit(2 * length).alias("kind"), "key", "n", F.lit(0).cast("long").alias("k"), none),
-        ]
-    return states, looked_up
+def left_out_gain(n, total, up):
+    """Nats that a context gains over its parent for a symbol seen ``n`` of ``total`` times, each time left out, with the parent's probability ``up`` as one more occurrence."""
+    return n * np.log((n - 1 + up) / (total * up))
+
+
+def _judging(table: pa.Table) -> pa.Table:
+    """Answers each block with the number of next symbols of each of its contexts, 0 for those that aren't states."""
+    kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
+    blocks, cut, keys = _messages(table)
+    folded = np.concatenate([unpack(x.as_py()) for x in table.column("n")]).astype(np.int64)
+    gain = np.where(folded % 2 == 1, -(folded + 1) // 2, folded // 2)
+    nexts = np.concatenate([unpack(x.as_py()) for x in table.column("more")]).astype(float)
+    _, number = np.unique(keys, return_inverse=True)
+    state = np.bincount(number, weights=gain.astype(float)) > DIVERGENCE * NAT
+    answer = np.where(state, np.bincount(number, weights=nexts), 0)[number].astype(np.int64)
+    return _rows([(b, kind, part, pack(answer[i:j])) for b, i, j in zip(blocks, cut, cut[1:])], _ANSWER)
 
 
 def _symbols(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -315,100 +415,98 @@ class Tree:
         cut = np.concatenate([[0], np.cumsum(np.diff(o) - 1)])
         return c[cut[1:]] - c[cut[:-1]]
 
-    def end(self) -> float:
-        return float(np.log10(self._below(np.array([_BLANK]), np.array([_END]), 1)[0]))
-
-
-def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Base (add-one unigram) and tree score of every document."""
-    spark = docs.sparkSession
-    text = docs["text"].cast("string")
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), held_out(docs["doc_id"]).alias("held_out"), text.alias("text"))
-    total, texts = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if(~F.col("held_out"))).first()
-    n_blocks = max(1, -(-int(total) // block_bytes))
-    # the text's length in the hash also spreads rows that share an id
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(n_blocks)).cast("int"))
-    dealt = rows.repartition(n_blocks, "block")
-    train = (~F.col("held_out")).alias("train")
-    by_block = written(dealt.select("block", train, "text").mapInArrow(_block_words, "block int, key long, word binary, n long"))
-    words = written(by_block.groupBy("key", "word").agg(F.sum("n").alias("n")))
-    n_words, v_words, v_all = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0), F.count("*")).first()
-    n_train, v_train = int(n_words) + texts, int(v_words) + (texts > 0)
-    # the end of a text is a symbol after contexts
-    ends = spark.createDataFrame([(int(_STOP.view(np.int64)), texts)], "key long, n long")
-    _, looked_up = word_contexts(by_block, words.select("key", "n").union(ends), dealt.select("block", train, "text"), n_train)
-    spelling = tree(words.select("word", "n"), texts)
-    # the root and the blank, which every word needs: a row a byte
-    few = spelling.where(F.col("ctx").isin(0, _BLANK)).toPandas()
-    end_log10 = Tree(*(few[c].to_numpy() for c in ("ctx", "sym", "n", "total"))).end()
-
-    def mixed(n, tree_log10):
-        """Counts, smoothed with the spelling's probability, which weighs as many as there are different tokens (Witten-Bell)."""
-        return np.log10((n + max(v_train, 1) * 10.0**tree_log10) / (n_train + max(v_train, 1)))
+def spelling_scores(words: DataFrame, n_texts: int) -> DataFrame:
+    """(key, score): log10 of the spelling of the words without a training count; ``words`` has (key, word, n)."""
+    spelling = tree(words.where("length(word) > 0").select("word", "n"), n_texts)
+    unseen = words.where("n = 0 and length(word) > 0").select("key", "word")
+    n_parts = max(1, -(-unseen.count() // PART_WORDS))
+    parts = unseen.withColumn("part", F.pmod("key", F.lit(n_parts)).cast("int"))
+    nexts = spelling.groupBy("ctx").agg(F.max("total").alias("total"), F.collect_list(F.struct("sym", "n")).alias("nexts"))  # at most 256 each
+    needed = parts.select("part", "word").mapInArrow(_part_contexts, "part int, ctx long").distinct().join(nexts, "ctx")
 
     def rate(left: pa.Table, right: pa.Table) -> pa.Table:
         at = np.repeat(np.arange(len(left)), np.diff(_offsets(left.column("nexts"))))
         nexts = left.column("nexts").combine_chunks().flatten()
         own = Tree(left.column("ctx").to_numpy()[at], nexts.field("sym").to_numpy(), nexts.field("n").to_numpy(), left.column("total").to_numpy()[at])
-        out = []
-        for k in range(0, len(right), 20_000):
-            part = right.slice(k, 20_000)
-            n, spelled = part.column("n").to_numpy(), own.words(part.column("word"))
-            # a word of thousands of bytes is below the least double: there the counts are nil and logs add
-            far = spelled < -250
-            score = np.where(far, spelled + np.log10(max(v_train, 1) / (n_train + max(v_train, 1))), mixed(n, np.maximum(spelled, -250)))
-            out.append(np.where(far & (n > 0), np.log10(np.maximum(n, 1) / (n_train + max(v_train, 1))), score))
-        return pa.table({"key": right.column("key"), "n": right.column("n"), "score": np.concatenate(out) if out else np.zeros(0)})
-
-    n_parts = max(1, -(-int(v_all) // PART_WORDS))
-    parts = words.withColumn("part", F.pmod("key", F.lit(n_parts)).cast("int")).repartition(n_parts, "part")
-    nexts = spelling.groupBy("ctx").agg(F.max("total").alias("total"), F.collect_list(F.struct("sym", "n")).alias("nexts"))  # at most 256 each
-    needed = parts.select("part", "word").mapInArrow(_part_contexts, "part int, ctx long").distinct().join(nexts, "ctx")
-    rated = needed.groupBy("part").cogroup(parts.groupBy("part")).applyInArrow(rate, "key long, n long, score double")
-    back = by_block.select("block", "key").join(rated, "key").select("block", F.lit(0).alias("kind"), "key", "n", F.lit(0).cast("long").alias("k"), "score")
-    for rows_of in looked_up:
-        back = back.unionByName(rows_of)
-
-    def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        kind = left.column("kind").to_numpy()
-        tables = []
-        for x in range(2 * WORDS + 1):
-            own = left.filter(pa.array(kind == x))
-            order = np.argsort(own.column("key").to_numpy())
-            tables.append([own.column(c).to_numpy()[order] for c in ("key", "n", "k", "score")])
-        end_base = float(np.log10((texts + 1) / (n_train + v_train + 1)))
-        end_score = float(mixed(texts, end_log10))
-        out = [np.zeros(len(right)) for _ in range(4)]
-        at = 0
-        for chunk in right.column("text").chunks:
-            data, offs = tk.column(chunk)
-            for i, j in tk.slices(offs):
-                runs, place, begins = _grams(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], WORDS + 1)
-                key, n, _, score = tables[0]
-                k, known = _found(key, runs[0])
-                end = np.zeros(len(place), bool)
-                end[begins[1:] - 1] = True
-                n, p = (np.where(known & ~end, x[k], y) if len(key) else np.full(len(place), y) for x, y in ((n, texts), (score, end_score)))
-                base = np.where(end, end_base, np.log10((n + 1) / (n_train + v_train + 1)))
-                for d in range(1, WORDS + 1):  # from the shortest context to the longest
-                    here = np.flatnonzero(place >= d)
-                    c, state = _found(tables[2 * d - 1][0], runs[d - 1][here - 1])
-                    here, c = here[state], c[state]
-                    if not len(here):
-                        continue
-                    g, seen = _found(tables[2 * d][0], runs[d][here])
-                    times = np.where(seen, tables[2 * d][1][g], 0) if len(tables[2 * d][0]) else np.zeros(len(here))
-                    total, kinds = tables[2 * d - 1][1][c], tables[2 * d - 1][2][c]
-                    lower = p[here]
-                    with np.errstate(divide="ignore"):
-                        p[here] = np.where(times > 0, np.log10((times + kinds * 10.0 ** np.maximum(lower, -300)) / (total + kinds)), lower + np.log10(kinds / (total + kinds)))
-                sums = [np.diff(np.concatenate([[0], np.cumsum(x)])[begins]) for x in (n > 0, base, p)]
-                for o, x in zip(out, (np.diff(begins), *sums)):
-                    o[at : at + j - i] = x
-                at += j - i
+        score = [own.words(right.slice(k, 20_000).column("word")) for k in range(0, len(right), 20_000)]
+        return pa.table({"key": right.column("key"), "score": np.concatenate(score) if score else np.zeros(0)})
+
+    return needed.groupBy("part").cogroup(parts.groupBy("part")).applyInArrow(rate, "key long, score double")
+
+
+def _scoring(bits: int, most: int, n_train: int, v_train: int):
+    kinds_root = max(v_train, 1)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        runs = _Runs(right, bits, most)
+        counts = [_answers(left, 2 * k + 1) >> 1 for k in range(most + 1)]
+        n = counts[0][runs.at[0]]
+        base = np.log10((n + 1) / (n_train + v_train + 1))
+        # the root: counts, and for unseen words the share that new words have, by their spelling
+        spelled = left.filter(pc.equal(left.column("kind"), _SPELLED)).sort_by("key")
+        keys, score = spelled.column("key").to_numpy().view(np.uint64), spelled.column("score").to_numpy()
+        order = np.argsort(keys)
+        keys, score = keys[order], score[order]
+        words = np.full(len(runs.keys[0]), -np.log10(256.0))  # the end of a text, where no text trains
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, runs.keys[0]), len(keys) - 1)
+            words = np.where(keys[at] == runs.keys[0], score[at], words)
+        words += np.log10(kinds_root / (n_train + kinds_root))
+        p = np.where(counts[0] > 0, np.log10(np.maximum(counts[0], 1) / (n_train + kinds_root)), words)[runs.at[0]]
+        for length in range(1, most + 1):  # from the shortest context to the longest
+            nexts = np.zeros(len(runs.keys[length - 1]), np.int64)
+            nexts[_asked_contexts(runs, counts, length)] = _answers(left, 2 * length)
+            here = np.flatnonzero(runs.place >= length)
+            context = runs.at[length - 1][here - 1]
+            state = nexts[context] > 0
+            here, context = here[state], context[state]
+            times, total, kinds, lower = counts[length][runs.at[length][here]], counts[length - 1][context], nexts[context], p[here]
+            mixed = np.log10((np.maximum(times, 1) + kinds * 10.0 ** np.maximum(lower, -300)) / (total + kinds))
+            p[here] = np.where(times > 0, mixed, lower + np.log10(kinds / (total + kinds)))
+        sums = [np.add.reduceat(x, runs.begins) for x in ((n > 0).astype(np.int64), base, p, np.where(n > 0, 0.0, p))]
         return pa.table(
-            {"doc_id": right.column("doc_id"), "held_out": right.column("held_out"), "n_tokens": out[0].astype(np.int64), "n_known": out[1].astype(np.int64), "train_tokens": np.full(len(right), n_train, np.int64), "base_score": out[2], "score": out[3]}
-        )
+            {"doc_id": right.column("doc_id"), "held_out": pc.invert(right.column("train")), "n_tokens": runs.sizes, "n_known": sums[0],
+             "train_tokens": np.full(len(right), n_train, np.int64), "base_score": sums[1], "score": sums[2], "unknown_score": sums[3]}
+        )
 
-    # a block of texts without words has no rows to look up
-    return back.groupBy("block").cogroup(dealt.groupBy("block")).applyInArrow(judge, _SCORES)
+    return run
+
+
+def in_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
+    """(block, doc_id, train, text) as a table bucketed by block, and the bytes of text.
+
+    A block lies within one input partition, so nothing is shuffled. Block numbers are chosen so that each
+    falls into a bucket of its own (up to 50,000; beyond, chance evens the buckets)."""
+    spark = docs.sparkSession
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), (~held_out(docs["doc_id"])).alias("train"), docs["text"].cast("string").alias("text"))
+    sizes = rows.groupBy(F.spark_partition_id().alias("part")).agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size"))
+    total, largest, parts = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0)), F.coalesce(F.max("part") + 1, F.lit(1))).first()
+    each = max(1, -(-int(largest) // block_bytes))
+    n = int(parts) * each
+    block = F.spark_partition_id() * each + F.pmod(F.monotonically_increasing_id(), F.lit(each)).cast("int")
+    if n <= 50_000:
+        names = spark.range(16 * n + 64).groupBy(F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("bucket")).agg(F.min("id").cast("int").alias("id"))
+        own = {r.bucket: r.id for r in names.collect()}
+        block = F.element_at(F.lit([own.get(k, 17 * n + 64 + k) for k in range(n)]), block + 1)
+    return bucketed(rows.withColumn("block", block.cast("int")), n, "block"), int(total)
+
+
+def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, most: int = WORDS) -> DataFrame:
+    """Base (add-one unigram) and tree score, with contexts of up to ``most`` words, of every document; ``unknown_score`` is the part of the score that falls to words never seen in training."""
+    blocks, total = in_blocks(docs, block_bytes)
+    bits, n_ranges = min(64, max(33, total.bit_length() + 18)), max(1, -(-total // block_bytes))
+
+    def answered(messages: DataFrame, answer, schema: str) -> DataFrame:
+        return written(messages.groupBy("kind", "part").applyInArrow(answer, schema))
+
+    counted = answered(blocks.groupBy("block").applyInArrow(_asking(bits, most, n_ranges), _SENT), _counting, _COUNTED)
+    words = counted.where("word is not null").select("key", "word", "n", "blocks")
+    n_train, v_train, texts = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0), F.coalesce(F.sum(F.when(F.length("word") == 0, F.col("n"))), F.lit(0))).first()
+    answers = counted.where("block is not null").select("block", "kind", "part", "data")
+    gains = answers.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(_gaining(bits, most, n_ranges, n_train), _SENT)
+    states = answered(gains, _judging, _ANSWER)
+    spelled = spelling_scores(words, texts).join(words.where("n = 0").select("key", F.explode("blocks").alias("block")), "key")
+    none = F.lit(None)
+    back = answers.unionByName(states).select("*", none.cast("long").alias("key"), none.cast("double").alias("score"))
+    back = back.unionByName(spelled.select("block", F.lit(_SPELLED).alias("kind"), F.lit(0).cast("long").alias("part"), none.cast("binary").alias("data"), "key", "score"))
+    return back.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(_scoring(bits, most, n_train, v_train), _SCORES)

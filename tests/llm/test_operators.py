@@ -255,8 +255,9 @@ def test_suffix_tree(docs):
     assert all(r.score < 0 for r in out)
 
 
-def test_suffix_tree_of_words(spark, monkeypatch):
-    """Contexts of words before, over all training tokens, against plain counting."""
+@pytest.mark.parametrize("block_bytes", [1500, 1 << 20])
+def test_suffix_tree_of_words(spark, block_bytes):
+    """Every score against plain counting: contexts of words before, over all training tokens; unseen words by their spelling."""
     r = random.Random(3)
     letters = "abcdefgh"
     texts = ["", *letters]
@@ -265,30 +266,30 @@ def test_suffix_tree_of_words(spark, monkeypatch):
         while len(w) < 30:  # a word that depends on the two before, or chance
             w.append(letters[(letters.index(w[-1]) * 3 + letters.index(w[-2])) % 8] if r.random() < 0.7 else r.choice(letters))
         texts.append(" ".join(w))
-    texts += [" ".join(reversed(t.split())) for t in texts[-5:]]
-    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    tree_scores = {x.doc_id: x.score for x in suffix_tree.scores(table, block_bytes=1500).collect()}
-    monkeypatch.setattr(suffix_tree, "WORDS", 0)
-    flat = {x.doc_id: x.score for x in suffix_tree.scores(table).collect()}
-    root = {"": flat[0]} | {w: flat[i + 1] - flat[0] for i, w in enumerate(letters)}  # "" ends a text
+    texts += [" ".join(reversed(t.split())) for t in texts[-5:]] + ["one rare text of twelve words that stands in here just twice"] * 2
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    texts = [t + " unseen" * (i % 3) if h else t for i, (t, h) in enumerate(zip(texts, held))]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x.doc_id: x for x in suffix_tree.scores(table, block_bytes).collect()}
     counts = collections.defaultdict(collections.Counter)
-    for i, t in enumerate(texts):
-        if zlib.crc32(str(i).encode()) % 7 != 2:
-            w = [*t.split(), ""]
-            for j in range(len(w)):
-                for d in range(min(j, 2) + 1):
-                    counts[tuple(w[j - d : j])][w[j]] += 1
+    for t, h in zip(texts, held):
+        w = [*t.split(), ""]  # "" ends a text
+        for j in range(len(w) * (not h)):
+            for d in range(min(j, 2) + 1):
+                counts[tuple(w[j - d : j])][w[j]] += 1
+    n, v = counts[()].total(), len(counts[()])
 
     def gain(c):
-        up, n, k = counts[c[1:]], counts[c].total(), len(counts[c])
-        return sum(x * math.log(((x - 1) * up.total() / up[y] + k) / (n - 1 + k)) for y, x in counts[c].items())
+        up, total = counts[c[1:]], counts[c].total()
+        return sum(round(256 * x * math.log((x - 1 + up[y] / up.total()) / (total * up[y] / up.total()))) for y, x in counts[c].items()) / 256
 
     kept = {c for c in counts if c and counts[c].total() >= suffix_tree.LEAST_COUNT and gain(c) > suffix_tree.DIVERGENCE}
-    assert any(len(c) == 2 for c in kept)
-    kept |= {c[1:] for c in kept if len(c) == 2}
+    assert ("rare",) in kept and ("rare", "text") not in kept and any(len(c) == 2 and c[0] in letters for c in kept) and len(kept) < len(counts) - 1
+    grown = suffix_tree.tree(spark.createDataFrame([(w.encode(), x) for w, x in counts[()].items() if w], "word binary, n long"), 1).toPandas()
+    spelled = suffix_tree.Tree(*(grown[c].to_numpy() for c in ("ctx", "sym", "n", "total"))).words(pa.array([b"unseen"], pa.binary()))[0]
 
     def log10(before, y):
-        p = 10 ** root[y]
+        p = counts[()][y] / (n + v) if counts[()][y] else v / (n + v) * 10**spelled
         for d in range(1, min(len(before), 2) + 1):
             if (c := tuple(before[-d:])) in kept:
                 p = (counts[c][y] + len(counts[c]) * p) / (counts[c].total() + len(counts[c]))
@@ -296,7 +297,29 @@ def test_suffix_tree_of_words(spark, monkeypatch):
 
     for i, t in enumerate(texts):
         w = [*t.split(), ""]
-        assert math.isclose(tree_scores[i], sum(log10(w[:j], w[j]) for j in range(len(w))), rel_tol=1e-9)
+        each = [log10(w[:j], y) for j, y in enumerate(w)]
+        assert math.isclose(got[i].score, sum(each), rel_tol=1e-9)
+        assert math.isclose(got[i].unknown_score, sum(x for x, y in zip(each, w) if not counts[()][y]), rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_packed_messages():
+    r = np.random.default_rng(4)
+    for n in (0, 1, 5, 1000):
+        x = r.integers(0, 1 << 40, n).astype(np.uint64)
+        assert np.array_equal(suffix_tree.unpack(suffix_tree.pack(x)), x)
+        y = np.unique(np.concatenate([x << np.uint64(24), np.array([0, 2**64 - 1], np.uint64)]))
+        assert np.array_equal(suffix_tree.unpack_sorted(suffix_tree.pack_sorted(y)), y)
+    parts = list(suffix_tree._ranges(y, 64, 7))
+    assert [p for p, _, _ in parts] == list(range(7)) and parts[0][1] == 0 and parts[-1][2] == len(y)
+
+
+def test_suffix_tree_without_training_rows(spark):
+    """An empty table gives no rows; a table with held-out rows alone has no counts."""
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert suffix_tree.scores(empty).count() == 0
+    only = [i for i in range(40) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rows = suffix_tree.scores(spark.createDataFrame([(i, "some words" if i % 2 else None) for i in only], "doc_id long, text string")).collect()
+    assert len(rows) == len(only) and all(r.held_out and r.train_tokens == r.n_known == 0 and r.base_score == 0 and -60 < r.score < 0 for r in rows)
 
 
 def test_context_counts():
