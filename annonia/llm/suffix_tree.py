@@ -39,7 +39,9 @@ from . import textkit as tk
 from .store import bucketed, written
 
 DEPTH, WORDS, LEAST_COUNT, DIVERGENCE, SMOOTH = 4, 2, 2, 3.0, 4.0
-BLOCK_BYTES, PART_WORDS = 24 << 20, 400_000
+BLOCK_BYTES, PART_WORDS = 12 << 20, 400_000
+#: Symbols that are scored at a time.
+SLICE = 400_000
 FOLDS, HELD_OUT = 7, 2
 #: Gains are added as whole numbers of this part of a nat, so that sums don't depend on their order.
 NAT = 256
@@ -120,7 +122,7 @@ class _Runs:
         self.train = np.repeat(np.concatenate(train), self.sizes)
         self.place = np.arange(len(seq)) - np.repeat(self.begins, self.sizes)
         self.keys: list[np.ndarray] = []  # sorted, distinct, by number of symbols less one
-        self.first: list[np.ndarray] = []  # where each stands first
+        self.first: list[np.ndarray] = []  # a place where each stands
         self.at: list[np.ndarray] = []  # for each position the number of the run that ends there, -1 for none
         run = seq
         for k in range(most + 1):
@@ -128,13 +130,17 @@ class _Runs:
                 longer = seq.copy()
                 longer[1:] = tk.mix(run[:-1] * tk.U(tk._BASE) + seq[1:])
                 run = longer
-            here = np.flatnonzero(self.place >= k) if k else np.arange(len(seq))
+            here = np.flatnonzero(self.place >= k)
             x = run[here] if k == 0 or bits >= 64 else run[here] >> tk.U(64 - bits)
-            keys, first, number = np.unique(x, return_index=True, return_inverse=True)
+            order = np.argsort(x)
+            x, here = x[order], here[order]
+            del order
+            new = np.ones(len(x), bool)
+            np.not_equal(x[1:], x[:-1], out=new[1:])
             at = np.full(len(seq), -1, np.int32)
-            at[here] = number
-            self.keys.append(keys)
-            self.first.append(here[first])
+            at[here] = np.cumsum(new, dtype=np.int32) - 1
+            self.keys.append(x[new])
+            self.first.append(here[new].astype(np.int32))
             self.at.append(at)
 
     def spelled(self) -> list[bytes]:
@@ -201,8 +207,14 @@ def _counting(table: pa.Table) -> pa.Table:
     table = table.sort_by("block")
     blocks, cut, keys = _messages(table)
     sent = np.concatenate([unpack(x.as_py()) for x in table.column("n")]).astype(float)
-    distinct, first, number = np.unique(keys, return_index=True, return_inverse=True)
-    total = np.bincount(number, weights=sent).astype(np.uint64)
+    order = np.argsort(keys, kind="stable")
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[order[1:]], keys[order[:-1]], out=new[1:])
+    first = order[new]
+    number = np.empty(len(keys), np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
+    distinct, total = keys[first], np.bincount(number, weights=sent).astype(np.uint64)
+    del order, sent, keys
     answer = total[number] * tk.U(2)
     answer[first] += tk.U(1)
     out = [(b, kind, part, pack(answer[i:j]), None, None, None, None) for b, i, j in zip(blocks, cut, cut[1:])]
@@ -440,8 +452,6 @@ def _scoring(bits: int, most: int, n_train: int, v_train: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         runs = _Runs(right, bits, most)
         counts = [_answers(left, 2 * k + 1) >> 1 for k in range(most + 1)]
-        n = counts[0][runs.at[0]]
-        base = np.log10((n + 1) / (n_train + v_train + 1))
         # the root: counts, and for unseen words the share that new words have, by their spelling
         spelled = left.filter(pc.equal(left.column("kind"), _SPELLED)).sort_by("key")
         keys, score = spelled.column("key").to_numpy().view(np.uint64), spelled.column("score").to_numpy()
@@ -452,21 +462,35 @@ def _scoring(bits: int, most: int, n_train: int, v_train: int):
             at = np.minimum(np.searchsorted(keys, runs.keys[0]), len(keys) - 1)
             words = np.where(keys[at] == runs.keys[0], score[at], words)
         words += np.log10(kinds_root / (n_train + kinds_root))
-        p = np.where(counts[0] > 0, np.log10(np.maximum(counts[0], 1) / (n_train + kinds_root)), words)[runs.at[0]]
-        for length in range(1, most + 1):  # from the shortest context to the longest
+        words = np.where(counts[0] > 0, np.log10(np.maximum(counts[0], 1) / (n_train + kinds_root)), words)
+        base = np.log10((counts[0] + 1) / (n_train + v_train + 1))
+        states = []
+        for length in range(1, most + 1):
             nexts = np.zeros(len(runs.keys[length - 1]), np.int64)
             nexts[_asked_contexts(runs, counts, length)] = _answers(left, 2 * length)
-            here = np.flatnonzero(runs.place >= length)
-            context = runs.at[length - 1][here - 1]
-            state = nexts[context] > 0
-            here, context = here[state], context[state]
-            times, total, kinds, lower = counts[length][runs.at[length][here]], counts[length - 1][context], nexts[context], p[here]
-            mixed = np.log10((np.maximum(times, 1) + kinds * 10.0 ** np.maximum(lower, -300)) / (total + kinds))
-            p[here] = np.where(times > 0, mixed, lower + np.log10(kinds / (total + kinds)))
-        sums = [np.add.reduceat(x, runs.begins) for x in ((n > 0).astype(np.int64), base, p, np.where(n > 0, 0.0, p))]
+            states.append(nexts)
+        sums: list[list[np.ndarray]] = [[], [], [], []]
+        i = 0
+        while i < len(runs.sizes):  # some texts at a time
+            j = max(i + 1, int(np.searchsorted(runs.begins, runs.begins[i] + SLICE)))
+            lo, hi = int(runs.begins[i]), int(runs.begins[j]) if j < len(runs.begins) else len(runs.place)
+            own = runs.at[0][lo:hi]
+            p, known = words[own], counts[0][own] > 0
+            for length in range(1, most + 1):  # from the shortest context to the longest
+                here = lo + np.flatnonzero(runs.place[lo:hi] >= length)
+                context = runs.at[length - 1][here - 1]
+                state = states[length - 1][context] > 0
+                here, context = here[state], context[state]
+                times, total, kinds, lower = counts[length][runs.at[length][here]], counts[length - 1][context], states[length - 1][context], p[here - lo]
+                mixed = np.log10((np.maximum(times, 1) + kinds * 10.0 ** np.maximum(lower, -300)) / (total + kinds))
+                p[here - lo] = np.where(times > 0, mixed, lower + np.log10(kinds / (total + kinds)))
+            for out, x in zip(sums, (known.astype(np.int64), base[own], p, np.where(known, 0.0, p))):
+                out.append(np.add.reduceat(x, runs.begins[i:j] - lo))
+            i = j
+        n_known, base_score, score, unknown = (np.concatenate(x) for x in sums)
         return pa.table(
-            {"doc_id": right.column("doc_id"), "held_out": pc.invert(right.column("train")), "n_tokens": runs.sizes, "n_known": sums[0],
-             "train_tokens": np.full(len(right), n_train, np.int64), "base_score": sums[1], "score": sums[2], "unknown_score": sums[3]}
+            {"doc_id": right.column("doc_id"), "held_out": pc.invert(right.column("train")), "n_tokens": runs.sizes, "n_known": n_known,
+             "train_tokens": np.full(len(right), n_train, np.int64), "base_score": base_score, "score": score, "unknown_score": unknown}
         )
 
     return run
