@@ -8,12 +8,14 @@ too. Each gives a new layer that knows, for each of its characters, the span of
 the original text it stands for. A layer seen before with the same place is not taken up
 again, so cycles end; the list runs dry at the fixpoint.
 
+Decoded bytes need not be clean text: what isn't UTF-8 counts as Latin-1, and base64 is read from each of its
+first four digits, as it may be glued to a path or a word. Compressed data of any size is unpacked as a
+stream, in pieces of about ``PIECE`` bytes cut at characters that no secret and no encoding holds; a
+stretch without such a character stays whole.
+
 Input: any table with ``doc_id`` and ``text``. Null and empty texts have no spans; texts are
 scanned whole; repeated rows give repeated results; an empty table gives no rows; other
-columns are ignored. Offsets are code points, ends exclusive.
-
-A compressed layer of more than ``max_layer`` bytes once unpacked (a decompression bomb) is
-not unwrapped; ``n_oversized`` counts these, so none goes unnoticed."""
+columns are ignored. Offsets are code points, ends exclusive."""
 
 from __future__ import annotations
 
@@ -23,6 +25,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex")
-MAX_LAYER = 64 << 20
-SCANNED = "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string, n_layers long, n_oversized long"
+PIECE = 4 << 20
+SCANNED = "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string, n_layers long"
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _NAMES = ("passw", "secret", "token", "apikey", "api_key")
@@ -40,10 +43,16 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 _TOKEN = re.compile(r"\S+")
 _PERCENT = re.compile(r"%([0-9A-Fa-f]{2})")
-_UNICODE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})")
+_FORM = re.compile(r"%([0-9A-Fa-f]{2})|\+")
+_UNICODE = re.compile(r"\\u([0-9a-fA-F]{4})|\\x([0-9a-fA-F]{2})|\\u\{([0-9a-fA-F]{1,6})\}|\\U([0-9a-fA-F]{8})")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+#: No secret and no encoding has fewer plain characters in a row.
+_PLAIN = re.compile(rb"[\x20-\x7e]{12}")
+#: Bytes that are part of no secret and of no encoding.
+_APART = re.compile(rb"[^A-Za-z0-9+/_.=\-\"': \t\r\n%\\{}\x80-\xff]")
+_REPEATED = re.compile(rb"(.)\1{4095,}", re.S)
 _TEXTUAL = re.compile(r"[\t\n\r\x20-\x7e -\U0010ffff]*")
 
 Span = tuple[int, int, int]
@@ -104,7 +113,7 @@ def _mapped(source: _Layer | None, got: str, starts: np.ndarray, ends: np.ndarra
 
 
 def _percent_run(run: list[re.Match]) -> Iterator[tuple[str, int, int]]:
-    raw = bytes(int(m[1], 16) for m in run)
+    raw = bytes(int(m[1], 16) if m[1] else 0x20 for m in run)
     i = 0
     while i < len(raw):  # one character at a time, so that each keeps its own span
         lead = raw[i]
@@ -121,48 +130,120 @@ def _percent_run(run: list[re.Match]) -> Iterator[tuple[str, int, int]]:
 def _unicode_run(run: list[re.Match]) -> Iterator[tuple[str, int, int]]:
     i = 0
     while i < len(run):
-        code, size = int(run[i][1] or run[i][2], 16), 1
+        code, size = int(next(filter(None, run[i].groups())), 16), 1
         if 0xD800 <= code < 0xDC00 and i + 1 < len(run) and run[i + 1][1] and 0xDC00 <= (low := int(run[i + 1][1], 16)) < 0xE000:
             code, size = 0x10000 + ((code - 0xD800) << 10) + low - 0xDC00, 2
-        yield chr(code if not 0xD800 <= code < 0xE000 else 0xFFFD), run[i].start(), run[i + size - 1].end()
+        yield chr(code if code < 0xD800 or 0xE000 <= code < 0x110000 else 0xFFFD), run[i].start(), run[i + size - 1].end()
         i += size
 
 
-class Oversized(Exception):
-    """An unpacked layer would exceed the memory bound."""
+def _opener(head: bytes):
+    """A decompressor for data with this head, or None."""
+    if head[:2] == b"\x1f\x8b" or (head[:1] == b"\x78" and len(head) > 1 and (head[0] * 256 + head[1]) % 31 == 0):
+        return zlib.decompressobj(47)
+    return bz2.BZ2Decompressor() if head[:3] == b"BZh" else None
+
 
+def inflated(raw: bytes, member, used: list[int], size: int = PIECE) -> Iterator[bytes]:
+    """The content of all members of compressed data, in parts; ``member`` opens the first. ``used`` gets the number of bytes they take.
 
-def _unpacked(raw: bytes, most: int) -> tuple[bytes, int] | None:
-    """The content of gzip, zlib or bz2 data, of all members, and the number of bytes these take; None if it is none of these."""
-    got, rest = b"", raw
-    while rest:
-        if rest[:2] == b"\x1f\x8b" or (rest[:1] == b"\x78" and len(rest) > 1 and (rest[0] * 256 + rest[1]) % 31 == 0):
-            member = zlib.decompressobj(47)
-        elif rest[:3] == b"BZh":
-            member = bz2.BZ2Decompressor()
+    Damaged data gives what comes before the damage."""
+    data = raw
+    while member is not None:
+        while not member.eof:
+            try:
+                out = member.decompress(data, size)
+            except (zlib.error, OSError, ValueError, EOFError):
+                return
+            data = getattr(member, "unconsumed_tail", b"")
+            if out:
+                used[0] = len(raw)
+                yield out
+            elif not data:
+                return  # cut short
+        data = member.unused_data
+        if data[:1] == b"\0":  # padding between members
+            data = data.lstrip(b"\0")
+        used[0] = len(raw) - len(data)
+        member = _opener(data)
+
+
+def pieces(parts: Iterator[bytes], size: int = PIECE) -> Iterator[bytes]:
+    """The same bytes cut at bytes that stand apart, from ``size`` bytes on. Where none does, the bytes grow, but for repeats of one byte, of which 4,096 or a few more stay."""
+    held = b""
+    for part in parts:
+        held += part
+        if len(held) < size:
+            continue
+        for near in (1 << 14, len(held)):
+            cut = max((m.end() for m in _APART.finditer(held, len(held) - min(near, len(held)))), default=0)
+            if cut:
+                break
+        if cut:
+            yield held[:cut]
+            held = held[cut:]
         else:
-            break
-        try:
-            more = member.decompress(rest, most + 1 - len(got))
-        except (zlib.error, OSError, ValueError, EOFError):
-            break
-        got += more
-        if len(got) > most:
-            raise Oversized
-        if not member.eof:
-            return (got, len(raw)) if got else None
-        rest = member.unused_data
-        if rest[:1] == b"\0":  # padding between members
-            rest = rest.lstrip(b"\0")
-    return (got, len(raw) - len(rest)) if len(rest) < len(raw) else None
-
-
-def _textual(raw: bytes) -> str | None:
+            held = _REPEATED.sub(lambda m: m[1] * (4096 + len(m[0]) % 4), held)
+    if held:
+        yield held
+
+
+def _text(raw: bytes) -> str | None:
+    """As UTF-8, else Latin-1; None where no secret can be in it."""
+    if not _PLAIN.search(raw):
+        return None
     try:
-        got = raw.decode()
+        return raw.decode()
     except UnicodeDecodeError:
-        return None
-    return got if got and _TEXTUAL.fullmatch(got) else None
+        return raw.decode("latin-1")
+
+
+def _sizes(text: str, raw: bytes) -> np.ndarray:
+    """The bytes that each character stands for."""
+    if len(text) == len(raw):
+        return np.ones(len(text), np.int64)
+    code = np.array([ord(c) for c in text])
+    return 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+
+
+def _unpacked_layers(source: _Layer | None, raw: bytes, member, at: int, to: int) -> Iterator[_Layer]:
+    """The pieces of compressed data, and of compressed data in it; each character stands for all of it."""
+    if source is not None:
+        at, to = int(source.starts[at]), int(source.ends[to - 1])
+    parts = inflated(raw, member, [0])
+    head = next(parts, b"")
+    inner = _opener(head)
+    if inner is not None:
+        whole = head + b"".join(parts)  # still compressed, so of modest size
+        got = False
+        for layer in _unpacked_layers(None, whole, inner, at, to):
+            got = True
+            yield layer
+        if got:
+            return
+        parts, head = iter([whole]), b""
+    for piece in pieces(chain([head], parts)):
+        if text := _text(piece):
+            yield _Layer(text, np.broadcast_to(np.int64(at), len(text)), np.broadcast_to(np.int64(to), len(text)))
+
+
+def _from_bytes(source: _Layer | None, raw: bytes, at: int, to: int) -> Iterator[_Layer]:
+    """The layers of decoded base64 that stands from ``at`` to ``to``: compressed data, with or without something before it, or text."""
+    found = False
+    starts = [0] if _opener(raw[:4]) else [i for i in (raw.find(b"\x1f\x8b\x08"), raw.find(b"1AY&SY") - 4) if i > 0]
+    for i in starts:
+        if (member := _opener(raw[i:])) is not None:
+            for layer in _unpacked_layers(source, raw[i:], member, at + i * 4 // 3, to):
+                found = True
+                yield layer
+    if found:
+        return
+    if text := _text(raw):
+        ends = np.cumsum(sizes := _sizes(text, raw))
+        if layer := _mapped(source, text, at + (ends - sizes) * 4 // 3, np.minimum(at - (-ends * 4 // 3), to)):
+            yield layer
+    else:  # deflate without a header
+        yield from _unpacked_layers(source, raw, zlib.decompressobj(-15), at, to)
 
 
 def _decoded(digits: str) -> bytes:
@@ -179,8 +260,8 @@ def _leading(raw: bytes) -> str:
     return _TEXTUAL.match(got)[0]
 
 
-def _joined_lines(source: _Layer | None, text: str, most: int) -> Iterator[_Layer | None]:
-    """The layers of base64 that goes over line breaks; None for one that is too large.
+def _joined_lines(source: _Layer | None, text: str) -> Iterator[_Layer]:
+    """The layers of base64 that goes over line breaks.
 
     Lines of base64 don't get shorter before the last. A word on the line before looks like base64, too, so each line may be the first one,
     and what follows the last is cut off where it is no text."""
@@ -200,16 +281,19 @@ def _joined_lines(source: _Layer | None, text: str, most: int) -> Iterator[_Laye
                 continue
             raw = _decoded("".join(text[a:b] for a, b in mine))
             at = np.concatenate([np.arange(a, b) for a, b in mine])
-            try:
-                packed = _unpacked(raw, most)
-            except Oversized:
-                yield None
-                i = j + 1
+            used = [0]
+            if (member := _opener(raw)) is not None:
+                for _ in inflated(raw, member, used):  # to learn where the data ends
+                    pass
+            if used[0]:
+                last = min(-(-used[0] * 4 // 3), len(at))
+                if last <= first:
+                    continue
+                yield from _unpacked_layers(source, raw[: used[0]], _opener(raw), int(at[0]), int(at[last - 1]) + 1)
+                if last > len(at) - (mine[-1][1] - mine[-1][0]):
+                    i = j + 1
                 continue
-            if packed is not None and (got := _textual(packed[0])) is not None:
-                last = min(-(-packed[1] * 4 // 3), len(at))
-                starts, ends = np.full(len(got), at[0]), np.full(len(got), at[last - 1] + 1)
-            elif got := _leading(raw):
+            if got := _leading(raw):
                 sizes = np.array([len(c.encode()) for c in got], np.int64)
                 to = np.cumsum(sizes)
                 last = min(-(-int(to[-1]) * 4 // 3), len(at))
@@ -229,74 +313,59 @@ def _escapes(source: _Layer | None, text: str, pattern: re.Pattern, decode) -> I
             yield layer
 
 
-def _unwrapped(source: _Layer | None, text: str, most: int) -> Iterator[_Layer | None]:
-    """The layers directly below ``text``; None for one that is too large."""
+def _unwrapped(source: _Layer | None, text: str) -> Iterator[_Layer]:
+    """The layers directly below ``text``."""
     if "%" in text and _PERCENT.search(text):
         yield from _escapes(source, text, _PERCENT, _percent_run)
+        if "+" in text:
+            yield from _escapes(source, text, _FORM, _percent_run)
     if "\\" in text and _UNICODE.search(text):
         yield from _escapes(source, text, _UNICODE, _unicode_run)
     if "\n" in text:
-        yield from _joined_lines(source, text, most)
+        yield from _joined_lines(source, text)
     for m in _BASE64.finditer(text):
         body = m[0].rstrip("=")
-        if len(body) % 4 == 1:
-            continue
-        raw = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-        try:
-            packed = _unpacked(raw, most)
-        except Oversized:
-            yield None
-            continue
-        got = _textual(raw if packed is None else packed[0])
-        if got is None:
-            continue
-        n = len(got)
-        if packed is None:  # character -> its bytes -> their base64 digits
-            sizes = np.array([len(c.encode()) for c in got], np.int64)
-            to = np.cumsum(sizes)
-            starts, ends = m.start() + (to - sizes) * 4 // 3, m.start() + -(-to * 4 // 3)
-        else:
-            starts, ends = np.full(n, m.start()), np.full(n, m.end())
-        if layer := _mapped(source, got, starts.astype(np.int64), np.minimum(ends, m.end()).astype(np.int64)):
-            yield layer
+        for phase in range(4):
+            if len(body) - phase >= 16 - (phase > 0):
+                yield from _from_bytes(source, _decoded(body[phase:]), m.start() + phase, m.end())
 
 
-def scan(text: str, max_layer: int = MAX_LAYER) -> tuple[list[Span], list[Span], int, int]:
-    """Base spans, all spans, number of layers below the text, number of layers too large to unpack."""
+def scan(text: str) -> tuple[list[Span], list[Span], int]:
+    """Base spans, all spans, number of layers below the text."""
     base = base_spans(text)
-    found, seen, oversized = set(base), set(), 0
-    work: list[_Layer | None] = [None]
+    found, seen = set(base), set()
+    work = [_unwrapped(None, text)]  # the layers still to come, by depth; one of each depth is held at a time
+    above = [text]
     while work:
-        layer = work.pop()
-        below = text if layer is None else layer.text
-        if layer is not None:
-            for s, kind, e in base_spans(below):
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            above.pop()
+        elif layer.text != above[-1] and (key := layer.key()) not in seen:
+            seen.add(key)
+            for s, kind, e in base_spans(layer.text):
                 found.add((int(layer.starts[s]), kind, int(layer.ends[e - 1])))
-        for new in _unwrapped(layer, below, max_layer):
-            if new is None:
-                oversized += 1
-            elif new.text and new.text != below and (key := new.key()) not in seen:
-                seen.add(key)
-                work.append(new)
-    return base, sorted(found), len(seen), oversized
+            work.append(_unwrapped(layer, layer.text))
+            above.append(layer.text)
+    return base, sorted(found), len(seen)
 
 
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[kind]}:{s}:{e}" for s, kind, e in spans)
 
 
-def find_secrets(docs: DataFrame, max_layer: int = MAX_LAYER) -> DataFrame:
+def find_secrets(docs: DataFrame) -> DataFrame:
     """Per document: base counts by kind, base spans and all spans as ``kind:start:end`` lists."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["n_assign", "n_access", "n_hex", "base_spans", "spans", "n_layers", "n_oversized"]
+        names = ["n_assign", "n_access", "n_hex", "base_spans", "spans", "n_layers"]
         for batch in batches:
             rows = []
             for value in batch.column(1):
-                base, every, layers, over = scan(value.as_py() or "", max_layer)
-                rows.append((*(sum(k == i for _, k, _ in base) for i in range(3)), joined(base), joined(every), layers, over))
-            cols = list(zip(*rows)) or [[]] * 7
-            kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()] * 2
+                base, every, layers = scan(value.as_py() or "")
+                rows.append((*(sum(k == i for _, k, _ in base) for i in range(3)), joined(base), joined(every), layers))
+            cols = list(zip(*rows)) or [[]] * 6
+            kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
             yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, kinds))], names=["doc_id", *names])
 
     return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, SCANNED)
@@ -313,13 +382,13 @@ def masked(text: str, spans: list[Span], sign: str = "*") -> str:
     return "".join([*parts, text[at:]])
 
 
-def mask_secrets(docs: DataFrame, max_layer: int = MAX_LAYER) -> DataFrame:
+def mask_secrets(docs: DataFrame) -> DataFrame:
     """All rows and columns of ``docs``, with every secret span in ``text`` overwritten by ``*``.
 
     Null texts stay null."""
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else masked(t, scan(t, max_layer)[1]))
+        return texts.map(lambda t: None if t is None else masked(t, scan(t)[1]))
 
     return docs.withColumn("text", clean(docs["text"]))
