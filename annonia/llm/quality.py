@@ -5,11 +5,13 @@ Lines become sequences of feature vectors; a conditional random field with two s
 that stand in content lines decides whether it stays.
 
 The field is fitted on a bounded sample of labelled documents: ``TRAIN_DOCS`` of them, those
-with the smallest hash of ``doc_id``, of at most ``TRAIN_LINES`` lines each. A document's label
-is the label of its lines. Everything else runs over all documents and whole texts.
+with the smallest hash of ``doc_id``; of these, documents of more than ``TRAIN_LINES`` lines are left out of the
+fitting, not shortened. A document's label says what most of its lines are like, so lines that look otherwise are
+left open. Everything else runs over all documents and whole texts.
 
 Input: ``doc_id``, ``text``; labels with ``doc_id``, ``quality``. Null and empty texts have no
-words and fail the base rules; repeated rows give repeated results; without labels the
+words and fail the base rules; repeated rows give repeated results; a document
+with both labels counts as bad in the sample, labels without a document or a value are passed over; without labels the
 field has no say and keeps all; other columns are ignored."""
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 
 TRAIN_DOCS, TRAIN_LINES = 1500, 40
-SHARE, CAUTION = 0.3, 1.0
+SHARE, CAUTION, SURE = 0.3, 1.0, 0.9
 STATS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content_share double, base_failed boolean, kept boolean"
 
 _SYMBOL = np.zeros(256, bool)
@@ -98,8 +100,12 @@ class Field:
         return cls(np.zeros((N_FEATURES, 2)), np.zeros((2, 2)))
 
     @classmethod
-    def fit(cls, lines: list[np.ndarray], labels: list[int], rounds: int = 80, rate: float = 0.15, ridge: float = 1e-3) -> Field:
-        """Maximum likelihood by gradient steps with forward-backward; classes count alike."""
+    def fit(cls, lines: list[np.ndarray], labels: list[int], rounds: int = 40, rate: float = 0.15, ridge: float = 1e-3) -> Field:
+        """Maximum likelihood by gradient steps with forward-backward; classes of documents count alike.
+
+        A document's label is evidence for its lines, not their label. Lines are first told apart one by
+        one as if it were; then the state of a line that looks like the other class is left open (in good documents
+        only where it surely does, by ``SURE``), and the field is fitted to the states that are not open."""
         field = cls.blank()
         if not lines or len(set(labels)) < 2:
             return field
@@ -110,34 +116,46 @@ class Field:
         x = np.zeros((n, most, N_FEATURES))
         for i, one in enumerate(lines):
             x[i, : len(one)] = one
+        weight = (n / (2 * np.bincount(y, minlength=2)))[y] / sizes
+        barred = np.zeros((n, most, 2))
+        barred[np.arange(n), :, 1 - y] = -1e9
+        field._climb(x, sizes, weight, barred, rounds, rate, ridge, with_moves=False)
+        bad = field._expected(x @ field.w, sizes)[0][:, :, 1]
+        barred[np.where(y[:, None] == 1, bad < 0.5, bad > SURE)] = 0
+        field._climb(x, sizes, weight, barred, rounds, rate, ridge, with_moves=True)
+        return field
+
+    def _expected(self, e: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of each line's states, and expected moves of each document; documents stand by falling size."""
+        n, most = e.shape[:2]
         on = np.arange(most)[None] < sizes[:, None]
-        share = np.bincount(y, minlength=2)
-        weight = (n / (2 * share))[y] / sizes
-        truth = np.zeros((n, most, 2))
-        truth[np.arange(n)[:, None], np.arange(most)[None], y[:, None]] = 1
-        pair = np.zeros((n, 2, 2))
-        pair[np.arange(n), y, y] = sizes - 1
-        moments = [np.zeros_like(field.w), np.zeros_like(field.w), np.zeros_like(field.t), np.zeros_like(field.t)]
+        a, b = np.zeros((n, most, 2)), np.zeros((n, most, 2))
+        a[:, 0] = e[:, 0]
+        for k in range(1, most):
+            live = int(on[:, k].sum())
+            a[:live, k] = e[:live, k] + np.logaddexp.reduce(a[:live, k - 1][:, :, None] + self.t[None], axis=1)
+        for k in range(most - 2, -1, -1):
+            live = int(on[:, k + 1].sum())
+            b[:live, k] = np.logaddexp.reduce(self.t[None] + (e[:live, k + 1] + b[:live, k + 1])[:, None, :], axis=2)
+        z = np.logaddexp.reduce(a[np.arange(n), sizes - 1], axis=1)
+        p = np.exp(a + b - z[:, None, None]) * on[:, :, None]
+        q = np.exp(a[:, :-1, :, None] + self.t + (e + b)[:, 1:, None, :] - z[:, None, None, None]) * on[:, 1:, None, None]
+        return p, q.sum(1)
+
+    def _climb(self, x, sizes, weight, barred, rounds: int, rate: float, ridge: float, with_moves: bool) -> None:
+        """Gradient steps: what the field expects with the barred states left out, less what it expects."""
+        moments = [np.zeros_like(self.w), np.zeros_like(self.w), np.zeros_like(self.t), np.zeros_like(self.t)]
         for step in range(1, rounds + 1):
-            e = x @ field.w
-            a, b = np.zeros((n, most, 2)), np.zeros((n, most, 2))
-            a[:, 0] = e[:, 0]
-            for k in range(1, most):
-                live = on[:, k]
-                a[live, k] = e[live, k] + np.logaddexp.reduce(a[live, k - 1][:, :, None] + field.t[None], axis=1)
-            for k in range(most - 2, -1, -1):
-                live = on[:, k + 1]
-                b[live, k] = np.logaddexp.reduce(field.t[None] + (e[live, k + 1] + b[live, k + 1])[:, None, :], axis=2)
-            z = np.logaddexp.reduce(a[np.arange(n), sizes - 1], axis=1)
-            p = np.exp(a + b - z[:, None, None]) * on[:, :, None]
-            gw = np.einsum("ntf,nts,n->fs", x, (truth - p) * on[:, :, None], weight) / n - ridge * field.w
-            q = np.exp(a[:, :-1, :, None] + field.t + (e + b)[:, 1:, None, :] - z[:, None, None, None]) * on[:, 1:, None, None]
-            gt = np.einsum("nij,n->ij", pair - q.sum(1), weight) / n - ridge * field.t
-            for g, (m, v), target in ((gw, moments[:2], field.w), (gt, moments[2:], field.t)):
+            e = x @ self.w
+            (p, q), (p_on, q_on) = self._expected(e, sizes), self._expected(e + barred, sizes)
+            gw = np.einsum("ntf,nts,n->fs", x, p_on - p, weight) / len(x) - ridge * self.w
+            gt = np.einsum("nij,n->ij", q_on - q, weight) / len(x) - ridge * self.t
+            for g, (m, v), target in ((gw, moments[:2], self.w), (gt, moments[2:], self.t)):
+                if target is self.t and not with_moves:
+                    continue
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 target += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-        return field
 
     def decode(self, e: np.ndarray, first: np.ndarray) -> np.ndarray:
         """The best state of every line; ``first`` has each text's first line. All texts advance together, the longest first."""

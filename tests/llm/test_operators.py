@@ -17,6 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from annonia.llm import bpe, chat, decontaminate, minhash, quality, queries, repeats, secrets, sharding, suffix_tree, urls
+from annonia.llm import textkit as tk
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 AZ = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
@@ -279,6 +280,37 @@ def test_field_learns_and_viterbi_is_best():
         assert math.isclose(score(got[a:b].tolist()), max(map(score, paths)))
 
 
+def test_half_boilerplate_documents(spark):
+    """The content share of a document of good lines and bad lines is near the share of the good ones."""
+    t = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    field = quality.train(t, labels.where("doc_id % 2 = 0"))
+    texts = {0: [], 1: []}
+    for r in t.join(labels.where("doc_id % 2 = 1"), "doc_id").where("text like '%\n%\n%\n%'").orderBy("doc_id").collect():
+        texts[r.quality].append(r.text.split("\n"))
+    pairs = [(g[:8], b[-8:]) for g, b in zip(texts[1], texts[0])]
+    assert len(pairs) > 10
+    data, offs = tk.column(pa.array(["\n".join(g + b) for g, b in pairs]))
+    got = quality.verdict(data, offs, field, quality.SHARE, quality.CAUTION)[5]
+    want = [sum(len(x.encode()) for x in g) / sum(len(x.encode()) for x in g + b) for g, b in pairs]
+    assert np.abs(got - want).mean() < 0.05 and ((got > 0) & (got < 1)).mean() > 0.9
+
+
+def test_quality_labels_of_all_kinds(spark):
+    """Repeated, missing and strange labels; very long and repeated texts."""
+    good = "\n".join(" ".join(f"the{k}{w} house{k}{w} of stone{k}{w} was{w}{k} sold," for k in range(6)) + " and that was it." for w in ("red", "old", "big"))
+    bad = "\n".join(" ".join(f"BUY{k}{w}!! NOW*** $$${k} CLICK|{k}|" for k in range(9)) for w in ("RED", "OLD", "BIG"))
+    rows = [(i, good if i % 2 else bad) for i in range(12)] + [(1, good), (20, None), (21, "word " * 400_000)]
+    df = spark.createDataFrame([(i, t, True) for i, t in rows], "doc_id long, text string, kept boolean")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)] + [(0, 1), (1, 1), (None, 1), (5, None), (999, 0), (20, 0)], "doc_id long, quality int")
+    out = quality.quality(df, quality.train(df, labels)).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert r.kept == (r.doc_id < 12 and r.doc_id % 2 == 1), r
+    assert [r.n_words for r in out if r.doc_id == 21] == [400_000]
+    assert quality.kept(df, quality.train(df, labels)).columns == df.columns
+
+
 def test_quality_held_out(spark):
     t = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
