@@ -479,14 +479,56 @@ def test_leaks(spark, docs):
     assert left.columns == df.columns and left.count() == df.count() - 4
 
 
-def test_hamming_index_finds_all():
-    idx = decontaminate.Index([(i, 9, np.array([rng.getrandbits(64) for _ in range(5)], np.uint64)) for i in range(60)])
+@pytest.mark.parametrize("n_items", [60, 4000])
+def test_hamming_index_finds_all(n_items):
+    idx = decontaminate.Index([(i, 9 + i % 2, np.array([rng.getrandbits(64) for _ in range(5)], np.uint64)) for i in range(n_items)])
     for _ in range(50):
-        p = rng.choice(idx.prints)
-        for b in rng.sample(range(64), rng.randint(0, decontaminate.RADIUS)):
-            p ^= 1 << b
-        want = {(i, d) for i, q in enumerate(idx.prints) if (d := (p ^ q).bit_count()) <= decontaminate.RADIUS}
-        assert set(idx.near(p)) == want
+        i = rng.randrange(n_items)
+        p = idx.prints[i].copy()
+        for b in rng.sample(range(decontaminate.BITS), rng.randint(0, decontaminate.RADIUS)):
+            p[b // 16] ^= np.uint16(1 << b % 16)
+        distance = np.bitwise_count(idx.prints ^ p).sum(1)
+        want = {(k, int(d)) for k, d in enumerate(distance) if d <= decontaminate.RADIUS and k % 2 == i % 2}
+        assert set(idx.near(9 + i % 2, p)) == want and (i, int(distance[i])) in want
+    assert idx.looked_up < 0.2 * idx.lookups * n_items
+
+
+def changed(words, n, r):
+    """The words with ``n`` of them replaced."""
+    out = list(words)
+    for k in r.sample(range(len(out)), n):
+        out[k] = f"new{r.randrange(10**6)}"
+    return out
+
+
+def test_decontamination_recall_against_all_windows(spark):
+    """All windows of item size over all texts, compared exactly; the index and its radius lose none. Null ids and both ways."""
+    r = random.Random(8)
+    items = [(k, [f"{r.choice(VOCAB)}{r.randrange(60)}" for _ in range(r.choice([3, 6, 8, 20, 20, 20, 45, 80]))]) for k in range(40)]
+    texts = []
+    for i in range(260):
+        words = [f"{r.choice(VOCAB)}{r.randrange(60)}" for _ in range(r.randrange(30))]
+        _, item = r.choice(items)
+        words += changed(item, r.choice([0, 0, 1, 1, 2, 3]) if len(item) > 8 else 0, r)[r.randrange(2) :]
+        texts.append((i or None, " ".join(words + [f"x{r.randrange(60)}" for _ in range(r.randrange(9))])))
+    want = {}
+    for item_id, item in items:
+        own = decontaminate._item(item_id, " ".join(item))[2]
+        for doc_id, text in texts:
+            h = tk.word_hashes(*tk.column(pa.array([text])))[0]
+            n = min(len(item), len(h))
+            if n:
+                size = min(len(item), 5)
+                sims = [decontaminate.weighted_jaccard(tk.shingles(h[a : a + n], size), own) for a in range(len(h) - n + 1)]
+                if max(sims) * 100 >= 75:
+                    want[doc_id, item_id] = max(sims)
+    near = sum(s < 1 for s in want.values())
+    assert len(want) > 100 and near > 30
+    docs = spark.createDataFrame([(i, t, 1) for i, t in texts], "doc_id long, text string, start int").repartition(3)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items] + [(None, "no id here at all then"), (7000, None)], "item_id long, text string")
+    for block in (5000, 10):
+        got = {(x.doc_id, x.item_id): x.similarity for x in decontaminate.leaks(docs, bench, block).collect()}
+        assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
 
 
 @pytest.mark.parametrize("hot", [repeats.HOT, 1])
