@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pages
@@ -54,9 +54,10 @@ def page_plan(df: DataFrame, total: str = "total_results", page_size: int = 12)
     return df.withColumn("n_pages", n).where(n > 0).select("*", F.explode(F.sequence(F.lit(1), n)).alias("page"))
 
 
-def merge_card_and_detail(cards: DataFrame, details: DataFrame, fields: list[str], key: str = "url") -> DataFrame:
-    """Details with their gaps (null or '') filled from the listing card."""
-    renamed = cards.dropDuplicates([key]).select(key, *(F.col(f).alias(f"card_{f}") for f in fields))
+def merge_card_and_detail(cards: DataFrame, details: DataFrame, fields: list[str], key: str = "url", order: list[str] = ()) -> DataFrame:
+    """Details with their gaps (null or '') filled from the listing card, of several cards the first by ``order``, then by the fields themselves."""
+    first = F.min_by(F.struct(*fields), F.struct(*order, *fields)).alias("_card")
+    renamed = cards.groupBy(key).agg(first).select(key, *(F.col(f"_card.{f}").alias(f"card_{f}") for f in fields))
     joined = details.join(renamed, key, "left")
     filled = {f: F.coalesce(F.when(F.col(f) != "", F.col(f)), F.col(f"card_{f}")) if f in details.columns else F.col(f"card_{f}") for f in fields}
     return joined.withColumns(filled).drop(*(f"card_{f}" for f in fields))
@@ -74,8 +75,3 @@ def product_offers(offers: DataFrame) -> DataFrame:
 
 def failed_urls(frontier: DataFrame, results: DataFrame) -> DataFrame:
     return frontier.join(results.where("success").select("url").distinct(), "url", "left_anti")
-
-
-def first_per_url(df: DataFrame, order: list[str]) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("url").orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")

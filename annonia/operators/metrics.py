@@ -54,38 +54,84 @@ def top_endpoints(scores: DataFrame, n: int = 20) -> DataFrame:
 SLICE_HOURS = 24
 
 
-def _sliced(events: DataFrame, counted: dict[str, Column]) -> DataFrame:
-    """Events with running counts over their category, computed in slices: counts within the slice plus totals of the slices before.
+def running_counts(events: DataFrame) -> DataFrame:
+    """Events with their category's counts so far of each kind (n_error, n_block, n_captcha, n_success), and n_error at the last success so far (``cleared``, null before the first).
 
-    Only five categories exist, so a plain window would sort a fifth of the log in one task."""
+    Only five categories exist, so a plain window would sort a fifth of the log in one task. Counts are computed
+    in slices of time: those within the slice, plus those of the slices before."""
+    kinds = ("error", "block", "captcha", "success")
     cut = events.withColumn("slice", F.floor(F.unix_timestamp("ts") / (SLICE_HOURS * 3600)))
     inside = Window.partitionBy("category", "slice").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    run = cut.withColumns({f"r_{k}": F.count_if(F.col("kind") == k).over(inside) for k in kinds})
+    run = run.withColumn("r_cleared", F.max(F.when(F.col("kind") == "success", F.col("r_error"))).over(inside))
     before = Window.partitionBy("category").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = cut.groupBy("category", "slice").agg(*(F.sum(c.cast("long")).alias(f"t_{n}") for n, c in counted.items()))
-    offsets = totals.select("category", "slice", *(F.coalesce(F.sum(f"t_{n}").over(before), F.lit(0)).alias(f"o_{n}") for n in counted))
-    run = cut.withColumns({f"r_{n}": F.sum(c.cast("long")).over(inside) for n, c in counted.items()})
+    totals = run.groupBy("category", "slice").agg(*(F.max(f"r_{k}").alias(f"t_{k}") for k in kinds), F.max("r_cleared").alias("t_cleared"))
+    offsets = totals.select("category", "slice", "t_cleared", *(F.coalesce(F.sum(f"t_{k}").over(before), F.lit(0)).alias(f"o_{k}") for k in kinds))
+    offsets = offsets.withColumn("o_cleared", F.max(F.col("t_cleared") + F.col("o_error")).over(before)).drop("t_cleared")
     joined = run.join(offsets, ["category", "slice"])
-    return joined.withColumns({n: F.col(f"r_{n}") + F.col(f"o_{n}") for n in counted}).drop("slice", *(f"{p}_{n}" for p in "ro" for n in counted))
+    out = joined.withColumns({f"n_{k}": F.col(f"r_{k}") + F.col(f"o_{k}") for k in kinds} | {"cleared": F.coalesce(F.col("r_cleared") + F.col("o_error"), F.col("o_cleared"))})
+    return out.drop("slice", *(f"{p}_{k}" for p in "ro" for k in (*kinds, "cleared")))
 
 
 def error_streaks(events: DataFrame, threshold: int = ERRORS) -> DataFrame:
-    """Errors with their place in the current streak; ``alert`` at every ``threshold``-th, after which the streak starts anew."""
-    marked = _sliced(events.where(F.col("kind").isin("error", "success")), {"n_success": F.col("kind") == "success"})
-    # streaks end with each success, so a window of one streak is short but for a site that only fails
-    streak = F.row_number().over(Window.partitionBy("category", "n_success").orderBy("ts", "event_id"))
-    return marked.where("kind = 'error'").withColumn("streak", streak).withColumn("alert", F.col("streak") % threshold == 0).drop("n_success")
+    """Errors with their place in the current streak; ``alert`` at every ``threshold``-th. A source that only fails is counted in slices, too."""
+    counted = running_counts(events).where("kind = 'error'")
+    streak = (F.col("n_error") - F.coalesce("cleared", F.lit(0))).cast("int")
+    return counted.select(*events.columns, streak.alias("streak")).withColumn("alert", F.col("streak") % threshold == 0)
 
 
 def threshold_alerts(events: DataFrame, kind: str, n: int) -> DataFrame:
     """Every n-th event of a kind in its category."""
-    own = events.where(F.col("kind") == kind)
-    return _sliced(own, {"nth": F.lit(1)}).where(F.col("nth") % n == 0)
+    counted = running_counts(events.where(F.col("kind") == kind))
+    return counted.select(*events.columns, F.col(f"n_{kind}").alias("nth")).where(F.col("nth") % n == 0)
 
 
 def progress_marks(events: DataFrame, every: int = PROGRESS) -> DataFrame:
     return threshold_alerts(events, "success", every)
 
 
+def alerts(events: DataFrame, errors: int = ERRORS, blocks: int = BLOCKS, captchas: int = CAPTCHAS, every: int = PROGRESS, carried: DataFrame | None = None) -> DataFrame:
+    """Error streaks, block and captcha thresholds and progress marks in one pass: category, event_id, ts, kind, reached.
+
+    ``carried`` has the counters (category, errors, blocks, captchas, successes) of the events before."""
+    counted = running_counts(events)
+    if carried is None:
+        counted = counted.withColumns({c: F.lit(0).cast("long") for c in ("errors", "blocks", "captchas", "successes")})
+    else:
+        counted = counted.join(carried, "category", "left").fillna(0, ["errors", "blocks", "captchas", "successes"])
+    streak = F.col("n_error") - F.coalesce(F.col("cleared"), -F.col("errors"))
+    rules = {
+        "error": (streak, errors), "block": (F.col("n_block") + F.col("blocks"), blocks), "captcha": (F.col("n_captcha") + F.col("captchas"), captchas),
+        "success": (F.col("n_success") + F.col("successes"), every),
+    }
+    reached, due = F.lit(None).cast("long"), F.lit(False)
+    for kind, (value, n) in rules.items():
+        reached = F.when(F.col("kind") == kind, value).otherwise(reached)
+        due = due | ((F.col("kind") == kind) & (value % n == 0))
+    name = F.when(F.col("kind") == "success", "progress").otherwise(F.col("kind")).alias("kind")
+    return counted.where(due).select("category", "event_id", "ts", name, reached.alias("reached"))
+
+
+def counters(events: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """The counters after these events: the errors of the streak that is still on, and all blocks, captchas and successes."""
+    order = F.struct("ts", "event_id")
+    kind = F.col("kind")
+    last = events.groupBy("category").agg(
+        F.count_if(kind == "block").alias("b"), F.count_if(kind == "captcha").alias("c"), F.count_if(kind == "success").alias("s"), F.max(F.when(kind == "success", order)).alias("last")
+    )
+    late = events.where("kind = 'error'").join(last.select("category", "last"), "category").where(F.col("last").isNull() | (order > F.col("last")))
+    now = last.join(late.groupBy("category").agg(F.count("*").alias("e")), "category", "left")
+    if carried is None:
+        carried = events.sparkSession.createDataFrame([], "category string, errors long, blocks long, captchas long, successes long")
+    both = now.join(carried, "category", "full_outer")
+
+    def total(new: str, old: str) -> Column:
+        return (F.coalesce(new, F.lit(0)) + F.coalesce(old, F.lit(0))).alias(old)
+
+    errors = F.when(F.coalesce("s", F.lit(0)) > 0, F.coalesce("e", F.lit(0))).otherwise(total("e", "errors")).cast("long").alias("errors")
+    return both.select("category", errors, total("b", "blocks"), total("c", "captchas"), total("s", "successes"))
+
+
 def health_report(events: DataFrame, threshold: int = ERRORS, blocks: int = BLOCKS) -> DataFrame:
     """Items, current error streak, blocks since the last alert and last success, by category."""
     order = F.struct("ts", "event_id")

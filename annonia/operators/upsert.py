@@ -4,31 +4,34 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_per_doc(df: DataFrame, key: str = "doc_id", order: list[str] = ("date_crawl",), tie: list[str] = ()) -> DataFrame:
-    """Last write wins; ``tie`` settles equal times. A maximum of structs, so hot keys shrink before the shuffle."""
+def latest_per_doc(df: DataFrame, key: str, order: list[str], tie: list[str]) -> DataFrame:
+    """Last write wins; ``tie`` settles equal times. A maximum of structs, so hot keys shrink before the shuffle.
+
+    Rows without a key are no versions of each other: all stay."""
     rest = [c for c in df.columns if c != key]
     rank = [F.col(c) for c in (*order, *tie)]
     best = F.max_by(F.struct(*rest), F.struct(*rank)).alias("_row")
-    return df.groupBy(key).agg(best).select(*(F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns))
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).alias("_alone")
+    return df.groupBy(key, alone).agg(best).select(*(F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns))
 
 
-def upsert(current: DataFrame, batch: DataFrame, key: str = "doc_id", order: list[str] = ("date_crawl",), tie: list[str] = ()) -> DataFrame:
-    """``current`` with the batch's records in place of those of the same id; of several in the batch the latest."""
+def upsert(current: DataFrame, batch: DataFrame, key: str = "doc_id", order: list[str] = ("date_crawl",), tie: list[str] = ("row_id",)) -> DataFrame:
+    """``current`` with the batch's records in place of those of the same id; of several in the batch the latest. Rows without an id stay as they are."""
     new = latest_per_doc(batch, key, order, tie)
     return current.join(new.select(key), key, "left_anti").select(new.columns).unionByName(new)
 
 
-def upsert_keep_first_date(current: DataFrame, batch: DataFrame, keep: Column, key: str = "doc_id", date: str = "date_depot", order: list[str] = ("date_crawl",), tie: list[str] = ()) -> DataFrame:
-    """Upsert where rows for which ``keep`` holds retain the stored date, if that is not empty: one full join on the key does both."""
+def upsert_keep_first_date(current: DataFrame, batch: DataFrame, keep: Column, key: str = "doc_id", date: str = "date_depot", order: list[str] = ("date_crawl",), tie: list[str] = ("row_id",)) -> DataFrame:
+    """Upsert where rows for which ``keep`` holds retain the stored date, if that is not empty: one full join on the key does both. Rows without an id stay as they are."""
     new = latest_per_doc(batch, key, order, tie)
     columns = new.columns
     old = current.select(F.col(key).alias("_key"), F.struct(*columns).alias("_old"))
-    both = old.join(new.withColumn("_keep", keep), F.col("_key") == F.col(key), "full_outer")
-    is_new = F.col(key).isNotNull()
+    both = old.join(new.withColumns({"_keep": keep, "_new": F.lit(True)}), F.col("_key") == F.col(key), "full_outer")
+    is_new = F.col("_new").isNotNull()
     out = []
     for c in columns:
         value = F.when(is_new, F.col(c)).otherwise(F.col(f"_old.{c}"))
@@ -39,14 +42,22 @@ def upsert_keep_first_date(current: DataFrame, batch: DataFrame, keep: Column, k
     return both.select(*out)
 
 
+def first_of(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The first record of each key by ``order``: a minimum of structs, which map tasks reduce. Records without a key count as one key."""
+    rest = [c for c in df.columns if c != key]
+    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
+    return df.groupBy(key).agg(first).select(*(F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in df.columns))
+
+
 def dedupe_by_name(df: DataFrame, name: str = "titre", order: list[str] = ("pos",)) -> DataFrame:
     """First record of each title in input order."""
-    rank = F.row_number().over(Window.partitionBy(name).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    return first_of(df, name, order)
 
 
-def route_to_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").partitionBy("category").parquet(path)
+def route_to_table(df: DataFrame, path: str, key: str = "doc_id", buckets: int = 8) -> None:
+    """Appends to a table by category; each category is written by ``buckets`` tasks, by a hash of the id."""
+    dealt = df.repartition("category", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    dealt.write.mode("append").partitionBy("category").parquet(path)
 
 
 def union_sites(dfs: list[DataFrame]) -> DataFrame:

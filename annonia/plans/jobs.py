@@ -111,16 +111,14 @@ def normalize_electronics(df: DataFrame, text: str = "txt") -> DataFrame:
 
 
 def save_listings(current: DataFrame, batch: DataFrame, keep: Column) -> tuple[DataFrame, DataFrame]:
-    """The new state of the table, and the rows that fail (no title and no url)."""
-    good, bad = io.split_failed(batch, base.some(base.text(F.col("url"))).isNotNull())
+    """The new state of the table, and the rows that fail (no url, or no id)."""
+    good, bad = io.split_failed(batch, ~base.blank(F.col("url")) & F.col("doc_id").isNotNull())
     return upsert.upsert_keep_first_date(current, good, keep, tie=["row_id"]), bad
 
 
 def monitor_runs(events: DataFrame) -> DataFrame:
     """All alerts of the log in one table: category, event_id, kind, reached."""
-    errors = metrics.error_streaks(events).where("alert").select("category", "event_id", F.lit("error").alias("kind"), F.col("streak").cast("long").alias("reached"))
-    rest = [metrics.threshold_alerts(events, kind, n).select("category", "event_id", F.lit(name).alias("kind"), F.col("nth").cast("long").alias("reached")) for kind, n, name in (("block", metrics.BLOCKS, "block"), ("captcha", metrics.CAPTCHAS, "captcha"), ("success", metrics.PROGRESS, "progress"))]
-    return upsert.union_sites([errors, *rest])
+    return metrics.alerts(events).drop("ts")
 
 
 def rank_endpoints(requests: DataFrame, n: int = 20) -> DataFrame:

@@ -27,11 +27,38 @@ def _finished(df: DataFrame, place: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{place}/out")
 
 
+def _alerts(spark: SparkSession, sf_dir: str, start) -> DataFrame:
+    place = new_folder(spark)
+    start(_events(spark, sf_dir), f"{place}/table", f"{place}/log").awaitTermination()
+    return streams.read_alerts(spark, f"{place}/table").select("category", "event_id", "kind", "reached")
+
+
 # L3, L4
 @registry.query(registry.ORACLE["alerts"])
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts with state by category; equal to the batch answer."""
-    return _finished(streams.stream_alerts(_events(spark, sf_dir)), new_folder(spark)).select("category", "event_id", "kind", "reached")
+    """Alerts with counters by category; equal to the batch answer."""
+    return _alerts(spark, sf_dir, streams.stream_alerts)
+
+
+# L3
+@registry.query(f"SELECT * FROM ({registry.ORACLE['alerts']}) WHERE kind = 'error'")
+def stream_error_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _alerts(spark, sf_dir, streams.stream_error_streaks)
+
+
+# L4
+@registry.query(f"SELECT * FROM ({registry.ORACLE['alerts']}) WHERE kind <> 'error'")
+def stream_threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _alerts(spark, sf_dir, streams.stream_threshold_alerts)
+
+
+# L1, with a watermark that keeps every id as long as the table's time goes
+@registry.query("SELECT DISTINCT CAST(user_id AS STRING) AS listing_id FROM events")
+def stream_watermarked_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids not seen within the delay, here ten years."""
+    stream = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/event*.parquet")
+    ids = stream.select(F.col("user_id").cast("string").alias("listing_id"), F.col("ts").cast("timestamp").alias("ts"))
+    return _finished(streams.stream_new_listings(ids, "3650 days"), new_folder(spark)).select("listing_id")
 
 
 # L1
@@ -61,9 +88,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         return batch.select(url.alias("doc_id"), "event_id", pages.listing_id_from_url(url).alias("numero"), F.col("event_id").alias("date_crawl"))
 
     streams.stream_normalize_upsert(stream, normalize, f"{place}/table", f"{place}/log").awaitTermination()
-    # the latest snapshot is the one with the highest number; partition discovery finds it
-    table = spark.read.parquet(f"{place}/table")
-    return table.join(table.agg(F.max("v").alias("v")), "v").select("doc_id", "event_id", "numero")
+    return streams.current_table(spark, f"{place}/table", normalize(spark.read.parquet(path)).schema).select("doc_id", "event_id", "numero")
 
 
 # L5

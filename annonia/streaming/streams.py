@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..operators import frontier, metrics, upsert
 from ..sources import io
@@ -40,19 +39,38 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def stream_normalize_upsert(stream: DataFrame, normalize: Callable[[DataFrame], DataFrame], table: str, checkpoint: str, key: str = "doc_id") -> StreamingQuery:
-    """Normalises and upserts each batch; every batch writes a whole new snapshot ``table/v=N`` from the one before."""
+def stream_normalize_upsert(
+    stream: DataFrame, normalize: Callable[[DataFrame], DataFrame], table: str, checkpoint: str, key: str = "doc_id", order: list[str] = ("date_crawl",), tie: list[str] = ("event_id",), buckets: int = 64
+) -> StreamingQuery:
+    """Normalises and upserts each batch into ``table/bucket=B/v=N``, a table bucketed by a hash of the key.
+
+    A batch rewrites only the buckets that it touches, each as version N beside the one before, so running a batch
+    again gives the same. ``current_table`` reads the newest version of every bucket."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         new = normalize(batch)
-        old = f"{table}/v={number - 1}"
-        state = upsert.upsert(spark.read.schema(new.schema).parquet(old), new, key) if number and _exists(spark, old) else upsert.latest_per_doc(new, key)
-        state.write.mode("overwrite").parquet(f"{table}/v={number}")
+        columns = new.columns
+        new = new.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        state = upsert.latest_per_doc(new, key, order, tie)
+        if _exists(spark, table):
+            touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most ``buckets``
+            old = current_table(spark, table, normalize(batch.limit(0)).schema, before=number).where(F.col("bucket").isin(touched))
+            state = upsert.upsert(old, new, key, order, tie)
+        out = state.select(*columns, "bucket").withColumn("v", F.lit(number)).repartition("bucket")
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "v").parquet(table)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def current_table(spark: SparkSession, table: str, schema: StructType, before: int | None = None) -> DataFrame:
+    """The newest version of every bucket (of those before a batch), with the column ``bucket``."""
+    rows = spark.read.schema(StructType([*schema.fields, StructField("bucket", IntegerType()), StructField("v", LongType())])).parquet(table)
+    rows = rows if before is None else rows.where(F.col("v") < before)
+    newest = rows.groupBy("bucket").agg(F.max("v").alias("v"))
+    return rows.join(newest, ["bucket", "v"], "left_semi").drop("v")
+
+
 def stream_dead_letter(stream: DataFrame, valid, good: str, bad: str, checkpoint: str) -> StreamingQuery:
     """Rows that fail go to their own path, batch by batch."""
 
@@ -66,50 +84,38 @@ def stream_dead_letter(stream: DataFrame, valid, good: str, bad: str, checkpoint
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-_ALERT = "category string, event_id long, ts timestamp, kind string, reached long"
-_STATE = "errors long, blocks long, captchas long, successes long"
+_COUNTERS = "category string, errors long, blocks long, captchas long, successes long, batch long"
+_ALERTS = "category string, event_id long, ts timestamp, kind string, reached long, batch long"
+
 
+def stream_alerts(
+    events: DataFrame, table: str, checkpoint: str, errors: int = metrics.ERRORS, blocks: int = metrics.BLOCKS, captchas: int = metrics.CAPTCHAS, every: int = metrics.PROGRESS, kinds: list[str] = ("error", "block", "captcha", "progress")
+) -> StreamingQuery:
+    """Error streaks, block and captcha thresholds and progress marks, appended to ``table/alerts``; four counters a category go from batch to batch.
 
-def _alerts(errors: int, blocks: int, captchas: int, every: int):
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
-        e, b, c, s = state.get if state.exists else (0, 0, 0, 0)
-        rows = []
-        for pdf in sorted(batches, key=lambda x: len(x)):
-            rows += pdf[["ts", "event_id", "kind"]].values.tolist()
-        out = []
-        for ts, event, kind in sorted(rows):
-            if kind == "success":
-                e, s = 0, s + 1
-                if s % every == 0:
-                    out.append((key[0], event, ts, "progress", s))
-            elif kind == "error":
-                e += 1
-                if e % errors == 0:
-                    out.append((key[0], event, ts, "error", e))
-            elif kind == "block":
-                b += 1
-                if b % blocks == 0:
-                    out.append((key[0], event, ts, "block", b))
-            elif kind == "captcha":
-                c += 1
-                if c % captchas == 0:
-                    out.append((key[0], event, ts, "captcha", c))
-        state.update((e, b, c, s))
-        yield pd.DataFrame(out, columns=["category", "event_id", "ts", "kind", "reached"])
+    Events of a micro-batch are taken in event order and counted in slices of time, so no task holds a category's
+    batch. A batch is one directory, overwritten if it runs again."""
 
-    return step
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        before = f"{table}/counters/batch={number - 1}"
+        carried = spark.read.schema(_COUNTERS).parquet(before).drop("batch") if number and _exists(spark, before) else None
+        due = metrics.alerts(batch, errors, blocks, captchas, every, carried)
+        due.where(F.col("kind").isin(list(kinds))).write.mode("overwrite").parquet(f"{table}/alerts/batch={number}")
+        metrics.counters(batch, carried).write.mode("overwrite").parquet(f"{table}/counters/batch={number}")
+        batch.unpersist()
 
+    return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-def stream_alerts(events: DataFrame, errors: int = metrics.ERRORS, blocks: int = metrics.BLOCKS, captchas: int = metrics.CAPTCHAS, every: int = metrics.PROGRESS) -> DataFrame:
-    """Error streaks, block and captcha thresholds and progress marks with four counters of state a category.
 
-    Events of a micro-batch are taken in event order; a category's batch is held in one task."""
-    return events.groupBy("category").applyInPandasWithState(_alerts(errors, blocks, captchas, every), _ALERT, _STATE, "append", "NoTimeout")
+def read_alerts(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.schema(_ALERTS).parquet(f"{table}/alerts").drop("batch")
 
 
-def stream_error_streaks(events: DataFrame, threshold: int = metrics.ERRORS) -> DataFrame:
-    return stream_alerts(events, errors=threshold).where("kind = 'error'")
+def stream_error_streaks(events: DataFrame, table: str, checkpoint: str, threshold: int = metrics.ERRORS) -> StreamingQuery:
+    return stream_alerts(events, table, checkpoint, errors=threshold, kinds=["error"])
 
 
-def stream_threshold_alerts(events: DataFrame) -> DataFrame:
-    return stream_alerts(events).where("kind <> 'error'")
+def stream_threshold_alerts(events: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    return stream_alerts(events, table, checkpoint, kinds=["block", "captcha", "progress"])
