@@ -11,8 +11,9 @@ would lose links between two members that are both far from the centre, so bucke
 hold several components are looked at again. Documents whose shingles occur too seldom
 outside their own component to allow any link are left out first, by an exact bound. The rest
 of a bucket is cut into blocks, and pairs of blocks are compared by bitmaps of the sets, which
-bound the similarity from above; only pairs of different components that might be links come
-out. No bucket is capped. Links are confirmed on the full sets.
+bound the similarity from above. Of two components that might be linked first only the pair most alike comes
+out; where that is a link they are one component from then on, and of the others all pairs that might be links
+come out. No bucket is capped. Links are confirmed on the full sets.
 
 Input: ``doc_id``, ``text``. Null and empty texts have an empty set, linked with nothing. Rows
 that share a ``doc_id`` are one node (linked if any of its texts are); each row has its own
@@ -152,8 +153,8 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), pa.array([s.tobytes() for s in own], pa.binary()), pa.array([len(s) for s in own], pa.int64()), pa.array(bits, pa.binary())], names=["doc_id", "shingles", "n", "bits"])
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of two blocks that lie in different components and that the bitmaps don't rule out.
+def _compared(one: bool):
+    """Pairs of two blocks that lie in different components and that the bitmaps don't rule out; ``one``: for two components only the pair most alike.
 
     Each cell set in one bitmap only costs its document a shingle that the other lacks."""
 
@@ -161,18 +162,46 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(b"".join(m["bits"] for m in members), np.uint64).reshape(len(members), -1)
         return *(np.array([m[k] for m in members], np.int64) for k in ("doc_id", "label", "n")), bits, np.bitwise_count(bits).sum(1, dtype=np.int64)
 
-    for batch in batches:
-        for x, y in zip(batch.column(0), batch.column(1)):
-            (doc_a, label_a, n_a, bits_a, cells_a), (doc_b, label_b, n_b, bits_b, cells_b) = unpacked(x.as_py()), unpacked(y.as_py())
-            both = np.zeros((len(doc_a), len(doc_b)), np.int64)
-            for w in range(bits_a.shape[1]):
-                both += np.bitwise_count(bits_a[:, w, None] & bits_b[None, :, w])
-            both += np.minimum((n_a - cells_a)[:, None], (n_b - cells_b)[None, :])
-            can = (label_a[:, None] != label_b[None, :]) & (100 * both >= PERCENT * (n_a[:, None] + n_b[None, :] - both))
-            i, j = np.nonzero(can)
-            if len(i):
-                u, v = np.minimum(doc_a[i], doc_b[j]), np.maximum(doc_a[i], doc_b[j])
-                yield pa.record_batch([pa.array(u), pa.array(v)], names=["u", "v"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch.column(0), batch.column(1)):
+                (doc_a, label_a, n_a, bits_a, cells_a), (doc_b, label_b, n_b, bits_b, cells_b) = unpacked(x.as_py()), unpacked(y.as_py())
+                both = np.zeros((len(doc_a), len(doc_b)), np.int64)
+                for w in range(bits_a.shape[1]):
+                    both += np.bitwise_count(bits_a[:, w, None] & bits_b[None, :, w])
+                both += np.minimum((n_a - cells_a)[:, None], (n_b - cells_b)[None, :])
+                either = n_a[:, None] + n_b[None, :] - both
+                i, j = np.nonzero((label_a[:, None] != label_b[None, :]) & (100 * both >= PERCENT * either))
+                low, high = np.minimum(label_a[i], label_b[j]), np.maximum(label_a[i], label_b[j])
+                alike = both[i, j] / np.maximum(either[i, j], 1)
+                if one and len(i):
+                    order = np.lexsort((-alike, high, low))
+                    new = np.concatenate([[True], (low[order[1:]] != low[order[:-1]]) | (high[order[1:]] != high[order[:-1]])])
+                    i, j, low, high, alike = (c[order[new]] for c in (i, j, low, high, alike))
+                if len(i):
+                    u, v = np.minimum(doc_a[i], doc_b[j]), np.maximum(doc_a[i], doc_b[j])
+                    yield pa.record_batch([pa.array(c) for c in (u, v, low, high, alike)], names=["u", "v", "low", "high", "alike"])
+
+    return run
+
+
+def _block_pairs(rest: DataFrame, packed: DataFrame, one: bool) -> DataFrame:
+    """Pairs (u, v, low, high, alike) that may be links between components of a bucket; low and high are the components.
+
+    Blocks have about BLOCK documents of a bucket, so that a bucket of any size is compared by many tasks."""
+    parts = rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    block = F.pmod(F.xxhash64("doc_id"), F.col("parts")).alias("block")
+    placed = rest.join(parts, "bucket").join(packed.drop("shingles"), "doc_id").select("bucket", block, F.struct("doc_id", "label", "n", "bits").alias("member"))
+    blocks = written(placed.groupBy("bucket", "block").agg(F.collect_list("member").alias("members")))
+    other = blocks.select("bucket", F.col("block").alias("block_v"), F.col("members").alias("members_v"))
+    both = blocks.join(other, "bucket").where("block <= block_v").select("members", "members_v")
+    return both.mapInArrow(_compared(one), "u long, v long, low long, high long, alike double")
+
+
+def _confirmed_packed(pairs: DataFrame, packed: DataFrame) -> DataFrame:
+    shingles = packed.select("doc_id", "shingles")
+    both = pairs.join(shingles.toDF("v", "shingles_v"), "v").join(shingles.toDF("u", "shingles_u"), "u")
+    return written(both.select("u", "v", "shingles_u", "shingles_v").mapInArrow(_confirm_packed, "u long, v long"))
 
 
 def _confirm_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,31 +235,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = written(_confirmed(tested, needed))
     labels = components(links.union(equal))
 
-    def undecided(rows: DataFrame) -> DataFrame:
-        """The rows of buckets that still hold several components, with their labels."""
-        known = rows.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    def undecided(known: DataFrame) -> DataFrame:
+        """The rows (bucket, doc_id, label) of buckets that still hold several components."""
         several = known.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("bucket")
         return known.join(several, "bucket")
 
-    rest = written(undecided(_linkable(written(undecided(members.select("bucket", "doc_id"))), needed)).drop("shared", "size"))
+    def labelled(rows: DataFrame) -> DataFrame:
+        known = rows.select("bucket", "doc_id").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        return known.select("bucket", "doc_id", F.coalesce("label", "doc_id").alias("label"))
+
+    rest = written(undecided(labelled(_linkable(written(undecided(labelled(members))), needed))))
     packed = written(needed.join(rest.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_packed, _PACKED))
-    # blocks of about BLOCK documents of a bucket, so that a bucket of any size is compared by many tasks
-    parts = rest.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    block = F.pmod(F.xxhash64("doc_id"), F.col("parts")).alias("block")
-    placed = rest.join(parts, "bucket").join(packed.drop("shingles"), "doc_id").select("bucket", block, F.struct("doc_id", "label", "n", "bits").alias("member"))
-    blocks = written(placed.groupBy("bucket", "block").agg(F.collect_list("member").alias("members")))
-    other = blocks.select("bucket", F.col("block").alias("block_v"), F.col("members").alias("members_v"))
-    pairs = blocks.join(other, "bucket").where("block <= block_v").select("members", "members_v").mapInArrow(_compared, "u long, v long").distinct()
-    pairs = written(pairs.join(tested, ["u", "v"], "left_anti"))
-    shingles = packed.select("doc_id", "shingles")
-    both = pairs.join(shingles.toDF("v", "shingles_v"), "v").join(shingles.toDF("u", "shingles_u"), "u")
-    found = written(both.select("u", "v", "shingles_u", "shingles_v").mapInArrow(_confirm_packed, "u long, v long"))
+    # of two components first the pair most alike; what it links is one component when all other pairs are taken
+    best = _block_pairs(rest, packed, True).groupBy("low", "high").agg(F.max_by(F.struct("u", "v"), F.struct("alike", "u", "v")).alias("pair")).select("low", "high", "pair.u", "pair.v")
+    best = written(best.join(tested, ["u", "v"], "left_anti"))
+    found = _confirmed_packed(best.select("u", "v"), packed)
+    joined = best.join(found, ["u", "v"], "left_semi").groupBy(F.col("high").alias("label")).agg(F.min("low").alias("to"))
+    rest = written(undecided(rest.join(joined, "label", "left").select("bucket", "doc_id", F.coalesce("to", "label").alias("label"))))
+    others = written(_block_pairs(rest, packed, False).select("u", "v").distinct().join(tested.union(best.select("u", "v")), ["u", "v"], "left_anti"))
+    found = found.union(_confirmed_packed(others, packed))
     links = links.union(found)
     labels = components(links.union(equal))
     degree = links.select(F.explode(F.array("u", "v")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("n_links"))
-    labelled = sketch.select("doc_id", "n_shingles").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(degree, "doc_id", "left")
+    judged = sketch.select("doc_id", "n_shingles").join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(degree, "doc_id", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))
-    return labelled.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return judged.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:

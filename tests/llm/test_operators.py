@@ -94,6 +94,61 @@ def test_near_duplicates(docs):
             assert r.n_shingles in {len(s) for s in sets[r.doc_id]}
 
 
+def brute_components(texts):
+    """Component by doc_id of texts by (doc_id, text), all pairs compared."""
+    ids = sorted(texts)
+    numbers: dict = {}
+    sets = {i: {numbers.setdefault(x, len(numbers)) for x in shingle_set(texts[i])} for i in ids}
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    holders = collections.defaultdict(list)
+    for i in ids:
+        for x in sets[i]:
+            holders[x].append(i)
+    for b in ids:
+        common = collections.Counter(a for x in sets[b] for a in holders[x] if a < b)
+        for a, n in common.items():
+            if 100 * n >= 75 * (len(sets[a]) + len(sets[b]) - n) and find(a) != find(b):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {i: find(i) for i in ids}
+
+
+def test_near_duplicates_in_large_buckets(spark):
+    """Buckets of several blocks; two large components that one document between them links; far copies that stay alone."""
+    r = random.Random(11)
+    base = [f"w{k}" for k in range(200)]
+    other = [f"other{k}" if k % 33 == 5 else w for k, w in enumerate(base)]
+    assert brute_components({0: " ".join(base), 1: " ".join(other)})[1] == 1
+    between = [w if k < 100 else v for k, (w, v) in enumerate(zip(base, other))]
+
+    def spoiled(words, n):
+        return " ".join(changed(words, n, r))
+
+    texts = [spoiled(base, 1) for _ in range(230)] + [spoiled(other, 1) for _ in range(230)] + [" ".join(between)] + [spoiled(base, 8) for _ in range(60)]
+    texts += [spoiled([f"q{k}" if k % 3 else w for k, w in enumerate(base)], 2) for _ in range(20)]
+    r.shuffle(texts)
+    texts = dict(enumerate(texts))
+    want = brute_components(texts)
+    assert max(collections.Counter(want.values()).values()) > 450 and len(set(want.values())) > 10
+    df = spark.createDataFrame([(i, t, "x") for i, t in texts.items()], "doc_id long, text string, kept string").repartition(4)
+    got = {x.doc_id: x.component_id for x in minhash.near_duplicates(df).collect()}
+    assert got == want
+
+
+def test_near_duplicates_of_a_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    want = brute_components({x.doc_id: x.text for x in df.collect()})
+    got = {x.doc_id: x.component_id for x in minhash.near_duplicates(df).collect()}
+    assert got == want
+
+
 def test_distinct_documents_keep_columns(docs):
     out = minhash.distinct_documents(docs)
     assert out.columns == docs.columns
