@@ -10,9 +10,13 @@ minimisers at equal offsets, so they meet if runs are shuffled by minimiser. The
    start in them are sorted, and the previous and next smaller positions in suffix order give
    each its longest previous factor; a window is a repeat if that reaches its length.
 
+Of runs with the same bytes this is the whole answer, so longest-previous-factor arrays are built where bytes differ.
+
 Map tasks resolve copies among their own runs first, so a passage in a third of all documents
 sends one row a task. A minimiser with over ``HOT`` different runs is dealt out window by
-window, each by its own hash, after the same reduction; nothing is capped.
+window, each by its own hash, after the same reduction; nothing is capped. Minimisers that a sample of
+about ``SAMPLE_BYTES`` of text shows to be that frequent have their runs dealt out by content from the start, so that no
+task gets all of them; the sample only decides where rows go.
 
 Input: ``doc_id``, ``text``; ``text`` counts as UTF-8 bytes, null as empty. Rows that share a
 doc_id but not their text are separate documents, ordered by a hash of the text; rows alike in
@@ -34,6 +38,15 @@ from .store import written
 
 LENGTH, GRAM, HOT = 100, 24, 2000
 FLUSH, BLOCK = 1_500_000, 400_000
+#: The sample that shows hot minimisers, and how many different runs in it make one hot.
+SAMPLE_BYTES, SAMPLE_RUNS = 64 << 20, 50
+#: Windows that are taken at a time; twenty bits number their places.
+CHUNK = (1 << 19) - 256
+#: Digests of hot windows that a task remembers at a time.
+SEEN = 200_000
+#: In ``at``: the start, then a bit for hot minimisers, one for copies, and seven for the number of windows.
+_COPY, _HOT, _START = 1 << 7, 1 << 8, 9
+_ALL_HOT = (1 << 31) - 1
 #: Bytes of text for each task of the two shuffles, which hold their rows at once.
 TASK_BYTES = 64 << 20
 _POS = np.uint64((1 << 20) - 1)
@@ -57,7 +70,7 @@ def _gram_hashes(b: np.ndarray) -> np.ndarray:
 def runs(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of windows with one minimiser: text index, start, number of windows, minimiser hash, content hash."""
     out: list[tuple[np.ndarray, ...]] = []
-    most = (1 << 19) - 256
+    most = CHUNK
     for lo in range(0, max(len(data) - LENGTH + 1, 0), most):
         b = data[lo : lo + most + LENGTH - 1]
         n = len(b) - LENGTH + 1
@@ -112,32 +125,56 @@ def _chunks(cols: list, schema: str, size: int = 50_000) -> Iterator[pa.RecordBa
         yield _batch([c[i : i + size] for c in cols], schema)
 
 
-def _map_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of the partition's texts. Later copies among them come with bit 7 of ``at`` set and a random place to go."""
-    held: list[list[np.ndarray]] = []
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        if not held:
-            return
-        cols = [np.concatenate(x) for x in zip(*held)]
-        held.clear()
-        order, first = _firsts(cols)
-        cols = [c[order] for c in cols]
-        copy = ~first
-        cols[4] = cols[4] | (copy.astype(np.int64) << 7)
-        spread = tk.mix(cols[2].view(np.uint64) * tk.U(tk._BASE) + cols[4].view(np.uint64)).view(np.int64)
-        cols[0], cols[1] = np.where(copy, spread, cols[0]), np.where(copy, 0, cols[1])
-        yield from _chunks(cols, _RUNS)
-
+def _text_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Minimiser, content, document, sub and place of the runs of some texts at a time."""
     for batch in batches:
         ids, subs = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
         data, offs = tk.column(batch.column(2))
         for i, j in tk.slices(offs):
             d, start, count, mh, ch = runs(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-            held.append([mh.view(np.int64), ch.view(np.int64), ids[i:j][d], subs[i:j][d], start << 8 | count])
+            yield [mh.view(np.int64), ch.view(np.int64), ids[i:j][d], subs[i:j][d], start << _START | count]
+
+
+def _sampled_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for cols in _text_runs(batches):
+        yield pa.record_batch([pa.array(c) for c in cols[:2]], names=["mh", "ch"])
+
+
+def hot_minimisers(texts: DataFrame, total: int, sample_bytes: int = SAMPLE_BYTES, sample_runs: int = SAMPLE_RUNS) -> np.ndarray:
+    """Minimisers with many different runs in a sample of texts; at most one in ``sample_runs`` of the sample's runs."""
+    share = min(1.0, sample_bytes / max(total, 1))
+    some = texts.where(F.pmod(F.xxhash64("doc", "sub", F.lit(1)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    found = some.mapInArrow(_sampled_runs, "mh long, ch long").distinct().groupBy("mh").count().where(F.col("count") >= sample_runs)
+    return np.sort(np.array([r.mh for r in found.select("mh").collect()], np.int64))
+
+
+def _map_runs(hot):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of the partition's texts. Later copies among them come with a random place to go, runs of hot minimisers go by content."""
+        held: list[list[np.ndarray]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            cols = [np.concatenate(x) for x in zip(*held)]
+            held.clear()
+            order, first = _firsts(cols)
+            cols = [c[order] for c in cols]
+            copy, frequent = ~first, np.isin(cols[0], hot.value)
+            by_content = tk.mix(cols[0].view(np.uint64) * tk.U(tk._BASE) + cols[1].view(np.uint64)).view(np.int64)
+            cols[0] = np.where(frequent, by_content, cols[0])
+            cols[4] = cols[4] | copy * _COPY | frequent * _HOT
+            spread = tk.mix(cols[2].view(np.uint64) * tk.U(tk._BASE) + cols[4].view(np.uint64)).view(np.int64)
+            cols[0], cols[1] = np.where(copy, spread, cols[0]), np.where(copy, 0, cols[1])
+            yield from _chunks(cols, _RUNS)
+
+        for cols in _text_runs(batches):
+            held.append(cols)
             if sum(len(x[0]) for x in held) > FLUSH:
                 yield from flush()
-    yield from flush()
+        yield from flush()
+
+    return run
 
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,22 +184,22 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     cols = [np.concatenate(x) for x in zip(*held)]
     held.clear()
-    copied = (cols[4] >> 7 & 1) == 1
+    copied = cols[4] & _COPY != 0
     done = [c[copied] for c in cols]
     cols = [c[~copied] for c in cols]
     order, first = _firsts(cols)
     cols = [c[order] for c in cols]
     later = [np.concatenate([a, c[~first]]) for a, c in zip(done, cols)]
-    begin, count = later[4] >> 8, later[4] & 127
+    begin, count = later[4] >> _START, later[4] & 127
     nothing = pa.nulls(len(begin), pa.int64())
     yield from _chunks([later[2], later[3], begin, begin + count + LENGTH - 1, nothing, np.zeros(len(begin), np.int32)], _FOUND)
     mh, doc, sub, at = (cols[k][first] for k in (0, 2, 3, 4))
     if len(mh):
         new = np.concatenate([[True], mh[1:] != mh[:-1]])
         size = np.diff(np.append(np.flatnonzero(new), len(mh)))
-        n = np.repeat(size, size)
+        n = np.where(at & _HOT != 0, _ALL_HOT, np.repeat(size, size))
         m = n > 1
-        begin, count = at[m] >> 8, at[m] & 127
+        begin, count = at[m] >> _START, at[m] & 127
         yield from _chunks([doc[m], sub[m], begin, begin + count + LENGTH - 1, mh[m], n[m].astype(np.int32)], _FOUND)
 
 
@@ -187,6 +224,8 @@ def _cut(hot: int):
                         if key in seen:  # texts come in order, so this one is later: no bytes needed, any task will do
                             rows.append((hash((ids[i], s)), ids[i], subs[i], s, b""))
                         else:
+                            if len(seen) >= SEEN:
+                                seen.clear()
                             seen.add(key)
                             rows.append((int.from_bytes(key[:8], "little", signed=True), ids[i], subs[i], s, one))
                 if len(rows) > 20_000:
@@ -313,7 +352,7 @@ def _trimmed(with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = True, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_text: bool = True, hot: int = HOT, sample_bytes: int = SAMPLE_BYTES, sample_runs: int = SAMPLE_RUNS) -> DataFrame:
     """Per document: size, removed bytes, maximal removed runs, digest of what stays and (``with_text``) what stays."""
     least = F.lit(-(1 << 63)).cast("long")
     base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).withColumn("doc", F.coalesce("doc_id", least))
@@ -329,7 +368,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, hot: int = HOT) -> D
     base = base.withColumn("sub", F.xxhash64("text") if again else F.lit(0).cast("long"))
     once = base.select("doc", "sub", "text")
     once = once.dropDuplicates(["doc", "sub"]) if again else once
-    found = written(dealt(once.mapInArrow(_map_runs, _RUNS), "mh").mapInArrow(_resolve, _FOUND))
+    frequent = spark.sparkContext.broadcast(hot_minimisers(once, total, sample_bytes, sample_runs))
+    found = written(dealt(once.mapInArrow(_map_runs(frequent), _RUNS), "mh").mapInArrow(_resolve, _FOUND))
     asked = found.where("mh is not null").groupBy("doc", "sub").agg(F.collect_list(F.struct("begin", "end", "mh", "n_runs")).alias("wanted"))
     pieces = once.join(asked, ["doc", "sub"]).select("doc", "sub", "text", "wanted").sortWithinPartitions("doc", "sub").mapInArrow(_cut(hot), _PIECES)
     spans = dealt(pieces, "key").mapInArrow(_factor, _SPANS).union(found.where("mh is null").select("doc", "sub", "begin", "end"))

@@ -586,11 +586,14 @@ def test_decontamination_recall_against_all_windows(spark):
         assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
 
 
-@pytest.mark.parametrize("hot", [repeats.HOT, 1])
-def test_repeats(spark, hot):
+@pytest.mark.parametrize("hot,sample_runs", [(repeats.HOT, 50), (1, 50), (repeats.HOT, 2)])
+def test_repeats(spark, hot, sample_runs):
+    """As it is; every minimiser of two runs dealt out by window; every one of two runs hot from the start."""
     chunks = [sentence(40) for _ in range(4)]
     rows = [(d, sentence(rng.randint(0, 20)) + "".join(rng.choice(chunks)[rng.randint(0, 60) :] for _ in range(rng.randint(0, 3)))) for d in range(60)]
     rows += [(100, None), (101, ""), (102, "q" * 700), (103, "q" * 250), (-5, "ab" * 120), (None, chunks[0]), (104, "é" * 80), (105, chunks[1] + "same"), (105, chunks[1] + "same")]
+    # one string of 24 bytes in many surroundings, some of which repeat
+    rows += [(1000 + i, f"{sentence(12)} http://www.example.com/page/ {chunks[i % 4][:70] if i % 3 else sentence(9)}") for i in range(90)]
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, n_removed int").repartition(4)
     seen, want = set(), {}
     for d, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
@@ -603,7 +606,7 @@ def test_repeats(spark, hot):
             seen.add(w)
         kept = bytes(np.frombuffer(b, np.uint8)[~gone])
         want[d] = (len(b), int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum()), hashlib.sha256(kept).hexdigest(), kept)
-    out = repeats.remove_repeats(df, hot=hot).collect()
+    out = repeats.remove_repeats(df, hot=hot, sample_runs=sample_runs).collect()
     assert len(out) == len(rows)
     for r in out:
         assert (*tuple(r)[1:5], bytes(r.kept)) == want[r.doc_id], r.doc_id
@@ -685,6 +688,43 @@ def test_masked_spans():
     assert secrets.masked("abc", []) == "abc" and secrets.masked("abc", [(0, 0, 3)]) == "***"
 
 
+def test_repeats_over_chunk_borders(spark, monkeypatch):
+    """Texts longer than the chunks in which runs, words and slices are taken; a passage across each border, again elsewhere."""
+    r = random.Random(9)
+    size = repeats.CHUNK
+    body = "".join(r.choice("abcdefghij ") for _ in range(2 * size + 5000))
+    parts = [body[at - 70 : at + 80] for at in (size, size - repeats.LENGTH, 2 * size, size + 100)]
+    rows = [(1, body), (2, "x " + " . ".join(parts)), (3, body[size - 400 : size + 400] * 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, want = set(), {}
+    for d, t in rows:
+        b = t.encode()
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - repeats.LENGTH + 1):
+            w = b[i : i + repeats.LENGTH]
+            if w in seen:
+                gone[i : i + repeats.LENGTH] = True
+            seen.add(w)
+        want[d] = (int(gone.sum()), bytes(np.frombuffer(b, np.uint8)[~gone]))
+    assert want[2][0] > 400 and want[3][0] > 1400
+    assert {x.doc_id: (x.n_removed, bytes(x.kept)) for x in repeats.remove_repeats(df).collect()} == want
+
+
+def test_words_over_slice_borders():
+    """Hashes of words and shingles don't depend on the chunks and slices in which they are taken."""
+    r = random.Random(10)
+    texts = [" ".join(f"w{r.randrange(10**5)}" for _ in range(n)) for n in (400_000, 3, 0, 90_000)] + ["y" * (1 << 20) + " z"]
+    data, offs = tk.column(pa.array(texts))
+    assert len(list(tk.slices(offs))) > 1 and len(data) > tk.SLICE
+    h, starts, ends, first = tk.word_hashes(data, offs)
+    assert np.diff(first).tolist() == [400_000, 3, 0, 90_000, 2]
+    for k in [*r.sample(range(len(h)), 300), len(h) - 2]:
+        word = data[starts[k] : ends[k]]
+        assert h[k] == tk.span_hashes(word, np.array([0]), np.array([len(word)]))[0]
+    one = tk.word_hashes(*tk.column(pa.array([texts[3]])))[0]
+    assert np.array_equal(tk.shingles(h[first[3] : first[4]]), tk.shingles(one))
+
+
 def test_repeats_by_size(docs, monkeypatch):
     """The number of tasks follows the corpus; the rows don't change."""
     rows = sorted(map(str, repeats.remove_repeats(docs).collect()))
