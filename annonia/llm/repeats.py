@@ -39,7 +39,7 @@ from .store import written
 LENGTH, GRAM, HOT = 100, 24, 2000
 FLUSH, BLOCK = 1_500_000, 400_000
 #: The sample that shows hot minimisers, and how many different runs in it make one hot.
-SAMPLE_BYTES, SAMPLE_RUNS = 64 << 20, 50
+SAMPLE_BYTES, SAMPLE_RUNS = 16 << 20, 50
 #: Windows that are taken at a time; twenty bits number their places.
 CHUNK = (1 << 19) - 256
 #: Digests of hot windows that a task remembers at a time.
