@@ -107,7 +107,7 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     split = segment(urls.select(F.explode(labels).alias("label")), counts)
     of_host = urls.select("host", F.posexplode(labels).alias("pos", "label")).distinct().join(split, "label")
     of_host = of_host.select("host", F.explode("pieces").alias("token")).groupBy("host", "token").agg(F.count("*").alias("k"))
-    path_words = urls.select("path", F.explode(words_of(F.col("path"))).alias("token")).groupBy("path", "token").agg(F.count("*").alias("k"))
+    path_words = urls.select("path").distinct().select("path", F.explode(words_of(F.col("path"))).alias("token")).groupBy("path", "token").agg(F.count("*").alias("k"))
     tokens = urls.select("host", "path", "ruled", "n").join(of_host.select("host", F.concat(F.lit("h:"), "token").alias("token"), "k"), "host").select("host", "path", "ruled", "n", "token", "k")
     tokens = written(tokens.unionByName(urls.select("host", "path", "ruled", "n").join(path_words.select("path", F.concat(F.lit("p:"), "token").alias("token"), "k"), "path").select("host", "path", "ruled", "n", "token", "k")))
 
