@@ -1,9 +1,12 @@
 """The registered queries as they are, and the pipeline's stages on awkward rows."""
 
 import collections
+import glob
 import math
+import os
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +40,17 @@ def test_query(spark, name):
         assert n == table.count() if source else n > 0
 
 
+@pytest.mark.parametrize("name", list(queries.ORACLE))
+def test_query_against_sql(spark, name):
+    con = duckdb.connect()
+    for f in glob.glob(f"{DIR}/*.parquet"):
+        con.execute(f"create view {os.path.basename(f)[:-8]} as select * from '{f}'")
+    out = queries.QUERIES[name](spark, DIR)
+    want = con.sql(queries.ORACLE[name])
+    assert sorted(out.columns) == sorted(want.columns)
+    assert sorted(map(tuple, out.select(want.columns).collect())) == sorted(want.fetchall())
+
+
 def test_naive_bayes_against_plain_counting(spark):
     """Scores of the urls that no rule fits, from the tokens of those that one does; hosts and paths that many pages share."""
     texts = ["redhouse", "bluehouse", "redboat", "boat", "housered", "zzz"]
