@@ -1,7 +1,8 @@
 """SQL for DuckDB, by brute force, of the queries of this subpackage that SQL can express.
 
 Chat formatting is a concatenation of turns, near-duplicate groups are the closure of a self-join of
-shingles, and repeats are byte strings with a row number above one. The other methods rest on merges,
+shingles, a split of a host is a recursion over its letters, shards are running sums in the order of the key (splitters and ranges only divide that work), and
+repeats are byte strings with a row number above one. The other methods rest on merges,
 decoding, fitted models or samples, which SQL can't say; their tests compare them with plain Python."""
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
@@ -62,6 +63,121 @@ select d.doc_id, coalesce(s.n, 0) as n_shingles, component_id, d.doc_id = compon
 from documents d join components c on c.doc_id = d.doc_id left join sizes s on s.doc_id = d.doc_id
 """
 
+OP3_URLS = r"""
+with recursive urls as (
+    select page_id, html, case when contains(url, '://') then substring(url, instr(url, '://') + 3) else '' end as rest from pages
+),
+hosts as (
+    select page_id, html, rest, regexp_extract(rest, '^[^/?#]*') as raw from urls
+),
+parts as (
+    select page_id, html, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(substring(rest, length(raw) + 1), '^[^?#]*') as path from hosts
+),
+rules as (
+    select * from (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')) as r(h, p, v)
+),
+fitting as (
+    select page_id, arg_max(h || p, length(h || p)) as rule, arg_max(v, length(h || p)) as ruled
+    from parts join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by page_id
+),
+base as (
+    select a.page_id, a.host, a.path, a.html, f.rule, f.ruled from parts a left join fitting f on f.page_id = a.page_id
+),
+read as (
+    select unnest(regexp_extract_all(lower(path), '[\p{L}\p{N}]+')) as piece from base
+    union all
+    select unnest(regexp_extract_all(lower(regexp_replace(coalesce(html, ''), '(?s)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>', ' ', 'g')), '[\p{L}\p{N}]+')) from base
+),
+counts as (
+    select piece, count(*) as n from read group by piece
+),
+total as (
+    select cast(coalesce(sum(n), 0) as bigint) as total from counts
+),
+of_host as (
+    select host, unnest(regexp_extract_all(host, '[\p{L}\p{N}]+')) as label from (select distinct host from base)
+),
+labels as (
+    select distinct label from of_host
+),
+begins as (
+    select label, unnest(range(1, length(label) + 1)) as b from labels
+),
+spans as (
+    select label, b, unnest(range(b, length(label) + 1)) as e from begins
+),
+substrings as (
+    select distinct label, label[b:e] as piece from spans
+),
+known as (
+    select s.label, list(struct_pack(k := s.piece, v := ln(total + 1) - ln(c.n))) as entries from substrings s join counts c on c.piece = s.piece, total group by s.label
+),
+steps as (
+    select l.label, total, coalesce(map_from_entries(entries), map {}) as cost, 0 as e, [cast(0 as double)] as costs, cast([] as bigint[]) as froms
+    from labels l left join known k on k.label = l.label, total
+    union all
+    select label, total, cost, e + 1, list_append(costs, best.c), list_append(froms, best.b)
+    from (
+        select *, list_min(list_transform(range(0, e + 1), lambda b: struct_pack(c := costs[b + 1] + coalesce(cost[label[b + 1:e + 1]], ln(total + 1) + (e + 1 - b) * ln(10)), b := b))) as best
+        from steps where e < length(label)
+    )
+),
+back as (
+    select label, froms, froms[e] as b, label[froms[e] + 1:e] as piece from steps where e = length(label)
+    union all
+    select label, froms, froms[b], label[froms[b] + 1:b] from back where b > 0
+),
+tokens as (
+    select u.page_id, ruled, 'h:' || piece as token from base u join of_host o on o.host = u.host join back on back.label = o.label
+    union all
+    select page_id, ruled, 'p:' || unnest(regexp_extract_all(lower(path), '[\p{L}\p{N}]+')) from base
+),
+by_token as (
+    select token, count(*) filter (where ruled = 'allow') as allow, count(*) filter (where ruled = 'block') as block from tokens where ruled is not null group by token
+),
+sums as (
+    select coalesce(sum(allow), 0) + count(*) + 1 as allow, coalesce(sum(block), 0) + count(*) + 1 as block from by_token
+),
+prior as (
+    select count(*) filter (where ruled = 'allow') as allow, count(*) filter (where ruled = 'block') as block from base
+),
+scores as (
+    select page_id, sum(ln((t.block + 1) / s.block) - ln((t.allow + 1) / s.allow)) as odds from tokens k join by_token t on t.token = k.token, sums s where k.ruled is null group by page_id
+)
+select b.page_id, b.host, b.path, b.rule,
+    coalesce(ruled, case when p.allow > 0 and p.block > 0 and round(coalesce(odds, 0) + ln(p.block / p.allow), 9) > 0 then 'block' else 'allow' end) as verdict
+from base b left join scores s on s.page_id = b.page_id, prior p
+"""
+
+OP8_SHARDING = """
+with bits as (
+    select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) as c from range(256) as r(i)
+),
+crc as (
+    select list(c order by i) as t from bits
+),
+texts as (
+    select doc_id, coalesce(text, '') as text, encode(coalesce(text, '')) as b from documents
+),
+sized as (
+    select
+        cast(doc_id as bigint) as doc_id,
+        octet_length(b) + 1 as size,
+        xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, octet_length(b) + 1), lambda i: cast('0x' || hex(b[i:i]) as bigint))), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8))) as text_crc32,
+        cast('0x' || substring(md5(text), 1, 15) as bigint) as k1,
+        cast('0x' || substring(md5(coalesce(cast(doc_id as varchar), 'null') || ' order'), 1, 15) as bigint) as k2
+    from texts, crc
+),
+placed as (
+    select *, sum(size) over (order by k1, k2, doc_id, text_crc32 rows unbounded preceding) - size as start, sum(size) over () as total from sized
+),
+dealt as (
+    select *, cast(least(floor((cast(start as double) + cast(size as double) / 2) * 8 / cast(total as double)), 7) as integer) as shard from placed
+)
+select doc_id, size, text_crc32, 'bytes' as law, shard, row_number() over (partition by shard order by k1, k2, doc_id, text_crc32) - 1 as slot, cast(null as integer) as grown_shard
+from dealt
+"""
+
 OP10_REPEATS = """
 with texts as (
     select doc_id, encode(coalesce(text, '')) as b from documents
@@ -107,4 +223,4 @@ select
 from texts t join kept k on k.doc_id = t.doc_id left join removed r on r.doc_id = t.doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_chat": OP1_CHAT, "op2_minhash": OP2_MINHASH, "op10_repeats": OP10_REPEATS}
+ORACLE: dict[str, str] = {"op1_chat": OP1_CHAT, "op2_minhash": OP2_MINHASH, "op3_urls": OP3_URLS, "op8_sharding": OP8_SHARDING, "op10_repeats": OP10_REPEATS}

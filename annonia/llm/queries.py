@@ -40,7 +40,7 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(table(spark, sf_dir, "pages"))
+    return urls.judge(table(spark, sf_dir, "pages")).drop("score")
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
