@@ -28,11 +28,11 @@ def parse_price(raw: Column, unit: Column | None = None) -> Column:
     low = F.lower(text(unit))
     factor = choose([(F.contains(low, F.lit("million")), 10000.0), (F.contains(low, F.lit("milliard")), 10000000.0)], F.lit(1.0))
     display = F.when(text(unit) == "", value).otherwise(F.concat_ws(" ", value, F.trim(unit)))
-    empty = text(raw) == ""
+    empty = text(raw) == ""  # its value is empty and no number
     return F.struct(
         F.when(empty, "").otherwise(display).alias("display"),
-        F.when(empty, "").otherwise(value).alias("value"),
-        F.when(empty, 0.0).otherwise(F.coalesce(number(value) * factor, F.lit(0.0))).alias("decimal"),
+        value.alias("value"),
+        F.coalesce(number(value) * factor, F.lit(0.0)).alias("decimal"),
         F.when(empty | (text(unit) == ""), "DA").otherwise(unit).alias("unit"),
     )
 

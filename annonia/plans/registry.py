@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import base, dates, money, pages, specs, vocab
+from ..functions import dates, money, pages, specs, vocab
 from ..operators import frontier, metrics, rows, upsert
 from ..sources import html, io
 from . import jobs
@@ -65,8 +65,12 @@ def _first(x: str, rules: list[tuple[list[str], str]], other: str) -> str:
     return "CASE " + " ".join(f"WHEN {_has(x, words)} THEN {_q(v)}" for words, v in rules) + f" ELSE {other} END"
 
 
+#: What counts as a number in text, for the SQL.
+NUMERIC = r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*$"
+
+
 def _num(x: str) -> str:
-    return f"CASE WHEN regexp_matches({x}, {_q(base.NUMERIC)}) THEN TRY_CAST(trim({x}) AS DOUBLE) END"
+    return f"CASE WHEN regexp_matches({x}, {_q(NUMERIC)}) THEN TRY_CAST(trim({x}) AS DOUBLE) END"
 
 
 def _rx(x: str, pattern: str, group: int = 1, flags: str = "") -> str:
