@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, minhash, quality, repeats, secrets, sharding, suffix_tree, urls
+from . import bpe, chat, decontaminate, minhash, pieces, quality, repeats, secrets, sharding, suffix_tree, urls
 from .oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,11 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, _ = tokenizer_path("piece_bpe_32k.model")
+    return pieces.encode_decode(table(spark, sf_dir, "documents"), path, with_ids=False).drop("ids")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_chat, op2_minhash, op3_urls, op4_bpe, op5_secrets, op6_quality, op7_suffix_tree, op8_sharding, op9_decontaminate, op10_repeats)
+    f.__name__: f for f in (op1_chat, op2_minhash, op3_urls, op4_bpe, op5_secrets, op6_quality, op7_suffix_tree, op8_sharding, op9_decontaminate, op10_repeats, op13_sentencepiece)
 }
