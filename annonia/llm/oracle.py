@@ -223,4 +223,98 @@ select
 from texts t join kept k on k.doc_id = t.doc_id left join removed r on r.doc_id = t.doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_chat": OP1_CHAT, "op2_minhash": OP2_MINHASH, "op3_urls": OP3_URLS, "op8_sharding": OP8_SHARDING, "op10_repeats": OP10_REPEATS}
+_CRC_TABLE = """bits as (
+    select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) as c from range(256) as r(i)
+),
+crc as (
+    select list(c order by i) as t from bits
+)"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text, with the table ``t``."""
+    b = f"encode({text})"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, octet_length({b}) + 1), lambda i: cast('0x' || hex({b}[i:i]) as bigint))), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)))"
+
+
+def _by_state(value: str) -> str:
+    """A list of a value for each of the states 0 to 3 (``s``), and for it the role to come (``nr``) and the state then (``ns``)."""
+    return "[" + ", ".join(value.replace("{s}", str(s + 1)).replace("{ns}", str(ns + 1)).replace("{nr}", nr).replace("{kept}", f"case when initial = '{nr}' then v[{ns + 1}]{system} end") for s, (nr, ns, system) in enumerate((("u", 2, " when initial = 's' then v[2]"), ("u", 2, ""), ("a", 3, ""), ("u", 2, "")))) + "]"
+
+
+#: Costs are carried from the last row to the first, in each state with no, one or two insertions; then the tight edits are taken one by one.
+OP12_REPAIR = rf"""
+with recursive {_CRC_TABLE},
+damage as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_crc32("coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')")} % 20 as k from conversations, crc
+),
+damaged as (
+    select conv_id, turn, case k when 4 then 'user' else role end as role, case k when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+        unnest(range(case k when 0 then 0 when 3 then 2 else 1 end)) as copy
+    from damage
+),
+numbered as (
+    select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as i, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as nth from damaged
+),
+judged as (
+    select conv_id, i, turn, role, text, role[1:1] as initial,
+        case when not regexp_matches(text, '[^ 	-]') then 'blank' when nth > 1 then 'duplicate' when regexp_extract(text, '([^ 	-])[ 	-]*$', 1) not in ('.', '!', '?') then 'truncated' else '' end as fault
+    from numbered
+),
+sizes as (
+    select conv_id, max(i) as n from judged group by conv_id
+),
+costs as (
+    select conv_id, n + 1 as i, [0, 6, 3, 0] as v from sizes
+    union all
+    select conv_id, i, [least(b[1], 3 + b[3], 6 + b[4]), least(b[2], 3 + b[3], 6 + b[4]), least(b[3], 3 + b[4]), least(b[4], 3 + b[3])]
+    from (
+        select j.conv_id, j.i, case when fault in ('blank', 'duplicate') then {_by_state("v[{s}] + 4")} else {_by_state("least(v[{s}] + 4, v[{ns}] + 3 + case fault when 'truncated' then 3 else 0 end, {kept} + case fault when 'truncated' then 3 else 0 end)")} end as b
+        from costs c join judged j on j.conv_id is not distinct from c.conv_id and j.i = c.i - 1
+    )
+),
+steps as (
+    select conv_id, cast(1 as bigint) as i, 0 as s, '' as audit, cast([] as varchar[]) as lines from sizes
+    union all
+    select conv_id, case when e = 'I' then i else i + 1 end, case when e = 'D' then s when e = 'K' and initial = 's' then 1 when s = 2 then 3 else 2 end, audit || e,
+        case e when 'D' then lines when 'K' then list_append(lines, role || ':' || text) else list_append(lines, case s when 2 then 'assistant:' else 'user:' end || case e when 'I' then '' else text end) end
+    from (
+        select p.*, j.role, j.text, j.initial,
+            case when j.i is not null and 4 + a.v[s + 1] = c.v[s + 1] then 'D'
+                when fault in ('blank', 'duplicate') then null
+                when (j.i is not null or s in (1, 2)) and 3 + c.v[case s when 2 then 4 else 3 end] = c.v[s + 1] then 'I'
+                when j.i is not null and (initial = 's' and s = 0 or initial = case s when 2 then 'a' else 'u' end) and case fault when 'truncated' then 3 else 0 end + a.v[case when initial = 's' then 2 when s = 2 then 4 else 3 end] = c.v[s + 1] then 'K'
+                when j.i is not null then 'R' end as e
+        from steps p
+        join costs c on c.conv_id is not distinct from p.conv_id and c.i = p.i
+        left join costs a on a.conv_id is not distinct from p.conv_id and a.i = p.i + 1
+        left join judged j on j.conv_id is not distinct from p.conv_id and j.i = p.i
+    )
+    where e is not null
+),
+walked as (
+    select conv_id, arg_max(audit, length(audit)) as audit, arg_max(lines, length(audit)) as lines from steps group by conv_id
+),
+pairs as (
+    select conv_id, initial || lead(initial) over (partition by conv_id order by i) as pair from judged
+),
+illegal as (
+    select conv_id, count(*) filter (where pair is not null and pair not in ('su', 'ua', 'au')) as illegal from pairs group by conv_id
+),
+faults as (
+    select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate, count(*) filter (where fault = 'truncated') as truncated
+    from judged group by conv_id
+),
+ids as (
+    select distinct conv_id from conversations
+)
+select ids.conv_id, coalesce(f.gaps, 0) as gaps, coalesce(f.blank, 0) as blank, coalesce(f.duplicate, 0) as duplicate, coalesce(f.truncated, 0) as truncated, coalesce(g.illegal, 0) as illegal,
+    cast(coalesce(c.v[1], 0) as bigint) as cost, coalesce(w.audit, '') as audit, sha256(coalesce(array_to_string(w.lines, chr(10)), '')) as repaired_sha256
+from ids
+left join faults f on f.conv_id is not distinct from ids.conv_id
+left join illegal g on g.conv_id is not distinct from ids.conv_id
+left join walked w on w.conv_id is not distinct from ids.conv_id
+left join costs c on c.conv_id is not distinct from ids.conv_id and c.i = 1
+"""
+
+ORACLE: dict[str, str] = {"op1_chat": OP1_CHAT, "op2_minhash": OP2_MINHASH, "op3_urls": OP3_URLS, "op8_sharding": OP8_SHARDING, "op10_repeats": OP10_REPEATS, "op12_repair": OP12_REPAIR}
