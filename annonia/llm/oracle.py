@@ -237,6 +237,46 @@ def _crc32(text: str) -> str:
     return f"xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, octet_length({b}) + 1), lambda i: cast('0x' || hex({b}[i:i]) as bigint))), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)))"
 
 
+#: Every prefix of every rebuilt conversation, and every prefix of those for the sums over subtrees.
+OP11_PREFIX_TRIE = rf"""
+with {_CRC_TABLE},
+plain as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+),
+convs as (
+    select conv_id, list(struct_pack(role := role, text := text) order by turn nulls first, md5(length(role) || ':' || role || text)) as turns from plain group by conv_id
+),
+heads as (
+    select conv_id, {_crc32("cast(conv_id as varchar)")} % 4 as h from convs, crc
+),
+rebuilt as (
+    select c.conv_id, list_concat(coalesce(b.turns[1:h], []), c.turns[h + 1:]) as turns from convs c join heads on heads.conv_id = c.conv_id left join convs b on b.conv_id = c.conv_id - c.conv_id % 20
+),
+depths as (
+    select *, unnest(range(len(turns) + 1)) as depth from rebuilt
+),
+nodes as (
+    select turns[1:depth] as prefix, depth, min(conv_id) as conv_id, count(*) as n_convs, sha256(coalesce(string_agg(conv_id, ',' order by conv_id) filter (where len(turns) = depth), '')) as ends_sha256
+    from depths group by turns[1:depth], depth
+),
+children as (
+    select prefix[1:depth - 1] as prefix, depth - 1 as depth, count(*) as n from nodes where depth > 0 group by all
+),
+own as (
+    select nodes.*, coalesce(n, 0) as n_children, case when depth > 0 then (n_convs - 1) * len(regexp_extract_all(prefix[depth].text, '[^\x20\x09-\x0D]+')) else 0 end as saved
+    from nodes left join children using (prefix, depth)
+),
+upward as (
+    select *, unnest(range(depth + 1)) as top from own
+),
+sums as (
+    select prefix[1:top] as prefix, top as depth, count(*) filter (where n_children = 0) as n_leaves, cast(sum(saved) as bigint) as saved_tokens from upward group by all
+)
+select o.conv_id, o.depth, p.conv_id as parent_conv_id, o.n_convs, o.n_children, s.n_leaves, s.saved_tokens, o.ends_sha256
+from own o join sums s using (prefix, depth) left join nodes p on p.depth = o.depth - 1 and p.prefix = o.prefix[1:o.depth - 1]
+"""
+
+
 def _by_state(value: str) -> str:
     """A list of a value for each of the states 0 to 3 (``s``), and for it the role to come (``nr``) and the state then (``ns``)."""
     return "[" + ", ".join(value.replace("{s}", str(s + 1)).replace("{ns}", str(ns + 1)).replace("{nr}", nr).replace("{kept}", f"case when initial = '{nr}' then v[{ns + 1}]{system} end") for s, (nr, ns, system) in enumerate((("u", 2, " when initial = 's' then v[2]"), ("u", 2, ""), ("a", 3, ""), ("u", 2, "")))) + "]"
@@ -258,7 +298,10 @@ numbered as (
 ),
 judged as (
     select conv_id, i, turn, role, text, role[1:1] as initial,
-        case when not regexp_matches(text, '[^ 	-]') then 'blank' when nth > 1 then 'duplicate' when regexp_extract(text, '([^ 	-])[ 	-]*$', 1) not in ('.', '!', '?') then 'truncated' else '' end as fault
+        case when not regexp_matches(text, '[^ 	-
+]') then 'blank' when nth > 1 then 'duplicate' when regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) not in ('.', '!', '?') then 'truncated' else '' end as fault
     from numbered
 ),
 sizes as (
@@ -317,4 +360,4 @@ left join walked w on w.conv_id is not distinct from ids.conv_id
 left join costs c on c.conv_id is not distinct from ids.conv_id and c.i = 1
 """
 
-ORACLE: dict[str, str] = {"op1_chat": OP1_CHAT, "op2_minhash": OP2_MINHASH, "op3_urls": OP3_URLS, "op8_sharding": OP8_SHARDING, "op10_repeats": OP10_REPEATS, "op12_repair": OP12_REPAIR}
+ORACLE: dict[str, str] = {"op1_chat": OP1_CHAT, "op2_minhash": OP2_MINHASH, "op3_urls": OP3_URLS, "op8_sharding": OP8_SHARDING, "op10_repeats": OP10_REPEATS, "op11_prefix_trie": OP11_PREFIX_TRIE, "op12_repair": OP12_REPAIR}

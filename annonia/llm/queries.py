@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, minhash, pieces, quality, repair, repeats, secrets, sharding, suffix_tree, urls
+from . import bpe, chat, decontaminate, minhash, pieces, quality, repair, repeats, secrets, sharding, suffix_tree, trie, urls
 from .oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(trie.rebuilt(trie.turn_arrays(table(spark, sf_dir, "conversations"))))
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.audited(repair.damaged(table(spark, sf_dir, "conversations")), "n")
 
@@ -83,5 +87,5 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_chat, op2_minhash, op3_urls, op4_bpe, op5_secrets, op6_quality, op7_suffix_tree, op8_sharding, op9_decontaminate, op10_repeats, op12_repair, op13_sentencepiece)
+    f.__name__: f for f in (op1_chat, op2_minhash, op3_urls, op4_bpe, op5_secrets, op6_quality, op7_suffix_tree, op8_sharding, op9_decontaminate, op10_repeats, op11_prefix_trie, op12_repair, op13_sentencepiece)
 }

@@ -23,6 +23,7 @@ CONTRACT = {
     "op7_suffix_tree": ("documents", "doc_id held_out n_tokens n_known train_tokens base_score score"),
     "op8_sharding": ("documents", "doc_id size text_crc32 law shard slot grown_shard"),
     "op9_decontaminate": (None, "doc_id item_id"),
+    "op11_prefix_trie": (None, "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256"),
     "op12_repair": ("conversations", "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256"),
     "op13_sentencepiece": ("documents", "doc_id n_tokens ids_sha256 decoded_sha256"),
     "op10_repeats": ("documents", "doc_id n_bytes n_removed n_spans kept_sha256"),
