@@ -23,6 +23,11 @@ def some(col: Column) -> Column:
     return F.when(col != "", col)
 
 
+def rest_of(col: Column) -> Column:
+    """All but the first character."""
+    return F.substring(col, F.lit(2), F.length(col))
+
+
 def take(col: Column, pattern: str, group: int = 1) -> Column:
     """A group of the first match; null if there is none or it is empty."""
     return some(F.regexp_extract(text(col), pattern, group))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .base import choose, contains_any, some, take, text
+from .base import choose, contains_any, rest_of, some, take, text
 from .vocab import convert_property_type, detect_transaction
 
 # ---- fixed values ----
@@ -55,7 +55,7 @@ def category_from_url(url: Column) -> Column:
     """Query parameter ``page`` with a capital, else the first path key, else ''."""
     page = F.try_parse_url(url, F.lit("QUERY"), F.lit("page"))
     path = F.lower(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")))
-    capital = F.concat(F.upper(F.substring(page, 1, 1)), F.lower(F.substring(page, 2, 1000)))
+    capital = F.concat(F.upper(F.substring(page, 1, 1)), F.lower(rest_of(page)))
     return F.coalesce(capital, choose([(F.contains(path, F.lit(k)), v) for k, v in URL_CATEGORIES], F.lit("")))
 
 
@@ -111,7 +111,7 @@ def high_quality_image(url: Column, query: str = "w=1200&q=90") -> Column:
 
 # ---- contacts ----
 def extract_emails(html: Column) -> Column:
-    found = F.regexp_extract_all(text(html), F.lit(r'href="mailto:([^"]*)"'), F.lit(1))
+    found = F.regexp_extract_all(text(html), F.lit(r"""href\s*=\s*["']?mailto:([^"'\s>]*)"""), F.lit(1))
     return F.array_distinct(F.filter(F.transform(found, lambda x: F.lower(F.trim(x))), lambda x: x != ""))
 
 
@@ -120,7 +120,7 @@ def _digits(col: Column) -> Column:
 
 
 def extract_phones(html: Column, visible: Column) -> Column:
-    links = F.regexp_extract_all(text(html), F.lit(r'href="tel:([^"]*)"'), F.lit(1))
+    links = F.regexp_extract_all(text(html), F.lit(r"""href\s*=\s*["']?tel:([^"'>]*)"""), F.lit(1))
     shown = F.regexp_extract_all(text(visible), F.lit(f"({PHONE})"), F.lit(1))
     return F.array_distinct(F.filter(F.transform(F.concat(links, shown), _digits), lambda x: F.length(x) >= 9))
 
@@ -185,7 +185,7 @@ def split_specs(specs: Column, mapped: dict[str, str]) -> tuple[dict[str, Column
 def breadcrumb_fields(names: Column, links: Column) -> Column:
     """struct(bien, transaction): the last valid entry of each."""
     types = F.filter(F.transform(names, convert_property_type), lambda x: x != "")
-    capital = F.transform(links, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1000))))
+    capital = F.transform(links, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(rest_of(x))))
     trans = F.transform(F.filter(capital, lambda x: x.isin(BREADCRUMB_TRANSACTIONS)), lambda x: F.replace(x, F.lit(" "), F.lit("-")))
     return F.struct(F.coalesce(F.try_element_at(types, F.lit(-1)), F.lit("")).alias("bien"), F.coalesce(F.try_element_at(trans, F.lit(-1)), F.lit("")).alias("transaction"))
 

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from ..functions import pages
 
 
+#: The href of an anchor, with its quotes if it has any.
+_HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def hrefs(html: Column) -> Column:
+    """The hrefs of all anchors in order, quoted in either way or not at all."""
+    found = F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(_HREF), F.lit(1))
+    return F.transform(found, lambda h: F.replace(F.regexp_replace(h, "^[\"']|[\"']$", ""), F.lit("&amp;"), F.lit("&")))
+
+
 def extract_itemlist_urls(df: DataFrame) -> DataFrame:
     """(page_id, pos, url) from the pages' JSON-LD item lists."""
     return df.select("page_id", F.posexplode(pages.itemlist_urls(F.col("html"))).alias("pos", "url"))
@@ -15,15 +25,14 @@ def extract_itemlist_urls(df: DataFrame) -> DataFrame:
 
 def extract_links(df: DataFrame) -> DataFrame:
     """(page_id, page_url, pos, href) of every anchor."""
-    hrefs = F.regexp_extract_all("html", F.lit(r'<a\s[^>]*?href="([^"]*)"'), F.lit(1))
-    return df.select("page_id", F.col("url").alias("page_url"), F.posexplode(hrefs).alias("pos", "href"))
+    return df.select("page_id", F.col("url").alias("page_url"), F.posexplode(hrefs(F.col("html"))).alias("pos", "href"))
 
 
 def links_with_fallback(df: DataFrame, min_links: int = 5) -> DataFrame:
     """JSON-LD urls, and the html links of pages with fewer than ``min_links`` of them; counted on the array, so without a shuffle."""
     ld = pages.itemlist_urls(F.col("html"))
-    hrefs = F.transform(F.regexp_extract_all("html", F.lit(r'<a\s[^>]*?href="([^"]*)"'), F.lit(1)), lambda h: pages.resolve_url(F.col("url"), h))
-    both = F.when(F.size(ld) < min_links, F.concat(ld, F.filter(hrefs, lambda x: x.isNotNull()))).otherwise(ld)
+    links = F.transform(hrefs(F.col("html")), lambda h: pages.resolve_url(F.col("url"), h))
+    both = F.when(F.size(ld) < min_links, F.concat(ld, F.filter(links, lambda x: x.isNotNull()))).otherwise(ld)
     return df.select("page_id", F.posexplode(F.array_distinct(both)).alias("pos", "url"))
 
 

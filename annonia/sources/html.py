@@ -1,7 +1,9 @@
-"""One pass over a page's html: title, texts, links, label/value pairs, images.
+"""One pass over a page's html: its elements, texts, links, label/value pairs, images.
 
 Spark has no html reader, so this is the one helper in Python: Arrow batches through the standard
-library's parser. Batches are kept small, as pages are large."""
+library's parser. Batches are kept small, as pages are large. The elements of a page come out as an array
+in document order; each says how far its subtree goes, so that ``functions.dom`` can select among them
+in column expressions. Texts are kept once for the page; an element holds a range of them."""
 
 from __future__ import annotations
 
@@ -12,88 +14,239 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import pages
+from ..functions import dom, pages
+from ..functions.base import text
 
-PARSED = (
-    "page_id long, url string, title string, visible string, elements array<struct<tag:string,css:string,id:string,text:string>>, "
-    "links array<string>, images array<string>, pairs array<struct<label:string,value:string>>"
+#: An element: its place, the place after its subtree, its parent's, previous sibling's and ancestors' places, its number among all
+#: siblings and among those of its tag, whether it is the last child, and its range of ``strings``.
+ELEMENT = (
+    "struct<start:int,end:int,depth:int,parent:int,prev:int,path:array<int>,nth:int,nth_of_tag:int,last:boolean,"
+    "tag:string,id:string,classes:array<string>,attrs:map<string,string>,from:int,to:int>"
 )
+PARSED = f"page_id long, url string, title string, visible string, elements array<{ELEMENT}>, strings array<string>, links array<string>, images array<string>, pairs array<struct<label:string,value:string>>"
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _HIDDEN = {"script", "style", "template"}
-_KEPT = {"title", "h1", "h2", "h3", "p", "li", "td", "th", "dt", "dd", "div", "span", "a", "article", "section"}
+_BLOCKS = {"address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "p", "pre", "section", "table", "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul"}
+#: Tags whose start ends open elements, up to the nearest of the second set.
+_ROWS = {"tr", "td", "th"}
+_ENDS = {
+    "li": ({"li"}, {"ul", "ol"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "option": ({"option"}, {"select"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "tr": (_ROWS, {"table"}),
+    **{t: (_ROWS | {"thead", "tbody", "tfoot"}, {"table"}) for t in ("thead", "tbody", "tfoot")},
+    **{t: ({"p"}, {"td", "th", "li", "table", "button", "body"}) for t in _BLOCKS - {"li", "dt", "dd", "td", "th", "tr", "thead", "tbody", "tfoot", "br", "title"}},
+}
+_NEVER_INSIDE = {"p", "li", "dt", "dd", "td", "th", "tr", "option", "b", "i", "a", "span", "em", "strong"}
 
 
 class _Page(HTMLParser):
-    def __init__(self):
+    """The elements (as dicts), strings and children of one page."""
+
+    def __init__(self, source: str):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, str, str, list[str]]] = []
-        self.elements, self.links, self.images, self.pairs, self.text = [], [], [], [], []
-        self.cells: list[str] = []
-        self.label: str | None = None
+        self.elements: list[dict] = []
+        self.children: list[list[int]] = []
+        self.top: list[int] = []
+        self.strings: list[str] = []
+        self.open: list[int] = []
         self.hidden = 0
+        self.feed(source)
+        self.close()
+        while self.open:
+            self._end()
+
+    def _end(self) -> None:
+        e = self.elements[self.open.pop()]
+        self.hidden -= e["tag"] in _HIDDEN
+        if e["tag"] in _BLOCKS:
+            self.strings.append("\n")
+        e["end"], e["to"] = len(self.elements), len(self.strings)
+
+    def _open_tags(self) -> list[str]:
+        return [self.elements[i]["tag"] for i in self.open]
 
     def handle_starttag(self, tag, attrs):
-        a = {k: v or "" for k, v in attrs}
-        if tag == "a" and a.get("href"):
-            self.links.append(a["href"])
-        if tag == "img" and a.get("src"):
-            self.images.append(a["src"])
-        if tag in _VOID:
-            return
-        if tag == "tr":
-            self.cells = []
-        self.hidden += tag in _HIDDEN
-        self.stack.append((tag, a.get("class", ""), a.get("id", ""), []))
+        ended, upto = _ENDS.get(tag, ((), ()))
+        if ended:
+            tags = self._open_tags()
+            stop = max((k for k, t in enumerate(tags) if t in upto), default=-1)
+            first = min((k for k, t in enumerate(tags) if t in ended and k > stop), default=None)
+            if first is not None:
+                while len(self.open) > first:
+                    self._end()
+        if tag in _BLOCKS:
+            self.strings.append("\n")
+        a = {k: v or "" for k, v in reversed(attrs)}  # of equal names the first counts
+        parent = self.open[-1] if self.open else -1
+        siblings = self.children[parent] if parent >= 0 else self.top
+        i = len(self.elements)
+        self.elements.append({
+            "start": i, "end": i + 1, "depth": len(self.open), "parent": parent, "prev": siblings[-1] if siblings else -1, "path": list(self.open),
+            "nth": len(siblings) + 1, "nth_of_tag": 1 + sum(self.elements[s]["tag"] == tag for s in siblings), "last": True,
+            "tag": tag, "id": a.get("id", ""), "classes": a.get("class", "").split(), "attrs": a, "from": len(self.strings), "to": len(self.strings),
+        })
+        if siblings:
+            self.elements[siblings[-1]]["last"] = False
+        siblings.append(i)
+        self.children.append([])
+        if tag not in _VOID:
+            self.open.append(i)
+            self.hidden += tag in _HIDDEN
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if not any(s[0] == tag for s in self.stack):
-            return
-        while self.stack:
-            name, css, ident, parts = self.stack.pop()
-            self.hidden -= name in _HIDDEN
-            text = " ".join("".join(parts).split())
-            if self.stack and name not in _HIDDEN:
-                self.stack[-1][3].append(" ".join(["", text, ""]) if name in ("p", "div", "td", "li") else text)
-            if name in _KEPT:
-                self.elements.append((name, css, ident, text))
-            if name in ("td", "th"):
-                self.cells.append(text)
-            elif name == "tr" and len(self.cells) == 2:
-                self.pairs.append((self.cells[0], self.cells[1]))
-            elif name == "dt":
-                self.label = text
-            elif name == "dd" and self.label is not None:
-                self.pairs.append((self.label, text))
-                self.label = None
-            if name == tag:
-                break
+        tags = self._open_tags()
+        if tag in tags:
+            at = len(tags) - 1 - tags[::-1].index(tag)
+            while len(self.open) > at:
+                self._end()
 
     def handle_data(self, data):
-        if self.hidden:
-            return
-        self.text.append(data)
-        if self.stack:
-            self.stack[-1][3].append(data)
+        if not self.hidden:
+            self.strings.append(data)
+
+    def text(self, i: int) -> str:
+        e = self.elements[i]
+        return " ".join("".join(self.strings[e["from"] : e["to"]]).split())
+
+    def inside(self, i: int, *tags: str) -> list[int]:
+        return [k for k in range(i + 1, self.elements[i]["end"]) if self.elements[k]["tag"] in tags]
+
+
+# ---- label/value pairs: each function yields (place in the page, label, value) ----
+
+_LABEL_WORDS, _VALUE_WORDS = ("label", "key", "name", "term"), ("value", "val", "data", "content", "detail")
+
+
+def _grid(page: _Page, table: int) -> list[list[tuple[int, int, int]]]:
+    """Rows of (cell, its first row, its first column); cells that span rows or columns stand in all of them."""
+    nested = {k for t in page.inside(table, "table") for k in range(t, page.elements[t]["end"])}
+    rows = [r for r in page.inside(table, "tr") if r not in nested]
+    grid: list[dict[int, tuple[int, int, int]]] = [{} for _ in rows]
+    for y, r in enumerate(rows):
+        x = 0
+        for c in (c for c in page.children[r] if page.elements[c]["tag"] in ("td", "th")):
+            while x in grid[y]:
+                x += 1
+            wide, high = (max(1, min(int(v), 1000)) if (v := page.elements[c]["attrs"].get(n, "")).isdecimal() else 1 for n in ("colspan", "rowspan"))
+            for dy in range(min(high, len(rows) - y)):
+                for dx in range(wide):
+                    grid[y + dy].setdefault(x + dx, (c, y, x))
+            x += wide
+    return [[row[x] for x in sorted(row)] for row in grid]
+
+
+def _table_pairs(page: _Page, table: int) -> Iterator[tuple[int, str, str]]:
+    """Pairs of a table of any width: cells by twos; under a row of headings each cell with its heading; rows below a cell that spans them with its text before theirs."""
+    grid = _grid(page, table)
+    is_head = lambda row: len(row) > 1 and all(page.elements[c]["tag"] == "th" for c, _, _ in row)
+    heads = grid[0] if len(grid) > 1 and is_head(grid[0]) and not any(is_head(r) for r in grid[1:]) and all(len(r) == len(grid[0]) for r in grid) else None
+    for y, row in enumerate(grid):
+        if heads:
+            if y:
+                yield from ((c, page.text(h), page.text(c)) for (h, _, _), (c, first, _) in zip(heads, row) if first == y)
+            continue
+        cells = [c for k, (c, _, _) in enumerate(row) if k == 0 or row[k - 1][0] != c]  # a wide cell once
+        group = ""
+        spans = [c for c in cells if page.elements[c]["attrs"].get("rowspan", "1") not in ("", "0", "1")]
+        if len(cells) > 2 and cells[0] in spans:
+            group, cells = page.text(cells[0]) + " ", cells[1:]
+        for label, value in zip(cells[::2], cells[1::2]):
+            name = page.text(label)
+            yield value, group + name if name else "", page.text(value)
+
+
+def _list_pairs(page: _Page, dl: int) -> Iterator[tuple[int, str, str]]:
+    """Terms with their descriptions; several descriptions of a term are joined."""
+    label, values, at = None, [], dl
+    for c in page.inside(dl, "dt", "dd"):
+        if page.elements[c]["tag"] == "dt":
+            if label is not None and values:
+                yield at, label, ", ".join(values)
+            label, values = page.text(c), []
+        else:
+            at = c
+            values.append(page.text(c))
+    if label is not None and values:
+        yield at, label, ", ".join(values)
+
+
+def _shape(page: _Page, i: int) -> tuple:
+    e = page.elements[i]
+    return e["tag"], tuple(e["classes"])
+
+
+def _named(page: _Page, i: int, words: tuple[str, ...]) -> bool:
+    return any(w in c.lower() for c in page.elements[i]["classes"] for w in words)
+
+
+def _is_label(page: _Page, i: int) -> bool:
+    e = page.elements[i]
+    return e["tag"] not in ("a", "li", "tr", "table", "ul", "ol", "img", "h1") and bool(page.text(i)) and not any(page.elements[k]["tag"] in _BLOCKS for k in range(i + 1, e["end"]))
+
+
+def _sibling_pairs(page: _Page, parent: int) -> Iterator[tuple[int, str, str]]:
+    """Pairs of repeated siblings: items of one shape that hold a label and a value, or labels and values by turns in one parent.
+
+    One item is enough if the classes of its two elements say which is which."""
+    kids = [c for c in page.children[parent] if page.elements[c]["tag"] not in _VOID | _HIDDEN]
+    if page.elements[parent]["tag"] in ("table", "tbody", "thead", "tfoot", "tr", "dl", "select"):
+        return
+    items: dict[tuple, list[tuple[int, int]]] = {}
+    for c in kids:
+        parts = [k for k in page.children[c] if page.text(k)]
+        if len(parts) == 2 and page.text(c).replace(" ", "") == (page.text(parts[0]) + page.text(parts[1])).replace(" ", "") and _is_label(page, parts[0]):
+            items.setdefault((_shape(page, c), *(_shape(page, k) for k in parts)), []).append((parts[0], parts[1]))
+    for found in items.values():
+        if len(found) > 1 or all(_named(page, i, w) for i, w in zip(found[0], (_LABEL_WORDS, _VALUE_WORDS))):
+            yield from ((v, page.text(label), page.text(v)) for label, v in found)
+    turns = [c for c in kids if page.text(c)]
+    shapes = [_shape(page, c) for c in turns]
+    if len(turns) >= 2 and len(turns) % 2 == 0 and shapes == shapes[:2] * (len(turns) // 2) and shapes[0] != shapes[1] and all(_is_label(page, c) for c in turns[::2]):
+        if len(turns) > 2 or all(_named(page, i, w) for i, w in zip(turns, (_LABEL_WORDS, _VALUE_WORDS))):
+            yield from ((v, page.text(label), page.text(v)) for label, v in zip(turns[::2], turns[1::2]))
+
+
+def _pairs(page: _Page) -> list[tuple[str, str]]:
+    """All pairs of the page in document order, each value once."""
+    found: dict[int, tuple[str, str]] = {}
+    for i, e in enumerate(page.elements):
+        kind = _table_pairs if e["tag"] == "table" else _list_pairs if e["tag"] == "dl" else _sibling_pairs
+        for at, label, value in kind(page, i):
+            found.setdefault(at, (label, value))
+    return [found[at] for at in sorted(found)]
+
+
+_element = pa.struct(
+    [(n, pa.int32()) for n in ("start", "end", "depth", "parent", "prev")]
+    + [("path", pa.list_(pa.int32())), ("nth", pa.int32()), ("nth_of_tag", pa.int32()), ("last", pa.bool_()), ("tag", pa.string()), ("id", pa.string())]
+    + [("classes", pa.list_(pa.string())), ("attrs", pa.map_(pa.string(), pa.string())), ("from", pa.int32()), ("to", pa.int32())]
+)
+_pair = pa.struct([("label", pa.string()), ("value", pa.string())])
+_KINDS = {"page_id": pa.int64(), "url": pa.string(), "title": pa.string(), "visible": pa.string(), "elements": pa.list_(_element), "strings": pa.list_(pa.string()), "links": pa.list_(pa.string()), "images": pa.list_(pa.string()), "pairs": pa.list_(_pair)}
+
+
+def _row(page_id: int | None, url: str | None, source: str | None) -> tuple:
+    p = _Page(source or "")
+    title = next((p.text(e["start"]) for e in p.elements if e["tag"] == "title"), "")
+    visible = " ".join("".join(s for s in p.strings if s != "\n").split())
+    links = [e["attrs"]["href"] for e in p.elements if e["tag"] == "a" and e["attrs"].get("href")]
+    images = [e["attrs"]["src"] for e in p.elements if e["tag"] == "img" and e["attrs"].get("src")]
+    elements = [e | {"attrs": list(e["attrs"].items())} for e in p.elements]
+    return page_id, url, title, visible, elements, p.strings, links, images, [{"label": a, "value": b} for a, b in _pairs(p)]
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [x.split()[0] for x in ("page_id", "url", "title", "visible", "elements", "links", "images", "pairs")]
-    element = pa.list_(pa.struct([(n, pa.string()) for n in ("tag", "css", "id", "text")]))
-    pair = pa.list_(pa.struct([("label", pa.string()), ("value", pa.string())]))
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), element, pa.list_(pa.string()), pa.list_(pa.string()), pair]
     for batch in batches:
         for k in range(0, len(batch), 128):
-            rows = []
-            for r in batch.slice(k, 128).to_pylist():
-                page = _Page()
-                page.feed(r["html"] or "")
-                page.close()
-                while page.stack:
-                    page.handle_endtag(page.stack[-1][0])
-                title = next((e[3] for e in page.elements if e[0] == "title"), "")
-                keys = ("tag", "css", "id", "text")
-                rows.append((r["page_id"], r["url"], title, " ".join("".join(page.text).split()), [dict(zip(keys, e)) for e in page.elements], page.links, page.images, [{"label": a, "value": b} for a, b in page.pairs]))
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+            rows = [_row(*r.values()) for r in batch.slice(k, 128).to_pylist()]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _KINDS.values())], names=list(_KINDS))
 
 
 def parse_pages(df: DataFrame) -> DataFrame:
@@ -101,14 +254,16 @@ def parse_pages(df: DataFrame) -> DataFrame:
     return df.select(df["page_id"].cast("long"), df["url"].cast("string"), df["html"].cast("string")).mapInArrow(_parse, PARSED)
 
 
-def extract_text(elements: Column, tag: str, css: str = "", ident: str = "", default: str = "") -> Column:
-    """Trimmed text of the first element with the tag, class and id given."""
+def extract_text(elements: Column, tag: str = "", css: str = "", ident: str = "", default: str = "", strings: Column | None = None) -> Column:
+    """Text of the first element with the tag, class and id given."""
+
     def fits(e: Column) -> Column:
         out = (e["tag"] == tag) if tag else F.lit(True)
-        out = out & F.array_contains(F.split(e["css"], " "), css) if css else out
+        out = out & F.array_contains(e["classes"], css) if css else out
         return out & (e["id"] == ident) if ident else out
 
-    return F.coalesce(F.try_element_at(F.filter(elements, fits), F.lit(1))["text"], F.lit(default))
+    found = dom.first(F.filter(elements, fits))
+    return F.when(found.isNull(), F.lit(default)).otherwise(text(dom.text(found, F.col("strings") if strings is None else strings)))
 
 
 def spec_map(pairs: Column) -> Column:
