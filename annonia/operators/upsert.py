@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..sources import bucketed, files
 
 
 def latest_per_doc(df: DataFrame, key: str, order: list[str], tie: list[str]) -> DataFrame:
@@ -42,6 +45,32 @@ def upsert_keep_first_date(current: DataFrame, batch: DataFrame, keep: Column, k
     return both.select(*out)
 
 
+def upsert_stored(table: str, batch: DataFrame, keep: Column, key: str = "doc_id", buckets: int = 64, **order: object) -> DataFrame:
+    """``upsert_keep_first_date`` on a table that is stored in buckets by the key, in ``table/v=N``: only the batch is exchanged.
+
+    The new state is written bucket by bucket beside the old one and then named in ``table/versions``; so a batch that
+    fails leaves the table as it was. The version before the last stays for its readers; older ones are removed. An
+    absent table counts as empty. Gives the new state."""
+    spark = batch.sparkSession
+    done = [int(n) for n in files.names(spark, f"{table}/versions") if n.isdecimal()]
+    last = max(done, default=0)
+    current = stored_listings(spark, table, batch.schema, key, buckets)
+    state = upsert_keep_first_date(current, batch, keep, key, **order)
+    files.delete(spark, f"{table}/v={last + 1}")
+    bucketed.append(state if done else state.repartition(buckets, key), f"{table}/v={last + 1}", key, buckets)
+    files.write_text(spark, f"{table}/versions/{last + 1}", "")
+    for n in sorted(done)[:-1]:
+        files.delete(spark, f"{table}/v={n}")
+        files.delete(spark, f"{table}/versions/{n}")
+    return bucketed.opened(spark, f"{table}/v={last + 1}", state.schema, key, buckets)
+
+
+def stored_listings(spark: SparkSession, table: str, schema: StructType, key: str = "doc_id", buckets: int = 64) -> DataFrame:
+    """The last whole state of a table of ``upsert_stored``."""
+    done = [int(n) for n in files.names(spark, f"{table}/versions") if n.isdecimal()]
+    return bucketed.opened(spark, f"{table}/v={max(done)}", schema, key, buckets) if done else spark.createDataFrame([], schema)
+
+
 def first_of(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first record of each key by ``order``: a minimum of structs, which map tasks reduce. Records without a key count as one key."""
     rest = [c for c in df.columns if c != key]
@@ -54,10 +83,9 @@ def dedupe_by_name(df: DataFrame, name: str = "titre", order: list[str] = ("pos"
     return first_of(df, name, order)
 
 
-def route_to_table(df: DataFrame, path: str, key: str = "doc_id", buckets: int = 8) -> None:
-    """Appends to a table by category; each category is written by ``buckets`` tasks, by a hash of the id."""
-    dealt = df.repartition("category", F.pmod(F.xxhash64(key), F.lit(buckets)))
-    dealt.write.mode("append").partitionBy("category").parquet(path)
+def route_to_table(df: DataFrame, path: str) -> None:
+    """Appends to a table by category, in files near the advisory size: a large category is several tasks, small ones share one."""
+    df.hint("rebalance", "category").write.mode("append").partitionBy("category").parquet(path)
 
 
 def union_sites(dfs: list[DataFrame]) -> DataFrame:

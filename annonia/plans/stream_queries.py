@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import pages
+from ..sources.bucketed import SeenSet
 from ..sources.io import new_folder
 from ..streaming import streams
 from . import registry
@@ -17,7 +18,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(path).schema
     # the glob also fits a single file, which a stream takes as a folder's content only by pattern
-    spark.readStream.schema(schema).parquet(f"{sf_dir}/event*.parquet").createOrReplaceTempView("annonia_event_stream")
+    spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*").createOrReplaceTempView("annonia_event_stream")
     return spark.sql(INPUTS["run_events"].replace("{events}", "annonia_event_stream"))
 
 
@@ -56,7 +57,7 @@ def stream_threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registry.query("SELECT DISTINCT CAST(user_id AS STRING) AS listing_id FROM events")
 def stream_watermarked_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids not seen within the delay, here ten years."""
-    stream = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/event*.parquet")
+    stream = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/events.parquet*")
     ids = stream.select(F.col("user_id").cast("string").alias("listing_id"), F.col("ts").cast("timestamp").alias("ts"))
     return _finished(streams.stream_new_listings(ids, "3650 days"), new_folder(spark)).select("listing_id")
 
@@ -67,10 +68,11 @@ def stream_new_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids never seen before, exactly once each."""
     place = new_folder(spark)
     path = f"{sf_dir}/events.parquet"
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/event*.parquet")
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/events.parquet*")
     ids = stream.select(F.col("user_id").cast("string").alias("listing_id"))
-    streams.stream_new_listings_exact(ids, f"{place}/seen", f"{place}/log").awaitTermination()
-    return spark.read.schema("listing_id string, batch long").parquet(f"{place}/seen").select("listing_id")
+    seen = SeenSet(f"{place}/seen", buckets=8, shards=8)
+    streams.stream_new_listings_exact(ids, seen, f"{place}/log").awaitTermination()
+    return streams.read_new_listings(spark, seen).select("listing_id")
 
 
 # L2
@@ -81,7 +83,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest event of each user's page, upserted batch by batch."""
     place = new_folder(spark)
     path = f"{sf_dir}/events.parquet"
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/event*.parquet")
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/events.parquet*")
 
     def normalize(batch: DataFrame) -> DataFrame:
         url = F.concat(F.lit("https://www.example.com/annonce-d"), F.col("user_id").cast("string"))

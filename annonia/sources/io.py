@@ -16,8 +16,12 @@ LOG_SCHEMA = "timestamp string, level string, logger string, message string, cat
 
 
 def new_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; a temporary one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='annonia-')}"
+    """A new folder below the cluster's shared one; a temporary one only where none is set on a single machine."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        shared = f"file://{tempfile.mkdtemp(prefix='annonia-')}"
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -52,9 +56,8 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_by_category_site(df: DataFrame, path: str) -> None:
-    """A directory for each category and site. Rows of a pair are dealt to a few tasks by a hash, so a hot site is no single task."""
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(8))
-    df.repartition("category", "site", salt).write.mode("append").partitionBy("category", "site").parquet(path)
+    """A directory for each category and site, in files near the advisory size: adaptive execution splits a hot site by bytes and lets small ones share a task."""
+    df.hint("rebalance", "category", "site").write.mode("append").partitionBy("category", "site").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, fields: list[str]) -> None:

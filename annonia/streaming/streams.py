@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from ..operators import frontier, metrics, upsert
-from ..sources import io
+from ..operators import metrics, upsert
+from ..sources import files, io, versions
+from ..sources.bucketed import SeenSet
 
 
 def stream_new_listings(stream: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -18,57 +19,49 @@ def stream_new_listings(stream: DataFrame, delay: str = "1 day") -> DataFrame:
     return stream.where("listing_id is not null").withWatermark("ts", delay).dropDuplicatesWithinWatermark(["listing_id"])
 
 
-def stream_new_listings_exact(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Drops all listings ever seen: each batch is joined against the table of those before.
-
-    A batch is one directory, overwritten if it runs again, and reads only earlier ones."""
+def stream_new_listings_exact(stream: DataFrame, ids: SeenSet, checkpoint: str) -> StreamingQuery:
+    """Drops all listings ever seen: each batch is held against the set of those before, and its new ids are added under its number.
 
+    The set (``sources.bucketed.SeenSet``) is neither shuffled nor, where its filter rules all ids of a shard out, read.
+    A batch that runs again looks at earlier batches only."""
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        once = batch.where("listing_id is not null").dropDuplicates(["listing_id"])
-        done = spark.read.schema("listing_id string, batch long").parquet(f"{table}") if _exists(spark, table) else None
-        fresh = once if done is None else frontier.new_listings(once, done.where(F.col("batch") < number).select("listing_id"))
-        fresh.write.mode("overwrite").parquet(f"{table}/batch={number}")
+        batch.persist()
+        ids.add(ids.new_ids(batch.select(ids.key), before=number), number)
+        batch.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def read_new_listings(spark: SparkSession, ids: SeenSet) -> DataFrame:
+    """(listing_id, batch): every id once, with the first batch that had it."""
+    return ids.stored(spark).groupBy(ids.key).agg(F.min("batch").alias("batch"))
 
 
 def stream_normalize_upsert(
-    stream: DataFrame, normalize: Callable[[DataFrame], DataFrame], table: str, checkpoint: str, key: str = "doc_id", order: list[str] = ("date_crawl",), tie: list[str] = ("event_id",), buckets: int = 64
+    stream: DataFrame, normalize: Callable[[DataFrame], DataFrame], table: str, checkpoint: str, key: str = "doc_id", order: list[str] = ("date_crawl",), tie: list[str] = ("event_id",), buckets: int = 64, keep: int = 2
 ) -> StreamingQuery:
-    """Normalises and upserts each batch into ``table/bucket=B/v=N``, a table bucketed by a hash of the key.
+    """Normalises and upserts each batch into a versioned table (``sources.versions``).
 
-    A batch rewrites only the buckets that it touches, each as version N beside the one before, so running a batch
-    again gives the same. ``current_table`` reads the newest version of every bucket."""
+    A batch reads and rewrites only the buckets that it touches; ``keep`` versions stay for readers."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = normalize(batch)
-        columns = new.columns
-        new = new.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-        state = upsert.latest_per_doc(new, key, order, tie)
-        if _exists(spark, table):
-            touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most ``buckets``
-            old = current_table(spark, table, normalize(batch.limit(0)).schema, before=number).where(F.col("bucket").isin(touched))
-            state = upsert.upsert(old, new, key, order, tie)
-        out = state.select(*columns, "bucket").withColumn("v", F.lit(number)).repartition("bucket")
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "v").parquet(table)
+        if versions.committed(spark, table, number):
+            return
+        batch.persist()
+        new = normalize(batch).withColumn("bucket", versions.bucket_of(key, buckets))
+        touched = sorted(r.bucket for r in new.select("bucket").distinct().collect())  # at most ``buckets``
+        old = versions.current(spark, table, new.drop("bucket").schema, touched, before=number)
+        versions.write(upsert.upsert(old, new, key, order, tie), table, number, touched)
+        versions.vacuum(spark, table, keep)
+        batch.unpersist()
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current_table(spark: SparkSession, table: str, schema: StructType, before: int | None = None) -> DataFrame:
-    """The newest version of every bucket (of those before a batch), with the column ``bucket``."""
-    rows = spark.read.schema(StructType([*schema.fields, StructField("bucket", IntegerType()), StructField("v", LongType())])).parquet(table)
-    rows = rows if before is None else rows.where(F.col("v") < before)
-    newest = rows.groupBy("bucket").agg(F.max("v").alias("v"))
-    return rows.join(newest, ["bucket", "v"], "left_semi").drop("v")
+def current_table(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    """The rows of the last whole batch, with the column ``bucket``."""
+    return versions.current(spark, table, schema)
 
 
 def stream_dead_letter(stream: DataFrame, valid, good: str, bad: str, checkpoint: str) -> StreamingQuery:
@@ -100,7 +93,7 @@ def stream_alerts(
         spark = batch.sparkSession
         batch.persist()
         before = f"{table}/counters/batch={number - 1}"
-        carried = spark.read.schema(_COUNTERS).parquet(before).drop("batch") if number and _exists(spark, before) else None
+        carried = spark.read.schema(_COUNTERS).parquet(before).drop("batch") if number and files.exists(spark, before) else None
         due = metrics.alerts(batch, errors, blocks, captchas, every, carried)
         due.where(F.col("kind").isin(list(kinds))).write.mode("overwrite").parquet(f"{table}/alerts/batch={number}")
         metrics.counters(batch, carried).write.mode("overwrite").parquet(f"{table}/counters/batch={number}")
