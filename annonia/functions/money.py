@@ -91,6 +91,35 @@ def instalments(monthly: Column, months: Column, first: Column) -> Column:
     )
 
 
+_SUM = r"(\d[\d ]*)"
+#: Monthly plans in text: sum and number of months; a sale by instalments names its months behind a stroke.
+PLAN = rf"(?iu){_SUM}(?:DA|DZD)?\s*/\s*mois\s*(?:jusqu'à|pendant|sur)\s*(\d+)\s*mois"
+BY_INSTALMENTS, MONTHS, FIRST_PAYMENT = rf"(?iu)vente par facilité\s*:\s*{_SUM}", r"(?iu)/\s*(\d+)\s*mois", rf"(?iu)premier versement\s*:?\s*{_SUM}"
+
+
+def parse_instalments(col: Column) -> Column:
+    """struct(par_facilite, prix_facilite, premier_versement, premier_versement_value, total) from text.
+
+    ``prix_facilite`` maps the months of each plan to its monthly sum, of equal months the last. ``total`` is what the first
+    plan comes to; a sale by instalments without months has its sum. Without any plan it is 0."""
+    shown = plain_spaces(col)
+    monthly, months = (F.regexp_extract_all(shown, F.lit(PLAN), F.lit(g)) for g in (1, 2))
+    one, one_months = take(shown, BY_INSTALMENTS), take(F.regexp_extract(shown, r"(?iu)vente par facilité.*", 0), MONTHS)
+    alone = F.when(one.isNotNull() & one_months.isNotNull(), F.array(F.struct(one_months.alias("months"), one.alias("sum"))))
+    plans = F.coalesce(alone, F.zip_with(months, monthly, lambda m, s: F.struct(m.alias("months"), s.alias("sum"))))
+    priced = F.transform(plans, lambda p: F.struct(p["months"].alias("label"), process_price(p["sum"]).alias("value")))
+    lone = F.get(priced, F.lit(0))
+    by_map = F.map_from_entries(F.filter(priced, lambda p, i: F.array_position(F.slice(F.transform(priced, lambda q: q["label"]), i + 2, F.greatest(F.size(priced), F.lit(1))), p["label"]) == 0))
+    first = take(shown, FIRST_PAYMENT)
+    return F.struct(
+        (one.isNotNull() | (F.size(plans) > 0)).alias("par_facilite"),
+        by_map.alias("prix_facilite"),
+        first.isNotNull().alias("premier_versement"),
+        process_price(first).alias("premier_versement_value"),
+        F.coalesce(lone["value"] * lone["label"].try_cast("int"), process_price(one)).alias("total"),
+    )
+
+
 def discount(shown: Column, old: Column) -> Column:
     """struct(old_price, price): digits of the old price, and of what is left when its text is cut out."""
     rest = F.when(text(old) == "", text(shown)).otherwise(F.replace(text(shown), text(old), F.lit("")))

@@ -251,6 +251,36 @@ def split_list_text(col: Column, sep: str = ",") -> Column:
     return F.filter(F.transform(F.split(clean, r"\|" if sep == "|" else sep), lambda x: F.trim(x)), lambda x: x != "")
 
 
+#: One item of a list written as text: in either quotes, with escapes, or bare. The quantifiers never go back, so long items need no stack.
+_ITEM = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^\s,\[\]'"][^,\[\]'"]*+"""
+_ESCAPE = r"(?s)\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\.|[^\\]++"
+
+
+def _unescaped(piece: Column) -> Column:
+    """A run of plain characters, or one escape."""
+    kind = F.substring(piece, 1, 2)
+    wide = F.lpad(F.substring(piece, F.lit(3), F.length(piece)), 8, "0")
+    return (
+        F.when(~F.startswith(piece, F.lit("\\")), piece)
+        .when(kind.isin("\\x", "\\u", "\\U") & (F.length(piece) > 2), F.decode(F.unhex(wide), "UTF-32"))
+        .when(kind == "\\n", "\n").when(kind == "\\t", "\t").when(kind == "\\r", "\r")
+        .otherwise(F.substring(piece, F.lit(2), F.length(piece)))
+    )
+
+
+def list_items(col: Column) -> Column:
+    """Items of a list written as text, JSON's or a program's: ``['a', "l'eau", 'it\\'s', '']``. Text that is no list gives none."""
+
+    def item(token: Column) -> Column:
+        body = F.substring(token, F.lit(2), F.length(token) - 2)
+        whole = F.array_join(F.transform(F.regexp_extract_all(body, F.lit(_ESCAPE), F.lit(0)), _unescaped), "")
+        return F.when(F.substring(token, 1, 1).isin("'", '"'), whole).otherwise(F.trim(token))
+
+    shown = F.trim(text(col))
+    tokens = F.when(F.startswith(shown, F.lit("[")), F.regexp_extract_all(shown, F.lit(_ITEM), F.lit(0))).otherwise(F.array().cast(_STRINGS))
+    return F.coalesce(F.from_json(F.when(F.startswith(shown, F.lit("[")), shown), _STRINGS, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}), F.transform(tokens, item))
+
+
 # ---- JSON-LD ----
 ITEM_LIST = "struct<`@type`:string,itemListElement:array<struct<url:string,item:struct<url:string,`@id`:string>>>>"
 JOB_POSTING = "struct<`@type`:string,title:string,datePosted:string,description:string,hiringOrganization:struct<name:string>,jobLocation:struct<address:struct<addressRegion:string,addressLocality:string>>>"

@@ -10,8 +10,7 @@ from .. import schemas
 from ..functions import base, dates, money, pages, vocab
 
 
-def conform(df: DataFrame, category: str) -> DataFrame:
-    """The category's declared columns in order; absent ones get their default, extra ones go."""
+def _declared(df: DataFrame, category: str) -> list[Column]:
     out = []
     for f in schemas.schema(category).fields:
         if f.name in df.columns:
@@ -22,7 +21,25 @@ def conform(df: DataFrame, category: str) -> DataFrame:
             out.append(F.array().cast(f.dataType).alias(f.name))
         else:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*out)
+    return out
+
+
+def conform(df: DataFrame, category: str) -> DataFrame:
+    """The category's declared columns in order; absent ones get their default, extra ones go."""
+    return df.select(*_declared(df, category))
+
+
+def conform_open(df: DataFrame, category: str) -> DataFrame:
+    """As ``conform``, with what doesn't fit kept: ``rejected``, the texts of values that their declared type can't hold, by column, and
+    ``other_information``, the columns that aren't declared, as a variant (``try_variant_get`` reads them with a type)."""
+    declared = {f.name: f.dataType for f in schemas.schema(category).fields}
+    atomic = [n for n, t in declared.items() if n in df.columns and not isinstance(t, (T.ArrayType, T.MapType, T.StructType))]
+    lost = [F.struct(F.lit(n).alias("key"), F.when(df[n].try_cast(declared[n]).isNull(), df[n].cast("string")).alias("value")) for n in atomic]
+    rejected = F.map_from_entries(F.filter(F.array(*lost), lambda x: x["value"].isNotNull())) if lost else F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    others = [c for c in df.columns if c not in declared]
+    other = F.parse_json(F.to_json(F.struct(*(df[c] for c in others)))) if others else F.parse_json(F.lit("{}"))
+    kept = df.withColumns({"_rejected": rejected, "_other": other} | {n: df[n].try_cast(declared[n]) for n in atomic})
+    return kept.select(*_declared(kept, category), F.col("_rejected").alias("rejected"), F.col("_other").alias("other_information"))
 
 
 def unify_vehicle(df: DataFrame) -> DataFrame:

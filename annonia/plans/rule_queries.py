@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import pages, specs
-from ..operators import rows, upsert
+from ..functions import money, pages, specs
+from ..operators import rows, upsert, vocabularies
 from ..sources import io
 from . import jobs, registry
 from .compose import INPUTS, frame
@@ -161,3 +161,65 @@ def upserted_without_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _half_without_url(spark, sf_dir)
     current = upsert.latest_per_doc(df.where("row_id % 2 = 0"), "doc_id", ["date_crawl"], ["row_id"])
     return upsert.upsert(current, df.where("row_id % 2 = 1")).select("row_id")
+
+
+INPUTS["open_rows"] = f"""SELECT o_orderkey AS row_id, {_K} AS k, CASE {_K} % 5 WHEN 0 THEN 'immobilier' WHEN 1 THEN 'voiture' WHEN 2 THEN 'emploi' WHEN 3 THEN 'electromenager' ELSE 'multimedia' END AS category,
+ {_texts(_K, "#.5", "n/a", "#", "")} AS prix_dec, {_texts(_K, "200", "gone", "404")} AS status, {_K} % 6 AS doors, {_texts(_K, "#", "none")} AS seats,
+ {_texts(_K, "Vente par Facilité : 12 000 DA / 10 mois", "1500 DA / mois jusqu''à # mois, 900 DA / mois jusqu''à 36 mois. Premier Versement 5 000 DA", "Vente par facilité: 7#", "Prix : # DA")} AS plan_text,
+ {_texts(_K, "Automobile", "Achats", "site word #", "Juridique ", "extra")} AS domaine FROM {{orders}}"""
+
+
+# C6, I1: all five categories, with what doesn't fit kept apart
+@registry.query(
+    f""" SELECT category, count(*) AS n, count(*) FILTER (WHERE k % 4 IN (1, 3)) AS bad_prices, count(*) FILTER (WHERE k % 3 = 1) AS bad_status, CAST(sum(CASE k % 4 WHEN 0 THEN k + 0.5 WHEN 2 THEN k ELSE 0 END) AS DOUBLE) AS prices,
+ CAST(sum(k % 6) AS BIGINT) AS doors, CAST(sum(CASE WHEN k % 2 = 0 THEN k ELSE 0 END) AS BIGINT) AS seats FROM open_rows GROUP BY category""",
+    "open_rows",
+)
+def open_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed columns, counts of rejected values, and undeclared fields read from the variant."""
+    df = frame(spark, sf_dir, "open_rows")
+    parts = [rows.conform_open(df.where(C("category") == c), c) for c in ("immobilier", "voiture", "emploi", "electromenager", "multimedia")]
+    same = [p.select("category", "prix_dec", "rejected", "other_information") for p in parts]
+    read = lambda path, kind: F.try_variant_get("other_information", path, kind)
+    return upsert.union_sites(same).groupBy("category").agg(
+        F.count("*").alias("n"),
+        F.count_if(F.map_contains_key("rejected", "prix_dec")).alias("bad_prices"),
+        F.count_if(F.map_contains_key("rejected", "status")).alias("bad_status"),
+        F.coalesce(F.sum("prix_dec"), F.lit(0.0)).alias("prices"),
+        F.sum(read("$.doors", "long")).alias("doors"),
+        F.coalesce(F.sum(read("$.seats", "long")), F.lit(0)).alias("seats"),
+    )
+
+
+# D8 from text
+@registry.query(
+    """ SELECT row_id, k % 4 <> 3 AS par_facilite, CASE k % 4 WHEN 0 THEN '10=12000' WHEN 1 THEN concat(CASE WHEN k = 36 THEN '' ELSE concat(CAST(k AS STRING), '=1500,') END, '36=900') ELSE '' END AS plans, k % 4 = 1 AS premier_versement, CASE WHEN k % 4 = 1 THEN 5000.0 ELSE 0.0 END AS first_sum,
+ CASE k % 4 WHEN 0 THEN 120000.0 WHEN 1 THEN (CASE WHEN k = 36 THEN 1500.0 * 36 ELSE 1500.0 * k END) WHEN 2 THEN CAST(concat('7', CAST(k AS STRING)) AS DOUBLE) ELSE 0.0 END AS total FROM open_rows""",
+    "open_rows",
+)
+def instalment_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instalments of each text, with several plans."""
+    got = frame(spark, sf_dir, "open_rows").select("row_id", money.parse_instalments(C("plan_text")).alias("i"))
+    plans = F.array_join(F.transform(F.map_entries("i.prix_facilite"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("int").cast("string"))), ",")
+    return got.select("row_id", "i.par_facilite", plans.alias("plans"), "i.premier_versement", C("i.premier_versement_value").alias("first_sum"), "i.total")
+
+
+# E6, E14: vocabulary tables, with an entry of a site's own
+@registry.query(
+    """ SELECT row_id, CASE k % 5 WHEN 0 THEN 'Achat & Logistique' WHEN 1 THEN 'Own' WHEN 3 THEN 'Juridique' ELSE 'Autre' END AS domain FROM open_rows""",
+    "open_rows",
+)
+def vocabulary_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domains from the table; a later version of an entry counts."""
+    return vocabularies.translate(frame(spark, sf_dir, "open_rows"), "domaine", _domains(spark), "domain", F.lit("Autre")).select("row_id", "domain")
+
+
+@registry.query(" SELECT lower(trim(domaine)) AS key, count(*) AS n FROM open_rows WHERE k % 5 IN (2, 4) GROUP BY 1", "open_rows")
+def unknown_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that the table lacks, with their numbers of rows."""
+    return vocabularies.unknown_keys(frame(spark, sf_dir, "open_rows"), "domaine", _domains(spark))
+
+
+def _domains(spark: SparkSession) -> DataFrame:
+    own = spark.createDataFrame([("domain", "achats", "Own", 1), ("domain", "extra", "Later", 2)], vocabularies.SCHEMA)
+    return vocabularies.vocabulary(vocabularies.built_in(spark).unionByName(own), "domain", as_of=1)

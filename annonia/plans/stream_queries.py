@@ -41,10 +41,12 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts(spark, sf_dir, streams.stream_alerts)
 
 
-# L3
-@registry.query(f"SELECT * FROM ({registry.ORACLE['alerts']}) WHERE kind = 'error'")
+# L3: every third error of a streak, counted by the events' own time
+@registry.query(registry._STREAKS + " SELECT category, event_id, 'error' AS kind, streak AS reached FROM s WHERE streak % 3 = 0", "run_events")
 def stream_error_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _alerts(spark, sf_dir, streams.stream_error_streaks)
+    place = new_folder(spark)
+    streams.stream_error_streaks(_events(spark, sf_dir), f"{place}/table", f"{place}/log", threshold=3, delay=3600).awaitTermination()
+    return streams.read_alerts(spark, f"{place}/table", errors=3, kinds=["error"]).select("category", "event_id", "kind", "reached")
 
 
 # L4

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions import pages
 from ..functions.base import take
 
 LOG_SCHEMA = "timestamp string, level string, logger string, message string, category string, site string, url string"
@@ -46,9 +47,9 @@ def read_listings_json(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def read_listings_csv(spark: SparkSession, path: str, list_columns: list[str] = ()) -> DataFrame:
-    """CSV with header; lists written as text ``['a', 'b']`` are split again. A quoted empty field is empty text, an unquoted one null."""
+    """CSV with header; lists written as text (``['a', "l'eau"]`` or JSON) are arrays again. A quoted empty field is empty text, an unquoted one null."""
     df = spark.read.option("header", True).option("nullValue", "\0").option("multiLine", True).option("escape", '"').csv(path)
-    return df.withColumns({c: F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit("['\"]([^'\"]*)['\"]"), F.lit(1)) for c in list_columns})
+    return df.withColumns({c: pages.list_items(F.col(c)) for c in list_columns})
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:

@@ -78,36 +78,72 @@ def stream_dead_letter(stream: DataFrame, valid, good: str, bad: str, checkpoint
 
 
 _COUNTERS = "category string, errors long, blocks long, captchas long, successes long, batch long"
+_EVENTS = "category string, event_id long, ts timestamp, kind string, batch long"
 _ALERTS = "category string, event_id long, ts timestamp, kind string, reached long, batch long"
 
 
+def _of_batch(spark: SparkSession, table: str, name: str, number: int, schema: str) -> DataFrame | None:
+    path = f"{table}/{name}/batch={number}"
+    return spark.read.schema(schema).parquet(path).drop("batch") if number >= 0 and files.exists(spark, path) else None
+
+
+def _by_event_time(batch: DataFrame, table: str, number: int, delay: int) -> DataFrame:
+    """The events that no later one within ``delay`` seconds can come before. Newer ones wait in ``pending``; events older than what was counted go to ``late``."""
+    spark = batch.sparkSession
+    events = batch.select("category", "event_id", "ts", "kind")
+    waiting = _of_batch(spark, table, "pending", number - 1, _EVENTS)
+    before = files.read_text(spark, f"{table}/marks/{number - 1}") if number and files.exists(spark, f"{table}/marks/{number - 1}") else ""
+    newest = events.agg(F.max(F.unix_micros("ts"))).first()[0]
+    marks = [int(before)] if before else []
+    marks += [newest - delay * 1_000_000] if newest is not None else []
+    at = F.unix_micros("ts")
+    fresh = events.where(at > int(before)) if before else events
+    held = fresh if waiting is None else waiting.unionByName(fresh)
+    if before:
+        events.where(at <= int(before)).write.mode("overwrite").parquet(f"{table}/late/batch={number}")
+    if not marks:
+        return held.limit(0)
+    held.where(at > max(marks)).write.mode("overwrite").parquet(f"{table}/pending/batch={number}")
+    files.delete(spark, f"{table}/marks/{number}")
+    files.write_text(spark, f"{table}/marks/{number}", str(max(marks)))
+    return held.where(at <= max(marks))
+
+
 def stream_alerts(
-    events: DataFrame, table: str, checkpoint: str, errors: int = metrics.ERRORS, blocks: int = metrics.BLOCKS, captchas: int = metrics.CAPTCHAS, every: int = metrics.PROGRESS, kinds: list[str] = ("error", "block", "captcha", "progress")
+    events: DataFrame, table: str, checkpoint: str, errors: int = metrics.ERRORS, blocks: int = metrics.BLOCKS, captchas: int = metrics.CAPTCHAS, every: int = metrics.PROGRESS, kinds: list[str] = ("error", "block", "captcha", "progress"), delay: int | None = None
 ) -> StreamingQuery:
     """Error streaks, block and captcha thresholds and progress marks, appended to ``table/alerts``; four counters a category go from batch to batch.
 
-    Events of a micro-batch are taken in event order and counted in slices of time, so no task holds a category's
-    batch. A batch is one directory, overwritten if it runs again."""
+    With a ``delay`` in seconds events are counted in the order of their time: each waits until one is seen that is newer by the delay, and
+    one that comes later than that is no longer counted but kept in ``table/late``. Without, batches are counted as they arrive.
+    Events are counted in slices of time, so no task holds a category's batch. A batch is one directory, overwritten if it runs again."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         batch.persist()
-        before = f"{table}/counters/batch={number - 1}"
-        carried = spark.read.schema(_COUNTERS).parquet(before).drop("batch") if number and files.exists(spark, before) else None
-        due = metrics.alerts(batch, errors, blocks, captchas, every, carried)
+        ready = batch if delay is None else _by_event_time(batch, table, number, delay)
+        carried = _of_batch(spark, table, "counters", number - 1, _COUNTERS)
+        due = metrics.alerts(ready, errors, blocks, captchas, every, carried)
         due.where(F.col("kind").isin(list(kinds))).write.mode("overwrite").parquet(f"{table}/alerts/batch={number}")
-        metrics.counters(batch, carried).write.mode("overwrite").parquet(f"{table}/counters/batch={number}")
+        metrics.counters(ready, carried).write.mode("overwrite").parquet(f"{table}/counters/batch={number}")
         batch.unpersist()
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_alerts(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.schema(_ALERTS).parquet(f"{table}/alerts").drop("batch")
+def read_alerts(spark: SparkSession, table: str, errors: int = metrics.ERRORS, blocks: int = metrics.BLOCKS, captchas: int = metrics.CAPTCHAS, every: int = metrics.PROGRESS, kinds: list[str] = ("error", "block", "captcha", "progress")) -> DataFrame:
+    """All alerts so far, those of events that still wait included, as if nothing came any more."""
+    done = spark.read.schema(_ALERTS).parquet(f"{table}/alerts").drop("batch")
+    last = max((int(n.removeprefix("batch=")) for n in files.names(spark, f"{table}/counters") if n.startswith("batch=")), default=-1)
+    waiting = _of_batch(spark, table, "pending", last, _EVENTS)
+    if waiting is None:
+        return done
+    due = metrics.alerts(waiting, errors, blocks, captchas, every, _of_batch(spark, table, "counters", last, _COUNTERS))
+    return done.unionByName(due.where(F.col("kind").isin(list(kinds))))
 
 
-def stream_error_streaks(events: DataFrame, table: str, checkpoint: str, threshold: int = metrics.ERRORS) -> StreamingQuery:
-    return stream_alerts(events, table, checkpoint, errors=threshold, kinds=["error"])
+def stream_error_streaks(events: DataFrame, table: str, checkpoint: str, threshold: int = metrics.ERRORS, delay: int | None = None) -> StreamingQuery:
+    return stream_alerts(events, table, checkpoint, errors=threshold, kinds=["error"], delay=delay)
 
 
 def stream_threshold_alerts(events: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
