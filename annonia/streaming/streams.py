@@ -90,7 +90,7 @@ def _of_batch(spark: SparkSession, table: str, name: str, number: int, schema: s
 def _by_event_time(batch: DataFrame, table: str, number: int, delay: int) -> DataFrame:
     """The events that no later one within ``delay`` seconds can come before. Newer ones wait in ``pending``; events older than what was counted go to ``late``."""
     spark = batch.sparkSession
-    events = batch.select("category", "event_id", "ts", "kind")
+    events = batch.select("category", "event_id", F.col("ts").cast("timestamp").alias("ts"), "kind")
     waiting = _of_batch(spark, table, "pending", number - 1, _EVENTS)
     before = files.read_text(spark, f"{table}/marks/{number - 1}") if number and files.exists(spark, f"{table}/marks/{number - 1}") else ""
     newest = events.agg(F.max(F.unix_micros("ts"))).first()[0]
