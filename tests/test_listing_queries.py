@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from annonia.plans import page_queries, registry, rule_queries, source_queries, stored_queries, stream_queries  # noqa: F401  (these register their queries)
+from annonia.plans import page_queries, record_queries, registry, rule_queries, source_queries, stored_queries, stream_queries  # noqa: F401  (these register their queries)
 
 DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
@@ -38,6 +38,6 @@ def test_query(spark, con, name):
 
 
 def test_native_queries_have_no_python(spark):
-    for name in set(registry.QUERIES) - {"parsed_pages", "spec_tables", "page_selectors", "detail_fields", "spec_grids"}:
+    for name in set(registry.QUERIES) - {"parsed_pages", "spec_tables", "page_selectors", "detail_fields", "spec_grids", "real_estate_records"}:
         plan = registry.QUERIES[name](spark, DIR)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "MapInArrow" not in plan, name
