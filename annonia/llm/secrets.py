@@ -144,11 +144,15 @@ def _opener(head: bytes):
     return bz2.BZ2Decompressor() if head[:3] == b"BZh" else None
 
 
-def inflated(raw: bytes, member, used: list[int], size: int = PIECE) -> Iterator[bytes]:
-    """The content of all members of compressed data, in parts; ``member`` opens the first. ``used`` gets the number of bytes they take.
+#: Where compressed data may begin in decoded bytes: gzip, bzip2, and zlib's usual headers but the one of plain letters.
+_MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\x78[\x01\x9c\xda]")
 
-    Damaged data gives what comes before the damage."""
-    data = raw
+
+def inflated(raw, member, used: list[int], size: int = PIECE, more: Iterator[bytes] = iter(())) -> Iterator[bytes]:
+    """The content of all members of compressed data, in parts; ``member`` opens the first, ``more`` gives what follows ``raw``.
+
+    ``used`` gets the number of bytes they take, and, if it has room, that of the members that are whole. Damaged data gives what comes before the damage."""
+    data, read = raw, len(raw)
     while member is not None:
         while not member.eof:
             try:
@@ -157,17 +161,44 @@ def inflated(raw: bytes, member, used: list[int], size: int = PIECE) -> Iterator
                 return
             data = getattr(member, "unconsumed_tail", b"")
             if out:
-                used[0] = len(raw)
+                used[0] = read
                 yield out
             elif not data:
-                return  # cut short
+                data = next(more, b"")
+                read += len(data)
+                if not data:
+                    return  # cut short
         data = member.unused_data
+        if len(data) < 64:
+            extra = next(more, b"")
+            data, read = data + extra, read + len(extra)
         if data[:1] == b"\0":  # padding between members
             data = data.lstrip(b"\0")
-        used[0] = len(raw) - len(data)
+        used[:] = [read - len(data)] * len(used)
         member = _opener(data)
 
 
+def _content(parts: Iterator[bytes]) -> Iterator[bytes]:
+    """The same bytes; if they are compressed in turn, their content, unpacked as it comes."""
+    head = next(parts, b"")
+    inner = _opener(head)
+    tried: list[bytes] | None = [head]  # given out as they are if nothing can be unpacked
+    if inner is not None:
+
+        def fed() -> Iterator[bytes]:
+            for part in parts:
+                if tried is not None:
+                    tried.append(part)
+                yield part
+
+        for out in _content(inflated(head, inner, [0], more=fed())):
+            tried = None
+            yield out
+    if tried is not None:
+        yield from tried
+        yield from parts
+
+
 def pieces(parts: Iterator[bytes], size: int = PIECE) -> Iterator[bytes]:
     """The same bytes cut at bytes that stand apart, from ``size`` bytes on. Where none does, the bytes grow, but for repeats of one byte, of which 4,096 or a few more stay."""
     held = b""
@@ -206,43 +237,40 @@ def _sizes(text: str, raw: bytes) -> np.ndarray:
     return 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
 
 
-def _unpacked_layers(source: _Layer | None, raw: bytes, member, at: int, to: int) -> Iterator[_Layer]:
+def _unpacked_layers(source: _Layer | None, raw, member, at: int, to: int, used: list[int] | None = None) -> Iterator[_Layer]:
     """The pieces of compressed data, and of compressed data in it; each character stands for all of it."""
     if source is not None:
         at, to = int(source.starts[at]), int(source.ends[to - 1])
-    parts = inflated(raw, member, [0])
-    head = next(parts, b"")
-    inner = _opener(head)
-    if inner is not None:
-        whole = head + b"".join(parts)  # still compressed, so of modest size
-        got = False
-        for layer in _unpacked_layers(None, whole, inner, at, to):
-            got = True
-            yield layer
-        if got:
-            return
-        parts, head = iter([whole]), b""
-    for piece in pieces(chain([head], parts)):
+    for piece in pieces(_content(inflated(raw, member, used or [0]))):
         if text := _text(piece):
             yield _Layer(text, np.broadcast_to(np.int64(at), len(text)), np.broadcast_to(np.int64(to), len(text)))
 
 
 def _from_bytes(source: _Layer | None, raw: bytes, at: int, to: int) -> Iterator[_Layer]:
-    """The layers of decoded base64 that stands from ``at`` to ``to``: compressed data, with or without something before it, or text."""
-    found = False
-    starts = [0] if _opener(raw[:4]) else [i for i in (raw.find(b"\x1f\x8b\x08"), raw.find(b"1AY&SY") - 4) if i > 0]
-    for i in starts:
-        if (member := _opener(raw[i:])) is not None:
-            for layer in _unpacked_layers(source, raw[i:], member, at + i * 4 // 3, to):
-                found = True
+    """The layers of decoded base64 that stands from ``at`` to ``to``: each run of compressed data in it, and the bytes before, between and after them as text."""
+
+    def plain(a: int, b: int) -> Iterator[_Layer]:
+        if text := _text(raw[a:b]):
+            ends = a + np.cumsum(sizes := _sizes(text, raw[a:b]))
+            if layer := _mapped(source, text, at + (ends - sizes) * 4 // 3, np.minimum(at - (-ends * 4 // 3), to)):
                 yield layer
-    if found:
-        return
-    if text := _text(raw):
-        ends = np.cumsum(sizes := _sizes(text, raw))
-        if layer := _mapped(source, text, at + (ends - sizes) * 4 // 3, np.minimum(at - (-ends * 4 // 3), to)):
+
+    view, done, damaged = memoryview(raw), 0, False
+    for i in sorted({0, *(m.start() for m in _MAGIC.finditer(raw))}):
+        if i < done or (member := _opener(raw[i : i + 4])) is None:
+            continue
+        used = [0, 0]
+        for layer in _unpacked_layers(source, view[i:], member, at + i * 4 // 3, to, used):
+            damaged = True
             yield layer
-    else:  # deflate without a header
+        if used[1]:  # what only looked like compressed data ends in damage, and the bytes in it are looked at again
+            yield from plain(done, i)
+            done = i + used[1]
+    if done:
+        yield from plain(done, len(raw))
+    elif not damaged and _PLAIN.search(raw):
+        yield from plain(0, len(raw))
+    elif not damaged:  # deflate without a header
         yield from _unpacked_layers(source, raw, zlib.decompressobj(-15), at, to)
 
 
