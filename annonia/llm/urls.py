@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,39 +58,53 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(F.coalesce(html, F.lit("")), r"(?s)<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ")
 
 
+def _split(label: str, known: dict[str, int], total: int) -> list[str]:
+    """The cheapest pieces of a label; of equal ones the longest last piece."""
+    size = len(label)
+    # an unknown piece: as if seen once, ten times rarer with each letter
+    unknown = math.log(total + 1) + np.arange(size + 1) * math.log(10)
+    ending: dict[int, list[tuple[int, float]]] = {}
+    for piece, n in known.items():
+        begin = label.find(piece)
+        while begin >= 0:
+            ending.setdefault(begin + len(piece), []).append((begin, math.log(total + 1) - math.log(n)))
+            begin = label.find(piece, begin + 1)
+    best, froms = np.zeros(size + 1), [0] * (size + 1)
+    for end in range(1, size + 1):
+        costs = best[:end] + unknown[end:0:-1]
+        for begin, cost in ending.get(end, ()):
+            costs[begin] = best[begin] + cost
+        froms[end] = int(costs.argmin())
+        best[end] = costs[froms[end]]
+    parts, end = [], size
+    while end:
+        parts.append(label[froms[end] : end])
+        end = froms[end]
+    return parts[::-1]
+
+
 def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for label, known, total in zip(*(batch.column(k).to_pylist() for k in (0, 1, 2))):
-            cost = {w["piece"]: math.log(total + 1) - math.log(w["n"]) for w in known or () if w["n"]}
-            best: list[tuple[float, int]] = [(0.0, 0)]
-            for end in range(1, len(label) + 1):
-                choices = []
-                for begin in range(end):
-                    piece = label[begin:end]
-                    # an unknown piece: as if seen once, ten times rarer with each letter
-                    c = cost.get(piece, math.log(total + 1) + len(piece) * math.log(10))
-                    choices.append((best[begin][0] + c, begin))
-                best.append(min(choices))
-            parts, end = [], len(label)
-            while end:
-                begin = best[end][1]
-                parts.append(label[begin:end])
-                end = begin
-            out.append(parts[::-1])
+        rows = zip(*(batch.column(k).to_pylist() for k in (0, 1, 2)))
+        out = [_split(label, {w["piece"]: w["n"] for w in known or () if w["n"]}, total) for label, known, total in rows]
         yield pa.record_batch([batch.column(0), pa.array(out, pa.list_(pa.string()))], names=["label", "pieces"])
 
 
 def segment(labels: DataFrame, counts: DataFrame) -> DataFrame:
-    """(label, pieces) of each distinct label by unigram Viterbi; ``counts`` has (piece, n)."""
-    total, longest = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max(F.length("piece")), F.lit(1))).first()
-    length = F.length("label")
-    begins = F.sequence(F.lit(1), length)
-    pieces = F.flatten(F.transform(begins, lambda b: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), length - b + 1)), lambda n: F.substring(F.col("label"), b, n))))
+    """(label, pieces) of each distinct label by unigram Viterbi; ``counts`` has (piece, n).
+
+    Of a label only the substrings as long as some counted word are looked up. They are rows of their own from the start, so a
+    label of any length is no large row until its known words are brought together."""
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    lengths = sorted(r[0] for r in counts.select(F.length("piece")).distinct().collect())  # at most as many as the longest word has letters
     distinct = labels.where("label <> ''").distinct()
-    found = distinct.select("label", F.explode(F.array_distinct(pieces)).alias("piece")).join(counts, "piece")
-    known = found.groupBy("label").agg(F.collect_list(F.struct("piece", "n")).alias("known"))  # at most the square of the length
-    return distinct.join(known, "label", "left").withColumn("total", F.lit(total).cast("long")).mapInArrow(_splits, "label string, pieces array<string>")
+    size = F.length("label")
+    begun = distinct.select("label", F.md5("label").alias("id"), F.explode(F.filter(F.lit(lengths or [0]).cast("array<int>"), lambda n: (n > 0) & (n <= size))).alias("length"))
+    begun = begun.select("label", "id", "length", F.explode(F.sequence(F.lit(1), size - F.col("length") + 1)).alias("begin"))
+    pieces = begun.select("id", F.substring("label", F.col("begin"), F.col("length")).alias("piece"))
+    known = pieces.join(counts, "piece").groupBy("id").agg(F.collect_set(F.struct("piece", "n")).alias("known"))  # the words in one label
+    joined = distinct.withColumn("id", F.md5("label")).join(known, "id", "left")
+    return joined.select("label", "known", F.lit(total).cast("long").alias("total")).mapInArrow(_splits, "label string, pieces array<string>")
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
