@@ -12,10 +12,12 @@ _own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests on one machine)."""
+    """The folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset on a single machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = f"file://{tempfile.mkdtemp(prefix='annonia-')}"
