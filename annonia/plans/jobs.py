@@ -108,7 +108,7 @@ def normalize_vehicles(df: DataFrame, as_of: Column, years: int = 3) -> DataFram
 def normalize_jobs(df: DataFrame, as_of: Column) -> DataFrame:
     """domaine, diplome, adresse, salaire_text, quand -> typed columns.
 
-    Where the table has them: the title settles an unknown domain, the description names diplomas, and salary ranges, experience,
+    Where the table has them: the title settles an unknown domain (``domaine_complet``), the description names diplomas, and salary ranges, experience,
     contract, region and lists of levels are put in standard form."""
     salary = money.extract_salary(F.col("salaire_text"))
     typed = df.withColumns(
@@ -128,7 +128,7 @@ def normalize_jobs(df: DataFrame, as_of: Column) -> DataFrame:
     return _given(
         typed,
         {
-            "domaine_norm": ("titre", from_title),
+            "domaine_complet": ("titre", from_title),
             "diplome_src": ("description", named),
             "diplomes": ("description", lambda: vocab.normalize_diplomes(F.array_distinct(F.concat(own(), named())), F.col("description"))),
             "prix_value": ("salaire_text", lambda: wage()["salary"]),

@@ -60,7 +60,7 @@ def job_records_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = frame(spark, sf_dir, "record_rows").withColumns({"description": C("job_text"), "adresse": F.lit("x"), "quand": F.lit("")})
     out = jobs.normalize_jobs(raw, F.to_date(F.lit(AS_OF)))
     lists = {c: F.array_join(c, "|").alias(c) for c in ("niveau", "diplome_src", "diplomes")}
-    return out.select("row_id", "domaine_norm", "prix_value", "as_prix", "experience", "contrat", "wilaya", "date_depot", *lists.values())
+    return out.select("row_id", C("domaine_complet").alias("domaine_norm"), "prix_value", "as_prix", "experience", "contrat", "wilaya", "date_depot", *lists.values())
 
 
 # M4 with prices, standard names and status

@@ -193,8 +193,8 @@ def open_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # D8 from text
 @registry.query(
-    """ SELECT row_id, k % 4 <> 3 AS par_facilite, CASE k % 4 WHEN 0 THEN '10=12000' WHEN 1 THEN concat(CASE WHEN k = 36 THEN '' ELSE concat(CAST(k AS STRING), '=1500,') END, '36=900') ELSE '' END AS plans, k % 4 = 1 AS premier_versement, CASE WHEN k % 4 = 1 THEN 5000.0 ELSE 0.0 END AS first_sum,
- CASE k % 4 WHEN 0 THEN 120000.0 WHEN 1 THEN (CASE WHEN k = 36 THEN 1500.0 * 36 ELSE 1500.0 * k END) WHEN 2 THEN CAST(concat('7', CAST(k AS STRING)) AS DOUBLE) ELSE 0.0 END AS total FROM open_rows""",
+    """ SELECT row_id, k % 4 <> 3 AS par_facilite, CASE k % 4 WHEN 0 THEN '10=12000' WHEN 1 THEN concat(CASE WHEN k = 36 THEN '' ELSE concat(CAST(k AS STRING), '=1500,') END, '36=900') ELSE '' END AS plans, k % 4 = 1 AS premier_versement, CAST(CASE WHEN k % 4 = 1 THEN 5000.0 ELSE 0.0 END AS DOUBLE) AS first_sum,
+ CAST(CASE k % 4 WHEN 0 THEN 120000.0 WHEN 1 THEN (CASE WHEN k = 36 THEN 1500.0 * 36 ELSE 1500.0 * k END) WHEN 2 THEN CAST(concat('7', CAST(k AS STRING)) AS DOUBLE) ELSE 0.0 END AS DOUBLE) AS total FROM open_rows""",
     "open_rows",
 )
 def instalment_plans(spark: SparkSession, sf_dir: str) -> DataFrame:
