@@ -38,6 +38,8 @@ def test_query(spark, con, name):
 
 
 def test_native_queries_have_no_python(spark):
-    for name in set(registry.QUERIES) - {"parsed_pages", "spec_tables", "page_selectors", "detail_fields", "spec_grids", "real_estate_records"}:
+    # what streams and stored tables give is read back from files: its plan says nothing of how it was made
+    read_back = {n for n in registry.QUERIES if n.startswith("stream_")} | {"seen_batches", "stored_upserts"}
+    for name in set(registry.QUERIES) - read_back - {"parsed_pages", "spec_tables", "page_selectors", "detail_fields", "spec_grids", "real_estate_records"}:
         plan = registry.QUERIES[name](spark, DIR)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "MapInArrow" not in plan, name

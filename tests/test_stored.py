@@ -59,7 +59,7 @@ def test_versions_over_many_batches(spark, tmp_path):
     """Only touched buckets are opened, a half-written batch changes nothing, and old versions go."""
     table = str(tmp_path / "t")
     schema = spark.createDataFrame([], ROW).schema
-    done = batches(1, size=6)
+    done = batches(1, n=6, size=6)
     for k, rows in enumerate(done):
         if k == 4:  # a try that fails before its manifest
             half = spark.createDataFrame([("d1", -1, 99)], ROW).withColumn("bucket", F.lit(0))
