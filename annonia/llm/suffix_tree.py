@@ -40,6 +40,8 @@ from .store import bucketed, written
 
 DEPTH, WORDS, LEAST_COUNT, DIVERGENCE, SMOOTH = 4, 2, 2, 3.0, 4.0
 BLOCK_BYTES, PART_WORDS = 12 << 20, 400_000
+#: Most buckets of a table; Spark refuses more than 100,000.
+BUCKETS = 50_000
 #: Symbols that are scored at a time.
 SLICE = 400_000
 FOLDS, HELD_OUT = 7, 2
@@ -499,20 +501,21 @@ def _scoring(bits: int, most: int, n_train: int, v_train: int):
 def in_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
     """(block, doc_id, train, text) as a table bucketed by block, and the bytes of text.
 
-    A block lies within one input partition, so nothing is shuffled. Block numbers are chosen so that each
-    falls into a bucket of its own (up to 50,000; beyond, chance evens the buckets)."""
+    A block lies within one input partition, so nothing is shuffled. Up to ``BUCKETS`` blocks, numbers are chosen so that each
+    falls into a bucket of its own; beyond, a bucket holds several, which its task takes one after the other. Should the input's
+    partitions differ from those that were counted, blocks get larger, but no row is lost."""
     spark = docs.sparkSession
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), (~held_out(docs["doc_id"])).alias("train"), docs["text"].cast("string").alias("text"))
     sizes = rows.groupBy(F.spark_partition_id().alias("part")).agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("size"))
     total, largest, parts = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0)), F.coalesce(F.max("part") + 1, F.lit(1))).first()
     each = max(1, -(-int(largest) // block_bytes))
     n = int(parts) * each
-    block = F.spark_partition_id() * each + F.pmod(F.monotonically_increasing_id(), F.lit(each)).cast("int")
-    if n <= 50_000:
+    block = F.pmod(F.spark_partition_id(), F.lit(int(parts))) * each + F.pmod(F.monotonically_increasing_id(), F.lit(each)).cast("int")
+    if n <= BUCKETS:
         names = spark.range(16 * n + 64).groupBy(F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("bucket")).agg(F.min("id").cast("int").alias("id"))
         own = {r.bucket: r.id for r in names.collect()}
         block = F.element_at(F.lit([own.get(k, 17 * n + 64 + k) for k in range(n)]), block + 1)
-    return bucketed(rows.withColumn("block", block.cast("int")), n, "block"), int(total)
+    return bucketed(rows.withColumn("block", block.cast("int")), min(n, BUCKETS), "block"), int(total)
 
 
 def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, most: int = WORDS) -> DataFrame:
