@@ -40,6 +40,8 @@ LENGTH, GRAM, HOT = 100, 24, 2000
 FLUSH, BLOCK = 1_500_000, 400_000
 #: The sample that shows hot minimisers, and how many different runs in it make one hot.
 SAMPLE_BYTES, SAMPLE_RUNS = 16 << 20, 50
+#: Least share of the corpus in the sample; most hot minimisers, which every task gets (8 bytes each).
+LEAST_SHARE, MOST_HOT = 1 / 2048, 1 << 20
 #: Windows that are taken at a time; twenty bits number their places.
 CHUNK = (1 << 19) - 256
 #: Digests of hot windows that a task remembers at a time.
@@ -141,10 +143,15 @@ def _sampled_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def hot_minimisers(texts: DataFrame, total: int, sample_bytes: int = SAMPLE_BYTES, sample_runs: int = SAMPLE_RUNS) -> np.ndarray:
-    """Minimisers with many different runs in a sample of texts; at most one in ``sample_runs`` of the sample's runs."""
-    share = min(1.0, sample_bytes / max(total, 1))
-    some = texts.where(F.pmod(F.xxhash64("doc", "sub", F.lit(1)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    found = some.mapInArrow(_sampled_runs, "mh long, ch long").distinct().groupBy("mh").count().where(F.col("count") >= sample_runs)
+    """Minimisers with many different runs in a sample of texts, at most ``MOST_HOT`` of them.
+
+    The sample grows with the corpus (``LEAST_SHARE``), so that what stays unsplit grows far slower than the corpus; where
+    more than ``MOST_HOT`` minimisers could have ``sample_runs`` runs in it, more runs are asked for."""
+    share = min(1.0, max(LEAST_SHARE, sample_bytes / max(total, 1)))
+    unit = F.shiftrightunsigned(F.xxhash64("doc", "sub", F.lit(1)), 11) / F.lit(float(1 << 53))
+    counts = written(texts.where(unit < share).mapInArrow(_sampled_runs, "mh long, ch long").distinct().groupBy("mh").count())
+    n_runs = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    found = counts.where(F.col("count") >= max(sample_runs, -(-n_runs // MOST_HOT)))
     return np.sort(np.array([r.mh for r in found.select("mh").collect()], np.int64))
 
 
