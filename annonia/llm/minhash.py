@@ -250,7 +250,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     best = _block_pairs(rest, packed, True).groupBy("low", "high").agg(F.max_by(F.struct("u", "v"), F.struct("alike", "u", "v")).alias("pair")).select("low", "high", "pair.u", "pair.v")
     best = written(best.join(tested, ["u", "v"], "left_anti"))
     found = _confirmed_packed(best.select("u", "v"), packed)
-    joined = best.join(found, ["u", "v"], "left_semi").groupBy(F.col("high").alias("label")).agg(F.min("low").alias("to"))
+    # chains of linked components are closed, or all pairs between them would be candidates below
+    joined = components(best.join(found, ["u", "v"], "left_semi").select(F.col("low").alias("u"), F.col("high").alias("v"))).toDF("label", "to")
     rest = written(undecided(rest.join(joined, "label", "left").select("bucket", "doc_id", F.coalesce("to", "label").alias("label"))))
     others = written(_block_pairs(rest, packed, False).select("u", "v").distinct().join(tested.union(best.select("u", "v")), ["u", "v"], "left_anti"))
     found = found.union(_confirmed_packed(others, packed))
@@ -263,7 +264,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group left: that of the smallest doc_id (of its rows, the least)."""
+    """``docs`` with one row of each near-duplicate group left: that of the smallest doc_id.
+
+    Of several rows with this id one stays, that of the least digest, whatever the order of the rows. Rows without an id all stay."""
     kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     own = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return own.dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
+    row = [F.col(f"`{c}`") for c in docs.columns]
+    digest = F.xxhash64(*(c for c, (_, kind) in zip(row, docs.dtypes) if "map<" not in kind and "variant" not in kind))  # these have no hash
+    least = own.groupBy("doc_id").agg(F.min_by(F.struct(*row), F.struct(F.xxhash64("text"), digest)).alias("_row"))
+    return least.select("_row.*").unionByName(docs.where("doc_id is null"))
