@@ -10,8 +10,10 @@ then compared exactly: weighted Jaccard similarity of the shingles, each counted
 it occurs. A window equal to the item is at distance 0.
 
 Up to ``ITEMS`` items are broadcast, and the documents are read once and not shuffled. Beyond, the documents are read
-twice, whatever the number of items: shingles that pass a sieve of bounded size meet those of the items in a join,
-and each document then meets the items that it shares a shingle with.
+twice, whatever the number of items: an item of n shingles is looked for by its rarest alone, as many as a window of similarity
+0.75 can't all lack (n less 0.75 n, rounded up, and one more, repeats counted). Shingles that many items share are so
+left out where an item has rarer ones. Those that pass a sieve of bounded size meet the items' in a join, and each document
+then meets its candidates, some ``TOGETHER`` at a time.
 
 Input: ``doc_id``, ``text``; benchmark ``item_id``, ``text``. Words are lower-cased (A-Z). Null and
 empty texts match nothing; items without words, id or text match nothing; a null doc_id is found like others; an item of fewer than five words
@@ -21,24 +23,24 @@ are ignored."""
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textkit as tk
 from .store import written
 
 WORDS, PERCENT, ITEMS = 5, 75, 5000
+#: Candidate items of one document that a task compares at a time, about.
+TOGETHER = 256
 #: Similarity 0.75 makes a bit differ with a chance of about 0.172: 22 bits of 128, deviation 4.3; the radius is four deviations more.
 BITS, RADIUS, BLOCKS = 128, 39, 8
 #: log2 of the cells of the sieve: at least, at most.
 SIEVE = (22, 28)
 _MATCHES = "doc_id long, item_id long, start long, n_words long, distance int, similarity double"
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
-_WIDTH = BITS // BLOCKS
 
 
 def simhash(s: np.ndarray) -> np.ndarray:
@@ -47,8 +49,6 @@ def simhash(s: np.ndarray) -> np.ndarray:
     return np.packbits(2 * votes > len(s), bitorder="little").view(np.uint16)
 
 
-_NEAR = np.array([sum(1 << b for b in c) for r in range(RADIUS // BLOCKS + 1) for c in combinations(range(_WIDTH), r)], np.uint16)
-
 
 class Index:
     """Shingles of some items, and for each size of item the fingerprints in blocks."""
@@ -64,7 +64,7 @@ class Index:
         for n in set(sizes.tolist()):
             own = np.flatnonzero(sizes == n)
             orders = [np.argsort(self.prints[own, b], kind="stable") for b in range(BLOCKS)]
-            self.blocks[n] = (own, [(o, self.prints[own, b][o]) for b, o in enumerate(orders)])
+            self.blocks[n] = (own, [(o, *np.unique(self.prints[own, b], return_counts=True)) for b, o in enumerate(orders)])
         self.looked_up = self.lookups = 0
 
     def near(self, n: int, fingerprint: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -73,14 +73,10 @@ class Index:
             return
         own, blocks = self.blocks[n]
         hit = np.zeros(len(own), bool)
-        for b, (order, values) in enumerate(blocks):
-            # the values near the window's: of those in the index or of all, whichever are fewer
-            if len(values) <= len(_NEAR):
-                hit[order[np.bitwise_count(values ^ fingerprint[b]) <= RADIUS // BLOCKS]] = True
-            else:
-                around = _NEAR ^ fingerprint[b]
-                for i, j in zip(np.searchsorted(values, around), np.searchsorted(values, around, side="right")):
-                    hit[order[i:j]] = True
+        for b, (order, values, times) in enumerate(blocks):
+            # of the block's different values, at most 65,536 for any number of items, those near the window's
+            near = np.bitwise_count(values ^ fingerprint[b]) <= RADIUS // BLOCKS
+            hit[order[np.repeat(near, times)]] = True
         found = own[hit]
         self.lookups, self.looked_up = self.lookups + 1, self.looked_up + len(found)
         distance = np.bitwise_count(self.prints[found] ^ fingerprint).sum(1, dtype=np.int64)
@@ -147,10 +143,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, items: int = ITEMS) -> DataFram
     spark = docs.sparkSession
     wanted = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    few = [(r.item_id, r.text) for r in wanted.limit(items + 1).collect()]
-    if len(few) > items or sum(len(t) for _, t in few) > items << 12:
+    n, size = wanted.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    if n > items or size > items << 12:
         return _leaks_by_join(texts, wanted)
-    found = [x for r in sorted(few) if (x := _item(*r))[1]]
+    found = [x for r in sorted((r.item_id, r.text) for r in wanted.collect()) if (x := _item(*r))[1]]
     return texts.mapInArrow(_searcher(spark.sparkContext.broadcast(found)), _MATCHES)
 
 
@@ -186,14 +182,27 @@ def _item_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             _, n, s = _item(item_id, text)
-            s = np.unique(s)
-            yield pa.record_batch([pa.array([item_id] * len(s), pa.int64()), pa.array(s.view(np.int64)), pa.array([min(n, WORDS)] * len(s), pa.int32())], names=["item_id", "h", "size"])
+            s, times = np.unique(s, return_counts=True)
+            key = int(s.sum(dtype=np.uint64)) >> 1  # tells texts of one id apart
+            same = [np.full(len(s), x, np.int64) for x in (item_id, key)]
+            yield pa.record_batch([*map(pa.array, (*same, s.view(np.int64), times, np.full(len(s), min(n, WORDS), np.int32)))], names=["item_id", "of", "h", "times", "size"])
+
+
+def _rarest(shingles: DataFrame) -> DataFrame:
+    """Of each item the shingles that fewest items hold, one of which every window of the similarity has."""
+    spread = shingles.groupBy("h").agg(F.count("*").alias("n_items"))
+    ranked = shingles.join(spread, "h")
+    own = Window.partitionBy("item_id", "of")
+    before = F.coalesce(F.sum("times").over(own.orderBy("n_items", "h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("times").over(own)
+    may_lack = total - F.ceil(total * PERCENT / 100)
+    return ranked.withColumn("needed", before <= may_lack).where("needed").select("item_id", "h", "size")
 
 
 def _leaks_by_join(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """For a benchmark of any size. Documents are told apart by id and a hash of the text."""
     spark = texts.sparkSession
-    shingles = written(wanted.mapInArrow(_item_shingles, "item_id long, h long, size int"))
+    shingles = written(_rarest(wanted.mapInArrow(_item_shingles, "item_id long, of long, h long, times long, size int")))
     n, sizes = shingles.agg(F.count("*"), F.collect_set("size")).first()
     bits = min(SIEVE[1], max(SIEVE[0], int(8 * n).bit_length()))
     width = min(bits, 20)  # the sieve comes in chunks of so many cells, put together by Spark
@@ -231,8 +240,10 @@ def _leaks_by_join(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     yield pa.record_batch([pa.array(keys[i:j][d]), pa.array(owns[i:j][d]), pa.array(s[at].view(np.int64))], names=["key", "own", "h"])
 
     rows = keyed.select("key", "own", "text").mapInArrow(passing, "key long, own long, h long")
-    pairs = rows.distinct().join(shingles.select("h", "item_id"), "h").select("key", "own", "item_id").distinct()
-    with_items = pairs.join(wanted, "item_id").groupBy("key", "own").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
+    pairs = written(rows.distinct().join(shingles.select("h", "item_id"), "h").select("key", "own", "item_id").distinct())
+    parts = pairs.groupBy("key", "own").agg(F.ceil(F.count("*") / TOGETHER).alias("parts"))
+    sliced = pairs.join(parts, ["key", "own"]).select("key", "own", "item_id", F.pmod(F.xxhash64("item_id"), F.col("parts")).alias("slice"))
+    with_items = sliced.join(wanted, "item_id").groupBy("key", "own", "slice").agg(F.collect_list(F.struct("item_id", "text")).alias("items"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,6 +258,9 @@ def _leaks_by_join(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a leaked item."""
+    """``docs`` without the documents that hold a leaked item. Rows of one id go together; rows without an id go by their text."""
     bad = leaks(docs, benchmark).where("doc_id is not null").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    named = docs.where("doc_id is not null").join(bad, "doc_id", "left_anti").select(docs.columns)
+    nameless, text = docs.where("doc_id is null"), F.xxhash64("text")
+    leaking = leaks(nameless.select(text.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_leaking")).distinct()
+    return named.unionByName(nameless.join(leaking, text == F.col("_leaking"), "left_anti").select(docs.columns))
