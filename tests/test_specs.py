@@ -53,6 +53,10 @@ CASES = [
     (vocab.suspicious_status, "Produits  chimiques", 404),
     (vocab.suspicious_status, "billets tachetés", 404),
     (vocab.suspicious_status, "un billetage propre", 200),
+    (vocab.suspicious_status, "prix masqué, sièges tachetés", 200),
+    (vocab.suspicious_status, "photos masquées", 404),
+    (vocab.suspicious_status, "deux lavages", 200),
+    (vocab.suspicious_status, "LAVAGE offert", 404),
 ]
 
 
