@@ -10,8 +10,8 @@ fitting, not shortened. A document's label says what most of its lines are like,
 left open. Everything else runs over all documents and whole texts.
 
 Input: ``doc_id``, ``text``; labels with ``doc_id``, ``quality``. Null and empty texts have no
-words and fail the base rules; repeated rows give repeated results; a document
-with both labels counts as bad in the sample, labels without a document or a value are passed over; without labels the
+words and fail the base rules; repeated rows give repeated results but count once in the sample, rows of one id
+with different texts as the one of least features; a document with both labels counts as bad in the sample, labels without a document or a value are passed over; without labels the
 field has no say and keeps all; other columns are ignored."""
 
 from __future__ import annotations
@@ -239,7 +239,8 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, trai
                 out += [f[at[k] : at[k + 1]].astype(np.uint8).tobytes() if 0 < at[k + 1] - at[k] <= train_lines else None for k in range(j - i)]
             yield pa.record_batch([batch.column(0), batch.column(2).cast(pa.int32()), pa.array(out, pa.binary())], names=["doc_id", "quality", "f"])
 
-    rows = sorted({(r.doc_id, r.quality, bytes(r.f)) for r in picked.mapInArrow(run, "doc_id long, quality int, f binary").where("f is not null").collect()})
+    found = picked.mapInArrow(run, "doc_id long, quality int, f binary").where("f is not null")
+    rows = sorted((r.doc_id, r.quality, bytes(r.f)) for r in found.groupBy("doc_id", "quality").agg(F.min("f").alias("f")).collect())  # at most one an id
     return Field.fit([np.frombuffer(f, np.uint8).reshape(-1, N_FEATURES).astype(float) for _, _, f in rows], [int(q == 0) for _, q, _ in rows])
 
 

@@ -394,6 +394,17 @@ def test_quality_labels_of_all_kinds(spark):
     assert quality.kept(df, quality.train(df, labels)).columns == df.columns
 
 
+def test_quality_sample_has_one_row_an_id(spark, monkeypatch):
+    """However often an id stands in the table, with whatever texts, one row of it reaches the driver; the same in any order."""
+    fitted = []
+    monkeypatch.setattr(quality.Field, "fit", classmethod(lambda cls, lines, y: fitted.append(([x.tobytes() for x in lines], y))))
+    rows = [(1, f"line {'word ' * (k % 3)}!\n$$$ {k}") for k in range(400)] + [(2, "one line")] * 50 + [(None, "no id")]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    for order in (rows, rows[::-1]):
+        quality.train(spark.createDataFrame(order, "doc_id long, text string").repartition(3), labels)
+    assert fitted[0] == fitted[1] and fitted[0][1] == [0, 1]
+
+
 def test_quality_held_out(spark):
     t = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
