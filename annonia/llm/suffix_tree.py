@@ -6,6 +6,9 @@ training symbols, each left out once, better than its parent (the context withou
 more than ``DIVERGENCE`` nats. A state's distribution is smoothed with that of its longest suffix that is
 a state (Witten-Bell), the root's with the probability of a word's spelling, so words
 never seen are still told apart. A symbol is scored in the longest suffix that is a state.
+The states need not be closed under suffixes: two words may tell much where the last of them alone tells little, and then the
+longer context is smoothed with the root. Its gain is measured against the counts of the context without its first word, whether
+that is a state or not: what counts is what the one more word adds.
 
 Spelling is a second tree over bytes: each word as a blank, its bytes, and a blank. Its contexts go back to the
 blank before the word and up to ``DEPTH``, and are kept by the divergence of their next-byte

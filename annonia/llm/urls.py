@@ -11,7 +11,8 @@ however many pages they have.
 
 Input: ``page_id``, ``url``, ``html``. A null url or one without ``://`` has empty host and path and no
 tokens; repeated rows give repeated results; an empty table gives no rows; other columns are
-ignored. Where the rules decide no page, or all alike, the method allows."""
+ignored. Where the rules decide no page, or all alike, the method allows; so it does where both classes score the same. Of rules of
+one length that fit, the last in ``RULES`` counts; of splits of one probability, the one with the longest last piece."""
 
 from __future__ import annotations
 
