@@ -54,3 +54,17 @@ def test_upsert_over_batches(spark, tmp_path):
             newest[doc] = max(newest.get(doc, (-1, -1)), (date, event))
         want |= {doc: event for doc, (_, event) in newest.items()}
     assert got == want
+
+
+def test_new_listings_within_the_delay(spark, tmp_path):
+    """A repeat within the delay is dropped, one after it is new again, and an event older than the watermark is late."""
+    hour = 3600
+    batches = [[("a", 0), ("a", hour // 6), (None, 0)], [("b", 5 * hour)], [("a", 60), ("c", 5 * hour), ("b", 5 * hour + 60)], [("a", 6 * hour)], [("a", 6 * hour + 60)]]
+    for rows in batches:
+        df = spark.createDataFrame(rows, "listing_id string, at long").select("listing_id", F.timestamp_seconds(1_700_000_000 + F.col("at")).alias("ts"))
+        df.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("listing_id string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    fresh = streams.stream_new_listings(stream, "1 hour").select("listing_id", ((F.unix_timestamp("ts") - 1_700_000_000) / hour).cast("int").alias("hour"))
+    out = f"{tmp_path}/out"
+    fresh.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{tmp_path}/log").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(map(tuple, spark.read.schema(fresh.schema).parquet(out).collect())) == [("a", 0), ("a", 6), ("b", 5), ("c", 5)]
