@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ from pyspark.sql import functions as F
 _NOT_IN_NUMBERS = "dDfFnNiIxXpP" + "".join(map(chr, [*range(1, 9), *range(14, 32)]))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` uses it, also in lambdas and branches; keeps long rules out of one generated method."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def text(col: Column) -> Column:
     """Null counts as empty."""
     return F.coalesce(col, F.lit(""))

@@ -17,6 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .base import let
+
 _PART = re.compile(
     r"""\s*(?P<rel>[>+~])\s*|(?P<blank>\s+)|(?P<tag>\*|[A-Za-z][\w-]*)|\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)"""
     r"""|\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>[\^$*~]?=)\s*(?:"(?P<dq>[^"]*)"|'(?P<sq>[^']*)'|(?P<bare>[^\]\s]+))\s*)?\]"""
@@ -26,11 +28,6 @@ _PART = re.compile(
 Fits = Callable[[Column], Column]
 
 
-def let(value: Column, body: Fits) -> Column:
-    """``body`` of a value that is worked out once, however often ``body`` uses it, also in lambdas."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _test(m: re.Match) -> Fits:
     """What one part of a compound selector asks of an element."""
     if m["tag"]:

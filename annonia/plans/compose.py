@@ -61,17 +61,28 @@ INPUTS = {
 }
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The input (or plain table) as a DataFrame."""
+#: Tasks for each split of a file. A split of 128 MB may hold millions of short rows, or all of them, if the file is one row group.
+TASKS_A_SPLIT = 16
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a file dealt evenly over more tasks than it has splits, for rules that cost far more than reading a row."""
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), TASKS_A_SPLIT * df.rdd.getNumPartitions())
+    return df.repartition(n)
+
+
+def frame(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
+    """The input (or plain table) as a DataFrame; with ``wide``, its tables are spread before anything is composed, as their own rows are short."""
     if name not in INPUTS:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spread(table) if wide else table
     needed = dict.fromkeys(re.findall(r"\{([a-z_]+)\}", INPUTS[name]))
     # only table names are braces with a word in them; JSON braces are followed by a quote
     sql = INPUTS[name]
     views = {}
     for t in needed:
         view = f"annonia_{t}"
-        frame(spark, sf_dir, t).createOrReplaceTempView(view)
+        frame(spark, sf_dir, t, wide).createOrReplaceTempView(view)
         views[t] = view
     for t, view in views.items():
         sql = sql.replace("{" + t + "}", view)

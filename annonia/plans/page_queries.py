@@ -38,7 +38,7 @@ INPUTS["grid_pages"] = f"""SELECT o_orderkey AS page_id, concat('https://www.exa
 )
 def page_selectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Descendant, child, sibling, order and attribute selectors over the given pages."""
-    p = html.parse_pages(frame(spark, sf_dir, "pages"))
+    p = html.parse_pages(frame(spark, sf_dir, "pages", wide=True), "elements", "strings")
     e, s = C("elements"), C("strings")
     count = lambda selector: F.size(dom.select(e, selector)).cast("long")
     return p.select(
@@ -62,7 +62,7 @@ def page_selectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def detail_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, address and contacts of nested detail pages."""
-    p = html.parse_pages(frame(spark, sf_dir, "detail_pages"))
+    p = html.parse_pages(frame(spark, sf_dir, "detail_pages", wide=True), "elements", "strings")
     e, s = C("elements"), C("strings")
     read = p.select("page_id", details.location(e, s).alias("l"), details.contact(e, s).alias("c"))
     lists = {"email": "email", "phones": "phones", "whatsapp": "whatsapp", "telegram": "telegram", "viber": "viber"}
@@ -87,7 +87,7 @@ def any_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def spec_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One map from four-cell rows, spans, heading rows, lists and repeated siblings."""
-    p = html.parse_pages(frame(spark, sf_dir, "grid_pages"))
+    p = html.parse_pages(frame(spark, sf_dir, "grid_pages", wide=True), "pairs")
     m = html.spec_map(C("pairs"))
     labels = ["Mileage", "City", "Engine", "Color", "Fuel", "Size width", "Size height", "Odd", "Power", "Torque", "Doors", "Seats", "Options", "Year"]
     got = p.select("page_id", m.alias("m"))

@@ -89,7 +89,7 @@ def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def spec_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label/value rows of tables and lists as a map; the last of equal labels counts."""
-    p = html.parse_pages(frame(spark, sf_dir, "spec_pages"))
+    p = html.parse_pages(frame(spark, sf_dir, "spec_pages", wide=True), "title", "elements", "strings", "pairs")
     specs = p.select("page_id", "title", html.extract_text(C("elements"), "p", "lead").alias("lead"), F.transform_keys(html.spec_map(C("pairs")), lambda k, _: pages.normalize_spec_key(k)).alias("m"))
     return specs.select("page_id", "title", C("m")["marque"].alias("marque"), C("m")["km"].alias("km"), C("m")["date_mise"].alias("mise"), "lead")
 

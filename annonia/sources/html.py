@@ -7,12 +7,16 @@ in column expressions. Texts are kept once for the page; an element holds a rang
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from html import unescape
 from html.parser import HTMLParser
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import dom, pages
 from ..functions.base import text
@@ -23,7 +27,7 @@ ELEMENT = (
     "struct<start:int,end:int,depth:int,parent:int,prev:int,path:array<int>,nth:int,nth_of_tag:int,last:boolean,"
     "tag:string,id:string,classes:array<string>,attrs:map<string,string>,from:int,to:int>"
 )
-PARSED = f"page_id long, url string, title string, visible string, elements array<{ELEMENT}>, strings array<string>, links array<string>, images array<string>, pairs array<struct<label:string,value:string>>"
+PARSED = f"title string, visible string, elements array<{ELEMENT}>, strings array<string>, links array<string>, images array<string>, pairs array<struct<label:string,value:string>>"
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _HIDDEN = {"script", "style", "template"}
 _BLOCKS = {"address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "p", "pre", "section", "table", "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul"}
@@ -43,6 +47,15 @@ _ENDS = {
 _NEVER_INSIDE = {"p", "li", "dt", "dd", "td", "th", "tr", "option", "b", "i", "a", "span", "em", "strong"}
 
 
+#: The two common spellings of a tag; all others are left to the standard library.
+_PLAIN_START = re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)((?:[ \n]+[a-zA-Z][a-zA-Z0-9_-]*="[^"]*")*)[ \n]*>')
+_PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)>")
+_PLAIN_ATTR = re.compile(r'([a-zA-Z][a-zA-Z0-9_-]*)="([^"]*)"')
+_PLAIN = re.compile(rf"([^<]*)(?:{_PLAIN_END.pattern}|{_PLAIN_START.pattern})")
+#: Tags whose content the library reads in another way, in one version or another.
+_RAW = {"script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes", "noscript", "plaintext"}
+
+
 class _Page(HTMLParser):
     """The elements (as dicts), strings and children of one page."""
 
@@ -53,28 +66,73 @@ class _Page(HTMLParser):
         self.top: list[int] = []
         self.strings: list[str] = []
         self.open: list[int] = []
+        self.open_tags: list[str] = []
+        self.of_tag: list[dict[str, int]] = [{}]  # children of each tag, by one more than the parent's place
         self.hidden = 0
-        self.feed(source)
+        self.feed(source[self._scan(source) :])
         self.close()
         while self.open:
             self._end()
+        self._texts: dict[int, str] = {}
+        # how many strings with text and how many block elements come before each place
+        self._filled = list(accumulate((bool(s) and not s.isspace() for s in self.strings), initial=0))
+        self._blocks = list(accumulate((e["tag"] in _BLOCKS for e in self.elements), initial=0))
+
+    def _scan(self, source: str) -> int:
+        """Reads texts and tags in the common spellings up to the first other thing, and says where that is."""
+        at = 0
+        while m := _PLAIN.match(source, at):
+            data, end, start, attrs = m.groups()
+            if start and start.lower() in _RAW:
+                break
+            if data:
+                self.handle_data(unescape(data))
+            if end:
+                self.handle_endtag(end.lower())
+            else:
+                self.handle_starttag(start.lower(), self._attrs(attrs))
+            at = m.end()
+        return at
+
+    @staticmethod
+    def _attrs(source: str) -> list[tuple[str, str]]:
+        return [(k.lower(), unescape(v)) for k, v in _PLAIN_ATTR.findall(source)] if source else []
+
+    def updatepos(self, i, j):
+        return j  # lines are not counted
+
+    def parse_starttag(self, i):
+        m = _PLAIN_START.match(self.rawdata, i)
+        if m is None or (tag := m[1].lower()) in _RAW:
+            return super().parse_starttag(i)
+        self.lasttag = tag
+        self.handle_starttag(tag, self._attrs(m[2]))
+        return m.end()
+
+    def parse_endtag(self, i):
+        m = _PLAIN_END.match(self.rawdata, i)
+        if m is None or self.cdata_elem is not None:
+            return super().parse_endtag(i)
+        self.handle_endtag(m[1].lower())
+        return m.end()
 
     def _end(self) -> None:
-        e = self.elements[self.open.pop()]
-        self.hidden -= e["tag"] in _HIDDEN
-        if e["tag"] in _BLOCKS:
+        e, tag = self.elements[self.open.pop()], self.open_tags.pop()
+        if tag in _HIDDEN:
+            self.hidden -= 1
+        if tag in _BLOCKS:
             self.strings.append("\n")
         e["end"], e["to"] = len(self.elements), len(self.strings)
 
-    def _open_tags(self) -> list[str]:
-        return [self.elements[i]["tag"] for i in self.open]
-
     def handle_starttag(self, tag, attrs):
-        ended, upto = _ENDS.get(tag, ((), ()))
-        if ended:
-            tags = self._open_tags()
-            stop = max((k for k, t in enumerate(tags) if t in upto), default=-1)
-            first = min((k for k, t in enumerate(tags) if t in ended and k > stop), default=None)
+        if tag in _ENDS:
+            ended, upto = _ENDS[tag]
+            first = None
+            for k in range(len(self.open_tags) - 1, -1, -1):
+                if self.open_tags[k] in upto:
+                    break
+                if self.open_tags[k] in ended:
+                    first = k
             if first is not None:
                 while len(self.open) > first:
                     self._end()
@@ -83,37 +141,54 @@ class _Page(HTMLParser):
         a = {k: v or "" for k, v in reversed(attrs)}  # of equal names the first counts
         parent = self.open[-1] if self.open else -1
         siblings = self.children[parent] if parent >= 0 else self.top
-        i = len(self.elements)
+        i, at = len(self.elements), len(self.strings)
+        of_tag = self.of_tag[parent + 1]
+        of_tag[tag] = nth_of_tag = of_tag.get(tag, 0) + 1
         self.elements.append({
-            "start": i, "end": i + 1, "depth": len(self.open), "parent": parent, "prev": siblings[-1] if siblings else -1, "path": list(self.open),
-            "nth": len(siblings) + 1, "nth_of_tag": 1 + sum(self.elements[s]["tag"] == tag for s in siblings), "last": True,
-            "tag": tag, "id": a.get("id", ""), "classes": a.get("class", "").split(), "attrs": a, "from": len(self.strings), "to": len(self.strings),
+            "start": i, "end": i + 1, "depth": len(self.open), "parent": parent, "prev": siblings[-1] if siblings else -1, "path": self.open.copy(),
+            "nth": len(siblings) + 1, "nth_of_tag": nth_of_tag, "last": True,
+            "tag": tag, "id": a.get("id", ""), "classes": a["class"].split() if "class" in a else [], "attrs": a, "from": at, "to": at,
         })
         if siblings:
             self.elements[siblings[-1]]["last"] = False
         siblings.append(i)
         self.children.append([])
+        self.of_tag.append({})
         if tag not in _VOID:
             self.open.append(i)
-            self.hidden += tag in _HIDDEN
+            self.open_tags.append(tag)
+            if tag in _HIDDEN:
+                self.hidden += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        tags = self._open_tags()
-        if tag in tags:
-            at = len(tags) - 1 - tags[::-1].index(tag)
-            while len(self.open) > at:
+        if tag in self.open_tags:
+            while self.open_tags[-1] != tag:
                 self._end()
+            self._end()
 
     def handle_data(self, data):
         if not self.hidden:
             self.strings.append(data)
 
     def text(self, i: int) -> str:
+        if i in self._texts:
+            return self._texts[i]
+        e = self.elements[i]
+        out = " ".join("".join(self.strings[e["from"] : e["to"]]).split())
+        if len(out) < 200:  # long ones are not held for every element around them
+            self._texts[i] = out
+        return out
+
+    def filled(self, i: int) -> bool:
+        """Whether an element has text."""
         e = self.elements[i]
-        return " ".join("".join(self.strings[e["from"] : e["to"]]).split())
+        return self._filled[e["to"]] > self._filled[e["from"]]
+
+    def has_blocks(self, i: int) -> bool:
+        return self._blocks[self.elements[i]["end"]] > self._blocks[i + 1]
 
     def inside(self, i: int, *tags: str) -> list[int]:
         return [k for k in range(i + 1, self.elements[i]["end"]) if self.elements[k]["tag"] in tags]
@@ -121,6 +196,8 @@ class _Page(HTMLParser):
 
 # ---- label/value pairs: each function yields (place in the page, label, value) ----
 
+_NO_KIDS, _NO_PARENTS = _VOID | _HIDDEN, {"table", "tbody", "thead", "tfoot", "tr", "dl", "select"}
+_NO_LABELS = {"a", "li", "tr", "table", "ul", "ol", "img", "h1"}
 _LABEL_WORDS, _VALUE_WORDS = ("label", "key", "name", "term"), ("value", "val", "data", "content", "detail")
 
 
@@ -187,28 +264,30 @@ def _named(page: _Page, i: int, words: tuple[str, ...]) -> bool:
 
 
 def _is_label(page: _Page, i: int) -> bool:
-    e = page.elements[i]
-    return e["tag"] not in ("a", "li", "tr", "table", "ul", "ol", "img", "h1") and bool(page.text(i)) and not any(page.elements[k]["tag"] in _BLOCKS for k in range(i + 1, e["end"]))
+    return page.elements[i]["tag"] not in _NO_LABELS and page.filled(i) and not page.has_blocks(i)
 
 
 def _sibling_pairs(page: _Page, parent: int) -> Iterator[tuple[int, str, str]]:
     """Pairs of repeated siblings: items of one shape that hold a label and a value, or labels and values by turns in one parent.
 
     One item is enough if the classes of its two elements say which is which."""
-    kids = [c for c in page.children[parent] if page.elements[c]["tag"] not in _VOID | _HIDDEN]
-    if page.elements[parent]["tag"] in ("table", "tbody", "thead", "tfoot", "tr", "dl", "select"):
+    if page.elements[parent]["tag"] in _NO_PARENTS:
         return
+    turns = [c for c in page.children[parent] if page.elements[c]["tag"] not in _NO_KIDS and page.filled(c)]
     items: dict[tuple, list[tuple[int, int]]] = {}
-    for c in kids:
-        parts = [k for k in page.children[c] if page.text(k)]
-        if len(parts) == 2 and page.text(c).replace(" ", "") == (page.text(parts[0]) + page.text(parts[1])).replace(" ", "") and _is_label(page, parts[0]):
+    for c in turns:
+        if len(page.children[c]) < 2:
+            continue
+        parts = [k for k in page.children[c] if page.filled(k)]
+        if len(parts) == 2 and _is_label(page, parts[0]) and page.text(c).replace(" ", "") == (page.text(parts[0]) + page.text(parts[1])).replace(" ", ""):
             items.setdefault((_shape(page, c), *(_shape(page, k) for k in parts)), []).append((parts[0], parts[1]))
     for found in items.values():
         if len(found) > 1 or all(_named(page, i, w) for i, w in zip(found[0], (_LABEL_WORDS, _VALUE_WORDS))):
             yield from ((v, page.text(label), page.text(v)) for label, v in found)
-    turns = [c for c in kids if page.text(c)]
+    if len(turns) < 2 or len(turns) % 2:
+        return
     shapes = [_shape(page, c) for c in turns]
-    if len(turns) >= 2 and len(turns) % 2 == 0 and shapes == shapes[:2] * (len(turns) // 2) and shapes[0] != shapes[1] and all(_is_label(page, c) for c in turns[::2]):
+    if shapes[0] != shapes[1] and shapes == shapes[:2] * (len(turns) // 2) and all(_is_label(page, c) for c in turns[::2]):
         if len(turns) > 2 or all(_named(page, i, w) for i, w in zip(turns, (_LABEL_WORDS, _VALUE_WORDS))):
             yield from ((v, page.text(label), page.text(v)) for label, v in zip(turns[::2], turns[1::2]))
 
@@ -217,41 +296,90 @@ def _pairs(page: _Page) -> list[tuple[str, str]]:
     """All pairs of the page in document order, each value once."""
     found: dict[int, tuple[str, str]] = {}
     for i, e in enumerate(page.elements):
+        if not page.children[i]:
+            continue
         kind = _table_pairs if e["tag"] == "table" else _list_pairs if e["tag"] == "dl" else _sibling_pairs
         for at, label, value in kind(page, i):
             found.setdefault(at, (label, value))
     return [found[at] for at in sorted(found)]
 
 
+# ---- Arrow columns: flat values with offsets ----
+
+_NUMBERS = ("start", "end", "depth", "parent", "prev", "nth", "nth_of_tag", "from", "to")
+
+
+def _lists(lists: list[list], values: Callable[[list], pa.Array]) -> pa.ListArray:
+    """A list array; its values are made of all items in a row."""
+    return pa.ListArray.from_arrays(pa.array(list(accumulate(map(len, lists), initial=0)), pa.int32()), values(list(chain.from_iterable(lists))))
+
+
+def _texts(lists: list[list[str]]) -> pa.ListArray:
+    return _lists(lists, lambda x: pa.array(x, pa.string()))
+
+
+def _maps(maps: list[dict[str, str]]) -> pa.MapArray:
+    offsets = pa.array(list(accumulate(map(len, maps), initial=0)), pa.int32())
+    keys, values = (pa.array(list(chain.from_iterable(x)), pa.string()) for x in ((m.keys() for m in maps), (m.values() for m in maps)))
+    return pa.MapArray.from_arrays(offsets, keys, values)
+
+
+def _element_column(elements: list[dict]) -> pa.StructArray:
+    of = lambda name: [e[name] for e in elements]
+    made = {n: pa.array(of(n), pa.int32()) for n in _NUMBERS}
+    made |= {n: pa.array(of(n), pa.string()) for n in ("tag", "id")}
+    made |= {"last": pa.array(of("last"), pa.bool_()), "path": _lists(of("path"), lambda x: pa.array(x, pa.int32())), "classes": _texts(of("classes")), "attrs": _maps(of("attrs"))}
+    return pa.StructArray.from_arrays([made[f.name] for f in _element], names=[f.name for f in _element])
+
+
+def _pair_column(pairs: list[tuple[str, str]]) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array([p[k] for p in pairs], pa.string()) for k in (0, 1)], names=["label", "value"])
+
+
 _element = pa.struct(
     [(n, pa.int32()) for n in ("start", "end", "depth", "parent", "prev")]
     + [("path", pa.list_(pa.int32())), ("nth", pa.int32()), ("nth_of_tag", pa.int32()), ("last", pa.bool_()), ("tag", pa.string()), ("id", pa.string())]
     + [("classes", pa.list_(pa.string())), ("attrs", pa.map_(pa.string(), pa.string())), ("from", pa.int32()), ("to", pa.int32())]
 )
-_pair = pa.struct([("label", pa.string()), ("value", pa.string())])
-_KINDS = {"page_id": pa.int64(), "url": pa.string(), "title": pa.string(), "visible": pa.string(), "elements": pa.list_(_element), "strings": pa.list_(pa.string()), "links": pa.list_(pa.string()), "images": pa.list_(pa.string()), "pairs": pa.list_(_pair)}
+#: The parsed columns: what each has of a page, and the Arrow column of many.
+_READ: dict[str, tuple[Callable[[_Page], object], Callable[[list], pa.Array]]] = {
+    "title": (lambda p: next((p.text(e["start"]) for e in p.elements if e["tag"] == "title"), ""), lambda x: pa.array(x, pa.string())),
+    "visible": (lambda p: " ".join("".join(s for s in p.strings if s != "\n").split()), lambda x: pa.array(x, pa.string())),
+    "elements": (lambda p: p.elements, lambda x: _lists(x, _element_column)),
+    "strings": (lambda p: p.strings, _texts),
+    "links": (lambda p: [e["attrs"]["href"] for e in p.elements if e["tag"] == "a" and e["attrs"].get("href")], _texts),
+    "images": (lambda p: [e["attrs"]["src"] for e in p.elements if e["tag"] == "img" and e["attrs"].get("src")], _texts),
+    "pairs": (_pairs, lambda x: _lists(x, _pair_column)),
+}
+
 
+def _parsing(kept: list[str], columns: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, len(whole), 128):
+                batch = whole.slice(k, 128)
+                read: list[list] = [[] for _ in columns]
+                for source in batch.column("html").to_pylist():
+                    p = _Page(source or "")
+                    for out, c in zip(read, columns):
+                        out.append(_READ[c][0](p))
+                yield pa.record_batch([*(batch.column(c) for c in kept), *(_READ[c][1](x) for x, c in zip(read, columns))], names=[*kept, *columns])
 
-def _row(page_id: int | None, url: str | None, source: str | None) -> tuple:
-    p = _Page(source or "")
-    title = next((p.text(e["start"]) for e in p.elements if e["tag"] == "title"), "")
-    visible = " ".join("".join(s for s in p.strings if s != "\n").split())
-    links = [e["attrs"]["href"] for e in p.elements if e["tag"] == "a" and e["attrs"].get("href")]
-    images = [e["attrs"]["src"] for e in p.elements if e["tag"] == "img" and e["attrs"].get("src")]
-    elements = [e | {"attrs": list(e["attrs"].items())} for e in p.elements]
-    return page_id, url, title, visible, elements, p.strings, links, images, [{"label": a, "value": b} for a, b in _pairs(p)]
+    return run
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(0, len(batch), 128):
-            rows = [_row(*r.values()) for r in batch.slice(k, 128).to_pylist()]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _KINDS.values())], names=list(_KINDS))
+def with_parsed(df: DataFrame, *columns: str) -> DataFrame:
+    """The parsed columns in the place of ``html``; the table's others stay, so no parsed page needs a join. Null html gives empty fields."""
+    df = df.withColumn("html", df["html"].cast("string"))
+    kept = [c for c in df.columns if c != "html"]
+    parsed = StructType.fromDDL(PARSED)
+    schema = StructType([*(df.schema[c] for c in kept), *(parsed[c] for c in columns)])
+    return df.mapInArrow(_parsing(kept, columns), schema)
 
 
-def parse_pages(df: DataFrame) -> DataFrame:
-    """Everything the jobs need from a page, in one parse. Null html gives empty fields."""
-    return df.select(df["page_id"].cast("long"), df["url"].cast("string"), df["html"].cast("string")).mapInArrow(_parse, PARSED)
+def parse_pages(df: DataFrame, *columns: str) -> DataFrame:
+    """Everything the jobs need from a page, in one parse, or only the columns named (with page_id and url). Null html gives empty fields."""
+    return with_parsed(df.select(df["page_id"].cast("long"), df["url"].cast("string"), df["html"]), *(columns or _READ))
 
 
 def extract_text(elements: Column, tag: str = "", css: str = "", ident: str = "", default: str = "", strings: Column | None = None) -> Column:
