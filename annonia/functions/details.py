@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import dom
-from .base import some, text
+from .base import let, some, text
 from .pages import PHONE
 
 # ---- fixed values: selectors of the detail pages ----
@@ -17,16 +17,15 @@ WHATSAPP, TELEGRAM, VIBER = 'a[href*="wa.me"], a[href*="whatsapp.com"]', 'a[href
 # ---- end of fixed values ----
 
 
-def _marked_text(elements: Column, strings: Column, icon: str) -> Column:
-    """Text beside the first list row with an icon."""
-    row = dom.let(dom.select(elements, icon), lambda icons: dom.first(F.filter(dom.select(elements, ROWS), lambda r: dom.has(icons, r))))
-    beside = lambda r: F.coalesce(dom.first(dom.inside(dom.select(elements, WRAPPED), r)), dom.first(dom.inside(dom.select(elements, TITLE), r)))
-    return text(dom.let(row, lambda r: dom.text(beside(r), strings, " ")))
-
-
 def location(elements: Column, strings: Column) -> Column:
     """struct(wilaya, commune, address): the place is parted at its first ' - ', else at its first hyphen."""
 
+    def marked(found: Column, icon: str) -> Column:
+        """Text beside the first list row with an icon."""
+        row = let(dom.select(elements, icon), lambda icons: dom.first(F.filter(found["rows"], lambda r: dom.has(icons, r))))
+        beside = lambda r: F.coalesce(dom.first(dom.inside(found["wrapped"], r)), dom.first(dom.inside(found["titles"], r)))
+        return text(let(row, lambda r: dom.text(beside(r), strings, " ")))
+
     def parted(full: Column) -> Column:
         mark = F.when(F.contains(full, F.lit(" - ")), " - ").otherwise("-")
         at = F.instr(full, mark)
@@ -34,8 +33,10 @@ def location(elements: Column, strings: Column) -> Column:
         commune = F.when(at > 0, F.substring(full, at + F.length(mark), F.length(full))).otherwise("")
         return F.struct(F.trim(wilaya).alias("wilaya"), F.trim(commune).alias("commune"))
 
-    place = dom.let(_marked_text(elements, strings, PLACE_ICON), parted)
-    return F.struct(place["wilaya"].alias("wilaya"), place["commune"].alias("commune"), _marked_text(elements, strings, ADDRESS_ICON).alias("address"))
+    def read(found: Column) -> Column:
+        return let(let(marked(found, PLACE_ICON), parted), lambda p: F.struct(p["wilaya"].alias("wilaya"), p["commune"].alias("commune"), marked(found, ADDRESS_ICON).alias("address")))
+
+    return let(F.struct(*(dom.select(elements, s).alias(n) for n, s in (("rows", ROWS), ("wrapped", WRAPPED), ("titles", TITLE)))), read)
 
 
 def _digits(col: Column) -> Column:
