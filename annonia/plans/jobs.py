@@ -58,7 +58,8 @@ def normalize_real_estate(df: DataFrame) -> DataFrame:
         }
     )
     crumb = lambda: pages.breadcrumb_fields(F.col("crumbs"), F.col("crumb_links"))
-    spot = lambda: details.location(F.col("elements"), F.col("strings"))
+    spot = lambda field, other: F.coalesce(base.some(F.col("_spot")[field]), F.col(other))
+    typed = _given(typed, {"_spot": ("elements strings", lambda: details.location(F.col("elements"), F.col("strings")))})
     more = _given(
         typed,
         {
@@ -67,12 +68,12 @@ def normalize_real_estate(df: DataFrame) -> DataFrame:
             "date_depot": ("date_text", lambda: dates.parse_date(F.col("date_text"))),
             "images": ("images", _images),
             "contact": ("elements strings", lambda: details.contact(F.col("elements"), F.col("strings"))),
-            "wilaya": ("elements strings", lambda: F.coalesce(base.some(spot()["wilaya"]), F.col("wilaya"))),
-            "commune": ("elements strings", lambda: F.coalesce(base.some(spot()["commune"]), F.col("commune"))),
-            "adresse": ("elements strings", lambda: F.coalesce(base.some(spot()["address"]), F.col("adresse"))),
+            "wilaya": ("elements strings", lambda: spot("wilaya", "wilaya")),
+            "commune": ("elements strings", lambda: spot("commune", "commune")),
+            "adresse": ("elements strings", lambda: spot("address", "adresse")),
         },
     )
-    return _given(more, {"as_photo": ("images", lambda: money.avec_sans_photo(F.col("images")))})
+    return _given(more, {"as_photo": ("images", lambda: money.avec_sans_photo(F.col("images")))}).drop("_spot")
 
 
 def normalize_vehicles(df: DataFrame, as_of: Column, years: int = 3) -> DataFrame:
