@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .base import choose, plain_spaces, take, text
+from .base import choose, let, plain_spaces, take, text
 
 #: Month names by number, as the sites write them.
 MONTHS = {
@@ -22,7 +22,17 @@ MONTHS = {
     11: ["novembre", "november", "nov"],
     12: ["décembre", "decembre", "december", "déc", "dec"],
 }
-_NAMES = "|".join(sorted((n for names in MONTHS.values() for n in names), key=lambda n: (-len(n), n)))
+
+
+def _any_name() -> str:
+    """Any month name, the longest first; parted by their first letters, so that elsewhere a few tries are enough."""
+    by_letter: dict[str, list[str]] = {}
+    for n in sorted((n for names in MONTHS.values() for n in names), key=lambda n: (-len(n), n)):
+        by_letter.setdefault(n[0], []).append(n[1:])
+    return "|".join(f"{letter}(?:{'|'.join(rest)})" for letter, rest in by_letter.items())
+
+
+_NAMES = _any_name()
 
 
 def month_number(name: Column) -> Column:
@@ -31,8 +41,20 @@ def month_number(name: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.lower(name))
 
 
+def _named(low: Column, pattern: str, day: int, month: int, year: int, else_year: Column | None = None) -> Column:
+    """The date whose parts are those groups of a pattern; the text is searched once, the groups read from what was found."""
+
+    def read(found: Column) -> Column:
+        given = take(found, pattern, year)
+        return _date(take(found, pattern, day), month_number(take(found, pattern, month)), given if else_year is None else F.coalesce(given.try_cast("int"), else_year))
+
+    return let(take(low, pattern, 0), lambda found: F.when(found.isNotNull(), read(found)))
+
+
 def _date(day: Column, month: Column, year: Column) -> Column:
-    return F.try_to_date(F.format_string("%04d-%02d-%02d", year.try_cast("int"), month.try_cast("int"), day.try_cast("int")), "yyyy-MM-dd")
+    """Null if a part is missing or no such day exists. Cast, as the reader with a pattern throws for each text that it can't read."""
+    parts = [year.try_cast("int"), month.try_cast("int"), day.try_cast("int")]
+    return F.concat(F.lpad(parts[0].cast("string"), 4, "0"), F.lit("-"), F.lpad(parts[1].cast("string"), 2, "0"), F.lit("-"), F.lpad(parts[2].cast("string"), 2, "0")).try_cast("date")
 
 
 def _iso(d: Column) -> Column:
@@ -65,7 +87,7 @@ def parse_date_or_input(col: Column) -> Column:
 
 def _ago(low: Column, as_of: Column, units: dict[str, int]) -> Column:
     """'il y a N unit' as a date; a month is 30 days, a year 365."""
-    out = [F.when(n.isNotNull(), F.date_sub(as_of, n * days)) for u, days in units.items() for n in [take(low, rf"il y a (?:environ )?(\d+) {u}").try_cast("int")]]
+    out = [F.date_sub(as_of, take(low, rf"il y a (?:environ )?(\d+) {u}").try_cast("int") * days) for u, days in units.items()]
     return F.coalesce(*out)
 
 
@@ -76,18 +98,23 @@ def normalize_date(col: Column, as_of: Column) -> Column:
     """ISO date of ISO text, 'd Mon [yyyy]', relative text, today, yesterday; else the input."""
     raw = text(col)
     low = F.regexp_replace(F.lower(F.trim(plain_spaces(col))), r"\s+", " ")
-    iso = F.try_to_date(take(raw, r"^(\d{4}-\d{2}-\d{2})(?:$|[T ])"), "yyyy-MM-dd")
+    iso = take(raw, r"^(\d{4}-\d{2}-\d{2})(?:$|[T ])").try_cast("date")
     pattern = rf"(?:^|\D)(\d{{1,2}}) ({_NAMES})\b\.?(?: (\d{{4}}))?"
-    named = _date(take(low, pattern, 1), month_number(take(low, pattern, 2)), F.coalesce(take(low, pattern, 3).try_cast("int"), F.year(as_of)))
-    day = F.coalesce(iso, named, _ago(low, as_of, _DAYS), F.when(F.contains(low, F.lit("aujourd")), F.to_date(as_of)), F.when(F.contains(low, F.lit("hier")), F.date_sub(as_of, 1)))
-    return F.coalesce(_iso(day), raw)
+
+    def read(low: Column) -> Column:
+        return F.coalesce(_named(low, pattern, 1, 2, 3, F.year(as_of)), _ago(low, as_of, _DAYS), F.when(F.contains(low, F.lit("aujourd")), F.to_date(as_of)), F.when(F.contains(low, F.lit("hier")), F.date_sub(as_of, 1)))
+
+    return F.coalesce(_iso(F.coalesce(iso, let(low, read))), raw)
 
 
 def relative_date(col: Column, as_of: Column, default: str = "N/A") -> Column:
     """'il y a [environ] N heures/jours/...' as a date, else ``default``; hours may cross midnight."""
-    low = F.lower(plain_spaces(col))
-    hours = take(low, r"il y a (?:environ )?(\d+) heure").try_cast("int")
-    return F.coalesce(_iso(F.timestamp_seconds(F.unix_timestamp(as_of.cast("timestamp")) - hours * 3600)), _iso(_ago(low, as_of, _DAYS)), F.lit(default))
+
+    def read(low: Column) -> Column:
+        hours = take(low, r"il y a (?:environ )?(\d+) heure").try_cast("int")
+        return F.coalesce(_iso(F.timestamp_seconds(F.unix_timestamp(as_of.cast("timestamp")) - hours * 3600)), _iso(_ago(low, as_of, _DAYS)), F.lit(default))
+
+    return let(F.lower(plain_spaces(col)), read)
 
 
 def month_name_date(col: Column, as_of: Column) -> Column:
@@ -95,37 +122,40 @@ def month_name_date(col: Column, as_of: Column) -> Column:
     low = F.regexp_replace(F.lower(F.trim(F.replace(text(col), F.lit("Publiée le:"), F.lit("")))), r"[-–—]", " ")
     low = F.regexp_replace(F.regexp_replace(low, r"(\d{4})(\d{2}:\d{2})", "$1 $2"), r"\s+", " ")
     pattern = rf"^(\d{{1,2}}) ({_NAMES}) (?:(\d{{4}}) )?(\d{{1,2}}:\d{{2}})"
-    year = F.coalesce(take(low, pattern, 3).try_cast("int"), F.year(as_of))
-    day = _date(take(low, pattern, 1), month_number(take(low, pattern, 2)), year)
-    minutes = F.split(take(low, pattern, 4), ":")
-    at = F.unix_timestamp(day.cast("timestamp")) + minutes[0].try_cast("int") * 3600 + minutes[1].try_cast("int") * 60
-    past = F.when(at > F.unix_timestamp(as_of.cast("timestamp")), F.add_months(day, -12)).otherwise(day)
-    return F.coalesce(F.when(at.isNotNull(), _iso(past)), F.lit(""))
+
+    def past(found: Column) -> Column:
+        minutes = F.split(take(found["text"], pattern, 4), ":")
+        at = F.unix_timestamp(found["day"].cast("timestamp")) + minutes[0].try_cast("int") * 3600 + minutes[1].try_cast("int") * 60
+        return let(at, lambda at: F.when(at.isNotNull(), _iso(F.when(at > F.unix_timestamp(as_of.cast("timestamp")), F.add_months(found["day"], -12)).otherwise(found["day"]))))
+
+    found = let(take(low, pattern, 0), lambda t: F.struct(t.alias("text"), _named(t, pattern, 1, 2, 3, F.year(as_of)).alias("day")))
+    return F.coalesce(let(found, past), F.lit(""))
 
 
 def french_day_month(col: Column, as_of: Column) -> Column:
     """Aujourd'hui, Hier, 'd mois [yyyy]', 'dd.mm.yyyy'; else empty."""
     low = F.regexp_replace(F.lower(F.trim(plain_spaces(col))), r"\s+", " ")
     pattern = rf"(\d{{1,2}}) ({_NAMES})\b\.?(?: (\d{{4}}))?"
-    named = _date(take(low, pattern, 1), month_number(take(low, pattern, 2)), F.coalesce(take(low, pattern, 3).try_cast("int"), F.year(as_of)))
-    dots = F.when(low.rlike(r"^\d{2}\.\d{2}\.\d{4}$"), F.try_to_date(low, "dd.MM.yyyy"))
-    day = choose([(F.contains(low, F.lit("aujourd")), F.to_date(as_of)), (F.contains(low, F.lit("hier")), F.date_sub(as_of, 1))], F.coalesce(dots, named))
-    return F.coalesce(_iso(day), F.lit(""))
+
+    def read(low: Column) -> Column:
+        dots = F.when(low.rlike(r"^\d{2}\.\d{2}\.\d{4}$"), F.try_to_date(low, "dd.MM.yyyy"))
+        return choose([(F.contains(low, F.lit("aujourd")), F.to_date(as_of)), (F.contains(low, F.lit("hier")), F.date_sub(as_of, 1))], F.coalesce(dots, _named(low, pattern, 1, 2, 3, F.year(as_of))))
+
+    return F.coalesce(_iso(let(low, read)), F.lit(""))
 
 
 def updated_on_date(col: Column) -> Column:
     """'Mis à jour le mars 3, 2025 : 4:05 PM' -> date, else empty."""
     low = F.lower(plain_spaces(col))
     pattern = rf"({_NAMES})\s+(\d{{1,2}}),\s*(\d{{4}})"
-    return F.coalesce(_iso(_date(take(low, pattern, 2), month_number(take(low, pattern, 1)), take(low, pattern, 3))), F.lit(""))
+    return F.coalesce(_iso(_named(low, pattern, 2, 1, 3)), F.lit(""))
 
 
 def glued_date(col: Column, as_of: Column) -> Column:
     """Aujourd'hui, Hier or '13 Jan 202511:02', else null."""
     low = F.lower(plain_spaces(col))
     pattern = rf"(\d{{1,2}}) ({_NAMES})\.? (\d{{4}})"
-    named = _date(take(low, pattern, 1), month_number(take(low, pattern, 2)), take(low, pattern, 3))
-    return _iso(choose([(F.contains(low, F.lit("aujourd")), F.to_date(as_of)), (F.contains(low, F.lit("hier")), F.date_sub(as_of, 1))], named))
+    return _iso(let(low, lambda low: choose([(F.contains(low, F.lit("aujourd")), F.to_date(as_of)), (F.contains(low, F.lit("hier")), F.date_sub(as_of, 1))], _named(low, pattern, 1, 2, 3))))
 
 
 def format_display_date(col: Column) -> Column:
