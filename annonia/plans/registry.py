@@ -42,7 +42,7 @@ def query(sql: str | None, *inputs: str):
 
 def _columns(name: str, source: str, key: str, cols: dict[str, tuple[Callable[[], Column], str]]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return frame(spark, sf_dir, source).select(key, *(make().alias(n) for n, (make, _) in cols.items()))
+        return frame(spark, sf_dir, source, wide=True).select(key, *(make().alias(n) for n, (make, _) in cols.items()))
 
     QUERIES[name] = run
     ORACLE[name] = cte(source) + f"SELECT {key}, " + ", ".join(f"{sql} AS {n}" for n, (_, sql) in cols.items()) + f" FROM {source}"
@@ -301,7 +301,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
  len(regexp_extract_all(html, '<a\\s[^>]*?href="([^"]*)"', 1)) AS n_links FROM pages"""
 )
 def parsed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = jobs.parse_pages(frame(spark, sf_dir, "pages"))
+    p = jobs.parse_pages(frame(spark, sf_dir, "pages", wide=True))
     return p.select("page_id", (C("title") != "").alias("has_title"), (C("h1") == C("title")).alias("same"), F.size("links").cast("long").alias("n_links"))
 
 
