@@ -37,9 +37,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, n: int, key: str) -> DataFrame:
-    """``df`` as a table in the shared folder with ``n`` buckets by ``key``: groups by that key need no shuffle of it."""
-    path = _new_path(df)
-    name = f"annonia_{path.rsplit('/', 1)[1]}"
-    df.write.bucketBy(n, key).option("path", path).option("compression", "zstd").saveAsTable(name)
+def bucketed(df: DataFrame, n: int, key: str, name: str | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder with ``n`` buckets by ``key``: groups by that key need no shuffle of it.
+
+    With the ``name`` of such a table, the rows are appended to it."""
+    name = name or new_name()
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}"
+    df.write.mode("append").bucketBy(n, key).option("path", path).option("compression", "zstd").saveAsTable(name)
     return df.sparkSession.table(name)
+
+
+def new_name() -> str:
+    return f"annonia_{uuid.uuid4().hex}"

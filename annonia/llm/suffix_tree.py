@@ -21,6 +21,11 @@ adds up what all blocks sent and answers in the same order. A frequent run is on
 as its owner; owners add up the gain of each context over the runs they own, and the ranges sum these to the
 whole gain. Neither the vocabulary nor a tree is broadcast or collected.
 
+Messages are most of the disk that a run takes, so nothing is sent that the answers before make needless. The longest runs are sent
+last, and only those whose context occurs ``LEAST_COUNT`` times; a run that holds a shorter one of this block alone stands in no
+other block, so the block counts it itself. The bytes of a word come from its owner, and where no text trains it. Contexts are named
+to their range by the ranks among its frequent keys that it gave with the counts, not by their fingerprints again.
+
 Words are told apart by 64 bits. Longer runs have as many bits as the corpus has bytes to number, and 18 more: fewer than one
 run in two million shares its count with another.
 
@@ -39,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .store import bucketed, written
+from .store import bucketed, new_name, written
 
 DEPTH, WORDS, LEAST_COUNT, DIVERGENCE, SMOOTH = 4, 2, 2, 3.0, 4.0
 BLOCK_BYTES, PART_WORDS = 12 << 20, 400_000
@@ -53,11 +58,14 @@ NAT = 256
 _COUNTS = "ctx long, sym int, n long"
 _SENT = "kind int, part long, block int, keys binary, n binary, more binary"
 _ANSWER = "block int, kind int, part long, data binary"
-_COUNTED = _ANSWER + ", key long, word binary, n long, blocks array<int>"
+_COUNTED = _ANSWER + ", ranks binary, n_train long, v_train long, texts long"
+_KEPT = _COUNTED + ", key long, score double"
+_NAMED = _ANSWER + ", key long, word binary, n long, blocks array<int>"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, unknown_score double"
 _BLANK, _END = 0x20, 0x0A
 _STOP = tk.mix(np.array([_END], np.uint64))[0]  # the end of a text among the words' hashes
-_SPELLED = 0  # kind of the answers that hold an unseen word's spelling; the others are 1 + 2 * length (counts) and 2 + 2 * length (states)
+_SPELLED = 0  # kind of the messages that hold words, and of the answers with an unseen word's spelling; the others are 2 * length - 1 (counts) and 2 * length (states)
+_OWNER, _ALONE = 1, 2  # what a block is to a run: its owner, or the only block that has it, and so its owner too
 
 
 def held_out(doc_id: Column) -> Column:
@@ -93,6 +101,11 @@ def unpack_sorted(raw: bytes) -> np.ndarray:
     return np.cumsum(out)
 
 
+def n_sorted(raw: bytes) -> int:
+    """How many keys ``pack_sorted`` packed."""
+    return int.from_bytes(raw[8:16], "little") + 1
+
+
 def _ranges(keys: np.ndarray, bits: int, n: int) -> Iterator[tuple[int, int, int]]:
     """(range, from, to) of the ranges, of ``n`` of equal width, in which the sorted ``keys`` of ``bits`` bits lie."""
     if not len(keys):
@@ -186,12 +199,10 @@ class _Runs:
         out[np.repeat(offs[:-1], size) + inside] = raw[np.repeat(begin, size) + inside]
         return out, offs
 
-    def followed(self, length: int) -> np.ndarray:
-        """The runs of ``length`` symbols that something follows: all but those with the end of a text in them."""
-        ends = np.zeros(len(self.keys[length - 1]), bool)
-        here = self.at[length - 1][self.begins + self.sizes - 1]
-        ends[here[here >= 0]] = True
-        return ~ends
+    def trained(self, k: int) -> np.ndarray:
+        """How often each run of ``k`` + 1 symbols ends in the block's training texts."""
+        at = self.at[k]
+        return np.bincount(at[(at >= 0) & self.train], minlength=len(self.keys[k]))
 
 
 def _rows(columns: list[tuple], schema: str) -> pa.Table:
@@ -202,21 +213,13 @@ def _rows(columns: list[tuple], schema: str) -> pa.Table:
 
 
 def _asking(bits: int, most: int, n_ranges: int):
-    """A block's messages about its runs: fingerprints, training counts, of single words also the bytes."""
+    """A block's messages about its runs but the longest: fingerprints and training counts."""
 
     def run(table: pa.Table) -> pa.Table:
-        runs, block, out = _Runs(table, bits, most), table.column("block")[0].as_py(), []
+        runs, block, out = _Runs(table, bits, max(most - 1, 0)), table.column("block")[0].as_py(), []
         for k, keys in enumerate(runs.keys):
-            at = runs.at[k]
-            here = at >= 0
-            n = np.bincount(at[here], weights=runs.train[here].astype(float), minlength=len(keys)).astype(np.int64)
-            words, offs = runs.spelled() if k == 0 else (None, None)
-            for part, i, j in _ranges(keys, bits if k else 64, n_ranges):
-                more = None
-                if k == 0:
-                    text = words[offs[i] : offs[j] - 1].tobytes()
-                    more = len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True)
-                out.append((2 * k + 1, part, block, pack_sorted(keys[i:j]), pack(n[i:j]), more))
+            n = runs.trained(k)
+            out += [(2 * k + 1, part, block, pack_sorted(keys[i:j]), pack(n[i:j]), None) for part, i, j in _ranges(keys, bits if k else 64, n_ranges)]
         return _rows(out, _SENT)
 
     return run
@@ -228,10 +231,8 @@ def _messages(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray]:
     return table.column("block").to_pylist(), np.cumsum([0, *map(len, keys)]), np.concatenate(keys)
 
 
-def _counting(table: pa.Table) -> pa.Table:
-    """Answers each block with its runs' counts in all training texts, doubled, plus 1 where the block is the run's owner."""
-    kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
-    table = table.sort_by("block")
+def _counted(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The blocks that sent, the ends of their messages, the number of each key among the distinct ones; these, their first places and counts."""
     blocks, cut, keys = _messages(table)
     sent = np.concatenate([unpack(x.as_py()) for x in table.column("n")]).astype(float)
     order = sorting(keys)
@@ -240,24 +241,95 @@ def _counting(table: pa.Table) -> pa.Table:
     first = order[new]
     number = np.empty(len(keys), np.int32)
     number[order] = np.cumsum(new, dtype=np.int32) - 1
-    distinct, total = keys[first], np.bincount(number, weights=sent).astype(np.uint64)
-    del order, sent, keys
-    answer = total[number] * tk.U(2)
-    answer[first] += tk.U(1)
-    out = [(b, kind, part, pack(answer[i:j]), None, None, None, None) for b, i, j in zip(blocks, cut, cut[1:])]
+    return blocks, cut, number, keys[first], first, np.bincount(number, weights=sent).astype(np.uint64)
+
+
+def _answer(number: np.ndarray, first: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Counts times 4, plus what the block is to the run. The count of a run that one block has alone is left out: that block knows it."""
+    answer = total[number] << tk.U(2)
+    answer[first] += tk.U(_OWNER)
+    answer[(np.bincount(number) == 1)[number]] = _ALONE
+    return answer
+
+
+def _counting(table: pa.Table) -> pa.Table:
+    """Answers each block with its runs' counts in all training texts, and with the ranks of its frequent runs among the range's."""
+    kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
+    blocks, cut, number, distinct, first, total = _counted(table.sort_by("block"))
+    answer, frequent = _answer(number, first, total), total >= LEAST_COUNT
+    rank = np.cumsum(frequent, dtype=np.uint64) - tk.U(1)
+    out = []
+    for b, i, j in zip(blocks, cut, cut[1:]):
+        own = number[i:j][frequent[number[i:j]]]
+        out.append((b, kind, part, pack(answer[i:j]), pack_sorted(rank[own]) if len(own) else None, None, None, None))
     if kind == 1:
-        words: list[bytes] = []
-        for x in table.column("more"):
-            raw = x.as_py()
-            words += pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True).split(b"\n")
-        unseen: dict[int, list[int]] = {}
-        for i in np.flatnonzero(total[number] == 0).tolist():
-            unseen.setdefault(int(number[i]), []).append(blocks[int(np.searchsorted(cut, i, side="right")) - 1])
-        signed = distinct.view(np.int64).tolist()
-        out += [(None, kind, part, None, signed[x], words[i], n, unseen.get(x, [])) for x, (i, n) in enumerate(zip(first.tolist(), total.tolist()))]
+        out.append((None, kind, part, None, None, int(total.sum()), int((total > 0).sum()), int(total[distinct == _STOP].sum())))
     return _rows(out, _COUNTED)
 
 
+def _told(answer: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts, whether the block owns the run, and whether it alone has it; ``own`` are the block's own counts."""
+    alone = answer & 3 == _ALONE
+    return np.where(alone, own, answer >> 2), answer & 3 > 0, alone
+
+
+def _shorter_counts(left: pa.Table, runs: _Runs, most: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """What was answered about all runs but the longest, by their symbols less one."""
+    return [_told(_answers(left, 2 * k + 1), runs.trained(k)) for k in range(max(most, 1))]
+
+
+def _longest(runs: _Runs, told: list, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the longest runs with a frequent context the block counts itself, as no other can have them, and which it asks about."""
+    counts, _, alone = told[most - 1]
+    where = runs.first[most]
+    context, rest = runs.at[most - 1][where - 1], runs.at[most - 1][where]
+    used, here = counts[context] >= LEAST_COUNT, alone[context] | alone[rest]
+    return used & here, np.flatnonzero(used & ~here)
+
+
+def _asking_longest(bits: int, most: int, n_ranges: int):
+    """A block's messages about its longest runs, and about the words that it owns or that no text trains, with their bytes."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        runs, block, out = _Runs(right, bits, most), right.column("block")[0].as_py(), []
+        told = _shorter_counts(left, runs, most)
+        if most:
+            _, asked = _longest(runs, told, most)
+            keys, n = runs.keys[most][asked], runs.trained(most)[asked]
+            out += [(2 * most + 1, part, block, pack_sorted(keys[i:j]), pack(n[i:j]), None) for part, i, j in _ranges(keys, bits, n_ranges)]
+        counts, owned, _ = told[0]
+        named = np.flatnonzero(owned | (counts == 0))
+        raw, offs = runs.spelled()
+        keys, n, begins, ends = runs.keys[0][named], counts[named], offs[named].tolist(), (offs[named + 1] - 1).tolist()
+        for part, i, j in _ranges(keys, 64, n_ranges):
+            text = b"\n".join(raw[x:y].tobytes() for x, y in zip(begins[i:j], ends[i:j]))
+            more = len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True)
+            out.append((_SPELLED, part, block, pack_sorted(keys[i:j]), pack(n[i:j]), more))
+        return _rows(out, _SENT)
+
+    return run
+
+
+def _naming(table: pa.Table) -> pa.Table:
+    """Answers each block with the counts of its longest runs; of words, rows with their bytes and, of unseen ones, the blocks that have them."""
+    kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
+    table = table.sort_by("block")
+    if kind != _SPELLED:
+        blocks, cut, number, _, first, total = _counted(table)
+        answer = _answer(number, first, total)
+        return _rows([(b, kind, part, pack(answer[i:j]), None, None, None, None) for b, i, j in zip(blocks, cut, cut[1:])], _NAMED)
+    blocks, cut, number, distinct, first, total = _counted(table)  # whoever sends a word knows its whole count: one owner, or 0 of all
+    words: list[bytes] = []
+    for x in table.column("more"):
+        raw = x.as_py()
+        words += pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), "zstd", asbytes=True).split(b"\n")
+    unseen: dict[int, list[int]] = {}
+    for i in np.flatnonzero(total[number] == 0).tolist():
+        unseen.setdefault(int(number[i]), []).append(blocks[int(np.searchsorted(cut, i, side="right")) - 1])
+    signed = distinct.view(np.int64).tolist()
+    return _rows([(None, kind, part, None, signed[x], words[i], n, unseen.get(x, [])) for x, (i, n) in enumerate(zip(first.tolist(), total.tolist()))], _NAMED)
+
+
 def _answers(left: pa.Table, kind: int) -> np.ndarray:
     """What the ranges answered, in the order of the keys."""
     own = left.filter(pc.equal(left.column("kind"), kind)).sort_by("part")
@@ -265,21 +337,34 @@ def _answers(left: pa.Table, kind: int) -> np.ndarray:
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)).astype(np.int64)
 
 
-def _asked_contexts(runs: _Runs, counts: list[np.ndarray], length: int) -> np.ndarray:
+def _all_counts(left: pa.Table, runs: _Runs, most: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Counts in all training texts and whether the block owns the run, by the runs' symbols less one; 0 for the longest with a rare context, which no state asks for."""
+    told = _shorter_counts(left, runs, most)
+    counts, owned = [x[0] for x in told], [x[1] for x in told]
+    if most:
+        local, asked = _longest(runs, told, most)
+        own = runs.trained(most)
+        n, owner = np.where(local, own, 0), local
+        n[asked], owner[asked], _ = _told(_answers(left, 2 * most + 1), own[asked])
+        counts.append(n)
+        owned.append(owner)
+    return counts, owned
+
+
+def _asked_contexts(counts: list[np.ndarray], length: int) -> np.ndarray:
     """Which runs of ``length`` symbols the block asks about as contexts."""
-    return np.flatnonzero(runs.followed(length) & (counts[length - 1] >= LEAST_COUNT))
+    return np.flatnonzero(counts[length - 1] >= LEAST_COUNT)
 
 
-def _gaining(bits: int, most: int, n_ranges: int, n_train: int):
+def _gaining(bits: int, most: int, n_train: int):
     """A block's messages about its contexts: gain and number of different next symbols, over the runs that it owns."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         runs, out = _Runs(right, bits, most), []
         block = right.column("block")[0].as_py()
-        answers = [_answers(left, 2 * k + 1) for k in range(most + 1)]
-        counts = [a >> 1 for a in answers]
+        counts, owned = _all_counts(left, runs, most)
         for length in range(1, most + 1):
-            own = np.flatnonzero((answers[length] & 1 == 1) & (counts[length] > 0))
+            own = np.flatnonzero(owned[length] & (counts[length] > 0))
             where = runs.first[length][own]
             context = runs.at[length - 1][where - 1]
             total = counts[length - 1][context]
@@ -289,11 +374,14 @@ def _gaining(bits: int, most: int, n_ranges: int, n_train: int):
             gain = np.rint(NAT * left_out_gain(n, total, n_up / total_up))
             kinds = len(runs.keys[length - 1])
             gains, nexts = np.bincount(context, weights=gain, minlength=kinds).astype(np.int64), np.bincount(context, minlength=kinds)
-            asked = _asked_contexts(runs, counts, length)
-            keys, gains, nexts = runs.keys[length - 1][asked], gains[asked], nexts[asked]
+            asked = _asked_contexts(counts, length)
+            gains, nexts = gains[asked], nexts[asked]
             folded = np.where(gains < 0, -2 * gains - 1, 2 * gains)
-            for part, i, j in _ranges(keys, bits if length > 1 else 64, n_ranges):
-                out.append((2 * length, part, block, pack_sorted(keys[i:j]), pack(folded[i:j]), pack(nexts[i:j])))
+            ranked = left.filter(pc.and_(pc.equal(left.column("kind"), 2 * length - 1), pc.is_valid(left.column("ranks")))).sort_by("part")
+            j = 0
+            for part, ranks in zip(ranked.column("part").to_pylist(), ranked.column("ranks").to_pylist()):
+                i, j = j, j + n_sorted(ranks)
+                out.append((2 * length, part, block, ranks, pack(folded[i:j]), pack(nexts[i:j])))
         return _rows(out, _SENT)
 
     return run
@@ -307,11 +395,11 @@ def left_out_gain(n, total, up):
 def _judging(table: pa.Table) -> pa.Table:
     """Answers each block with the number of next symbols of each of its contexts, 0 for those that aren't states."""
     kind, part = table.column("kind")[0].as_py(), table.column("part")[0].as_py()
-    blocks, cut, keys = _messages(table)
+    blocks, cut, ranks = _messages(table)
+    number = ranks.astype(np.int64)
     folded = np.concatenate([unpack(x.as_py()) for x in table.column("n")]).astype(np.int64)
     gain = np.where(folded % 2 == 1, -(folded + 1) // 2, folded // 2)
     nexts = np.concatenate([unpack(x.as_py()) for x in table.column("more")]).astype(float)
-    _, number = np.unique(keys, return_inverse=True)
     state = np.bincount(number, weights=gain.astype(float)) > DIVERGENCE * NAT
     answer = np.where(state, np.bincount(number, weights=nexts), 0)[number].astype(np.int64)
     return _rows([(b, kind, part, pack(answer[i:j])) for b, i, j in zip(blocks, cut, cut[1:])], _ANSWER)
@@ -478,7 +566,7 @@ def _scoring(bits: int, most: int, n_train: int, v_train: int):
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         runs = _Runs(right, bits, most)
-        counts = [_answers(left, 2 * k + 1) >> 1 for k in range(most + 1)]
+        counts, _ = _all_counts(left, runs, most)
         # the root: counts, and for unseen words the share that new words have, by their spelling
         spelled = left.filter(pc.equal(left.column("kind"), _SPELLED)).sort_by("key")
         keys, score = spelled.column("key").to_numpy().view(np.uint64), spelled.column("score").to_numpy()
@@ -494,7 +582,7 @@ def _scoring(bits: int, most: int, n_train: int, v_train: int):
         states = []
         for length in range(1, most + 1):
             nexts = np.zeros(len(runs.keys[length - 1]), np.int64)
-            nexts[_asked_contexts(runs, counts, length)] = _answers(left, 2 * length)
+            nexts[_asked_contexts(counts, length)] = _answers(left, 2 * length)
             states.append(nexts)
         sums: list[list[np.ndarray]] = [[], [], [], []]
         i = 0
@@ -523,8 +611,8 @@ def _scoring(bits: int, most: int, n_train: int, v_train: int):
     return run
 
 
-def in_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
-    """(block, doc_id, train, text) as a table bucketed by block, and the bytes of text.
+def in_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int, int]:
+    """(block, doc_id, train, text) as a table bucketed by block, the number of buckets, and the bytes of text.
 
     A block lies within one input partition, so nothing is shuffled. Up to ``BUCKETS`` blocks, numbers are chosen so that each
     falls into a bucket of its own; beyond, a bucket holds several, which its task takes one after the other. Should the input's
@@ -540,25 +628,37 @@ def in_blocks(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, int]:
         names = spark.range(16 * n + 64).groupBy(F.pmod(F.hash(F.col("id").cast("int")), F.lit(n)).alias("bucket")).agg(F.min("id").cast("int").alias("id"))
         own = {r.bucket: r.id for r in names.collect()}
         block = F.element_at(F.lit([own.get(k, 17 * n + 64 + k) for k in range(n)]), block + 1)
-    return bucketed(rows.withColumn("block", block.cast("int")), min(n, BUCKETS), "block"), int(total)
+    n = min(n, BUCKETS)
+    return bucketed(rows.withColumn("block", block.cast("int")), n, "block"), n, int(total)
 
 
 def scores(docs: DataFrame, block_bytes: int = BLOCK_BYTES, most: int = WORDS) -> DataFrame:
     """Base (add-one unigram) and tree score, with contexts of up to ``most`` words, of every document; ``unknown_score`` is the part of the score that falls to words never seen in training."""
-    blocks, total = in_blocks(docs, block_bytes)
+    blocks, n_buckets, total = in_blocks(docs, block_bytes)
     bits, n_ranges = min(64, max(33, total.bit_length() + 18)), max(1, -(-total // block_bytes))
 
     def answered(messages: DataFrame, answer, schema: str) -> DataFrame:
-        return written(messages.groupBy("kind", "part").applyInArrow(answer, schema))
-
-    counted = answered(blocks.groupBy("block").applyInArrow(_asking(bits, most, n_ranges), _SENT), _counting, _COUNTED)
-    words = counted.where("word is not null").select("key", "word", "n", "blocks")
-    n_train, v_train, texts = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0), F.coalesce(F.sum(F.when(F.length("word") == 0, F.col("n"))), F.lit(0))).first()
-    answers = counted.where("block is not null").select("block", "kind", "part", "data")
-    gains = answers.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(_gaining(bits, most, n_ranges, n_train), _SENT)
-    states = answered(gains, _judging, _ANSWER)
+        return messages.groupBy("kind", "part").applyInArrow(answer, schema)
+
+    name, none = new_name(), F.lit(None)
+
+    def kept(df: DataFrame, *columns: str) -> DataFrame:
+        """All answers to the blocks so far, with those of ``df``, in one table with the blocks' buckets: each is shuffled once, however many steps read it."""
+        rows = df.select(*(F.col(c) if c in columns else none.cast(t).alias(c) for c, t in (x.split() for x in _KEPT.split(", "))))
+        return bucketed(rows.repartition(n_buckets, "block"), n_buckets, "block", name)
+
+    def with_texts(answers: DataFrame, *columns: str):
+        return answers.where("block is not null").select("block", "kind", "part", "data", *columns).groupBy("block").cogroup(blocks.groupBy("block"))
+
+    sums = ("n_train", "v_train", "texts")
+    answers = kept(answered(blocks.groupBy("block").applyInArrow(_asking(bits, most, n_ranges), _SENT), _counting, _COUNTED), "block", "kind", "part", "data", "ranks", *sums)
+    n_train, v_train, texts = answers.where("block is null").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in sums)).first()
+    longest = with_texts(answers).applyInArrow(_asking_longest(bits, most, n_ranges), _SENT)
+    named = written(answered(longest, _naming, _NAMED))
+    answers = kept(named.where("block is not null"), "block", "kind", "part", "data")
+    gains = with_texts(answers, "ranks").applyInArrow(_gaining(bits, most, n_train), _SENT)
+    kept(answered(gains, _judging, _ANSWER), "block", "kind", "part", "data")
+    words = named.where("word is not null").select("key", "word", "n", "blocks")
     spelled = spelling_scores(words, texts).join(words.where("n = 0").select("key", F.explode("blocks").alias("block")), "key")
-    none = F.lit(None)
-    back = answers.unionByName(states).select("*", none.cast("long").alias("key"), none.cast("double").alias("score"))
-    back = back.unionByName(spelled.select("block", F.lit(_SPELLED).alias("kind"), F.lit(0).cast("long").alias("part"), none.cast("binary").alias("data"), "key", "score"))
-    return back.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(_scoring(bits, most, n_train, v_train), _SCORES)
+    answers = kept(spelled.withColumn("kind", F.lit(_SPELLED)), "block", "kind", "key", "score")
+    return with_texts(answers, "key", "score").applyInArrow(_scoring(bits, most, n_train, v_train), _SCORES)
