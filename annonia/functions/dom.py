@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,22 +27,40 @@ _PART = re.compile(
     re.X,
 )
 Fits = Callable[[Column], Column]
+Steps = list[tuple[str, list["Test"]]]
 
 
-def _test(m: re.Match) -> Fits:
-    """What one part of a compound selector asks of an element."""
+class Test(NamedTuple):
+    """What one part of a compound selector asks of an element: ``kind`` is tag, id, class, attr, last, nth or nth_of_tag."""
+
+    kind: str
+    value: str | int = ""
+    name: str = ""
+    op: str | None = None
+
+
+def _test(m: re.Match) -> Test:
     if m["tag"]:
-        return (lambda e: F.lit(True)) if m["tag"] == "*" else lambda e: e["tag"] == m["tag"].lower()
-    if m["id"]:
-        return lambda e: e["id"] == m["id"]
-    if m["cls"]:
-        return lambda e: F.array_contains(e["classes"], m["cls"])
+        return Test("tag", m["tag"].lower())
+    if m["id"] or m["cls"]:
+        return Test("id", m["id"]) if m["id"] else Test("class", m["cls"])
     if m["order"]:
         n = int(m["n"] or 1)
-        return {"first-child": lambda e: e["nth"] == 1, "last-child": lambda e: e["last"], "nth-child": lambda e: e["nth"] == n, "nth-of-type": lambda e: e["nth_of_tag"] == n}[m["order"]]
-    name, value = m["attr"].lower(), next((m[k] for k in ("dq", "sq", "bare") if m[k] is not None), "")
+        return {"first-child": Test("nth", 1), "last-child": Test("last"), "nth-child": Test("nth", n), "nth-of-type": Test("nth_of_tag", n)}[m["order"]]
+    return Test("attr", next((m[k] for k in ("dq", "sq", "bare") if m[k] is not None), ""), m["attr"].lower(), m["op"])
+
+
+def _fits(test: Test) -> Fits:
+    """A test as a column expression."""
+    kind, value, name, op = test
+    if kind in ("tag", "id", "nth", "nth_of_tag"):
+        return lambda e: F.lit(True) if value == "*" and kind == "tag" else e[kind] == value
+    if kind == "class":
+        return lambda e: F.array_contains(e["classes"], value)
+    if kind == "last":
+        return lambda e: e["last"]
     got = lambda e: F.try_element_at(e["attrs"], F.lit(name))
-    if m["op"] in ("^=", "*=", "$=", "~=") and not value:
+    if op in ("^=", "*=", "$=", "~=") and not value:
         return lambda e: F.lit(False)
     tests: dict[str | None, Fits] = {
         None: lambda e: got(e).isNotNull(),
@@ -51,12 +70,37 @@ def _test(m: re.Match) -> Fits:
         "*=": lambda e: F.contains(got(e), F.lit(value)),
         "~=": lambda e: F.array_contains(F.split(got(e), r"\s+"), value),
     }
-    return tests[m["op"]]
-
-
-def _steps(selector: str) -> list[tuple[str, list[Fits]]]:
+    return tests[op]
+
+
+def value_test(test: Test) -> Callable[[str], bool]:
+    """What a test asks of an attribute's value, in Python."""
+    value, op = test.value, test.op
+    if op is None or op == "=":
+        return (lambda got: got == value) if op else lambda got: True
+    if not value:
+        return lambda got: False
+    if op == "~=":
+        return lambda got: value in re.split(r"[ \t\n\x0b\f\r]+", got)
+    return {"^=": lambda got: got.startswith(value), "$=": lambda got: got.endswith(value), "*=": lambda got: value in got}[op]
+
+
+def _holds(test: Test, e: dict) -> bool:
+    """A test of an element in Python."""
+    kind, value = test.kind, test.value
+    if kind == "attr":
+        got = e["attrs"].get(test.name)
+        return got is not None and value_test(test)(got)
+    if kind == "class":
+        return value in e["classes"]
+    if kind == "tag" and value == "*":
+        return True
+    return e["last"] if kind == "last" else e[kind] == value
+
+
+def _steps(selector: str) -> Steps:
     """(relation to the step before, tests) of each step."""
-    steps: list[tuple[str, list[Fits]]] = [("", [])]
+    steps: Steps = [("", [])]
     at, selector = 0, selector.strip()
     while at < len(selector):
         m = _PART.match(selector, at)
@@ -72,9 +116,14 @@ def _steps(selector: str) -> list[tuple[str, list[Fits]]]:
     return steps
 
 
-def _flags(elements: Column, steps: list[tuple[str, list[Fits]]]) -> Column:
+def alternatives(selector: str) -> list[Steps]:
+    """The steps of each alternative; commas inside brackets don't part them."""
+    return [_steps(s) for s in re.split(r",(?![^\[]*\])", selector)]
+
+
+def _flags(elements: Column, steps: Steps) -> Column:
     """Whether each element fits the last step."""
-    relation, tests = steps[-1]
+    relation, tests = steps[-1][0], [_fits(t) for t in steps[-1][1]]
 
     def fits(e: Column) -> Column:
         out = tests[0](e)
@@ -98,11 +147,36 @@ def _flags(elements: Column, steps: list[tuple[str, list[Fits]]]) -> Column:
 
 def select(elements: Column, selector: str) -> Column:
     """All elements that fit, in document order."""
-    # commas inside brackets don't part alternatives
-    flags = [_flags(elements, _steps(s)) for s in re.split(r",(?![^\[]*\])", selector)]
+    flags = [_flags(elements, steps) for steps in alternatives(selector)]
     return let(F.array(*flags), lambda fs: F.filter(elements, lambda e: F.exists(fs, lambda f: F.get(f, e["start"]))))
 
 
+def _plain_flags(elements: list[dict], steps: Steps) -> list[bool]:
+    """``_flags`` of one page's elements in Python."""
+    relation, tests = steps[-1]
+    own = [all(_holds(t, e) for t in tests) for e in elements]
+    if len(steps) == 1:
+        return own
+    before = _plain_flags(elements, steps[:-1])
+    heads: dict[int, int] = {}  # the first sibling of each parent that fits the step before
+    for e in elements:
+        if before[e["start"]]:
+            heads.setdefault(e["parent"], e["start"])
+    related = {
+        " ": lambda e: any(before[p] for p in e["path"]),
+        ">": lambda e: e["parent"] >= 0 and before[e["parent"]],
+        "+": lambda e: e["prev"] >= 0 and before[e["prev"]],
+        "~": lambda e: heads.get(e["parent"], e["start"]) < e["start"],
+    }[relation]
+    return [o and related(e) for o, e in zip(own, elements)]
+
+
+def places(elements: list[dict], selector: str) -> list[int]:
+    """Places of all elements of a page that fit: ``select`` for the parser, which reads one page for all of its shape."""
+    flags = [_plain_flags(elements, steps) for steps in alternatives(selector)]
+    return [i for i, f in enumerate(zip(*flags)) if any(f)]
+
+
 def inside(found: Column, element: Column) -> Column:
     """Those of ``found`` in the subtree of an element, itself left out."""
     return F.filter(found, lambda e: (e["start"] > element["start"]) & (e["start"] < element["end"]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .base import choose, contains_any, rest_of, some, take, text
+from .base import choose, contains_any, let, rest_of, some, take, text
 from .vocab import convert_property_type, detect_transaction
 
 # ---- fixed values ----
@@ -164,9 +164,11 @@ def normalize_spec_key(label: Column, fold: bool = False) -> Column:
 
 def last_wins_map(pairs: Column) -> Column:
     """Map of an array of (label, value) structs; of equal labels the last counts, whatever the session's policy."""
-    keys = F.transform(pairs, lambda p: p["label"])
-    kept = F.filter(pairs, lambda p, i: F.array_position(F.slice(keys, i + 2, F.greatest(F.size(keys), F.lit(1))), p["label"]) == 0)
-    return F.map_from_entries(F.transform(kept, lambda p: F.struct(p["label"], p["value"])))
+
+    def kept(ps: Column) -> Column:
+        return let(ps["label"], lambda keys: F.filter(ps, lambda p, i: F.array_position(F.slice(keys, i + 2, F.greatest(F.size(keys), F.lit(1))), p["label"]) == 0))
+
+    return F.map_from_entries(F.transform(let(pairs, kept), lambda p: F.struct(p["label"], p["value"])))
 
 
 def spec_map_from_lines(lines: Column) -> Column:

@@ -87,7 +87,7 @@ def any_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def spec_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One map from four-cell rows, spans, heading rows, lists and repeated siblings."""
-    p = html.parse_pages(frame(spark, sf_dir, "grid_pages", wide=True), "pairs")
+    p = html.with_parsed(frame(spark, sf_dir, "grid_pages", wide=True).select("page_id", "html"), "pairs")
     m = html.spec_map(C("pairs"))
     labels = ["Mileage", "City", "Engine", "Color", "Fuel", "Size width", "Size height", "Odd", "Power", "Torque", "Doors", "Seats", "Options", "Year"]
     got = p.select("page_id", m.alias("m"))

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 from html import unescape
 from html.parser import HTMLParser
 from itertools import accumulate, chain
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,8 @@ ELEMENT = (
     "tag:string,id:string,classes:array<string>,attrs:map<string,string>,from:int,to:int>"
 )
 PARSED = f"title string, visible string, elements array<{ELEMENT}>, strings array<string>, links array<string>, images array<string>, pairs array<struct<label:string,value:string>>"
+#: What an element that a selector found keeps.
+FOUND = "array<struct<start:int,end:int,attrs:map<string,string>,from:int,to:int>>"
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _HIDDEN = {"script", "style", "template"}
 _BLOCKS = {"address", "article", "aside", "blockquote", "br", "dd", "div", "dl", "dt", "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "li", "main", "nav", "ol", "p", "pre", "section", "table", "tbody", "td", "tfoot", "th", "thead", "title", "tr", "ul"}
@@ -69,8 +72,7 @@ class _Page(HTMLParser):
         self.open_tags: list[str] = []
         self.of_tag: list[dict[str, int]] = [{}]  # children of each tag, by one more than the parent's place
         self.hidden = 0
-        self.feed(source[self._scan(source) :])
-        self.close()
+        self._read(source)
         while self.open:
             self._end()
         self._texts: dict[int, str] = {}
@@ -78,6 +80,10 @@ class _Page(HTMLParser):
         self._filled = list(accumulate((bool(s) and not s.isspace() for s in self.strings), initial=0))
         self._blocks = list(accumulate((e["tag"] in _BLOCKS for e in self.elements), initial=0))
 
+    def _read(self, source: str) -> None:
+        self.feed(source[self._scan(source) :])
+        self.close()
+
     def _scan(self, source: str) -> int:
         """Reads texts and tags in the common spellings up to the first other thing, and says where that is."""
         at = 0
@@ -194,7 +200,9 @@ class _Page(HTMLParser):
         return [k for k in range(i + 1, self.elements[i]["end"]) if self.elements[k]["tag"] in tags]
 
 
-# ---- label/value pairs: each function yields (place in the page, label, value) ----
+# ---- label/value pairs: each function yields (place in the page, elements of the label, elements of the value) ----
+
+_Pair = tuple[int, tuple[int, ...], tuple[int, ...]]
 
 _NO_KIDS, _NO_PARENTS = _VOID | _HIDDEN, {"table", "tbody", "thead", "tfoot", "tr", "dl", "select"}
 _NO_LABELS = {"a", "li", "tr", "table", "ul", "ol", "img", "h1"}
@@ -219,7 +227,7 @@ def _grid(page: _Page, table: int) -> list[list[tuple[int, int, int]]]:
     return [[row[x] for x in sorted(row)] for row in grid]
 
 
-def _table_pairs(page: _Page, table: int) -> Iterator[tuple[int, str, str]]:
+def _table_pairs(page: _Page, table: int) -> Iterator[_Pair]:
     """Pairs of a table of any width: cells by twos; under a row of headings each cell with its heading; rows below a cell that spans them with its text before theirs."""
     grid = _grid(page, table)
     is_head = lambda row: len(row) > 1 and all(page.elements[c]["tag"] == "th" for c, _, _ in row)
@@ -227,31 +235,30 @@ def _table_pairs(page: _Page, table: int) -> Iterator[tuple[int, str, str]]:
     for y, row in enumerate(grid):
         if heads:
             if y:
-                yield from ((c, page.text(h), page.text(c)) for (h, _, _), (c, first, _) in zip(heads, row) if first == y)
+                yield from ((c, (h,), (c,)) for (h, _, _), (c, first, _) in zip(heads, row) if first == y)
             continue
         cells = [c for k, (c, _, _) in enumerate(row) if k == 0 or row[k - 1][0] != c]  # a wide cell once
-        group = ""
+        group: tuple[int, ...] = ()
         spans = [c for c in cells if page.elements[c]["attrs"].get("rowspan", "1") not in ("", "0", "1")]
         if len(cells) > 2 and cells[0] in spans:
-            group, cells = page.text(cells[0]) + " ", cells[1:]
+            group, cells = (cells[0],), cells[1:]
         for label, value in zip(cells[::2], cells[1::2]):
-            name = page.text(label)
-            yield value, group + name if name else "", page.text(value)
+            yield value, (*group, label) if page.filled(label) else (), (value,)
 
 
-def _list_pairs(page: _Page, dl: int) -> Iterator[tuple[int, str, str]]:
+def _list_pairs(page: _Page, dl: int) -> Iterator[_Pair]:
     """Terms with their descriptions; several descriptions of a term are joined."""
     label, values, at = None, [], dl
     for c in page.inside(dl, "dt", "dd"):
         if page.elements[c]["tag"] == "dt":
             if label is not None and values:
-                yield at, label, ", ".join(values)
-            label, values = page.text(c), []
+                yield at, (label,), tuple(values)
+            label, values = c, []
         else:
             at = c
-            values.append(page.text(c))
+            values.append(c)
     if label is not None and values:
-        yield at, label, ", ".join(values)
+        yield at, (label,), tuple(values)
 
 
 def _shape(page: _Page, i: int) -> tuple:
@@ -267,7 +274,7 @@ def _is_label(page: _Page, i: int) -> bool:
     return page.elements[i]["tag"] not in _NO_LABELS and page.filled(i) and not page.has_blocks(i)
 
 
-def _sibling_pairs(page: _Page, parent: int) -> Iterator[tuple[int, str, str]]:
+def _sibling_pairs(page: _Page, parent: int) -> Iterator[_Pair]:
     """Pairs of repeated siblings: items of one shape that hold a label and a value, or labels and values by turns in one parent.
 
     One item is enough if the classes of its two elements say which is which."""
@@ -283,18 +290,22 @@ def _sibling_pairs(page: _Page, parent: int) -> Iterator[tuple[int, str, str]]:
             items.setdefault((_shape(page, c), *(_shape(page, k) for k in parts)), []).append((parts[0], parts[1]))
     for found in items.values():
         if len(found) > 1 or all(_named(page, i, w) for i, w in zip(found[0], (_LABEL_WORDS, _VALUE_WORDS))):
-            yield from ((v, page.text(label), page.text(v)) for label, v in found)
+            yield from ((v, (label,), (v,)) for label, v in found)
     if len(turns) < 2 or len(turns) % 2:
         return
     shapes = [_shape(page, c) for c in turns]
     if shapes[0] != shapes[1] and shapes == shapes[:2] * (len(turns) // 2) and all(_is_label(page, c) for c in turns[::2]):
         if len(turns) > 2 or all(_named(page, i, w) for i, w in zip(turns, (_LABEL_WORDS, _VALUE_WORDS))):
-            yield from ((v, page.text(label), page.text(v)) for label, v in zip(turns[::2], turns[1::2]))
+            yield from ((v, (label,), (v,)) for label, v in zip(turns[::2], turns[1::2]))
 
 
-def _pairs(page: _Page) -> list[tuple[str, str]]:
-    """All pairs of the page in document order, each value once."""
-    found: dict[int, tuple[str, str]] = {}
+#: What parts the texts of a label's and of a value's elements.
+_BETWEEN = (" ", ", ")
+
+
+def _pair_places(page: _Page) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
+    """The elements of all labels and values in document order, each value once. They depend on the tags and on which texts are blank, on nothing else."""
+    found: dict[int, tuple[tuple[int, ...], tuple[int, ...]]] = {}
     for i, e in enumerate(page.elements):
         if not page.children[i]:
             continue
@@ -304,6 +315,201 @@ def _pairs(page: _Page) -> list[tuple[str, str]]:
     return [found[at] for at in sorted(found)]
 
 
+def _pairs(page: _Page) -> list[tuple[str, str]]:
+    """All pairs of the page in document order."""
+    return [tuple(sep.join(map(page.text, x)) for sep, x in zip(_BETWEEN, pair)) for pair in _pair_places(page)]
+
+
+# ---- pages of one shape ----
+
+#: Attributes that belong to a page's shape; the values of all others are its own.
+_STRUCTURE = {"class", "colspan", "rowspan"}
+#: All bytes but those that tags begin and end with.
+_NO_EDGES = bytes(b for b in range(256) if b not in b"<>")
+#: Tags that every reader takes alike, whatever follows them.
+_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'=`<>]+)"""
+_CLEAR_START = re.compile(rf"<([a-zA-Z][a-zA-Z0-9]*)((?:[ \n]+[a-zA-Z][a-zA-Z0-9_-]*(?:={_VALUE})?)*)[ \n]*>")
+_CLEAR_ATTR = re.compile(rf"[ \n]([a-zA-Z][a-zA-Z0-9_-]*)(?:=({_VALUE}))?")
+_DOCTYPE = re.compile(r"<!doctype[^<>]*>", re.I)
+#: Tags and texts of the shapes held in a task; beyond it all are forgotten.
+_HELD = 400_000
+
+
+class _Model(_Page):
+    """A page from tags and texts that were read apart. It knows which string is which text and which element is which tag."""
+
+    def _read(self, source) -> None:
+        tags, texts = source
+        self.full = [bool(t.strip()) for t in texts]
+        self.text_of: dict[int, int] = {}
+        self.tag_of: list[int] = []
+        for j, t in enumerate(texts):
+            self.text_of[len(self.strings)] = j
+            self.strings.append(t)
+            kind, name, attrs = tags[j] if j < len(tags) else ("", "", {})
+            if kind == "start":
+                self.tag_of.append(j)
+                self.handle_starttag(name, list(attrs.items()))
+            elif kind == "end":
+                self.handle_endtag(name)
+
+    def run(self, start: int, to: int) -> list[int]:
+        """Numbers of the texts in a range of strings, -1 for the edge of a block."""
+        return [self.text_of.get(k, -1) for k in range(start, to)]
+
+
+def _joined(texts: list[str], run: tuple[int, ...]) -> str:
+    return " ".join("".join([texts[j] if j >= 0 else "\n" for j in run]).split())
+
+
+class _Shapes:
+    """Reads pages whose tags are all clear as a row of tags and a row of texts. What the tags decide is worked out on the first page of a shape and
+    held for the others, of which only texts and attributes are taken. Pages of other spellings are left to ``_Page``."""
+
+    def __init__(self, selectors: dict[str, str] = {}, attributes: tuple[str, ...] = ()):
+        self.selectors, self.attributes = selectors, attributes
+        #: what the selectors ask of values, by attribute; the answers are part of a tag's kind
+        self.tests: dict[str, list[Callable[[str], bool]]] = {}
+        for test in (t for s in selectors.values() for steps in dom.alternatives(s) for _, tests in steps for t in tests):
+            if test.kind == "attr" and test.op:
+                self.tests.setdefault(test.name, []).append(dom.value_test(test))
+            elif test.kind == "id":
+                self.tests.setdefault("id", []).append(test.value.__eq__)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.kinds: dict[tuple, int] = {}
+        self.made: list[tuple[str, str, dict[str, str]]] = [("", "", {})]  # the first tag of each kind
+        self.tags: dict[str, int] = {}  # kinds of the tags that have no values of their own; 0: not clear
+        self.plans: dict[tuple, object] = {}
+        self.held = 0
+
+    def _kind(self, tag: str) -> tuple[int, dict[str, str] | None]:
+        """The number of a tag's kind, 0 if it is not clear, and its attributes if values of its own are among them."""
+        own, attrs, number, whole = False, {}, 0, f"<{tag}>"
+        if m := _CLEAR_START.fullmatch(whole):
+            kind, name, key = "start", m[1].lower(), []
+            for k, v in _CLEAR_ATTR.findall(m[2]) if m[2] else ():
+                k = k.lower()
+                if k not in attrs:  # of equal names the first counts
+                    attrs[k] = v = unescape(v[1:-1] if v[:1] in "\"'" else v)
+                    if k in _STRUCTURE:
+                        key.append((k, v))
+                    else:
+                        own = True
+                        key.append((k, *[t(v) for t in self.tests.get(k, ())]))
+            key = (name, *key)
+        elif m := _PLAIN_END.fullmatch(whole):
+            kind, name = "end", m[1].lower()
+            key = ("/", name)
+        else:
+            kind, name, key = "", "", ("",) if _DOCTYPE.fullmatch(whole) else None
+        if key and (name == "title" or name not in _RAW | _HIDDEN):
+            number = self.kinds.setdefault(key, len(self.made))
+            if number == len(self.made):
+                self.made.append((kind, name, attrs))
+                self.held += 1
+        if not own or not number:
+            self.tags[tag] = number
+            self.held += 1
+        return number, attrs if own else None
+
+    def _parts(self, source: str) -> tuple[tuple[int, ...], list[str], dict[int, dict[str, str]]] | None:
+        """The tags' kinds, the texts around them and the attributes of tags with values of their own; None if tags and texts can't be told apart so."""
+        parts = source.replace(">", "<").split("<")
+        texts, tags = parts[::2], parts[1::2]
+        if source.encode().translate(None, _NO_EDGES) != b"<>" * len(tags):
+            return None
+        if self.held > _HELD:
+            self._forget()
+        kinds, given = list(map(self.tags.get, tags)), {}
+        if None in kinds:
+            for j, n in enumerate(kinds):
+                if n is None:
+                    kinds[j], attrs = self._kind(tags[j])
+                    if attrs:
+                        given[j] = attrs
+        if "&" in source:
+            for j, n in enumerate(kinds):
+                if self.made[n][1] == "title" and "&" in texts[j + 1]:  # readers differ
+                    return None
+            texts = [unescape(t) if "&" in t else t for t in texts]
+        return tuple(kinds), texts, given
+
+    def _plan(self, key: tuple, kinds: tuple[int, ...], texts: list[str], given: dict, make: Callable):
+        """What ``make`` has of the first page with the key; None if the tags of its shape are not to be read apart."""
+        if key not in self.plans:
+            tags = [(*self.made[n][:2], given[j]) if j in given else self.made[n] for j, n in enumerate(kinds)]
+            titles = [j for j, t in enumerate(tags) if t[:2] == ("start", "title")]
+            clear = 0 not in kinds and all(tags[j + 1 : j + 2] == [("end", "title", {})] for j in titles)
+            self.plans[key] = make(_Model((tags, texts))) if clear else None
+            self.held += 4 * len(kinds)
+        return self.plans[key]
+
+    # label/value pairs
+
+    @staticmethod
+    def _pair_plan(page: _Model):
+        """How many pairs, the one text that each label and each value is made of, and those made of more."""
+        pairs, single, rest = _pair_places(page), [], []
+        for sep, side in zip(_BETWEEN, zip(*pairs)):
+            for elements in side:
+                runs = [tuple(page.run(page.elements[i]["from"], page.elements[i]["to"])) for i in elements]
+                full = [[j for j in run if j >= 0 and page.full[j]] for run in runs]
+                if len(full) == 1 and len(full[0]) == 1:
+                    single.append(full[0][0])
+                else:
+                    rest.append((len(single), sep, runs))
+                    single.append(0)
+        return len(pairs), itemgetter(*single) if pairs else lambda texts: (), rest
+
+    def pairs(self, source: str) -> list[str]:
+        """All labels of a page, then all values."""
+        if parts := self._parts(source):
+            kinds, texts, given = parts
+            full = tuple(map(bool, map(str.strip, texts) if any(map(str.isspace, texts)) else texts))
+            if plan := self._plan((kinds, full), kinds, texts, given, self._pair_plan):
+                _, single, rest = plan
+                out = list(map(" ".join, map(str.split, single(texts))))
+                for k, sep, runs in rest:
+                    out[k] = sep.join([_joined(texts, run) for run in runs])
+                return out
+        return list(chain.from_iterable(zip(*_pairs(_Page(source)))))
+
+    # elements that fit selectors
+
+    def _found_plan(self, page: _Page):
+        """For each selector (starts, ends, froms, tos, numbers of attributes, their names, their values), and the texts of ``strings``; the
+        value of a tag's own attribute is (tag, name)."""
+        model = page if isinstance(page, _Model) else None
+        found = [dom.places(page.elements, s) for s in self.selectors.values()]
+        kept = sorted(set(chain.from_iterable(range(page.elements[i]["from"], page.elements[i]["to"]) for i in chain.from_iterable(found))))
+        at = {k: n for n, k in enumerate(kept)}
+        columns = []
+        for places in found:
+            of = [page.elements[i] for i in places]
+            froms = [at.get(e["from"], 0) for e in of]
+            named = [[n for n in self.attributes if n in e["attrs"]] for e in of]
+            values = [e["attrs"][n] if model is None or n in _STRUCTURE else (model.tag_of[e["start"]], n) for e, names in zip(of, named) for n in names]
+            columns.append((
+                [e["start"] for e in of], [e["end"] for e in of], froms, [f + e["to"] - e["from"] for f, e in zip(froms, of)],
+                [len(x) for x in named], list(chain.from_iterable(named)), values, any(type(v) is tuple for v in values),
+            ))
+        return columns, [model.text_of.get(k, -1) for k in kept] if model else kept
+
+    def found(self, source: str) -> tuple[list, list[list[str]], list[str]]:
+        """The plan's columns, the attributes' values for each selector, and the strings that the found elements hold."""
+        if parts := self._parts(source):
+            kinds, texts, given = parts
+            if plan := self._plan(kinds, kinds, texts, given, self._found_plan):
+                columns, run = plan
+                values = [[v if type(v) is str else given[v[0]][v[1]] for v in c[6]] if c[7] else c[6] for c in columns]
+                return columns, values, [texts[j] if j >= 0 else "\n" for j in run]
+        page = _Page(source)
+        columns, kept = self._found_plan(page)
+        return columns, [c[6] for c in columns], [page.strings[k] for k in kept]
+
+
 # ---- Arrow columns: flat values with offsets ----
 
 _NUMBERS = ("start", "end", "depth", "parent", "prev", "nth", "nth_of_tag", "from", "to")
@@ -353,7 +559,57 @@ _READ: dict[str, tuple[Callable[[_Page], object], Callable[[list], pa.Array]]] =
 }
 
 
+def _pair_lists(lists: list[list[str]]) -> pa.ListArray:
+    """Pairs of lists that hold all labels of a page, then all values."""
+    labels, values = (pa.array(list(chain.from_iterable(x)), pa.string()) for x in ((p[: len(p) // 2] for p in lists), (p[len(p) // 2 :] for p in lists)))
+    offsets = pa.array(list(accumulate((len(p) // 2 for p in lists), initial=0)), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([labels, values], names=["label", "value"]))
+
+
+def _found_lists(columns: list[tuple], values: list[list[str]]) -> pa.ListArray:
+    """The elements that one selector found on each page."""
+    flat = lambda n: list(chain.from_iterable([c[n] for c in columns]))
+    offsets = lambda counts: pa.array(list(accumulate(counts, initial=0)), pa.int32())
+    start, end, from_, to = (pa.array(flat(n), pa.int32()) for n in range(4))
+    attrs = pa.MapArray.from_arrays(offsets(flat(4)), pa.array(flat(5), pa.string()), pa.array(list(chain.from_iterable(values)), pa.string()))
+    items = pa.StructArray.from_arrays([start, end, attrs, from_, to], names=["start", "end", "attrs", "from", "to"])
+    return pa.ListArray.from_arrays(offsets([len(c[0]) for c in columns]), items)
+
+
+#: Pages read at once where little of them comes out.
+_PAGES = 512
+
+
+def _pairing(kept: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes = _Shapes()
+        for whole in batches:
+            for k in range(0, len(whole), _PAGES):
+                batch = whole.slice(k, _PAGES)
+                read = _pair_lists([shapes.pairs(source or "") for source in batch.column("html").to_pylist()])
+                yield pa.record_batch([*(batch.column(c) for c in kept), read], names=[*kept, "pairs"])
+
+    return run
+
+
+def _finding(kept: list[str], selectors: dict[str, str], attributes: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes = _Shapes(selectors, attributes)
+        for whole in batches:
+            for k in range(0, len(whole), _PAGES):
+                batch = whole.slice(k, _PAGES)
+                read = [shapes.found(source or "") for source in batch.column("html").to_pylist()]
+                found = [_found_lists([r[0][n] for r in read], [r[1][n] for r in read]) for n in range(len(selectors))]
+                made = [pa.StructArray.from_arrays(found, names=list(selectors)), _texts([r[2] for r in read])]
+                yield pa.record_batch([*(batch.column(c) for c in kept), *made], names=[*kept, "found", "strings"])
+
+    return run
+
+
 def _parsing(kept: list[str], columns: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    if columns == ("pairs",):
+        return _pairing(kept)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for k in range(0, len(whole), 128):
@@ -377,6 +633,15 @@ def with_parsed(df: DataFrame, *columns: str) -> DataFrame:
     return df.mapInArrow(_parsing(kept, columns), schema)
 
 
+def with_found(df: DataFrame, selectors: dict[str, str], *attributes: str) -> DataFrame:
+    """In the place of ``html`` the elements that each selector finds, as fields of ``found``, with the attributes named, and their ``strings``:
+    what ``dom.select`` gives of the parsed elements, without sending all of them to the expressions. Null html gives empty fields."""
+    df = df.withColumn("html", df["html"].cast("string"))
+    kept = [c for c in df.columns if c != "html"]
+    made = StructType.fromDDL(f"found struct<{','.join(f'{n}:{FOUND}' for n in selectors)}>, strings array<string>")
+    return df.mapInArrow(_finding(kept, selectors, attributes), StructType([*(df.schema[c] for c in kept), *made]))
+
+
 def parse_pages(df: DataFrame, *columns: str) -> DataFrame:
     """Everything the jobs need from a page, in one parse, or only the columns named (with page_id and url). Null html gives empty fields."""
     return with_parsed(df.select(df["page_id"].cast("long"), df["url"].cast("string"), df["html"]), *(columns or _READ))
