@@ -15,16 +15,27 @@ WRAPPED, TITLE = ".__content .__title .text-wrap", ".__content .__title"
 MAIL, CALL, BUTTONS = 'a[href^="mailto:"]', 'a[href^="tel:"]', "#announcementUserInfo a.v-btn, #announcementUserInfo a.ok-list-item"
 WHATSAPP, TELEGRAM, VIBER = 'a[href*="wa.me"], a[href*="whatsapp.com"]', 'a[href*="t.me"]', 'a[href^="viber://"]'
 # ---- end of fixed values ----
+PLACE = {"rows": ROWS, "wrapped": WRAPPED, "titles": TITLE, "place_icons": PLACE_ICON, "address_icons": ADDRESS_ICON}
+CONTACT = {"mails": MAIL, "calls": CALL, "buttons": BUTTONS, "whatsapp": WHATSAPP, "telegram": TELEGRAM, "viber": VIBER}
+
+
+def _selected(elements: Column, selectors: dict[str, str]) -> Column:
+    return F.struct(*(dom.select(elements, s).alias(n) for n, s in selectors.items()))
 
 
 def location(elements: Column, strings: Column) -> Column:
     """struct(wilaya, commune, address): the place is parted at its first ' - ', else at its first hyphen."""
+    return let(_selected(elements, PLACE), lambda found: location_of(found, strings))
+
+
+def location_of(found: Column, strings: Column) -> Column:
+    """``location`` of the elements that the selectors of ``PLACE`` found."""
 
-    def marked(found: Column, icon: str) -> Column:
+    def marked(icons: str) -> Column:
         """Text beside the first list row with an icon."""
-        row = let(dom.select(elements, icon), lambda icons: dom.first(F.filter(found["rows"], lambda r: dom.has(icons, r))))
+        row = dom.first(F.filter(found["rows"], lambda r: dom.has(found[icons], r)))
         beside = lambda r: F.coalesce(dom.first(dom.inside(found["wrapped"], r)), dom.first(dom.inside(found["titles"], r)))
-        return text(let(row, lambda r: dom.text(beside(r), strings, " ")))
+        return text(let(let(row, beside), lambda e: dom.text(e, strings, " ")))
 
     def parted(full: Column) -> Column:
         mark = F.when(F.contains(full, F.lit(" - ")), " - ").otherwise("-")
@@ -33,33 +44,35 @@ def location(elements: Column, strings: Column) -> Column:
         commune = F.when(at > 0, F.substring(full, at + F.length(mark), F.length(full))).otherwise("")
         return F.struct(F.trim(wilaya).alias("wilaya"), F.trim(commune).alias("commune"))
 
-    def read(found: Column) -> Column:
-        return let(let(marked(found, PLACE_ICON), parted), lambda p: F.struct(p["wilaya"].alias("wilaya"), p["commune"].alias("commune"), marked(found, ADDRESS_ICON).alias("address")))
-
-    return let(F.struct(*(dom.select(elements, s).alias(n) for n, s in (("rows", ROWS), ("wrapped", WRAPPED), ("titles", TITLE)))), read)
+    return let(let(marked("place_icons"), parted), lambda p: F.struct(p["wilaya"].alias("wilaya"), p["commune"].alias("commune"), marked("address_icons").alias("address")))
 
 
 def _digits(col: Column) -> Column:
     return F.regexp_replace(col, r"[^0-9]", "")
 
 
-def _links(elements: Column, selector: str, pattern: str, prefix: str) -> Column:
+def _links(found: Column, pattern: str, prefix: str) -> Column:
     """Distinct links of a service, rebuilt from the number in them."""
-    numbers = F.transform(dom.attrs(dom.select(elements, selector), "href"), lambda h: some(F.regexp_extract(h, pattern, 1)))
+    numbers = F.transform(dom.attrs(found, "href"), lambda h: some(F.regexp_extract(h, pattern, 1)))
     return F.array_distinct(F.transform(F.filter(numbers, lambda n: n.isNotNull()), lambda n: F.concat(F.lit(prefix), n)))
 
 
 def contact(elements: Column, strings: Column) -> Column:
     """struct(email, phones, whatsapp, telegram, viber): distinct values in page order; numbers of links before those in button texts."""
-    mails = F.transform(dom.attrs(dom.select(elements, MAIL), "href"), lambda h: F.lower(F.trim(F.replace(h, F.lit("mailto:"), F.lit("")))))
-    linked = dom.attrs(dom.select(elements, CALL), "href")
-    shown = F.flatten(F.transform(dom.texts(dom.select(elements, BUTTONS), strings, ""), lambda t: F.regexp_extract_all(t, F.lit(f"({PHONE})"), F.lit(1))))
+    return contact_of(_selected(elements, CONTACT), strings)
+
+
+def contact_of(found: Column, strings: Column) -> Column:
+    """``contact`` of the elements that the selectors of ``CONTACT`` found."""
+    mails = F.transform(dom.attrs(found["mails"], "href"), lambda h: F.lower(F.trim(F.replace(h, F.lit("mailto:"), F.lit("")))))
+    linked = dom.attrs(found["calls"], "href")
+    shown = F.flatten(F.transform(dom.texts(found["buttons"], strings, ""), lambda t: F.regexp_extract_all(t, F.lit(f"({PHONE})"), F.lit(1))))
     numbers = F.filter(F.transform(F.concat(linked, shown), _digits), lambda d: F.length(d) >= 9)
-    viber = F.transform(dom.attrs(dom.select(elements, VIBER), "href"), lambda h: F.trim(h))
+    viber = F.transform(dom.attrs(found["viber"], "href"), lambda h: F.trim(h))
     return F.struct(
         F.array_distinct(F.filter(mails, lambda m: m != "")).alias("email"),
         F.array_distinct(numbers).alias("phones"),
-        _links(elements, WHATSAPP, r"wa\.me/(\+?\d+)", "https://wa.me/").alias("whatsapp"),
-        _links(elements, TELEGRAM, r"t\.me/(\+?\d+)", "https://t.me/").alias("telegram"),
+        _links(found["whatsapp"], r"wa\.me/(\+?\d+)", "https://wa.me/").alias("whatsapp"),
+        _links(found["telegram"], r"t\.me/(\+?\d+)", "https://t.me/").alias("telegram"),
         F.array_distinct(viber).alias("viber"),
     )

@@ -62,9 +62,9 @@ def page_selectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def detail_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, address and contacts of nested detail pages."""
-    p = html.parse_pages(frame(spark, sf_dir, "detail_pages", wide=True), "elements", "strings")
-    e, s = C("elements"), C("strings")
-    read = p.select("page_id", details.location(e, s).alias("l"), details.contact(e, s).alias("c"))
+    p = html.with_found(frame(spark, sf_dir, "detail_pages", wide=True).select("page_id", "html"), details.PLACE | details.CONTACT, "href")
+    f, s = C("found"), C("strings")
+    read = p.select("page_id", details.location_of(f, s).alias("l"), details.contact_of(f, s).alias("c"))
     lists = {"email": "email", "phones": "phones", "whatsapp": "whatsapp", "telegram": "telegram", "viber": "viber"}
     return read.select("page_id", "l.wilaya", "l.commune", "l.address", *(F.array_join(f"c.{c}", ",").alias(n) for n, c in lists.items()))
 

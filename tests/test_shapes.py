@@ -3,14 +3,16 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from annonia.functions import details, dom
 from annonia.sources import html
 
 PARTS = ['<div class="k v">', "</div>", '<P CLASS="Label" id="b">', "</p>", "</ p>", "<td>", "<td colspan=2>", "<td rowspan='2'>", "</td>", "<tr>", "</tr>", "<table>", "</table>", "<dl>", "<dt>", "<dd>", "<li>", "<ul>", "</ul>", "<ol class=ok-list>", "<b>", "</b>", "<i class='label'>", "<i class=value>", "</i>",
          "text", " a\nb", "\xa0", "&nbsp;", "&amp;", "&lt", "\x1f", "<", ">", '"', "<br/>", "<br>", "<img src=\"x&amp;y\">", "<a HREF='mailto:q' href=\"z\">", '<a href="tel:1">', "<a href=https://wa.me/2/>", "<a class=v-btn id=announcementUserInfo>", "<a href>", "</a>", "<script>", "</script>", "<template>",
          "<title>", "</title>", "<title>t&amp;</title>", "<title>é</title>", "<!-- c -->", "<!DOCTYPE html>", "<?pi>", '<p class="a"id="b">', '<td a="x>y">', '<p x="1" x="2">', "<p a=>", "&", "</>", "<textarea>", "</textarea>"]
 WORDS = ["", "", "a", " b  c", "\n", "\xa0", "é è", "x&amp;y", "1 > 2", "p<q"]
-SELECTORS = {"orders": "li:nth-child(2), td ~ td", "ids": "#b, #u > a", "names": "[href], a[x='1'], [class~=v]", "next": "td + td, i.label + *"}
+SELECTORS = details.PLACE | details.CONTACT | {"orders": "li:nth-child(2), td ~ td", "ids": "#b, #u > a", "names": "[href], a[x='1'], [class~=v]", "next": "td + td, i.label + *"}
 
 
 def random_pages(seed, n=500):
@@ -33,6 +35,11 @@ def plain_pairs(source):
     return [tuple(p) for p in html._pairs(html._Page(source or ""))]
 
 
+def plain_found(source, attributes):
+    p = html._Page(source or "")
+    return [[(p.elements[i]["start"], p.elements[i]["end"], {n: v for n, v in p.elements[i]["attrs"].items() if n in attributes}, [s for s in p.strings[p.elements[i]["from"] : p.elements[i]["to"]] if s]) for i in dom.places(p.elements, s)] for s in SELECTORS.values()]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_pairs_like_parsed_ones(spark, seed):
     docs = random_pages(seed)
@@ -43,11 +50,50 @@ def test_pairs_like_parsed_ones(spark, seed):
         assert got[i] == plain_pairs(doc), doc
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_found_like_selected(spark, seed):
+    docs = random_pages(seed)
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, html string").coalesce(1)
+    rows = html.with_found(df, SELECTORS, "href", "x", "class").collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        got = [[(e["start"], e["end"], e["attrs"], [s for s in r.strings[e["from"] : e["to"]] if s]) for e in r.found[n]] for n in SELECTORS]
+        assert got == plain_found(docs[r.i], ("href", "x", "class")), docs[r.i]
+
+
+def test_selectors_in_python_like_columns(spark):
+    docs = random_pages(5, 150)
+    df = html.with_parsed(spark.createDataFrame(list(enumerate(docs)), "i int, html string"), "elements")
+    rows = df.select("i", *(F.transform(dom.select(F.col("elements"), s), lambda e: e["start"]).alias(n) for n, s in SELECTORS.items())).collect()
+    for r in rows:
+        assert [r[n] for n in SELECTORS] == [dom.places(html._Page(docs[r.i] or "").elements, s) for s in SELECTORS.values()], docs[r.i]
+
+
+def test_details_of_found_elements(spark):
+    docs = [d.replace('class="k v"', 'class="__content ok-list"').replace("class='label'", 'class="mdi-map-marker __prepend"') for d in filter(None, random_pages(6, 200))]
+    docs += ['<ul class=ok-list><li><b class=__prepend><i class=mdi-map-marker></i></b><b class=__content><u class=__title>A - <s>B </s></u></b></ul><a href="mailto: X@y">m</a><div id=announcementUserInfo><a class=v-btn>0 55 12 34 99</a></div>']
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, html string")
+    s = F.col("strings")
+    parsed = html.with_parsed(df, "elements", "strings").select("i", details.location(F.col("elements"), s).alias("l"), details.contact(F.col("elements"), s).alias("c"))
+    found = html.with_found(df, details.PLACE | details.CONTACT, "href").select("i", details.location_of(F.col("found"), s).alias("l"), details.contact_of(F.col("found"), s).alias("c"))
+    want, got = ({r.i: r for r in x.collect()} for x in (parsed, found))
+    assert got == want and got[len(docs) - 1].l.commune == "B" and got[len(docs) - 1].c.phones == ["055123499"]
+
+
 def test_one_parse_a_shape(monkeypatch):
+    made = []
+
+    class Counted(html._Model):
+        def __init__(self, source):
+            made.append(1)
+            super().__init__(source)
+
+    monkeypatch.setattr(html, "_Model", Counted)
     monkeypatch.setattr(html, "_Page", None)  # no page is parsed by itself
     docs = [f'<table><tr><td>Km</td><td class="v">{i} 000</td></tr></table><a href="tel:{i}">{i}</a>' for i in range(500)]
-    shapes = html._Shapes()
-    assert [shapes.pairs(d) for d in docs] == [["Km", f"{i} 000"] for i in range(500)] and len(shapes.plans) == 1
+    shapes = html._Shapes({"calls": 'a[href^="tel:"]'}, ("href",))
+    assert [shapes.pairs(d) for d in docs] == [["Km", f"{i} 000"] for i in range(500)] and len(made) == 1
+    assert [shapes.found(d)[1:] for d in docs] == [([[f"tel:{i}"]], [f"{i}"]) for i in range(500)] and len(made) == 2
 
 
 def test_shapes_held_are_bounded(monkeypatch):
