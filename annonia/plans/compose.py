@@ -65,24 +65,26 @@ INPUTS = {
 TASKS_A_SPLIT = 16
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The rows of a file dealt evenly over more tasks than it has splits, for rules that cost far more than reading a row."""
+def spread(df: DataFrame, key: str = "") -> DataFrame:
+    """The rows of a file dealt evenly over more tasks than it has splits, for rules that cost far more than reading a row.
+
+    With ``key``, rows of one key share a task and stand in its order, so that what is made of them is joined by the key without another shuffle or sort."""
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), TASKS_A_SPLIT * df.rdd.getNumPartitions())
-    return df.repartition(n)
+    return df.repartition(n, key).sortWithinPartitions(key) if key else df.repartition(n)
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
-    """The input (or plain table) as a DataFrame; with ``wide``, its tables are spread before anything is composed, as their own rows are short."""
+def frame(spark: SparkSession, sf_dir: str, name: str, wide: bool = False, key: str = "") -> DataFrame:
+    """The input (or plain table) as a DataFrame; with ``wide``, its tables are spread (by ``key``) before anything is composed, as their own rows are short."""
     if name not in INPUTS:
         table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        return spread(table) if wide else table
+        return spread(table, key) if wide else table
     needed = dict.fromkeys(re.findall(r"\{([a-z_]+)\}", INPUTS[name]))
     # only table names are braces with a word in them; JSON braces are followed by a quote
     sql = INPUTS[name]
     views = {}
     for t in needed:
         view = f"annonia_{t}"
-        frame(spark, sf_dir, t, wide).createOrReplaceTempView(view)
+        frame(spark, sf_dir, t, wide, key).createOrReplaceTempView(view)
         views[t] = view
     for t, view in views.items():
         sql = sql.replace("{" + t + "}", view)

@@ -40,7 +40,7 @@ def normalize_real_estate(df: DataFrame) -> DataFrame:
     """titre, bien_text, lot_text, prix_text, prix_unit, adresse -> typed columns.
 
     Where the table has them: breadcrumbs (``crumbs``, ``crumb_links``, ``chips``) settle type and transaction, ``date_text`` the date,
-    ``images`` are cleaned, and parsed elements (``elements``, ``strings``) give place, address and contact."""
+    ``images`` are cleaned, and parsed elements (``elements`` or those ``found`` by selectors, ``strings``) give place, address and contact."""
     price = money.parse_price(F.col("prix_text"), F.col("prix_unit"))
     area = money.extract_superficie(F.col("lot_text"))
     place = vocab.split_wilaya_commune(F.col("adresse"))
@@ -59,7 +59,10 @@ def normalize_real_estate(df: DataFrame) -> DataFrame:
     )
     crumb = lambda: pages.breadcrumb_fields(F.col("crumbs"), F.col("crumb_links"))
     spot = lambda field, other: F.coalesce(base.some(F.col("_spot")[field]), F.col(other))
-    typed = _given(typed, {"_spot": ("elements strings", lambda: details.location(F.col("elements"), F.col("strings")))})
+    read = "found strings" if "found" in df.columns else "elements strings"
+    location, contact = (details.location_of, details.contact_of) if "found" in df.columns else (details.location, details.contact)
+    page = lambda rule: lambda: rule(*map(F.col, read.split()))
+    typed = _given(typed, {"_spot": (read, page(location))})
     more = _given(
         typed,
         {
@@ -67,10 +70,10 @@ def normalize_real_estate(df: DataFrame) -> DataFrame:
             "transaction": ("crumbs crumb_links chips", lambda: pages.resolve_transaction(crumb()["transaction"], F.col("titre"), F.col("chips"))),
             "date_depot": ("date_text", lambda: dates.parse_date(F.col("date_text"))),
             "images": ("images", _images),
-            "contact": ("elements strings", lambda: details.contact(F.col("elements"), F.col("strings"))),
-            "wilaya": ("elements strings", lambda: spot("wilaya", "wilaya")),
-            "commune": ("elements strings", lambda: spot("commune", "commune")),
-            "adresse": ("elements strings", lambda: spot("address", "adresse")),
+            "contact": (read, page(contact)),
+            "wilaya": (read, lambda: spot("wilaya", "wilaya")),
+            "commune": (read, lambda: spot("commune", "commune")),
+            "adresse": (read, lambda: spot("address", "adresse")),
         },
     )
     return _given(more, {"as_photo": ("images", lambda: money.avec_sans_photo(F.col("images")))}).drop("_spot")

@@ -1,13 +1,17 @@
 """Pages whose tags are those of an earlier one are read by its plan: the same results, without another parse."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from annonia.functions import details, dom
+from annonia.plans import page_queries, record_queries  # noqa: F401  (the first registers the pages)
 from annonia.sources import html
 
+DIR = "/root/testdata/sf0.001"
+tables = pytest.mark.skipif(not os.path.isdir(DIR), reason="no test tables")
 PARTS = ['<div class="k v">', "</div>", '<P CLASS="Label" id="b">', "</p>", "</ p>", "<td>", "<td colspan=2>", "<td rowspan='2'>", "</td>", "<tr>", "</tr>", "<table>", "</table>", "<dl>", "<dt>", "<dd>", "<li>", "<ul>", "</ul>", "<ol class=ok-list>", "<b>", "</b>", "<i class='label'>", "<i class=value>", "</i>",
          "text", " a\nb", "\xa0", "&nbsp;", "&amp;", "&lt", "\x1f", "<", ">", '"', "<br/>", "<br>", "<img src=\"x&amp;y\">", "<a HREF='mailto:q' href=\"z\">", '<a href="tel:1">', "<a href=https://wa.me/2/>", "<a class=v-btn id=announcementUserInfo>", "<a href>", "</a>", "<script>", "</script>", "<template>",
          "<title>", "</title>", "<title>t&amp;</title>", "<title>é</title>", "<!-- c -->", "<!DOCTYPE html>", "<?pi>", '<p class="a"id="b">', '<td a="x>y">', '<p x="1" x="2">', "<p a=>", "&", "</>", "<textarea>", "</textarea>"]
@@ -103,3 +107,10 @@ def test_shapes_held_are_bounded(monkeypatch):
         doc = "".join(f'<b class="c{k}-{rng.randrange(9)}">k</b><i>{k}</i>' for _ in range(4))
         assert shapes.pairs(doc)[:4] in (['k'] * 4, []) and shapes.held < 1_000
         assert len(shapes.tags) < 600 and len(shapes.plans) < 60
+
+
+@tables
+def test_no_page_is_shuffled(spark):
+    plan = record_queries.real_estate_records(spark, DIR)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+    assert len(exchanges) == 2 and all("REPARTITION_BY_NUM" in x and "o_orderkey" in x for x in exchanges)
