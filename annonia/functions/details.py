@@ -48,7 +48,7 @@ def location_of(found: Column, strings: Column) -> Column:
 
 
 def _digits(col: Column) -> Column:
-    return F.regexp_replace(col, r"[^0-9]", "")
+    return F.regexp_replace(col, r"[^0-9]+", "")
 
 
 def _links(found: Column, pattern: str, prefix: str) -> Column:

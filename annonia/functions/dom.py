@@ -205,7 +205,8 @@ def text(element: Column, strings: Column, sep: str | None = None) -> Column:
     pieces = F.slice(strings, element["from"] + 1, element["to"] - element["from"])
     if sep is None:
         return F.trim(F.regexp_replace(F.array_join(pieces, ""), r"\s+", " "))
-    trimmed = F.filter(F.transform(pieces, lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")), lambda s: s != "")
+    inner = F.filter(pieces, lambda s: s != "\n")  # edges of blocks, half of all pieces
+    trimmed = F.filter(F.transform(inner, lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")), lambda s: s != "")
     return F.array_join(trimmed, sep)
 
 

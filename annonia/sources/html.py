@@ -12,9 +12,10 @@ from collections.abc import Callable, Iterator
 from html import unescape
 from html.parser import HTMLParser
 from itertools import accumulate, chain
-from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -324,6 +325,8 @@ def _pairs(page: _Page) -> list[tuple[str, str]]:
 
 #: Attributes that belong to a page's shape; the values of all others are its own.
 _STRUCTURE = {"class", "colspan", "rowspan"}
+#: Pages of one shape in a batch from which on they are read together.
+_MANY = 4
 #: All bytes but those that tags begin and end with.
 _NO_EDGES = bytes(b for b in range(256) if b not in b"<>")
 #: Tags that every reader takes alike, whatever follows them.
@@ -362,6 +365,98 @@ def _joined(texts: list[str], run: tuple[int, ...]) -> str:
     return " ".join("".join([texts[j] if j >= 0 else "\n" for j in run]).split())
 
 
+class _Cut:
+    """Many pages cut at their tags: the pieces of a page are its texts and tags by turns, as ranges of the bytes of all. Pages in which < and > don't
+    take turns, or whose texts hold a reference (&), are one piece and not ``clear``."""
+
+    def __init__(self, html: pa.StringArray):
+        html = (html.fill_null("") if html.null_count else html).cast(pa.string())
+        n, buffers = len(html), html.buffers()
+        offsets = np.frombuffer(buffers[1], np.int32)[html.offset : html.offset + n + 1]
+        self.data = data = np.frombuffer(buffers[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        offsets = offsets - offsets[0]
+        edges = np.flatnonzero((data == ord("<")) | (data == ord(">")))
+        first = np.searchsorted(edges, offsets)
+        counts = np.diff(first)
+        self.clear = counts % 2 == 0
+        opens = data[edges] == ord("<")
+        if not (self.clear.all() and opens[::2].all()) or opens[1::2].any():
+            turns = opens == ((np.arange(len(edges)) - np.repeat(first[:-1], counts)) % 2 == 0)
+            self.clear &= np.diff(np.searchsorted(np.flatnonzero(~turns), first)) == 0
+        references = np.flatnonzero(data == ord("&"))
+        page = np.searchsorted(offsets, references, "right") - 1
+        self.clear[page[(np.searchsorted(edges, references) - first[page]) % 2 == 0]] = False  # those in texts
+        cuts = edges if self.clear.all() else edges[np.repeat(self.clear, counts)]
+        cuts[1::2] += 1
+        self.tags = _sums(np.where(self.clear, counts // 2, 0))  # the first tag of each page
+        self.base = np.arange(n + 1) + 2 * self.tags  # and its first piece
+        self.bounds = np.empty(len(cuts) + n + 1, np.int32)
+        inner = np.ones(len(self.bounds), bool)
+        inner[self.base] = False
+        self.bounds[inner], self.bounds[self.base] = cuts, offsets
+        self.tag_at = np.flatnonzero(inner)[::2]
+        self.pieces = pa.StringArray.from_buffers(len(self.bounds) - 1, pa.py_buffer(self.bounds), pa.py_buffer(data))
+
+    def texts(self, pages: np.ndarray, numbers: list[int]) -> tuple[list[list[str]], np.ndarray]:
+        """The texts with the numbers, for all different rows of them, and which row each page has."""
+        row, coded = np.zeros(len(pages), np.int64), []
+        for j in numbers:
+            coded.append(self.pieces.take(pa.array(self.base[pages] + 2 * j)).dictionary_encode())
+            row = np.unique(row * len(coded[-1].dictionary) + coded[-1].indices.to_numpy(), return_inverse=True)[1]
+        first = np.unique(row, return_index=True)[1]
+        return [c.take(pa.array(first)).to_pylist() for c in coded], row
+
+    def filled(self) -> np.ndarray:
+        """1 for pieces with more than blanks."""
+        out = np.diff(self.bounds) > 0
+        maybe = np.flatnonzero(out)
+        head = self.data[self.bounds[maybe]]
+        maybe = maybe[(head <= 32) | (head > 126)]  # other characters are no blanks
+        out[maybe] = [bool(t.strip()) for t in self.pieces.take(pa.array(maybe)).to_pylist()]
+        return out.astype(np.int32)
+
+    def odd(self, pieces: np.ndarray) -> np.ndarray:
+        """Whether the pieces have other than visible ASCII characters."""
+        odd = np.zeros(len(self.data) + 1, np.int32)
+        np.cumsum((self.data - np.uint8(33)) > 93, out=odd[1:])
+        return odd[self.bounds[pieces + 1]] != odd[self.bounds[pieces]]
+
+
+def _sums(counts: np.ndarray) -> np.ndarray:
+    """Where each of a row of lists begins, and the end of the last."""
+    return np.append(0, np.cumsum(counts))
+
+
+def _flat(lists) -> np.ndarray:
+    return np.array(list(chain.from_iterable(lists)), np.int64)
+
+
+def _groups(numbers: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(number, its places)"""
+    order = np.argsort(numbers, kind="stable")
+    values, first = np.unique(numbers[order], return_index=True)
+    return zip(values.tolist(), np.split(order, first[1:]))
+
+
+def _picked(lists: list[list], of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For pages that have the list of a number each: the offsets of their items, the place of each among the items of all lists, and its page."""
+    sizes = np.array([len(x) for x in lists], np.int64)
+    many = sizes[of]
+    offsets, pages = _sums(many), np.repeat(np.arange(len(of)), many)
+    return offsets, (_sums(sizes)[of] - offsets[:-1])[pages] + np.arange(offsets[-1]), pages
+
+
+def _gather(pieces: pa.StringArray, extra: list[str], place: np.ndarray) -> pa.StringArray:
+    """Pieces by their places; places after the last one are those of ``extra``."""
+    other = place >= len(pieces)
+    out = pieces.take(pa.array(np.where(other, 0, place)))
+    return pc.replace_with_mask(out, pa.array(other), pa.array(extra, pa.string()).take(pa.array(place[other] - len(pieces)))) if other.any() else out
+
+
+def _list_array(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
 class _Shapes:
     """Reads pages whose tags are all clear as a row of tags and a row of texts. What the tags decide is worked out on the first page of a shape and
     held for the others, of which only texts and attributes are taken. Pages of other spellings are left to ``_Page``."""
@@ -382,15 +477,32 @@ class _Shapes:
         self.made: list[tuple[str, str, dict[str, str]]] = [("", "", {})]  # the first tag of each kind
         self.tags: dict[str, int] = {}  # kinds of the tags that have no values of their own; 0: not clear
         self.plans: dict[tuple, object] = {}
+        self.marked: dict[bytes, int] = {}  # the numbers of plans by a page's marks, -1: not to be read by a plan
+        self.numbered: list = []
+        self.outlines: dict[str, tuple | None] = {}
         self.held = 0
 
+    def _trim(self) -> None:
+        if self.held > _HELD:
+            self._forget()
+
     def _kind(self, tag: str) -> tuple[int, dict[str, str] | None]:
         """The number of a tag's kind, 0 if it is not clear, and its attributes if values of its own are among them."""
-        own, attrs, number, whole = False, {}, 0, f"<{tag}>"
+        quote = '"' if '"' in tag else "'"
+        cut = tag.split(quote)
+        outline = quote.join(cut[::2])  # the tag without its quoted values
+        if (known := self.outlines.get(outline)) and "&" not in tag:
+            names, asked, numbers = known
+            values = cut[1::2]
+            key = tuple([v if tests is None else tuple([t(v) for t in tests]) for v, tests in zip(values, asked)])
+            if number := numbers.get(key):
+                return number, dict(zip(names, values))
+        own, attrs, number, whole, quoted = False, {}, 0, f"<{tag}>", True
         if m := _CLEAR_START.fullmatch(whole):
             kind, name, key = "start", m[1].lower(), []
             for k, v in _CLEAR_ATTR.findall(m[2]) if m[2] else ():
                 k = k.lower()
+                quoted = quoted and v[:1] == quote and k not in attrs
                 if k not in attrs:  # of equal names the first counts
                     attrs[k] = v = unescape(v[1:-1] if v[:1] in "\"'" else v)
                     if k in _STRUCTURE:
@@ -412,6 +524,12 @@ class _Shapes:
         if not own or not number:
             self.tags[tag] = number
             self.held += 1
+        elif quoted and "&" not in tag:
+            # other tags of the outline with values that the selectors see alike are of the same kind
+            asked = [None if k in _STRUCTURE else self.tests.get(k, []) for k in attrs]
+            numbers = self.outlines.setdefault(outline, (list(attrs), asked, {}))[2]
+            numbers[tuple([v if tests is None else tuple([t(v) for t in tests]) for v, tests in zip(attrs.values(), asked)])] = number
+            self.held += 2
         return number, attrs if own else None
 
     def _parts(self, source: str) -> tuple[tuple[int, ...], list[str], dict[int, dict[str, str]]] | None:
@@ -420,8 +538,6 @@ class _Shapes:
         texts, tags = parts[::2], parts[1::2]
         if source.encode().translate(None, _NO_EDGES) != b"<>" * len(tags):
             return None
-        if self.held > _HELD:
-            self._forget()
         kinds, given = list(map(self.tags.get, tags)), {}
         if None in kinds:
             for j, n in enumerate(kinds):
@@ -461,20 +577,106 @@ class _Shapes:
                 else:
                     rest.append((len(single), sep, runs))
                     single.append(0)
-        return len(pairs), itemgetter(*single) if pairs else lambda texts: (), rest
+        return len(pairs), single, rest
+
+    def _pairs_by(self, parts: tuple):
+        kinds, texts, given = parts
+        full = tuple(map(bool, map(str.strip, texts) if any(map(str.isspace, texts)) else texts))
+        return self._plan((kinds, full), kinds, texts, given, self._pair_plan)
+
+    def _one_pairs(self, source: str) -> list[str]:
+        if (parts := self._parts(source)) and (plan := self._pairs_by(parts)):
+            _, single, rest = plan
+            out, texts = list(map(" ".join, map(str.split, [parts[1][j] for j in single]))), parts[1]
+            for k, sep, runs in rest:
+                out[k] = sep.join([_joined(texts, run) for run in runs])
+            return out
+        return list(chain.from_iterable(zip(*_pairs(_Page(source)))))
 
     def pairs(self, source: str) -> list[str]:
         """All labels of a page, then all values."""
-        if parts := self._parts(source):
-            kinds, texts, given = parts
-            full = tuple(map(bool, map(str.strip, texts) if any(map(str.isspace, texts)) else texts))
-            if plan := self._plan((kinds, full), kinds, texts, given, self._pair_plan):
-                _, single, rest = plan
-                out = list(map(" ".join, map(str.split, single(texts))))
-                for k, sep, runs in rest:
-                    out[k] = sep.join([_joined(texts, run) for run in runs])
-                return out
-        return list(chain.from_iterable(zip(*_pairs(_Page(source)))))
+        self._trim()
+        return self._one_pairs(source)
+
+    def pair_lists(self, html: pa.StringArray) -> pa.ListArray:
+        """The pairs of many pages. Texts of pages of one shape are taken together, as pieces of the pages."""
+        self._trim()
+        cut = _Cut(html)
+        chosen = self._chosen(cut, html, self._tags(cut)[0], cut.filled(), self._pairs_by)
+        groups, rows = [], {}
+        for p, at in _groups(chosen):
+            if p < 0 or len(at) < _MANY:
+                rows |= {i: self._one_pairs(html[i].as_py() or "") for i in at.tolist()}
+            else:
+                groups.append((self.numbered[p], at))
+        count = np.zeros(len(html), np.int64)
+        for (n, _, _), at in groups:
+            count[at] = n
+        for i, row in rows.items():
+            count[i] = len(row) // 2
+        offsets, many, extra = _sums(count), len(cut.pieces), []
+        place = np.zeros(2 * offsets[-1], np.int64)  # of each label, then of each value: its piece, or after all pieces one of ``extra``
+        for i, row in rows.items():
+            for side in (0, 1):
+                lo = side * offsets[-1] + offsets[i]
+                place[lo : lo + count[i]] = many + len(extra) + np.arange(count[i])
+                extra += row[side * count[i] : (side + 1) * count[i]]
+        for (n, single, rest), at in groups:
+            if not n:
+                continue
+            to = np.stack([offsets[at], offsets[-1] + offsets[at]])[:, :, None] + np.arange(n)  # side, page, pair
+            place[to] = cut.base[at][None, :, None] + 2 * np.array(single).reshape(2, 1, n)
+            for k, sep, runs in rest:
+                numbers = sorted({j for run in runs for j in run if j >= 0})
+                texts, row = cut.texts(at, numbers)
+                text, edges = dict(zip(numbers, texts)), ["\n"] * (int(row.max()) + 1)
+                made = [[" ".join("".join(x).split()) for x in zip(*(text[j] if j >= 0 else edges for j in run))] or [""] * len(edges) for run in runs]
+                place[to[k // n, :, k % n]] = many + len(extra) + row
+                extra += [sep.join(x) for x in zip(*made)] or [""]
+        # blanks inside a piece are collapsed
+        inner = np.flatnonzero(place < many)
+        inner = inner[cut.odd(place[inner])]
+        found = cut.pieces.take(pa.array(place[inner])).to_pylist()
+        place[inner] = many + len(extra) + np.arange(len(inner))
+        out = _gather(cut.pieces, extra + list(map(" ".join, map(str.split, found))), place)
+        half = int(offsets[-1])
+        return _list_array(offsets, pa.StructArray.from_arrays([out[:half], out[half:]], names=["label", "value"]))
+
+    # many pages
+
+    def _tags(self, cut: _Cut) -> tuple[np.ndarray, np.ndarray, list[dict[str, str] | None]]:
+        """The kind of each tag, its number among the different tags, and the attributes of those with values of their own."""
+        coded = cut.pieces.take(pa.array(cut.tag_at)).dictionary_encode()
+        kinds, own = [], []
+        for tag in coded.dictionary.to_pylist():
+            tag = tag[1:-1]
+            n, attrs = self.tags.get(tag), None
+            if n is None:
+                n, attrs = self._kind(tag)
+            kinds.append(n)
+            own.append(attrs)
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        return np.array(kinds, np.int32)[codes] if kinds else np.zeros(0, np.int32), codes, own
+
+    def _chosen(self, cut: _Cut, html: pa.StringArray, kinds: np.ndarray, marks: np.ndarray, make: Callable) -> np.ndarray:
+        """The number of each page's plan, -1 for those that are read one by one. A page's marks are the kinds of its tags and those given for its texts."""
+        marks[cut.tag_at] = kinds
+        whole, at, out = marks.tobytes(), (marks.itemsize * cut.base).tolist(), []
+        for i, clear in enumerate(cut.clear.tolist()):
+            if not clear:
+                out.append(-1)
+                continue
+            key = whole[at[i] : at[i + 1]]
+            p = self.marked.get(key)
+            if p is None:
+                parts = self._parts(html[i].as_py() or "")
+                plan = make(parts) if parts else None
+                p = self.marked[key] = len(self.numbered) if plan else -1
+                if plan:
+                    self.numbered.append(plan)
+                self.held += len(key) // 4
+            out.append(p)
+        return np.array(out, np.int64)
 
     # elements that fit selectors
 
@@ -493,21 +695,75 @@ class _Shapes:
             values = [e["attrs"][n] if model is None or n in _STRUCTURE else (model.tag_of[e["start"]], n) for e, names in zip(of, named) for n in names]
             columns.append((
                 [e["start"] for e in of], [e["end"] for e in of], froms, [f + e["to"] - e["from"] for f, e in zip(froms, of)],
-                [len(x) for x in named], list(chain.from_iterable(named)), values, any(type(v) is tuple for v in values),
+                [len(x) for x in named], list(chain.from_iterable(named)), values,
             ))
         return columns, [model.text_of.get(k, -1) for k in kept] if model else kept
 
-    def found(self, source: str) -> tuple[list, list[list[str]], list[str]]:
-        """The plan's columns, the attributes' values for each selector, and the strings that the found elements hold."""
-        if parts := self._parts(source):
-            kinds, texts, given = parts
-            if plan := self._plan(kinds, kinds, texts, given, self._found_plan):
-                columns, run = plan
-                values = [[v if type(v) is str else given[v[0]][v[1]] for v in c[6]] if c[7] else c[6] for c in columns]
-                return columns, values, [texts[j] if j >= 0 else "\n" for j in run]
+    def _found_by(self, parts: tuple):
+        kinds, texts, given = parts
+        return self._plan(kinds, kinds, texts, given, self._found_plan)
+
+    def _one_found(self, source: str) -> tuple[list, list[str]]:
+        if (parts := self._parts(source)) and (plan := self._found_by(parts)):
+            _, texts, given = parts
+            columns, run = plan
+            return [(*c[:6], [v if type(v) is str else given[v[0]][v[1]] for v in c[6]]) for c in columns], [texts[j] if j >= 0 else "\n" for j in run]
         page = _Page(source)
         columns, kept = self._found_plan(page)
-        return columns, [c[6] for c in columns], [page.strings[k] for k in kept]
+        return columns, [page.strings[k] for k in kept]
+
+    def found(self, source: str) -> tuple[list, list[str]]:
+        """The plan's columns with the attributes' values of the page, and the strings that the found elements hold."""
+        self._trim()
+        return self._one_found(source)
+
+    def found_lists(self, html: pa.StringArray) -> tuple[pa.StructArray, pa.ListArray]:
+        """The elements found on many pages, and their strings. Places are those of a page's plan; values and texts are taken together."""
+        self._trim()
+        cut = _Cut(html)
+        kinds, codes, own = self._tags(cut)
+        chosen = self._chosen(cut, html, kinds, np.zeros(len(cut.pieces), np.int32), self._found_by)
+        used, local = np.unique(chosen[chosen >= 0], return_inverse=True)
+        plans, extra, of = [self.numbered[p] for p in used], ["\n"], np.zeros(len(html), np.int64)
+        of[chosen >= 0] = local
+        for i in np.flatnonzero(chosen < 0).tolist():
+            columns, strings = self._one_found(html[i].as_py() or "")
+            of[i] = len(plans)
+            plans.append((columns, [-2 - len(extra) + 1 - k for k in range(len(strings))]))
+            extra += strings
+        own_values, fixed = [a and a.get(n) for n in self.attributes for a in own], []
+        number = {n: k * len(own) for k, n in enumerate(self.attributes)}
+        found = []
+        for s in range(len(self.selectors)):
+            columns = [c[s] for c, _ in plans]
+            offsets, pick, _ = _picked([c[0] for c in columns], of)
+            start, end, from_, to, counts = (_flat(c[k] for c in columns)[pick] for k in range(5))
+            _, pick, pages = _picked([c[6] for c in columns], of)
+            names = pa.array(list(chain.from_iterable(c[5] for c in columns)), pa.string()).take(pa.array(pick))
+            tag, base = [], []  # a value of a page's own: its tag, and where the values of its attribute begin; else where it stands in ``fixed``
+            for v in chain.from_iterable(c[6] for c in columns):
+                if type(v) is str:
+                    tag.append(-1)
+                    base.append(len(own_values) + len(fixed))
+                    fixed.append(v)
+                else:
+                    tag.append(v[0])
+                    base.append(number[v[1]])
+            tag, place = np.array(tag, np.int64)[pick], np.array(base, np.int64)[pick]
+            mine = tag >= 0
+            place[mine] += codes[cut.tags[pages[mine]] + tag[mine]]
+            found.append((offsets, start, end, from_, to, counts, names, place))
+        values = pa.array(own_values + fixed, pa.string())
+        lists = []
+        for offsets, start, end, from_, to, counts, names, place in found:
+            attrs = pa.MapArray.from_arrays(pa.array(_sums(counts), pa.int32()), names, values.take(pa.array(place)))
+            ints = [pa.array(x, pa.int32()) for x in (start, end, from_, to)]
+            lists.append(_list_array(offsets, pa.StructArray.from_arrays([*ints[:2], attrs, *ints[2:]], names=["start", "end", "attrs", "from", "to"])))
+        offsets, pick, pages = _picked([run for _, run in plans], of)
+        text = _flat(run for _, run in plans)[pick]
+        many = len(cut.pieces)
+        strings = _gather(cut.pieces, extra, np.where(text >= 0, cut.base[pages] + 2 * text, many - 1 - text))
+        return pa.StructArray.from_arrays(lists, names=list(self.selectors)), _list_array(offsets, strings)
 
 
 # ---- Arrow columns: flat values with offsets ----
@@ -559,35 +815,27 @@ _READ: dict[str, tuple[Callable[[_Page], object], Callable[[list], pa.Array]]] =
 }
 
 
-def _pair_lists(lists: list[list[str]]) -> pa.ListArray:
-    """Pairs of lists that hold all labels of a page, then all values."""
-    labels, values = (pa.array(list(chain.from_iterable(x)), pa.string()) for x in ((p[: len(p) // 2] for p in lists), (p[len(p) // 2 :] for p in lists)))
-    offsets = pa.array(list(accumulate((len(p) // 2 for p in lists), initial=0)), pa.int32())
-    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([labels, values], names=["label", "value"]))
-
+#: Bytes of html read at once where little comes out of a page.
+_BYTES = 1 << 21
 
-def _found_lists(columns: list[tuple], values: list[list[str]]) -> pa.ListArray:
-    """The elements that one selector found on each page."""
-    flat = lambda n: list(chain.from_iterable([c[n] for c in columns]))
-    offsets = lambda counts: pa.array(list(accumulate(counts, initial=0)), pa.int32())
-    start, end, from_, to = (pa.array(flat(n), pa.int32()) for n in range(4))
-    attrs = pa.MapArray.from_arrays(offsets(flat(4)), pa.array(flat(5), pa.string()), pa.array(list(chain.from_iterable(values)), pa.string()))
-    items = pa.StructArray.from_arrays([start, end, attrs, from_, to], names=["start", "end", "attrs", "from", "to"])
-    return pa.ListArray.from_arrays(offsets([len(c[0]) for c in columns]), items)
 
-
-#: Pages read at once where little of them comes out.
-_PAGES = 512
+def _portions(batches: Iterator[pa.RecordBatch], kept: list[str]) -> Iterator[tuple[list[pa.Array], pa.StringArray]]:
+    """(the kept columns, html) of as many pages as hold about so many bytes."""
+    for whole in batches:
+        if not len(whole):
+            continue
+        html = whole.column("html")
+        ends = np.cumsum(pc.fill_null(pc.binary_length(html), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = np.unique([0, *np.searchsorted(ends, np.arange(_BYTES, ends[-1], _BYTES)), len(whole)]).tolist()
+        for lo, hi in zip(at, at[1:]):
+            yield [whole.column(c).slice(lo, hi - lo) for c in kept], html.slice(lo, hi - lo)
 
 
 def _pairing(kept: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes = _Shapes()
-        for whole in batches:
-            for k in range(0, len(whole), _PAGES):
-                batch = whole.slice(k, _PAGES)
-                read = _pair_lists([shapes.pairs(source or "") for source in batch.column("html").to_pylist()])
-                yield pa.record_batch([*(batch.column(c) for c in kept), read], names=[*kept, "pairs"])
+        for others, html in _portions(batches, kept):
+            yield pa.record_batch([*others, shapes.pair_lists(html)], names=[*kept, "pairs"])
 
     return run
 
@@ -595,13 +843,8 @@ def _pairing(kept: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def _finding(kept: list[str], selectors: dict[str, str], attributes: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes = _Shapes(selectors, attributes)
-        for whole in batches:
-            for k in range(0, len(whole), _PAGES):
-                batch = whole.slice(k, _PAGES)
-                read = [shapes.found(source or "") for source in batch.column("html").to_pylist()]
-                found = [_found_lists([r[0][n] for r in read], [r[1][n] for r in read]) for n in range(len(selectors))]
-                made = [pa.StructArray.from_arrays(found, names=list(selectors)), _texts([r[2] for r in read])]
-                yield pa.record_batch([*(batch.column(c) for c in kept), *made], names=[*kept, "found", "strings"])
+        for others, html in _portions(batches, kept):
+            yield pa.record_batch([*others, *shapes.found_lists(html)], names=[*kept, "found", "strings"])
 
     return run
 

@@ -3,6 +3,7 @@
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,40 @@ def test_found_like_selected(spark, seed):
         assert got == plain_found(docs[r.i], ("href", "x", "class")), docs[r.i]
 
 
+def together(seed):
+    """Many pages of each shape, all with the same blank texts."""
+    rng = random.Random(seed)
+    clear = [p for p in PARTS if p.startswith("<") and p.endswith(">") and not p.startswith(("<!-", "<?", "<s", "</s", "<te", "</te", "</>", "</ ", "<ti", "</ti", "<br/")) and not any(x in p for x in ('"id', "x>y", "=>"))] + ['<a href="/x?a=1&amp;b=2">', "<td>", "</td>", "<tr>", "<table>"]
+    out = [None, ""]
+    for _ in range(40):
+        tags = ["<!DOCTYPE html>", "<title>", "</title>"] * rng.randrange(2) + rng.choices(clear, k=rng.randrange(1, 30))
+        full = [rng.random() < 0.5 for _ in range(len(tags) + 1)]
+        for n in range(rng.choice([1, 3, 30])):
+            texts = [rng.choice(["a", f"{n} 000", " b  c ", "é\xa0è", "x\n", "=", "\u2003z"]) if f else rng.choice(["", " ", "\n", "\xa0"]) for f in full]
+            values = [t.replace("mailto:q", rng.choice(["mailto:é", "tel:3", ""])).replace("tel:1", f"tel:{rng.random()}").replace("a=1", f"a={n}") for t in tags]
+            out.append("".join(x + t for x, t in zip(texts, values)) + texts[-1])
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("seed", [8, 9, 10])
+def test_pages_of_a_shape_are_read_together(monkeypatch, seed):
+    docs = together(seed)
+    want_pairs, want_found = [plain_pairs(d) for d in docs], [plain_found(d, ("href", "x", "class")) for d in docs]
+    alone = []
+    for name in ("_one_pairs", "_one_found"):
+        monkeypatch.setattr(html._Shapes, name, lambda self, source, read=getattr(html._Shapes, name): alone.append(source) or read(self, source))
+    whole = pa.array(["<p>", *docs, "x"], pa.string())
+    for column in (whole.slice(1, len(docs)), pa.array(docs, pa.large_string())):
+        pairs, shapes = html._Shapes(), html._Shapes(SELECTORS, ("href", "x", "class"))
+        for _ in range(2):  # with no plan made, and with all
+            assert [[(p["label"], p["value"]) for p in x] for x in pairs.pair_lists(column).to_pylist()] == want_pairs
+            found, strings = shapes.found_lists(column)
+            for doc, f, s, want in zip(docs, found.to_pylist(), strings.to_pylist(), want_found):
+                assert [[(e["start"], e["end"], dict(e["attrs"]), [t for t in s[e["from"] : e["to"]] if t]) for e in f[n]] for n in SELECTORS] == want, doc
+    assert len(alone) < len(docs)  # of eight readings
+
+
 def test_selectors_in_python_like_columns(spark):
     docs = random_pages(5, 150)
     df = html.with_parsed(spark.createDataFrame(list(enumerate(docs)), "i int, html string"), "elements")
@@ -97,7 +132,7 @@ def test_one_parse_a_shape(monkeypatch):
     docs = [f'<table><tr><td>Km</td><td class="v">{i} 000</td></tr></table><a href="tel:{i}">{i}</a>' for i in range(500)]
     shapes = html._Shapes({"calls": 'a[href^="tel:"]'}, ("href",))
     assert [shapes.pairs(d) for d in docs] == [["Km", f"{i} 000"] for i in range(500)] and len(made) == 1
-    assert [shapes.found(d)[1:] for d in docs] == [([[f"tel:{i}"]], [f"{i}"]) for i in range(500)] and len(made) == 2
+    assert [(shapes.found(d)[0][0][6], shapes.found(d)[1]) for d in docs] == [([f"tel:{i}"], [f"{i}"]) for i in range(500)] and len(made) == 2
 
 
 def test_shapes_held_are_bounded(monkeypatch):
