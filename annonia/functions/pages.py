@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .base import choose, contains_any, let, rest_of, some, take, text
-from .vocab import convert_property_type, detect_transaction
+from .vocab import clean_property_type, detect_transaction, type_of_clean
 
 # ---- fixed values ----
 CAPTCHA_MARKERS = ['id="challenge-form"', 'id="cf-challenge"', 'class="g-recaptcha"', 'id="hcaptcha-box"', "verify you are human", "checking your browser before accessing"]
@@ -79,8 +79,11 @@ def strip_extension(url: Column) -> Column:
 
 def dedupe_images(images: Column) -> Column:
     """One image for each url without extension, the first."""
-    stems = F.transform(images, strip_extension)
-    return F.filter(images, lambda x, i: F.array_position(stems, strip_extension(x)) == i + 1)
+
+    def firsts(found: Column) -> Column:
+        return let(F.transform(found, strip_extension), lambda stems: F.filter(found, lambda x, i: F.array_position(stems, F.get(stems, i)) == i + 1))
+
+    return let(images, firsts)
 
 
 def clean_images(images: Column, drop: tuple[str, ...] = ("placeholder", "logo", "loader")) -> Column:
@@ -166,7 +169,7 @@ def last_wins_map(pairs: Column) -> Column:
     """Map of an array of (label, value) structs; of equal labels the last counts, whatever the session's policy."""
 
     def kept(ps: Column) -> Column:
-        return let(ps["label"], lambda keys: F.filter(ps, lambda p, i: F.array_position(F.slice(keys, i + 2, F.greatest(F.size(keys), F.lit(1))), p["label"]) == 0))
+        return let(F.reverse(ps["label"]), lambda keys: F.filter(ps, lambda p, i: F.array_position(keys, p["label"]) == F.size(keys) - i))
 
     return F.map_from_entries(F.transform(let(pairs, kept), lambda p: F.struct(p["label"], p["value"])))
 
@@ -186,14 +189,14 @@ def split_specs(specs: Column, mapped: dict[str, str]) -> tuple[dict[str, Column
 
 def breadcrumb_fields(names: Column, links: Column) -> Column:
     """struct(bien, transaction): the last valid entry of each."""
-    types = F.filter(F.transform(names, convert_property_type), lambda x: x != "")
+    types = F.filter(F.transform(F.transform(names, clean_property_type), type_of_clean), lambda x: x != "")
     capital = F.transform(links, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(rest_of(x))))
     trans = F.transform(F.filter(capital, lambda x: x.isin(BREADCRUMB_TRANSACTIONS)), lambda x: F.replace(x, F.lit(" "), F.lit("-")))
     return F.struct(F.coalesce(F.try_element_at(types, F.lit(-1)), F.lit("")).alias("bien"), F.coalesce(F.try_element_at(trans, F.lit(-1)), F.lit("")).alias("transaction"))
 
 
 def resolve_transaction(crumb: Column, title: Column, chips: Column) -> Column:
-    return F.coalesce(some(text(crumb)), some(detect_transaction(title)), some(detect_transaction(F.array_join(chips, " "))), F.lit("Non spécifié"))
+    return F.coalesce(let(text(crumb), some), let(title, lambda t: some(detect_transaction(t))), let(F.array_join(chips, " "), lambda c: some(detect_transaction(c))), F.lit("Non spécifié"))
 
 
 def classify_bullets(bullets: Column) -> Column:

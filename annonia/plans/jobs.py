@@ -66,7 +66,7 @@ def normalize_real_estate(df: DataFrame) -> DataFrame:
     more = _given(
         typed,
         {
-            "bien": ("crumbs crumb_links", lambda: F.coalesce(base.some(crumb()["bien"]), F.col("bien"))),
+            "bien": ("crumbs crumb_links", lambda: F.coalesce(base.let(crumb()["bien"], base.some), F.col("bien"))),
             "transaction": ("crumbs crumb_links chips", lambda: pages.resolve_transaction(crumb()["transaction"], F.col("titre"), F.col("chips"))),
             "date_depot": ("date_text", lambda: dates.parse_date(F.col("date_text"))),
             "images": ("images", _images),
