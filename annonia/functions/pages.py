@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .base import choose, contains_any, let, rest_of, some, take, text
-from .vocab import clean_property_type, detect_transaction, type_of_clean
+from .vocab import clean_property_type, lowered, transaction_of_lowered, type_of_clean
 
 # ---- fixed values ----
 CAPTCHA_MARKERS = ['id="challenge-form"', 'id="cf-challenge"', 'class="g-recaptcha"', 'id="hcaptcha-box"', "verify you are human", "checking your browser before accessing"]
@@ -196,7 +196,8 @@ def breadcrumb_fields(names: Column, links: Column) -> Column:
 
 
 def resolve_transaction(crumb: Column, title: Column, chips: Column) -> Column:
-    return F.coalesce(let(text(crumb), some), let(title, lambda t: some(detect_transaction(t))), let(F.array_join(chips, " "), lambda c: some(detect_transaction(c))), F.lit("Non spécifié"))
+    found = lambda col: let(let(lowered(col), transaction_of_lowered), some)
+    return F.coalesce(let(text(crumb), some), found(title), found(F.array_join(chips, " ")), F.lit("Non spécifié"))
 
 
 def classify_bullets(bullets: Column) -> Column:

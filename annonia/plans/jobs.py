@@ -70,13 +70,13 @@ def normalize_real_estate(df: DataFrame) -> DataFrame:
             "transaction": ("crumbs crumb_links chips", lambda: pages.resolve_transaction(crumb()["transaction"], F.col("titre"), F.col("chips"))),
             "date_depot": ("date_text", lambda: dates.parse_date(F.col("date_text"))),
             "images": ("images", _images),
-            "contact": (read, page(contact)),
             "wilaya": (read, lambda: spot("wilaya", "wilaya")),
             "commune": (read, lambda: spot("commune", "commune")),
             "adresse": (read, lambda: spot("address", "adresse")),
         },
     )
-    return _given(more, {"as_photo": ("images", lambda: money.avec_sans_photo(F.col("images")))}).drop("_spot")
+    # in the last step, so that a query that takes one field of it works out only that
+    return _given(more, {"as_photo": ("images", lambda: money.avec_sans_photo(F.col("images"))), "contact": (read, page(contact))}).drop("_spot")
 
 
 def normalize_vehicles(df: DataFrame, as_of: Column, years: int = 3) -> DataFrame:
