@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import lru_cache
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -73,6 +74,7 @@ def _fits(test: Test) -> Fits:
     return tests[op]
 
 
+@lru_cache(1024)
 def value_test(test: Test) -> Callable[[str], bool]:
     """What a test asks of an attribute's value, in Python."""
     value, op = test.value, test.op
@@ -85,17 +87,17 @@ def value_test(test: Test) -> Callable[[str], bool]:
     return {"^=": lambda got: got.startswith(value), "$=": lambda got: got.endswith(value), "*=": lambda got: value in got}[op]
 
 
-def _holds(test: Test, e: dict) -> bool:
-    """A test of an element in Python."""
-    kind, value = test.kind, test.value
+def _held(test: Test, elements: list[dict]) -> list[bool]:
+    """A test of elements in Python."""
+    kind, value, name, _ = test
     if kind == "attr":
-        got = e["attrs"].get(test.name)
-        return got is not None and value_test(test)(got)
+        fits = value_test(test)
+        return [name in e["attrs"] and fits(e["attrs"][name]) for e in elements]
     if kind == "class":
-        return value in e["classes"]
-    if kind == "tag" and value == "*":
-        return True
-    return e["last"] if kind == "last" else e[kind] == value
+        return [value in e["classes"] for e in elements]
+    if kind == "last" or value == "*" and kind == "tag":
+        return [kind == "tag" or e["last"] for e in elements]
+    return [e[kind] == value for e in elements]
 
 
 def _steps(selector: str) -> Steps:
@@ -116,6 +118,7 @@ def _steps(selector: str) -> Steps:
     return steps
 
 
+@lru_cache(1024)
 def alternatives(selector: str) -> list[Steps]:
     """The steps of each alternative; commas inside brackets don't part them."""
     return [_steps(s) for s in re.split(r",(?![^\[]*\])", selector)]
@@ -154,14 +157,15 @@ def select(elements: Column, selector: str) -> Column:
 def _plain_flags(elements: list[dict], steps: Steps) -> list[bool]:
     """``_flags`` of one page's elements in Python."""
     relation, tests = steps[-1]
-    own = [all(_holds(t, e) for t in tests) for e in elements]
-    if len(steps) == 1:
+    own = [all(x) for x in zip(*(_held(t, elements) for t in tests))]
+    if len(steps) == 1 or not any(own):
         return own
     before = _plain_flags(elements, steps[:-1])
     heads: dict[int, int] = {}  # the first sibling of each parent that fits the step before
-    for e in elements:
-        if before[e["start"]]:
-            heads.setdefault(e["parent"], e["start"])
+    if relation == "~":
+        for e in elements:
+            if before[e["start"]]:
+                heads.setdefault(e["parent"], e["start"])
     related = {
         " ": lambda e: any(before[p] for p in e["path"]),
         ">": lambda e: e["parent"] >= 0 and before[e["parent"]],
